@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _MODULES = (
     "corpus_queries",
+    "catalog_queries",
 )
 
 
