@@ -94,6 +94,29 @@ def closed_form_likeness(a_tokens: Column | str, b_tokens: Column | str) -> Colu
     )
 
 
+def add_likeness(
+    df: DataFrame,
+    a_tok: str,
+    b_tok: str,
+    out: str,
+    mask: Column | None = None,
+) -> DataFrame:
+    """Add ``out`` = likeness of two token-array columns where ``mask`` holds.
+
+    Closed forms are evaluated JVM-side; the Python UDF receives null-masked
+    inputs for every other row, so it aligns only the pairs that need it.
+    """
+    m = F.lit(True) if mask is None else mask
+    ok = m & F.col(a_tok).isNotNull() & F.col(b_tok).isNotNull()
+    closed = f"_closed_{out}"
+    df = df.withColumn(closed, F.when(ok, closed_form_likeness(a_tok, b_tok)))
+    need = ok & F.col(closed).isNull()
+    return df.withColumn(
+        out,
+        F.when(ok, F.coalesce(F.col(closed), likeness_udf(F.when(need, F.col(a_tok)), F.when(need, F.col(b_tok))))),
+    ).drop(closed)
+
+
 def score_pairs(
     pairs: DataFrame,
     a_text: str = "a_text",
@@ -105,24 +128,15 @@ def score_pairs(
 ) -> DataFrame:
     """Add ``out`` = likeness(a, b) for every row (a = source, b = edit).
 
-    ``spread_partitions`` hash-repartitions the pairs that need the exact
-    alignment so that expensive pairs land on many tasks.
+    ``spread_partitions`` hash-repartitions the pairs so that expensive
+    alignments land on many tasks (AQE cannot split a single row).
     """
     df = pairs.withColumn("_a_tok", normalize_tokens(a_text)).withColumn("_b_tok", normalize_tokens(b_text))
-    df = df.withColumn("_closed", closed_form_likeness("_a_tok", "_b_tok"))
     if spread_partitions:
         key = F.col(spread_key) if spread_key else F.rand(seed=17)
         df = df.repartition(spread_partitions, key)
-    need = F.col("_closed").isNull() & F.col(a_text).isNotNull() & F.col(b_text).isNotNull()
-    df = df.withColumn(
-        out,
-        F.coalesce(
-            F.col("_closed"),
-            likeness_udf(F.when(need, F.col("_a_tok")), F.when(need, F.col("_b_tok"))),
-        ),
-    )
-    drop = ["_closed"] + ([] if keep_tokens else ["_a_tok", "_b_tok"])
-    return df.drop(*drop)
+    df = add_likeness(df, "_a_tok", "_b_tok", out, F.col(a_text).isNotNull() & F.col(b_text).isNotNull())
+    return df if keep_tokens else df.drop("_a_tok", "_b_tok")
 
 
 def gate_pairs(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 _MODULES = (
     "corpus_queries",
     "catalog_queries",
+    "merge_queries",
 )
 
 
