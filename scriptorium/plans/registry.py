@@ -10,6 +10,7 @@ _MODULES = (
     "corpus_queries",
     "catalog_queries",
     "merge_queries",
+    "quality_queries",
 )
 
 

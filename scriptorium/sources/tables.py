@@ -143,6 +143,7 @@ def quality_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     passed = F.col("value") >= 90
     return e.select(
         "source_path",
+        F.datediff(F.to_date("ts"), F.lit("2024-01-01")).alias("path_ordinal"),
         (F.col("event_id") - F.col("first_id") + 1).alias("line"),
         F.when((F.col("event_type") == "error") & (F.col("value") < 5), F.lit(None).cast("string"))
         .otherwise(F.col("user_id").cast("string")).alias("talk_id"),
