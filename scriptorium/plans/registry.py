@@ -11,6 +11,7 @@ _MODULES = (
     "catalog_queries",
     "merge_queries",
     "quality_queries",
+    "tool_queries",
 )
 
 
