@@ -12,6 +12,7 @@ _MODULES = (
     "merge_queries",
     "quality_queries",
     "tool_queries",
+    "stream_queries",
 )
 
 
