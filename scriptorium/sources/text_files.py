@@ -14,12 +14,12 @@ from ..functions.text import make_valid_utf8
 
 def read_text_corpus(spark: SparkSession, root: str, ext: str = ".txt", recursive: bool = True) -> DataFrame:
     """(path, text): one row per file, whole text, invalid UTF-8 replaced."""
-    r = spark.read.option("wholetext", True)
+    r = spark.read
     if recursive:
         r = r.option("recursiveFileLookup", True)
     if ext:
         r = r.option("pathGlobFilter", f"*{ext}")
-    df = r.text(root)
+    df = r.text(root, wholetext=True)  # the keyword overrides .option("wholetext")
     return df.select(F.col("_metadata.file_path").alias("path"), make_valid_utf8("value").alias("text"))
 
 
@@ -38,7 +38,7 @@ def read_stage_transcripts(spark: SparkSession, sources: Mapping[str, Mapping])
     """
     parts = []
     for stage, spec in sources.items():
-        df = spark.read.option("wholetext", True).text(spec["directory"])
+        df = spark.read.text(spec["directory"], wholetext=True)
         name = F.col("_metadata.file_name")
         for rank, tpl in enumerate(spec["filename_templates"]):
             rx = template_regex(tpl)
