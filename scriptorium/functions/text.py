@@ -55,9 +55,23 @@ def is_blank(c: Column | str) -> Column:
     return F.coalesce(py_strip(c), F.lit("")) == F.lit("")
 
 
+# The same whitespace set as single characters, for ``translate``.
+PY_SPACE_LIST = "".join(
+    chr(x) for x in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                     0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+
+
 def count_words(c: Column | str) -> Column:
-    """Number of ``\\S+`` runs (Python whitespace); counts without building an array."""
-    return F.coalesce(F.regexp_count(_c(c), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+    """Number of ``\\S+`` runs (Python whitespace).
+
+    Every whitespace character becomes a space (``translate``, a character
+    map), space runs collapse, and each space followed by a word starts one:
+    no per-word objects (``regexp_count`` would build the array of matches).
+    """
+    t = F.translate(F.coalesce(_c(c), F.lit("")), PY_SPACE_LIST, " " * len(PY_SPACE_LIST))
+    t = F.regexp_replace(F.concat(F.lit(" "), t), " {2,}", " ")
+    spaces = F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit("")))
+    return (spaces - F.when(t.endswith(" "), 1).otherwise(0)).cast("long")
 
 
 def approx_tokens(words: Column | str) -> Column:

@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lineage import LINEAGE_STAGES, build_lineage, lineage_stage_number
-from ..functions.text import normalize_tokens, py_rstrip, py_strip
-from .scoring import add_likeness
+from ..functions.text import py_rstrip, py_strip
+from .scoring import closed_form_likeness, lowered, ordered_gate_udf, tokens_of_lowered
 
 RAW_STAGE = "transcript_raw"
 
@@ -56,24 +56,62 @@ def pivot_stages(transcripts: DataFrame, stages: Sequence[str]) -> DataFrame:
 
 
 def score_candidates(pivot: DataFrame, params: MergeParams = MergeParams()) -> DataFrame:
-    """Evaluate candidates in order; add per-candidate score/pass and the selection."""
-    df = pivot.withColumn("_raw_tok", normalize_tokens(F.col(_col(RAW_STAGE)).getField("text")))
-    df = df.withColumn("_raw_tok", F.when(F.col(_col(RAW_STAGE)).isNotNull(), F.col("_raw_tok")))
+    """Evaluate candidates in order; add per-candidate score/pass and the selection.
+
+    Phase 1 (JVM only): token arrays and closed-form scores of every candidate
+    that has a raw text.  Phase 2: one ordered Python pass aligns only the
+    candidates the gate reaches and no closed form settles; its inputs are
+    lower-cased texts computed inline and null-masked, so the rows buffered
+    around the Python call carry no extra copies of the texts.
+    """
+    raw = F.col(_col(RAW_STAGE))
+    has_raw = raw.isNotNull()
+    n = len(params.candidate_order)
+    t = F.lit(params.threshold)
+
+    def low(c: Column) -> Column:
+        return lowered(c.getField("text"))
+
+    df = pivot.withColumn("_raw_tok", F.when(has_raw, tokens_of_lowered(low(raw))))
+    for i, stage in enumerate(params.candidate_order):
+        cand = F.col(_col(stage))
+        df = df.withColumn(f"_c{i}_tok", F.when(has_raw & cand.isNotNull(), tokens_of_lowered(low(cand))))
+        df = df.withColumn(f"_c{i}_closed", F.when(F.col(f"_c{i}_tok").isNotNull(),
+                                                  closed_form_likeness("_raw_tok", f"_c{i}_tok")))
+        df = df.drop(f"_c{i}_tok")
+    df = df.drop("_raw_tok")
+
+    # Which candidates need Python: reachable past earlier closed-form passes,
+    # present with a raw text, and without a closed form.
+    passed_before: Column = F.lit(False)
+    needs = []
+    for i, stage in enumerate(params.candidate_order):
+        cand = F.col(_col(stage))
+        closed = F.col(f"_c{i}_closed")
+        needs.append(~passed_before & has_raw & cand.isNotNull() & closed.isNull())
+        passed_before = passed_before | F.coalesce(closed >= t, F.lit(False))
+    any_need = needs[0]
+    for x in needs[1:]:
+        any_need = any_need | x
+    gate = ordered_gate_udf(n, params.threshold)
+    cands = F.struct(*[
+        c for i, stage in enumerate(params.candidate_order) for c in (
+            F.when(needs[i], low(F.col(_col(stage)))).alias(f"text_{i}"),
+            F.col(f"_c{i}_closed").alias(f"closed_{i}"))
+    ])
+    df = df.withColumn("_py", gate(F.when(any_need, low(raw)), cands))
+
     accepted: Column = F.lit(False)
-    has_raw = F.col(_col(RAW_STAGE)).isNotNull()
     for i, stage in enumerate(params.candidate_order):
         cand = F.col(_col(stage))
         reached = ~accepted & cand.isNotNull()
         evaluate = reached & has_raw
-        tok = f"_c{i}_tok"
-        df = df.withColumn(tok, F.when(evaluate, normalize_tokens(cand.getField("text"))))
-        df = add_likeness(df, "_raw_tok", tok, f"score_{i}", evaluate)
         df = df.withColumn(f"evaluated_{i}", evaluate)
-        df = df.withColumn(
-            f"passed_{i}", reached & (~has_raw | (F.col(f"score_{i}") >= F.lit(params.threshold)))
-        ).drop(tok)
+        df = df.withColumn(f"score_{i}", F.when(evaluate, F.coalesce(F.col(f"_c{i}_closed"),
+                                                                    F.col(f"_py.score_{i}"))))
+        df = df.withColumn(f"passed_{i}", reached & (~has_raw | (F.col(f"score_{i}") >= t)))
         accepted = accepted | F.col(f"passed_{i}")
-    df = df.drop("_raw_tok")
+    df = df.drop("_py", *[f"_c{i}_closed" for i in range(n)])
 
     # Stage-priority coalesce: passing candidates in order, raw, then the rest.
     options = []

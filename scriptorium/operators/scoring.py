@@ -18,6 +18,7 @@ Scale plan:
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from difflib import SequenceMatcher
 
@@ -26,12 +27,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import normalize_tokens
+from ..functions.text import TOKEN_PATTERN
 
 
 # --------------------------------------------------------------------------
 # Python helpers (run inside Arrow batches, one pair at a time)
 # --------------------------------------------------------------------------
+# Fixed value: the token rule of the likeness score (word runs with
+# apostrophes, on lower-cased text).  JVM-side it is TOKEN_PATTERN.
+_WORD = re.compile(r"\b[\w']+\b")
+
+
 def likeness_of_tokens(a: list, b: list) -> float:
     if not a and not b:
         return 1.0
@@ -49,14 +55,13 @@ def overlap_bound_of_tokens(a: list, b: list) -> float:
     return 2.0 * m / (len(a) + len(b))
 
 
-def _as_list(x):
-    return x.tolist() if hasattr(x, "tolist") else list(x)
-
-
+# The UDFs receive lower-cased *texts* (one Arrow string per row) and split
+# them in the worker: shipping token arrays instead would materialise one
+# Python object per token on the Arrow -> pandas boundary.
 @F.pandas_udf(T.DoubleType())
 def likeness_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     out = [
-        None if (x is None or y is None) else likeness_of_tokens(_as_list(x), _as_list(y))
+        None if (x is None or y is None) else likeness_of_tokens(_WORD.findall(x), _WORD.findall(y))
         for x, y in zip(a, b)
     ]
     return pd.Series(out, dtype="float64")
@@ -65,12 +70,51 @@ def likeness_udf(a: pd.Series, b: pd.Series) -> pd.Series:
 @F.pandas_udf(T.DoubleType())
 def overlap_bound_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     out = [
-        None if (x is None or y is None) else overlap_bound_of_tokens(_as_list(x), _as_list(y))
+        None if (x is None or y is None) else overlap_bound_of_tokens(_WORD.findall(x), _WORD.findall(y))
         for x, y in zip(a, b)
     ]
     return pd.Series(out, dtype="float64")
 
 
+def ordered_gate_udf(n_candidates: int, threshold: float):
+    """One Python pass for an ordered list of candidates against one source.
+
+    Inputs: the lower-cased source (null when no candidate needs alignment)
+    and a struct with, per candidate, its lower-cased text (sent only when it
+    needs alignment) and its JVM closed-form score.  Candidates are walked in
+    order and the walk stops at the first pass, as the gate does; returns the
+    aligned score per candidate (null where none was computed).
+    """
+    names = [f"score_{i}" for i in range(n_candidates)]
+    schema = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+
+    @F.pandas_udf(schema)
+    def gate(src: pd.Series, cands: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for r, a in enumerate(src):
+            out = [None] * n_candidates
+            if a is not None:
+                ta = None
+                for i in range(n_candidates):
+                    closed = cands[f"closed_{i}"].iat[r]
+                    text = cands[f"text_{i}"].iat[r]
+                    if closed is not None and closed == closed:  # not null / NaN
+                        if closed >= threshold:
+                            break
+                        continue
+                    if text is None:
+                        continue
+                    if ta is None:
+                        ta = _WORD.findall(a)
+                    out[i] = likeness_of_tokens(ta, _WORD.findall(text))
+                    if out[i] >= threshold:
+                        break
+            rows.append(out)
+        return pd.DataFrame(rows, columns=names, dtype="float64")
+
+    return gate
+
+
 # --------------------------------------------------------------------------
 # Column forms
 # --------------------------------------------------------------------------
@@ -94,27 +138,41 @@ def closed_form_likeness(a_tokens: Column | str, b_tokens: Column | str) -> Colu
     )
 
 
+def lowered(c: Column | str) -> Column:
+    return F.lower(F.coalesce(_c(c), F.lit("")))
+
+
+def tokens_of_lowered(c: Column | str) -> Column:
+    return F.regexp_extract_all(_c(c), F.lit(TOKEN_PATTERN), 0)
+
+
 def add_likeness(
     df: DataFrame,
-    a_tok: str,
-    b_tok: str,
+    a_low: str,
+    b_low: str,
     out: str,
     mask: Column | None = None,
+    a_tok: str | None = None,
 ) -> DataFrame:
-    """Add ``out`` = likeness of two token-array columns where ``mask`` holds.
+    """Add ``out`` = likeness of two lower-cased text columns where ``mask`` holds.
 
-    Closed forms are evaluated JVM-side; the Python UDF receives null-masked
-    inputs for every other row, so it aligns only the pairs that need it.
+    Closed forms are evaluated JVM-side on token arrays; the Python UDF gets
+    null-masked inputs for every other row, so it aligns only the pairs that
+    need it.  ``a_tok`` reuses an existing token column for the ``a`` side.
     """
     m = F.lit(True) if mask is None else mask
-    ok = m & F.col(a_tok).isNotNull() & F.col(b_tok).isNotNull()
-    closed = f"_closed_{out}"
-    df = df.withColumn(closed, F.when(ok, closed_form_likeness(a_tok, b_tok)))
+    ok = m & F.col(a_low).isNotNull() & F.col(b_low).isNotNull()
+    # Token arrays as their own columns: inside the CASE below they are used
+    # in several branches, where Spark would otherwise re-run the regex.
+    ta, tb, closed = f"_ta_{out}", f"_tb_{out}", f"_closed_{out}"
+    df = df.withColumn(ta, F.col(a_tok) if a_tok else tokens_of_lowered(a_low))
+    df = df.withColumn(tb, F.when(ok, tokens_of_lowered(b_low)))
+    df = df.withColumn(closed, F.when(ok, closed_form_likeness(ta, tb)))
     need = ok & F.col(closed).isNull()
     return df.withColumn(
         out,
-        F.when(ok, F.coalesce(F.col(closed), likeness_udf(F.when(need, F.col(a_tok)), F.when(need, F.col(b_tok))))),
-    ).drop(closed)
+        F.when(ok, F.coalesce(F.col(closed), likeness_udf(F.when(need, F.col(a_low)), F.when(need, F.col(b_low))))),
+    ).drop(closed, ta, tb)
 
 
 def score_pairs(
@@ -122,7 +180,6 @@ def score_pairs(
     a_text: str = "a_text",
     b_text: str = "b_text",
     out: str = "likeness",
-    keep_tokens: bool = False,
     spread_partitions: int | None = None,
     spread_key: str | None = None,
 ) -> DataFrame:
@@ -131,12 +188,12 @@ def score_pairs(
     ``spread_partitions`` hash-repartitions the pairs so that expensive
     alignments land on many tasks (AQE cannot split a single row).
     """
-    df = pairs.withColumn("_a_tok", normalize_tokens(a_text)).withColumn("_b_tok", normalize_tokens(b_text))
+    df = pairs.withColumn("_a_low", lowered(a_text)).withColumn("_b_low", lowered(b_text))
     if spread_partitions:
         key = F.col(spread_key) if spread_key else F.rand(seed=17)
         df = df.repartition(spread_partitions, key)
-    df = add_likeness(df, "_a_tok", "_b_tok", out, F.col(a_text).isNotNull() & F.col(b_text).isNotNull())
-    return df if keep_tokens else df.drop("_a_tok", "_b_tok")
+    df = add_likeness(df, "_a_low", "_b_low", out, F.col(a_text).isNotNull() & F.col(b_text).isNotNull())
+    return df.drop("_a_low", "_b_low")
 
 
 def gate_pairs(
@@ -147,17 +204,19 @@ def gate_pairs(
 ) -> DataFrame:
     """Pass/fail only: pairs whose overlap bound is below the threshold fail
     without alignment; ``likeness`` is null for those (not logged exactly)."""
-    df = pairs.withColumn("_a_tok", normalize_tokens(a_text)).withColumn("_b_tok", normalize_tokens(b_text))
-    df = df.withColumn("_closed", closed_form_likeness("_a_tok", "_b_tok"))
+    df = pairs.withColumn("_a_low", lowered(a_text)).withColumn("_b_low", lowered(b_text))
+    df = df.withColumn("_ta", tokens_of_lowered("_a_low")).withColumn("_tb", tokens_of_lowered("_b_low"))
+    df = df.withColumn("_closed", closed_form_likeness("_ta", "_tb")).drop("_ta", "_tb")
     open_ = F.col("_closed").isNull()
-    df = df.withColumn("upper_bound", F.when(open_, overlap_bound_udf(F.when(open_, "_a_tok"), F.when(open_, "_b_tok"))))
+    df = df.withColumn("upper_bound", F.when(open_, overlap_bound_udf(F.when(open_, F.col("_a_low")),
+                                                                      F.when(open_, F.col("_b_low")))))
     need = open_ & (F.col("upper_bound") >= F.lit(threshold))
     df = df.withColumn(
         "likeness",
-        F.coalesce(F.col("_closed"), likeness_udf(F.when(need, F.col("_a_tok")), F.when(need, F.col("_b_tok")))),
+        F.coalesce(F.col("_closed"), likeness_udf(F.when(need, F.col("_a_low")), F.when(need, F.col("_b_low")))),
     )
     df = df.withColumn("passed", F.coalesce(F.col("likeness") >= F.lit(threshold), F.lit(False)))
-    return df.drop("_closed", "_a_tok", "_b_tok")
+    return df.drop("_closed", "_a_low", "_b_low")
 
 
 # --------------------------------------------------------------------------
@@ -181,9 +240,8 @@ def _spans_fn(context: int):
     def run(batches):
         for pdf in batches:
             rows = []
-            for key, a, b in zip(pdf["pair_id"], pdf["_a_tok"], pdf["_b_tok"]):
-                a = [] if a is None else _as_list(a)
-                b = [] if b is None else _as_list(b)
+            for key, a, b in zip(pdf["pair_id"], pdf["_a_low"], pdf["_b_low"]):
+                a, b = _WORD.findall(a or ""), _WORD.findall(b or "")
                 sm = SequenceMatcher(None, a, b, autojunk=False)
                 for tag, i1, i2, j1, j2 in sm.get_opcodes():
                     if tag == "equal":
@@ -197,15 +255,23 @@ def _spans_fn(context: int):
     return run
 
 
-def diff_spans(pairs: DataFrame, a_text: str = "a_text", b_text: str = "b_text", context: int = 8) -> DataFrame:
+def diff_spans(
+    pairs: DataFrame,
+    a_text: str = "a_text",
+    b_text: str = "b_text",
+    context: int = 8,
+    spread_partitions: int | None = None,
+) -> DataFrame:
     """One row per non-equal opcode (replace/delete/insert) with clipped snippets."""
+    if spread_partitions:
+        pairs = pairs.repartition(spread_partitions, "pair_id")
     df = pairs.select(
         F.col("pair_id").cast("string").alias("pair_id"),
-        normalize_tokens(a_text).alias("_a_tok"),
-        normalize_tokens(b_text).alias("_b_tok"),
+        lowered(a_text).alias("_a_low"),
+        lowered(b_text).alias("_b_low"),
     )
     # Equal token lists have no spans: skip them JVM-side.
-    df = df.where(F.array_join("_a_tok", " ") != F.array_join("_b_tok", " "))
+    df = df.where(F.array_join(tokens_of_lowered("_a_low"), " ") != F.array_join(tokens_of_lowered("_b_low"), " "))
     return df.mapInPandas(_spans_fn(context), SPAN_SCHEMA)
 
 

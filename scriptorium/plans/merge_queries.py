@@ -67,13 +67,15 @@ def talk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pair_scores_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact likeness of every whole document against its stutter-removed edit."""
     p = edited_pairs(spark, sf_dir)
-    return S.score_pairs(p, spread_partitions=spark.sparkContext.defaultParallelism * 4, spread_key="pair_id") \
+    return S.score_pairs(p, spread_partitions=spark.sparkContext.defaultParallelism * 8, spread_key="pair_id") \
         .select("pair_id", "likeness")
 
 
 def diff_spans_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten largest differing spans per edited document, with 8 tokens of context."""
-    return S.top_spans(S.diff_spans(edited_pairs(spark, sf_dir), context=8), limit=10, sort="size")
+    spread = spark.sparkContext.defaultParallelism * 8
+    return S.top_spans(S.diff_spans(edited_pairs(spark, sf_dir), context=8, spread_partitions=spread),
+                       limit=10, sort="size")
 
 
 QUERIES = {

@@ -49,9 +49,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def balanced(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread per-document CPU work when the scan is narrower than the cluster.
+
+    A file written as one row group scans as one task however many splits it
+    gets; the regex-heavy per-document work after it would then run serially.
+    Only in that case (fewer scan partitions than task slots) the rows are
+    hash-repartitioned on their key; a large input already has far more splits
+    than slots and is left alone, so no shuffle is added at scale.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots * 2, *keys)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents table, balanced for per-document text work."""
+    return balanced(read_table(spark, sf_dir, "documents"), "doc_id")
+
+
 def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, path, lang, source, text): the text corpus."""
-    d = read_table(spark, sf_dir, "documents")
+    d = documents(spark, sf_dir)
     return d.select(
         "doc_id",
         F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"),
@@ -63,7 +83,7 @@ def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV-shaped catalog (16 string headers + ``src_row``) from documents and labels."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", "text")
+    d = documents(spark, sf_dir).select("doc_id", "lang", "source", "n_chars", "text")
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = d.join(lab, "doc_id", "left")
     rid = (
@@ -100,7 +120,7 @@ def catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``transcript(talk_id, stage, file, template_rank, text)`` for three stages."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    d = documents(spark, sf_dir).select("doc_id", "lang", "text")
     tid = F.col("doc_id").cast("string")
     raw = d.where(F.col("lang") != "es").select(
         tid.alias("talk_id"), F.lit("transcript_raw").alias("stage"),
@@ -124,7 +144,7 @@ def stutter_edit(text_col: str = "text"):
 
 def edited_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(pair_id, a_text, b_text): raw text against its stutter-removed edit."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = documents(spark, sf_dir).select("doc_id", "text")
     return d.select(
         F.col("doc_id").cast("string").alias("pair_id"),
         F.col("text").alias("a_text"),
