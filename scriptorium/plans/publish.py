@@ -46,3 +46,36 @@ def checkpointed(spark: SparkSession, df: DataFrame) -> DataFrame:
 
     ensure_checkpoint_dir(spark)
     return df.checkpoint(eager=True)
+
+
+def run_publish(
+    spark: SparkSession,
+    catalog_rows: DataFrame,
+    transcripts: DataFrame,
+    out_dir: str,
+    run_id: str,
+    params: M.MergeParams = M.MergeParams(),
+    mode: str = "enforce",
+    talk_files: bool = False,
+) -> dict:
+    """Materialise a publish run: talks (Parquet), quality log (append), index.
+
+    The scored pivot feeds both the talks and the log, so it is checkpointed
+    once (reliable, in ``spark.checkpoint.dir``) and the alignment runs once.
+    Returns the merge counters.
+    """
+    from ..sinks.json_docs import append_quality_log, talk_json, write_index, write_talk_files
+
+    validated = K.validate(catalog_rows)
+    talks = K.latest_per_name(K.to_talks(validated, mode))
+    talks = K.add_audio_urls(K.normalize_durations(talks))
+    stages = list(dict.fromkeys([M.RAW_STAGE, *params.candidate_order, *params.fallback_stages()]))
+    scored = checkpointed(spark, M.score_candidates(M.pivot_stages(transcripts, stages), params))
+    merged = M.merge_talks(talks, scored, params)
+    merged.write.mode("overwrite").parquet(f"{out_dir}/talks")
+    published = spark.read.parquet(f"{out_dir}/talks")
+    append_quality_log(M.quality_log(scored, params), f"{out_dir}/quality_log", run_id)
+    write_index(M.talk_index(published, params.stages), f"{out_dir}/index")
+    if talk_files:
+        write_talk_files(spark, talk_json(published), f"{out_dir}/talk_files")
+    return {(r.ok, r.merge_reason): r.n for r in M.merge_counters(published).collect()}

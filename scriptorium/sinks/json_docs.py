@@ -100,3 +100,18 @@ def write_talk_files(spark, docs: DataFrame, path: str, trailing_newline: bool =
     spark.dataSource.register(TalkFiles)
     (docs.select("safe_name", "json").write.format("talkfiles").mode("append")
      .option("path", path).option("trailing_newline", str(trailing_newline).lower()).save())
+
+
+def write_index(index: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Index as range-partitioned JSON lines, globally sorted by id."""
+    index_json_lines(index).select("json").write.mode(mode).text(path)
+
+
+def append_quality_log(log: DataFrame, path: str, run_id: str) -> None:
+    """Append this run's evaluations (JSON lines) under ``run_id=<id>``."""
+    from pyspark.sql import functions as F2
+
+    cols = ["talk_id", "candidate_stage", "candidate_file", "status", "likeness", "selected_stage",
+            "selected_file", "model_version"]
+    (log.select(*cols).withColumn("run_id", F2.lit(run_id))
+     .write.mode("append").partitionBy("run_id").json(path))

@@ -51,6 +51,11 @@ def read_stage_transcripts(spark: SparkSession, sources: Mapping[str, Mapping])
     return out
 
 
+def local_path(uri):
+    """``file:/x`` / ``file:///x`` -> ``/x``; other schemes (hdfs, s3a, ...) unchanged."""
+    return F.regexp_replace(uri, "^file:(//)?(?=/)", "")
+
+
 def with_line_numbers(lines: DataFrame) -> DataFrame:
     """Add ``source_path`` and 1-based ``line`` to ``spark.read.text`` output.
 
@@ -61,7 +66,7 @@ def with_line_numbers(lines: DataFrame) -> DataFrame:
     """
     df = lines.select(
         "value",
-        F.col("_metadata.file_path").alias("source_path"),
+        local_path(F.col("_metadata.file_path")).alias("source_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_mid"),
     )

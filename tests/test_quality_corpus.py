@@ -138,3 +138,36 @@ def test_text_sources_and_stream(spark, tmp_path):
     I.start_token_sizes(stream, sink, ckpt).awaitTermination()
     got = sorted((r.path.rsplit("/", 1)[-1], r.tokens) for r in spark.read.parquet(sink).collect())
     assert got == [("7.txt", 4), ("8.txt", 5)]
+
+
+def test_version_pairs_and_reports(spark, tmp_path):
+    import os
+
+    m = Q.parse_version_pairs(["v9=" + str(tmp_path / "a.log")])
+    assert list(m.values()) == ["v9"] and os.path.isabs(next(iter(m)))
+    with pytest.raises(ValueError):
+        Q.parse_version_pairs(["=x"])
+    with pytest.raises(ValueError):
+        Q.parse_version_pairs(["nopath"])
+    assert Q.log_inputs([str(tmp_path / "a.log"), str(tmp_path / "a.log")], m) == [str(tmp_path / "a.log")]
+    a = tmp_path / "a.log"
+    _write_log(a, [{"talk_id": "1", "status": "failed", "likeness": 0.5, "model_version": "v2"}])
+    log = read_quality_logs(spark, Q.log_inputs([], m))
+    ent = Q.prepared_entries(log, Q.version_map_frame(spark, m)).first()
+    assert ent.model_version == "v9" and ent.override_mismatch is True
+    rep = Q.summary_report(Q.version_summary(Q.latest_entries(Q.prepared_entries(log)))).first()
+    assert rep.success_rate_text == "0.0000" and rep.avg_likeness_text == "0.5000"
+
+
+def test_run_publish(spark, tmp_path):
+    from tests.test_catalog_merge import _merge_fixture
+    from scriptorium.plans.publish import run_publish
+
+    cat, tr = _merge_fixture(spark)
+    out = str(tmp_path / "pub")
+    counts = run_publish(spark, cat, tr, out, run_id="r1", talk_files=True)
+    assert counts[(True, "merged from transcript_cleaned")] == 1
+    log = spark.read.json(f"{out}/quality_log")
+    assert log.count() == 3 and log.select("run_id").distinct().count() == 1
+    idx = [json.loads(r.value)["id"] for r in spark.read.text(f"{out}/index").collect()]
+    assert sorted(idx) == ["1", "2", "3", "4", "5"]
