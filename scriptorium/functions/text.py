@@ -31,6 +31,11 @@ PY_INLINE_SPACE_CHARS = (
 # Python's \w is [\p{L}\p{N}_] (no combining marks), unlike Java's (?U)\w.
 TOKEN_PATTERN = r"[\p{L}\p{N}_](?:[\p{L}\p{N}_']*[\p{L}\p{N}_])?"
 
+# The same whitespace set as single characters, for ``translate``.
+PY_SPACE_LIST = "".join(
+    chr(x) for x in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                     0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+
 WS = f"[{PY_SPACE_CHARS}]"
 NON_WS = f"[^{PY_SPACE_CHARS}]"
 WORD_PATTERN = NON_WS + "+"
@@ -41,13 +46,14 @@ def _c(c: Column | str) -> Column:
 
 
 def py_strip(c: Column | str) -> Column:
-    """``str.strip()``: remove Python whitespace at both ends (F.trim only drops U+0020)."""
-    return F.regexp_replace(_c(c), f"^{WS}+|{WS}+\\z", "")
+    """``str.strip()``: remove Python whitespace at both ends (plain F.trim only
+    drops U+0020).  A character-set trim works from the ends, not a regex scan."""
+    return F.trim(_c(c), F.lit(PY_SPACE_LIST))
 
 
 def py_rstrip(c: Column | str) -> Column:
     """``str.rstrip()``."""
-    return F.regexp_replace(_c(c), f"{WS}+\\z", "")
+    return F.rtrim(_c(c), F.lit(PY_SPACE_LIST))
 
 
 def is_blank(c: Column | str) -> Column:
@@ -55,12 +61,6 @@ def is_blank(c: Column | str) -> Column:
     return F.coalesce(py_strip(c), F.lit("")) == F.lit("")
 
 
-# The same whitespace set as single characters, for ``translate``.
-PY_SPACE_LIST = "".join(
-    chr(x) for x in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
-                     0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
-
-
 def count_words(c: Column | str) -> Column:
     """Number of ``\\S+`` runs (Python whitespace).
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.lineage import lineage_json, lineage_stage_number
 from ..operators import merge as M
 from ..operators import scoring as S
-from ..sources.tables import catalog_rows, edited_pairs, stage_transcripts
+from ..sources.tables import alignment_spread, catalog_rows, edited_pairs, stage_transcripts
 from ..sinks.json_docs import talk_json
 from .catalog_queries import CATALOG_SQL, WS, strip_sql
 from .corpus_queries import TOKEN_RE2
@@ -67,15 +67,13 @@ def talk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pair_scores_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact likeness of every whole document against its stutter-removed edit."""
     p = edited_pairs(spark, sf_dir)
-    return S.score_pairs(p, spread_partitions=spark.sparkContext.defaultParallelism * 8, spread_key="pair_id") \
-        .select("pair_id", "likeness")
+    return S.score_pairs(p, spread_partitions=alignment_spread(p), spread_key="pair_id").select("pair_id", "likeness")
 
 
 def diff_spans_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten largest differing spans per edited document, with 8 tokens of context."""
-    spread = spark.sparkContext.defaultParallelism * 8
-    return S.top_spans(S.diff_spans(edited_pairs(spark, sf_dir), context=8, spread_partitions=spread),
-                       limit=10, sort="size")
+    p = edited_pairs(spark, sf_dir)
+    return S.top_spans(S.diff_spans(p, context=8, spread_partitions=alignment_spread(p)), limit=10, sort="size")
 
 
 QUERIES = {

@@ -64,6 +64,18 @@ def balanced(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(slots * 2, *keys)
 
 
+def alignment_spread(df: DataFrame, per_slot: int = 8) -> int | None:
+    """Partition count for exact alignments when the input is narrow, else None.
+
+    One alignment can cost seconds, so a handful of partitions leaves
+    stragglers; ``per_slot`` small partitions per task slot spread them.  An
+    input that already has more partitions than that keeps its layout (no
+    extra shuffle of the text at scale).
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return slots * per_slot if df.rdd.getNumPartitions() < slots * per_slot else None
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents table, balanced for per-document text work."""
     return balanced(read_table(spark, sf_dir, "documents"), "doc_id")

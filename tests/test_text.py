@@ -64,13 +64,14 @@ def test_expressions_match_python(spark):
     df = spark.createDataFrame([(r,) for r in rows], "t string")
     got = df.select("t", T.unwrap_text("t").alias("u"), T.normalize_tokens("t").alias("k"),
                     T.py_strip("t").alias("s"), T.count_words("t").alias("w"),
-                    T.unwrap_text_ascii("t").alias("a")).collect()
+                    T.unwrap_text_ascii("t").alias("a"), T.py_rstrip("t").alias("r")).collect()
     for r in got:
         assert r.u == py_unwrap(r.t), repr(r.t)
         assert list(r.k) == WORD_RE.findall(r.t.lower()), repr(r.t)
         assert r.s == r.t.strip(), repr(r.t)
         assert r.w == len(r.t.split()), repr(r.t)
         assert r.a == awk_unwrap(r.t), repr(r.t)
+        assert r.r == r.t.rstrip(), repr(r.t)
 
 
 def test_goldens(spark):
