@@ -151,13 +151,22 @@ def quality_log(scored: DataFrame, params: MergeParams = MergeParams()) -> DataF
     return scored.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
 
 
-def merge_talks(talks: DataFrame, scored: DataFrame, params: MergeParams = MergeParams()) -> DataFrame:
+def attach_transcripts(talks: DataFrame, pivot: DataFrame) -> DataFrame:
+    """Catalog talks left-joined with their stage pivot on ``strip(id) = talk_id``.
+
+    Only talks in the catalog are scored, as in the per-talk merge.  The pivot
+    is already hash-partitioned by ``talk_id`` (its aggregation), so only the
+    small catalog side is shuffled; the join happens before any Python step,
+    because a Python evaluation node hides that partitioning from the planner.
+    """
+    t = talks.withColumn("_key", py_strip(F.col("id")))
+    return t.join(pivot, t["_key"] == pivot["talk_id"], "left").withColumn(
+        "talk_id", F.col("_key")).drop("_key")
+
+
+def finalize_merge(scored: DataFrame, params: MergeParams = MergeParams()) -> DataFrame:
     """Talk records with ``transcript`` (right-stripped), ``dataLineage`` and a reason."""
-    key = py_strip(F.col("id"))
-    sel = scored.select(F.col("talk_id"), F.col("selected"))
-    t = talks.withColumn("_key", key)
-    j = t.join(sel, t["_key"] == sel["talk_id"], "left")
-    has_id = F.col("_key") != ""
+    has_id = F.col("talk_id") != ""
     found = has_id & F.col("selected").isNotNull()
     stage = F.col("selected").getField("stage")
     lik = F.when(stage == F.lit("transcript_structured"), F.col("selected").getField("score"))
@@ -165,17 +174,24 @@ def merge_talks(talks: DataFrame, scored: DataFrame, params: MergeParams = Merge
         has_id, build_lineage(F.lit(None).cast("string"), None, params.stages)
     ).otherwise(F.col("dataLineage"))
     transcript = F.when(found, py_rstrip(F.col("selected").getField("text")))
-    if "transcript" in talks.columns:
+    if "transcript" in scored.columns:
         transcript = F.when(has_id, transcript).otherwise(F.col("transcript"))
     reason = (
         F.when(~has_id, F.lit("missing id"))
         .when(found, F.concat(F.lit("merged from "), stage))
         .otherwise(F.lit("no transcript found"))
     )
-    out = j.withColumn("dataLineage", lineage).withColumn("transcript", transcript).withColumn(
+    internal = [c for c in scored.columns
+                if c.startswith("st_") or c.split("_")[0] in ("score", "evaluated", "passed")]
+    out = scored.withColumn("dataLineage", lineage).withColumn("transcript", transcript).withColumn(
         "merge_reason", reason
     ).withColumn("selected_stage", stage).withColumn("selected_file", F.col("selected").getField("file"))
-    return out.drop("_key", "talk_id", "selected")
+    return out.drop("talk_id", "selected", *internal)
+
+
+def merge_talks(talks: DataFrame, pivot: DataFrame, params: MergeParams = MergeParams()) -> DataFrame:
+    """attach -> score -> finalize, for callers that need only the talks."""
+    return finalize_merge(score_candidates(attach_transcripts(talks, pivot), params), params)
 
 
 def merge_counters(merged: DataFrame) -> DataFrame:

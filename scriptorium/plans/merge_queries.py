@@ -40,6 +40,7 @@ def gate_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Selected stage per catalog talk (null when no transcript exists)."""
     s = _pub(spark, sf_dir).scored
     return s.select("talk_id", F.col("selected.stage").alias("selected_stage"),
                     F.col("selected.file").alias("selected_file"), F.col("selected.score").alias("likeness"))
@@ -143,24 +144,27 @@ TS_SQL = """CASE WHEN s.selected_stage IS NULL THEN 1 WHEN s.selected_stage = 't
   WHEN s.selected_stage = 'transcript_structured' THEN 3 ELSE 4 END"""
 
 ORACLES = {
-    "pair_scores": f"""WITH {MERGE_SQL}
+    "pair_scores": f"""WITH {CATALOG_SQL}, {MERGE_SQL}
       SELECT talk_id, 'transcript_structured' AS candidate_stage, s_score AS likeness, s_pass AS passed
-        FROM ev2 WHERE s_eval
+        FROM ev2 WHERE s_eval AND talk_id IN (SELECT id FROM talks)
       UNION ALL
-      SELECT talk_id, 'transcript_cleaned', c_score, c_pass FROM ev2 WHERE c_eval""",
-    "gate_log": f"""WITH {MERGE_SQL}
+      SELECT talk_id, 'transcript_cleaned', c_score, c_pass FROM ev2
+      WHERE c_eval AND talk_id IN (SELECT id FROM talks)""",
+    "gate_log": f"""WITH {CATALOG_SQL}, {MERGE_SQL}
       SELECT talk_id, 'transcript_structured' AS candidate_stage, talk_id || '_cleaned.txt' AS candidate_file,
              CASE WHEN s_pass THEN 'succeeded' ELSE 'failed' END AS status, round_even(s_score, 4) AS likeness,
              CASE WHEN s_pass THEN 'transcript_structured' ELSE 'transcript_raw' END AS selected_stage,
              CASE WHEN s_pass THEN talk_id || '_cleaned.txt' ELSE talk_id || '.txt' END AS selected_file,
-             'v3' AS model_version FROM ev2 WHERE s_eval
+             'v3' AS model_version FROM ev2 WHERE s_eval AND talk_id IN (SELECT id FROM talks)
       UNION ALL
       SELECT talk_id, 'transcript_cleaned', talk_id || '_cleaned.txt',
              CASE WHEN c_pass THEN 'succeeded' ELSE 'failed' END, round_even(c_score, 4),
              CASE WHEN c_pass THEN 'transcript_cleaned' ELSE 'transcript_raw' END,
              CASE WHEN c_pass THEN talk_id || '_cleaned.txt' ELSE talk_id || '.txt' END, 'v3'
-      FROM ev2 WHERE c_eval""",
-    "stage_selection": f"""WITH {MERGE_SQL} SELECT talk_id, selected_stage, selected_file, likeness FROM sel""",
+      FROM ev2 WHERE c_eval AND talk_id IN (SELECT id FROM talks)""",
+    "stage_selection": f"""WITH {CATALOG_SQL}, {MERGE_SQL}
+      SELECT t.id AS talk_id, s.selected_stage, s.selected_file, s.likeness
+      FROM talks t LEFT JOIN sel s ON t.id = s.talk_id""",
     "merged_lineage": f"""WITH {CATALOG_SQL}, {MERGE_SQL}
       SELECT t.safe_name, t.id,
              CASE WHEN s.selected_stage IS NULL THEN 'no transcript found'

@@ -35,8 +35,9 @@ def publish(
     talks = K.latest_per_name(K.to_talks(validated, mode))
     talks = K.add_audio_urls(K.normalize_durations(talks), audio_url_template)
     stages = list(dict.fromkeys([M.RAW_STAGE, *params.candidate_order, *params.fallback_stages()]))
-    scored = M.score_candidates(M.pivot_stages(transcripts, stages), params)
-    merged = M.merge_talks(talks, scored, params)
+    pivot = M.pivot_stages(transcripts, stages)
+    scored = M.score_candidates(M.attach_transcripts(talks, pivot), params)
+    merged = M.finalize_merge(scored, params)
     return Published(talks, scored, merged, M.quality_log(scored, params), M.talk_index(merged, params.stages))
 
 
@@ -70,8 +71,9 @@ def run_publish(
     talks = K.latest_per_name(K.to_talks(validated, mode))
     talks = K.add_audio_urls(K.normalize_durations(talks))
     stages = list(dict.fromkeys([M.RAW_STAGE, *params.candidate_order, *params.fallback_stages()]))
-    scored = checkpointed(spark, M.score_candidates(M.pivot_stages(transcripts, stages), params))
-    merged = M.merge_talks(talks, scored, params)
+    pivot = M.pivot_stages(transcripts, stages)
+    scored = checkpointed(spark, M.score_candidates(M.attach_transcripts(talks, pivot), params))
+    merged = M.finalize_merge(scored, params)
     merged.write.mode("overwrite").parquet(f"{out_dir}/talks")
     published = spark.read.parquet(f"{out_dir}/talks")
     append_quality_log(M.quality_log(scored, params), f"{out_dir}/quality_log", run_id)

@@ -95,7 +95,10 @@ def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV-shaped catalog (16 string headers + ``src_row``) from documents and labels."""
-    d = documents(spark, sf_dir).select("doc_id", "lang", "source", "n_chars", "text")
+    # Light per-row work: no rebalancing, and only the first line of the text
+    # leaves the scan (the title), not the whole text.
+    d = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", "n_chars", F.split(F.col("text"), "\n", 2).getItem(0).alias("first_line"))
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = d.join(lab, "doc_id", "left")
     rid = (
@@ -104,7 +107,7 @@ def catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("lang") == "de", F.concat(F.lit("  "), F.col("doc_id").cast("string"), F.lit(" ")))
         .otherwise(F.col("doc_id").cast("string"))
     )
-    title = F.when(F.col("quality") == 0, F.lit("")).otherwise(F.split(F.col("text"), "\n", 2).getItem(0))
+    title = F.when(F.col("quality") == 0, F.lit("")).otherwise(F.col("first_line"))
     duration = F.when(
         F.col("lang").isin("en", "fr"), F.concat(F.col("n_chars").cast("string"), F.lit(" (approx)"))
     ).otherwise(F.col("n_chars").cast("string"))
@@ -131,8 +134,12 @@ def catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``transcript(talk_id, stage, file, template_rank, text)`` for three stages."""
-    d = documents(spark, sf_dir).select("doc_id", "lang", "text")
+    """``transcript(talk_id, stage, file, template_rank, text)`` for three stages.
+
+    Not rebalanced: the per-row work here is a concat; the heavy work runs
+    after the merge's own shuffle on ``talk_id``.
+    """
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     tid = F.col("doc_id").cast("string")
     raw = d.where(F.col("lang") != "es").select(
         tid.alias("talk_id"), F.lit("transcript_raw").alias("stage"),
