@@ -200,7 +200,13 @@ def merge_counters(merged: DataFrame) -> DataFrame:
 
 
 def talk_index(talks: DataFrame, stages: Sequence[str] = LINEAGE_STAGES) -> DataFrame:
-    """Index entries sorted by id (code-point order); ``ts`` = lineage stage number."""
+    """Index entries; ``ts`` = lineage stage number.
+
+    Unsorted on purpose: the id order (code-point order) is applied by
+    :func:`sorted_index` at the sink, over the materialised talk table — a
+    global sort samples its input for range boundaries, which over a lazy
+    merge plan would run the scoring twice.
+    """
     def s(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit("")) if c in talks.columns else F.lit("")
     tags = F.coalesce(F.col("tags"), F.array().cast("array<string>")) if "tags" in talks.columns else F.array()
@@ -208,4 +214,9 @@ def talk_index(talks: DataFrame, stages: Sequence[str] = LINEAGE_STAGES) -> Data
         s("id").alias("id"), s("title").alias("title"), s("speaker").alias("teacher"), s("date").alias("date"),
         tags.alias("tags"), s("summary").alias("summary"), s("duration").alias("duration"),
         lineage_stage_number("dataLineage", stages).alias("ts"),
-    ).orderBy("id")
+    )
+
+
+def sorted_index(index: DataFrame) -> DataFrame:
+    """Index in id order (UTF-8 byte order = code-point order: "10" < "9")."""
+    return index.orderBy("id")

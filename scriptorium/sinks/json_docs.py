@@ -44,7 +44,7 @@ def talk_json(talks: DataFrame, pretty: bool = False) -> DataFrame:
 def index_json_lines(index: DataFrame) -> DataFrame:
     """One compact JSON object per index entry, globally ordered by id."""
     keys = ["date", "duration", "id", "summary", "tags", "teacher", "title", "ts"]
-    return index.select("id", F.to_json(F.struct(*[F.col(k) for k in keys])).alias("json")).orderBy("id")
+    return index.select("id", F.to_json(F.struct(*[F.col(k) for k in keys])).alias("json")).orderBy("id")  # SL1
 
 
 def index_json_array(index: DataFrame) -> DataFrame:

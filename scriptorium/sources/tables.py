@@ -136,23 +136,26 @@ def catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``transcript(talk_id, stage, file, template_rank, text)`` for three stages.
 
-    Not rebalanced: the per-row work here is a concat; the heavy work runs
-    after the merge's own shuffle on ``talk_id``.
+    One (balanced) scan; every document explodes into the stage rows it has.
+    A union of three filtered branches would scan three times, and Catalyst
+    pushes each branch's filter below the rebalancing shuffle.
     """
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    d = documents(spark, sf_dir).select("doc_id", "lang", "text")
     tid = F.col("doc_id").cast("string")
-    raw = d.where(F.col("lang") != "es").select(
-        tid.alias("talk_id"), F.lit("transcript_raw").alias("stage"),
-        F.concat(tid, F.lit(".txt")).alias("file"), F.lit(0).alias("template_rank"), F.col("text"))
-    structured = d.where(F.col("lang").isin("en", "es")).select(
-        tid.alias("talk_id"), F.lit("transcript_structured").alias("stage"),
-        F.concat(tid, F.lit("_cleaned.txt")).alias("file"), F.lit(0).alias("template_rank"),
-        F.concat(F.lit(STRUCTURED_PREAMBLE), F.col("text")).alias("text"))
-    cleaned = d.where(F.col("lang").isin("en", "fr")).select(
-        tid.alias("talk_id"), F.lit("transcript_cleaned").alias("stage"),
-        F.concat(tid, F.lit("_cleaned.txt")).alias("file"), F.lit(0).alias("template_rank"),
-        F.concat(F.col("text"), F.lit(CLEANED_CLOSING)).alias("text"))
-    return raw.unionByName(structured).unionByName(cleaned)
+
+    def row(stage: str, file_suffix: str, text):
+        return F.struct(F.lit(stage).alias("stage"), F.concat(tid, F.lit(file_suffix)).alias("file"),
+                        F.lit(0).alias("template_rank"), text.alias("text"))
+
+    lang = F.col("lang")
+    rows = F.array_compact(F.array(
+        F.when(lang != "es", row("transcript_raw", ".txt", F.col("text"))),
+        F.when(lang.isin("en", "es"), row("transcript_structured", "_cleaned.txt",
+                                          F.concat(F.lit(STRUCTURED_PREAMBLE), F.col("text")))),
+        F.when(lang.isin("en", "fr"), row("transcript_cleaned", "_cleaned.txt",
+                                          F.concat(F.col("text"), F.lit(CLEANED_CLOSING)))),
+    ))
+    return d.select(tid.alias("talk_id"), F.explode(rows).alias("r")).select("talk_id", "r.*")
 
 
 def stutter_edit(text_col: str = "text"):
