@@ -9,7 +9,7 @@ from ..functions.lineage import lineage_json, lineage_stage_number
 from ..operators import merge as M
 from ..operators import scoring as S
 from ..sources.tables import alignment_spread, catalog_rows, edited_pairs, stage_transcripts
-from ..sinks.json_docs import talk_json
+from ..sinks.json_docs import index_json_lines, talk_json
 from .catalog_queries import CATALOG_SQL, WS, strip_sql
 from .corpus_queries import TOKEN_RE2
 from .publish import publish
@@ -65,6 +65,18 @@ def talk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return talk_json(_pub(spark, sf_dir).merged)
 
 
+def talk_index_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index export: one compact JSON object per entry, in id order."""
+    return index_json_lines(_pub(spark, sf_dir).index)
+
+
+def edited_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gate-only mode on the edited pairs: the overlap bound settles failures
+    without alignment; ``likeness`` is exact wherever it is reported."""
+    p = edited_pairs(spark, sf_dir)
+    return S.gate_pairs(p, threshold=PARAMS.threshold).select("pair_id", "upper_bound", "likeness", "passed")
+
+
 def pair_scores_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact likeness of every whole document against its stutter-removed edit."""
     p = edited_pairs(spark, sf_dir)
@@ -85,6 +97,8 @@ QUERIES = {
     "merge_counters": merge_counters,
     "talk_index": talk_index,
     "talk_documents": talk_documents,
+    "talk_index_json": talk_index_json,
+    "edited_gate": edited_gate,
     "pair_scores_edited": pair_scores_edited,
     "diff_spans_top": diff_spans_top,
 }
@@ -181,4 +195,9 @@ ORACLES = {
       SELECT t.id, t.title, t.speaker AS teacher, '' AS date, []::varchar[] AS tags, '' AS summary,
              {strip_sql("replace(t.duration, '(approx)', '')")} AS duration, {TS_SQL} AS ts
       FROM talks t LEFT JOIN sel s ON t.id = s.talk_id""",
+    "talk_index_json": f"""WITH {CATALOG_SQL}, {MERGE_SQL}
+      SELECT t.id, to_json(struct_pack(date := '', duration := {strip_sql("replace(t.duration, '(approx)', '')")},
+             id := t.id, summary := '', tags := []::varchar[], teacher := t.speaker, title := t.title,
+             ts := {TS_SQL})) AS json
+      FROM talks t LEFT JOIN sel s ON t.id = s.talk_id""",
 }

@@ -57,6 +57,11 @@ def top_improvements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.top_changes(Q.version_pairs(_latest(spark, sf_dir)), "improvement", TOP_LIMIT)
 
 
+def version_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version summary with the printed ``%.4f`` / ``N/A`` columns."""
+    return Q.summary_report(Q.version_summary(_latest(spark, sf_dir)))
+
+
 def log_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.warnings(_log(spark, sf_dir))
 
@@ -79,6 +84,7 @@ QUERIES = {
     "version_compare": version_compare,
     "top_regressions": top_regressions,
     "top_improvements": top_improvements,
+    "version_report": version_report,
     "log_warnings": log_warnings,
     "version_override": version_override,
     "override_warnings": override_warnings,
@@ -205,4 +211,8 @@ ORACLES = {
              'model_version ''' || raw_version || ''' overridden by --version ''' || model_version || '''' AS detail
       FROM ventries WHERE source_path IN ({", ".join(f"'{p}'" for p in OVERRIDE)})
         AND nullif(raw_version, '') IS NOT NULL AND raw_version <> model_version""",
+    "version_report": f"""WITH {LOG_SQL}, {_versioned(False)}, summ AS ({SUMMARY_SELECT})
+      SELECT *, coalesce(printf('%.4f', success_rate), 'N/A') AS success_rate_text,
+             coalesce(printf('%.4f', avg_likeness), 'N/A') AS avg_likeness_text,
+             coalesce(printf('%.4f', median_likeness), 'N/A') AS median_likeness_text FROM summ""",
 }

@@ -171,3 +171,29 @@ def test_run_publish(spark, tmp_path):
     assert log.count() == 3 and log.select("run_id").distinct().count() == 1
     idx = [json.loads(r.value)["id"] for r in spark.read.text(f"{out}/index").collect()]
     assert sorted(idx) == ["1", "2", "3", "4", "5"]
+
+
+def test_parser_strict_likeness(spark, tmp_path):
+    good, bad = tmp_path / "good.log", tmp_path / "bad.log"
+    _write_log(good, [{"talk_id": "1", "status": "succeeded", "likeness": "0.91"},
+                      {"talk_id": "2", "status": "failed"}])
+    s = Q.log_summary(read_quality_logs(spark, [str(good)])).first()
+    assert (s.entries, s.successes) == (1, 1) and s.avg_likeness == pytest.approx(0.91)
+    _write_log(bad, [{"talk_id": "1", "status": "succeeded", "likeness": None}])
+    with pytest.raises(Exception, match="could not convert likeness"):
+        Q.log_summary(read_quality_logs(spark, [str(bad)])).collect()
+
+
+def test_streamed_latest_equals_batch(spark, tmp_path):
+    rows = [(1, i, f"t{i % 7}", "v1" if i % 2 else "v2", "failed" if i % 3 else "succeeded", i / 100.0)
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "path_ordinal int, line int, talk_id string, model_version string, "
+                                     "status string, likeness double")
+    src = tmp_path / "log"
+    df.repartition(4).write.parquet(str(src))
+    stream = I.parquet_stream(spark, str(src), df, max_files=1)
+    sink, ckpt = str(tmp_path / "sink"), str(tmp_path / "ck")
+    I.start_latest_entries(stream, sink, ckpt).awaitTermination()
+    got = {(r.model_version, r.talk_id): (r.line, r.n_entries) for r in spark.read.parquet(sink).collect()}
+    want = {(r.model_version, r.talk_id): (r.line, r.n_entries) for r in Q.latest_entries(df).collect()}
+    assert got == want
