@@ -10,6 +10,7 @@ same files with the same bytes, so executor loss is harmless.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,7 +72,8 @@ class _TalkFileWriter(DataSourceWriter):
         n = 0
         for row in iterator:
             target = os.path.join(self.path, f"{row['safe_name']}{self.suffix}")
-            tmp = target + ".part"
+            # unique per attempt: a speculative or retried attempt never shares it
+            tmp = f"{target}.{uuid.uuid4().hex}.part"
             with open(tmp, "w", encoding="utf-8") as f:
                 f.write(row["json"])
                 if self.newline:

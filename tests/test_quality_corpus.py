@@ -197,3 +197,56 @@ def test_streamed_latest_equals_batch(spark, tmp_path):
     got = {(r.model_version, r.talk_id): (r.line, r.n_entries) for r in spark.read.parquet(sink).collect()}
     want = {(r.model_version, r.talk_id): (r.line, r.n_entries) for r in Q.latest_entries(df).collect()}
     assert got == want
+
+
+def test_hot_key_and_partition_independence(spark):
+    """One (version, talk) holds a third of all rows; results do not depend on
+    the shuffle partition count."""
+    rows = []
+    for i in range(3000):
+        talk = "hot" if i % 3 == 0 else f"t{i}"
+        rows.append((i // 1000, i, talk, "v1" if i % 2 else "v2", "failed", (i % 100) / 100.0, "f"))
+    log = spark.createDataFrame(rows, "path_ordinal int, line int, talk_id string, model_version string, "
+                                      "status string, likeness double, source_path string")
+    results = []
+    for parts in ("3", "17"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        lat = Q.latest_entries(Q.prepared_entries(log))
+        hot = {r.model_version: (r.line, r.n_entries) for r in lat.where("talk_id = 'hot'").collect()}
+        dups = Q.warnings(log).where("kind = 'duplicate'").count()
+        results.append((hot, dups, lat.count()))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert results[0] == results[1]
+    hot, dups, n = results[0]
+    assert hot["v2"] == (2994, 500) and hot["v1"] == (2997, 500) and dups == 998
+
+
+def test_rerun_has_no_pending_and_metamorphic_likeness(spark, tmp_path):
+    df = spark.createDataFrame([("in/a.txt", "Hello, World.\\nline two"), ("in/b.txt", "x y")],
+                               "path string, text string")
+    pending = TR.pending_inputs(df, "in", "out", ".txt")
+    out = str(tmp_path / "outputs")
+    TR.write_outputs(TR.apply_transform(pending, lambda: (lambda t: t.lower())), out)
+    listing = spark.read.parquet(out).select("output_path")
+    assert TR.pending_inputs(df, "in", "out", ".txt", listing).count() == 0
+    from scriptorium.operators import scoring as S
+
+    base = "The quick brown fox jumps over the lazy dog again and again"
+    variants = [base.upper(), base.replace(" ", "\n"), base.replace(" ", ", "), "  " + base + "!!"]
+    pairs = spark.createDataFrame([(str(i), base, v) for i, v in enumerate(variants)],
+                                  "pair_id string, a_text string, b_text string")
+    assert {r.likeness for r in S.score_pairs(pairs).collect()} == {1.0}
+
+
+def test_deciles_match_slice_rule_random(spark):
+    import random
+
+    rnd = random.Random(5)
+    for n in (1, 7, 10, 23, 101):
+        vals = [rnd.randint(0, 50) for _ in range(n)]
+        got = {r.decile: (r.min_tokens, r.max_tokens, r.n_docs) for r in
+               C.token_deciles(spark.createDataFrame([(v,) for v in vals], "tokens long")).collect()}
+        c = sorted(vals)
+        for i in range(10):
+            st, en = i * n // 10, (i + 1) * n // 10
+            assert got[i + 1] == ((0, 0, 0) if en == 0 else (c[st], c[en - 1], en - st)), (n, i)
