@@ -35,6 +35,17 @@ def pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _evaluations(_pub(spark, sf_dir).scored)
 
 
+def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per catalog talk with a raw text: how many candidates were scored and
+    which one (if any) passed the gate."""
+    s = _pub(spark, sf_dir).scored
+    n_eval = sum((F.col(f"evaluated_{i}").cast("int") for i in range(len(PARAMS.candidate_order))), F.lit(0))
+    passed = F.coalesce(*[F.when(F.col(f"evaluated_{i}") & F.col(f"passed_{i}"), F.lit(st))
+                          for i, st in enumerate(PARAMS.candidate_order)])
+    return s.where(F.col("st_transcript_raw").isNotNull()).select(
+        "talk_id", n_eval.alias("n_evaluated"), passed.alias("passed_stage"))
+
+
 def gate_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pub(spark, sf_dir).log.drop("eval_order")
 
@@ -91,6 +102,7 @@ def diff_spans_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "pair_scores": pair_scores,
+    "quality_gate": quality_gate,
     "gate_log": gate_log,
     "stage_selection": stage_selection,
     "merged_lineage": merged_lineage,
@@ -200,4 +212,8 @@ ORACLES = {
              id := t.id, summary := '', tags := []::varchar[], teacher := t.speaker, title := t.title,
              ts := {TS_SQL})) AS json
       FROM talks t LEFT JOIN sel s ON t.id = s.talk_id""",
+    "quality_gate": f"""WITH {CATALOG_SQL}, {MERGE_SQL}
+      SELECT talk_id, cast(s_eval AS int) + cast(c_eval AS int) AS n_evaluated,
+             CASE WHEN s_pass THEN 'transcript_structured' WHEN c_pass THEN 'transcript_cleaned' END AS passed_stage
+      FROM ev2 WHERE lang <> 'es' AND talk_id IN (SELECT id FROM talks)""",
 }

@@ -14,6 +14,10 @@ def incremental_token_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.incremental_token_sizes(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def incremental_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.incremental_edit_scores(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+
+
 def incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events streamed as the quality log; latest entry per (version, talk_id)."""
     path = f"{sf_dir.rstrip('/')}/events.parquet"
@@ -35,6 +39,7 @@ def incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "incremental_token_sizes": incremental_token_sizes,
+    "incremental_scores": incremental_scores,
     "incremental_latest": incremental_latest,
 }
 

@@ -72,6 +72,7 @@ class _TalkFileWriter(DataSourceWriter):
         n = 0
         for row in iterator:
             target = os.path.join(self.path, f"{row['safe_name']}{self.suffix}")
+            os.makedirs(os.path.dirname(target), exist_ok=True)
             # unique per attempt: a speculative or retried attempt never shares it
             tmp = f"{target}.{uuid.uuid4().hex}.part"
             with open(tmp, "w", encoding="utf-8") as f:
@@ -117,3 +118,11 @@ def append_quality_log(log: DataFrame, path: str, run_id: str) -> None:
             "selected_file", "model_version"]
     (log.select(*cols).withColumn("run_id", F2.lit(run_id))
      .write.mode("append").partitionBy("run_id").json(path))
+
+
+def write_text_files(spark, df: DataFrame, root: str, name_col: str, content_col: str) -> None:
+    """One file per row at ``root/<name>`` (names may hold sub-folders): the
+    cleaned-text sink, mirroring the input folder layout."""
+    docs = df.select(F.col(name_col).alias("safe_name"), F.coalesce(F.col(content_col), F.lit("")).alias("json"))
+    spark.dataSource.register(TalkFiles)
+    (docs.write.format("talkfiles").mode("append").option("path", root).option("suffix", "").save())

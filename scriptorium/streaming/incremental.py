@@ -72,3 +72,20 @@ def incremental_token_sizes(spark: SparkSession, documents_path: str) -> DataFra
     out, ckpt = run_dir(spark, "token-sizes")
     start_token_sizes(sized, out, ckpt).awaitTermination()
     return spark.read.parquet(out)
+
+
+def incremental_edit_scores(spark: SparkSession, documents_path: str) -> DataFrame:
+    """Stream documents, score each against its stutter-removed edit (exact,
+    stateless per micro-batch), append to a sink; return the sink table."""
+    from ..operators.scoring import score_pairs
+    from ..sources.tables import stutter_edit
+
+    static = spark.read.parquet(documents_path)
+    stream = parquet_stream(spark, documents_path, static)
+    pairs = stream.select(F.col("doc_id").cast("string").alias("pair_id"), F.col("text").alias("a_text"),
+                          stutter_edit("text").alias("b_text"))
+    scored = score_pairs(pairs).select("pair_id", "likeness")
+    out, ckpt = run_dir(spark, "edit-scores")
+    (scored.writeStream.format("parquet").option("checkpointLocation", ckpt).outputMode("append")
+     .trigger(availableNow=True).start(out).awaitTermination())
+    return spark.read.parquet(out)

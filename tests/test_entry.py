@@ -14,3 +14,10 @@ def test_registry_consistent():
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
     assert not [k for k in qs if k.startswith("op") or "pipeline" in k]
+
+
+def test_incremental_scores_equal_batch(spark):
+    qs = E.queries()
+    stream = {r.pair_id: r.likeness for r in qs["incremental_scores"](spark, SF).collect()}
+    batch = {r.pair_id: r.likeness for r in qs["pair_scores_edited"](spark, SF).collect()}
+    assert stream == batch and len(batch) > 100

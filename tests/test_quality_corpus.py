@@ -250,3 +250,14 @@ def test_deciles_match_slice_rule_random(spark):
         for i in range(10):
             st, en = i * n // 10, (i + 1) * n // 10
             assert got[i + 1] == ((0, 0, 0) if en == 0 else (c[st], c[en - 1], en - st)), (n, i)
+
+
+def test_cleaned_text_files(spark, tmp_path):
+    from scriptorium.sinks.json_docs import write_text_files
+
+    df = spark.createDataFrame([("in/sub/a.txt", "A b"), ("in/c.txt", "")], "path string, text string")
+    log = TR.apply_transform(TR.pending_inputs(df, "in", "out", ".txt"), lambda: (lambda t: t.upper()))
+    log = log.withColumn("rel", F.regexp_replace("output_path", "^out/", ""))
+    write_text_files(spark, log, str(tmp_path / "out"), "rel", "output")
+    assert (tmp_path / "out" / "sub" / "a_cleaned.txt").read_text() == "A B\n"
+    assert (tmp_path / "out" / "c_cleaned.txt").read_text() == ""
