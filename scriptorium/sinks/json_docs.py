@@ -48,14 +48,6 @@ def index_json_lines(index: DataFrame) -> DataFrame:
     return index.select("id", F.to_json(F.struct(*[F.col(k) for k in keys])).alias("json")).orderBy("id")  # SL1
 
 
-def index_json_array(index: DataFrame) -> DataFrame:
-    """The whole index as one JSON array document (small catalogues only: one row)."""
-    keys = ["date", "duration", "id", "summary", "tags", "teacher", "title", "ts"]
-    entries = F.array_sort(F.collect_list(F.struct(*[F.col(k) for k in keys])),
-                           lambda a, b: F.when(a.id < b.id, -1).when(a.id > b.id, 1).otherwise(0))
-    return index.agg(F.to_json(entries).alias("json"))
-
-
 class _Commit(WriterCommitMessage):
     def __init__(self, n: int):
         self.n = n
