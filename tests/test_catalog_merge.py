@@ -148,6 +148,10 @@ def test_export_roundtrip(spark, tmp_path):
     d1 = json.loads((out / "1.json").read_text())
     assert list(d1) == sorted(d1) and d1["dataLineage"][-1]["stage"] == "transcript_structured"
     assert "transcript" not in json.loads((out / "5.json").read_text())
+    pretty = {r.safe_name: r.json for r in talk_json(merged, pretty=True).collect()}
+    compact = {r.safe_name: r.json for r in docs.collect()}
+    assert all(json.loads(pretty[k]) == json.loads(compact[k]) for k in compact)
+    assert "\n" in pretty["1"] and "\n" not in compact["1"].replace("\\n", "")
     back = {r.id: r for r in read_talk_documents(spark, str(out)).collect()}
     assert back["1"].dataLineage[-1].likeness == d1["dataLineage"][-1]["likeness"]
     assert back["5"].dataLineage[0].stage == "audio_original"
