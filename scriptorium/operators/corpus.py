@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.naming import is_under
 from ..functions.text import approx_tokens, count_words
 
 DEFAULT_SPLIT_THRESHOLD = 15000
@@ -110,7 +111,7 @@ def size_split_plan(
     out = sized.withColumn("bucket", size_bucket("tokens", threshold))
     for d in (small_dir, large_dir):
         if d:
-            out = out.where(~F.col(path_col).startswith(d.rstrip("/") + "/"))
+            out = out.where(~is_under(path_col, d))
     if small_dir and large_dir:
         out = out.withColumn(
             "dest",

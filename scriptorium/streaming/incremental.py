@@ -89,3 +89,30 @@ def incremental_edit_scores(spark: SparkSession, documents_path: str) -> DataFra
     (scored.writeStream.format("parquet").option("checkpointLocation", ckpt).outputMode("append")
      .trigger(availableNow=True).start(out).awaitTermination())
     return spark.read.parquet(out)
+
+
+def start_incremental_transform(
+    spark: SparkSession,
+    input_dir: str,
+    output_path: str,
+    checkpoint: str,
+    fn_factory,
+    input_root: str | None = None,
+    output_root: str = "cleaned",
+    ext: str = ".txt",
+    retries: int = 0,
+) -> StreamingQuery:
+    """Transform only files not seen before: the file source's checkpoint is the
+    "already produced" memory, each micro-batch runs the batch harness
+    (unwrap, blank short-circuit, callable with retries) and appends the
+    transform log with the output texts."""
+    from ..functions.text import make_valid_utf8
+    from ..operators.transform import apply_transform, pending_inputs
+
+    stream = text_file_stream(spark, input_dir, ext)
+    stream = stream.select(F.regexp_replace("path", "^file:(//)?(?=/)", "").alias("path"),
+                           make_valid_utf8("text").alias("text"))
+    root = (input_root or input_dir).rstrip("/")
+    log = apply_transform(pending_inputs(stream, root, output_root, ext), fn_factory, retries)
+    return (log.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(availableNow=True).start(output_path))

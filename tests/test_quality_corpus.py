@@ -261,3 +261,16 @@ def test_cleaned_text_files(spark, tmp_path):
     write_text_files(spark, log, str(tmp_path / "out"), "rel", "output")
     assert (tmp_path / "out" / "sub" / "a_cleaned.txt").read_text() == "A B\n"
     assert (tmp_path / "out" / "c_cleaned.txt").read_text() == ""
+
+
+def test_incremental_transform_only_new_files(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("first  file\nwrapped")
+    out, ck = str(tmp_path / "log"), str(tmp_path / "ck")
+    calls = lambda: (lambda t: t.upper())
+    I.start_incremental_transform(spark, str(src), out, ck, calls).awaitTermination()
+    (src / "b.txt").write_text("second")
+    I.start_incremental_transform(spark, str(src), out, ck, calls).awaitTermination()
+    rows = sorted((r.output_path, r.output) for r in spark.read.parquet(out).collect())
+    assert rows == [("cleaned/a_cleaned.txt", "FIRST FILE WRAPPED\n"), ("cleaned/b_cleaned.txt", "SECOND\n")]
