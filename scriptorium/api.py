@@ -50,7 +50,7 @@ def split_plan(spark: SparkSession, input_dir: str, threshold: int = C.DEFAULT_S
     large_dir = large_dir or f"{root}/large"
     sized = C.with_token_sizes(read_text_corpus(spark, input_dir, ext))
     sized = sized.withColumn("path", F.regexp_replace("path", "^file:(//)?(?=/)", ""))
-    return C.size_split_plan(sized, threshold, small_dir, large_dir)
+    return C.size_split_plan(sized, threshold, small_dir, large_dir, input_root=root)
 
 
 def _file_pairs(spark: SparkSession, pairs: DataFrame, roots: list[str], ext: str = "") -> DataFrame:

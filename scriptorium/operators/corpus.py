@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.naming import is_under
+from ..functions.naming import is_under, relative_path
 from ..functions.text import approx_tokens, count_words
 
 DEFAULT_SPLIT_THRESHOLD = 15000
@@ -103,22 +103,26 @@ def size_split_plan(
     small_dir: str | None = None,
     large_dir: str | None = None,
     path_col: str = "path",
+    input_root: str | None = None,
 ) -> DataFrame:
     """Dry-run plan: bucket and destination for every document (nothing is moved).
 
-    Files already under a target folder are excluded, as in the tool.
+    ``tokens <= threshold`` is small.  Files already under a target folder are
+    excluded, as in the tool; the destination keeps the path relative to
+    ``input_root`` below the bucket's folder.
     """
     out = sized.withColumn("bucket", size_bucket("tokens", threshold))
     for d in (small_dir, large_dir):
         if d:
             out = out.where(~is_under(path_col, d))
     if small_dir and large_dir:
+        rel = relative_path(path_col, input_root) if input_root else F.col(path_col)
         out = out.withColumn(
             "dest",
             F.concat(
                 F.when(F.col("bucket") == "small", F.lit(small_dir.rstrip("/") + "/"))
                 .otherwise(F.lit(large_dir.rstrip("/") + "/")),
-                F.col(path_col),
+                rel,
             ),
         )
     return out

@@ -22,8 +22,10 @@ def test_files_and_logs(spark, tmp_path):
     sizes = api.corpus_sizes(spark, str(d))
     assert sizes.stats.first().n_docs == 3
     assert sizes.largest.first().max_words == 6
-    plan = {r.path.rsplit("/", 1)[-1]: r.bucket for r in api.split_plan(spark, str(d), threshold=5).collect()}
+    rows = api.split_plan(spark, str(d), threshold=5).collect()
+    plan = {r.path.rsplit("/", 1)[-1]: r.bucket for r in rows}
     assert plan == {"1.txt": "large", "2.txt": "small", "2_cleaned.txt": "small"}
+    assert {r.dest for r in rows} == {f"{d}/large/1.txt", f"{d}/small/2.txt", f"{d}/small/2_cleaned.txt"}
     pairs = spark.createDataFrame([("p", str(d / "1.txt"), str(d / "2.txt")),
                                    ("q", str(d / "2.txt"), str(d / "2_cleaned.txt"))],
                                   "pair_id string, a_path string, b_path string")
