@@ -15,7 +15,8 @@ def incremental_token_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.incremental_edit_scores(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+    spread = spark.sparkContext.defaultParallelism * 8
+    return I.incremental_edit_scores(spark, f"{sf_dir.rstrip('/')}/documents.parquet", spread)
 
 
 def incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
