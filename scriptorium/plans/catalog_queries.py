@@ -61,10 +61,26 @@ def audio_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("safe_name", "id", "audioUrl", "audio_reason")
 
 
+def catalog_csv_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stand-in catalog written as CSV (doubled quotes, header) to the shared
+    folder and ingested back through the CSV source: same counters."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.catalog_csv import read_catalog_csv
+
+    path = scratch_path(spark, f"catalog-csv-{uuid.uuid4().hex[:12]}")
+    rows = catalog_rows(spark, sf_dir).drop("src_row")
+    (rows.write.option("header", True).option("quote", '"').option("escape", '"')
+     .option("quoteAll", True).csv(path))
+    return K.ingest_counters(K.validate(read_catalog_csv(spark, path)), "enforce")
+
+
 QUERIES = {
     "catalog_talks": catalog_talks,
     "catalog_invalid": catalog_invalid,
     "catalog_counters": catalog_counters,
+    "catalog_csv_counters": catalog_csv_counters,
     "catalog_log_only": catalog_log_only,
     "safe_names": safe_names,
     "latest_per_name": latest_per_name,
@@ -150,4 +166,8 @@ ORACLES = {
     "audio_urls": f"""WITH {CATALOG_SQL}
       SELECT safe_name, id, 'https://media.example.org/download?direct=1&ref=' || {strip_sql('id')} || '&ext=mp3'
              AS audioUrl, 'updated' AS audio_reason FROM talks""",
+    "catalog_csv_counters": f"""WITH {CATALOG_SQL}
+      SELECT count(*) FILTER (WHERE missing = '') AS written, count(*) FILTER (WHERE missing <> '') AS skipped,
+             count(*) FILTER (WHERE missing <> '') AS missing_required,
+             count(*) FILTER (WHERE missing LIKE '%title%') AS removed_missing_title FROM checked""",
 }
