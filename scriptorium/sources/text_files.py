@@ -106,8 +106,18 @@ def read_quality_logs(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def _attach_ordinal(lines: DataFrame, paths: Sequence[str]) -> DataFrame:
-    """Argument position of each file (a handful of command-line paths)."""
-    expr = F.lit(None).cast("int")
+    """``path_ordinal``: argument position first, then file name order inside a
+    folder argument.  Ranked on the table of distinct files (one row per log
+    file), then joined back."""
+    arg = F.lit(None).cast("int")
     for i, p in reversed(list(enumerate(paths))):
-        expr = F.when(F.col("source_path").endswith(p.lstrip(".")), F.lit(i)).otherwise(expr)
-    return lines.withColumn("path_ordinal", expr)
+        q = p.rstrip("/")
+        if q.startswith("file:"):
+            q = re.sub(r"^file:(//)?(?=/)", "", q)
+        hit = (F.col("source_path") == F.lit(q)) | F.col("source_path").startswith(q + "/")
+        if not q.startswith("/"):
+            hit = hit | F.col("source_path").endswith("/" + q)
+        arg = F.when(hit, F.lit(i)).otherwise(arg)
+    files = lines.select("source_path").distinct().withColumn("_arg", arg)
+    files = files.withColumn("path_ordinal", F.dense_rank().over(Window.orderBy("_arg", "source_path")) - 1)
+    return lines.join(files.select("source_path", "path_ordinal"), "source_path")

@@ -274,3 +274,18 @@ def test_incremental_transform_only_new_files(spark, tmp_path):
     I.start_incremental_transform(spark, str(src), out, ck, calls).awaitTermination()
     rows = sorted((r.output_path, r.output) for r in spark.read.parquet(out).collect())
     assert rows == [("cleaned/a_cleaned.txt", "FIRST FILE WRAPPED\n"), ("cleaned/b_cleaned.txt", "SECOND\n")]
+
+
+def test_log_folder_order(spark, tmp_path):
+    d = tmp_path / "logs"
+    d.mkdir()
+    _write_log(d / "run_2.log", [{"talk_id": "1", "status": "failed", "likeness": 0.2, "model_version": "v"}])
+    _write_log(d / "run_1.log", [{"talk_id": "1", "status": "failed", "likeness": 0.1, "model_version": "v"}])
+    extra = tmp_path / "late.log"
+    _write_log(extra, [{"talk_id": "1", "status": "succeeded", "likeness": 0.9, "model_version": "v"}])
+    log = read_quality_logs(spark, [str(d), str(extra)])
+    order = sorted((r.path_ordinal, r.source_path.rsplit("/", 1)[-1]) for r in log.collect())
+    assert [n for _, n in order] == ["run_1.log", "run_2.log", "late.log"]
+    assert Q.latest_entries(Q.prepared_entries(log)).first().likeness == 0.9
+    log2 = read_quality_logs(spark, [str(extra), str(d)])
+    assert Q.latest_entries(Q.prepared_entries(log2)).first().likeness == 0.2
