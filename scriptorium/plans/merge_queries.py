@@ -216,4 +216,19 @@ ORACLES = {
       SELECT talk_id, cast(s_eval AS int) + cast(c_eval AS int) AS n_evaluated,
              CASE WHEN s_pass THEN 'transcript_structured' WHEN c_pass THEN 'transcript_cleaned' END AS passed_stage
       FROM ev2 WHERE lang <> 'es' AND talk_id IN (SELECT id FROM talks)""",
+    "talk_documents": f"""WITH {CATALOG_SQL}, {MERGE_SQL},
+      docs AS (
+        SELECT t.safe_name, {LINEAGE_SQL} AS lineage,
+               regexp_replace(s.sel_text, '{WS}+$', '') AS transcript,
+               struct_pack(
+                 audioUrl := 'https://media.example.org/download?direct=1&ref=' || t.id || '&ext=mp3',
+                 caption := '', catalogId := t.catalogId, dataLineage := chr(1) || 'lineage' || chr(1), date := '',
+                 duration := {strip_sql("replace(t.duration, '(approx)', '')")}, id := t.id, koanCase := '',
+                 koanCollection := '', location := t.location, speaker := t.speaker, summary := '',
+                 tags := []::varchar[], title := t.title, track := '', trainingQuarter := '') AS base
+        FROM talks t LEFT JOIN sel s ON t.id = s.talk_id)
+      SELECT safe_name, replace(CASE WHEN transcript IS NULL THEN to_json(base)
+               ELSE to_json(struct_insert(base, transcript := transcript)) END,
+             '"\\u0001lineage\\u0001"', lineage) AS json
+      FROM docs""",
 }
