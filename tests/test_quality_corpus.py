@@ -289,3 +289,12 @@ def test_log_folder_order(spark, tmp_path):
     assert Q.latest_entries(Q.prepared_entries(log)).first().likeness == 0.9
     log2 = read_quality_logs(spark, [str(extra), str(d)])
     assert Q.latest_entries(Q.prepared_entries(log2)).first().likeness == 0.2
+
+
+@pytest.mark.parametrize("n,ok,text", [(77, 10, "0.1299"), (56, 19, "0.3393"), (56, 11, "0.1964")])
+def test_published_success_rates(spark, n, ok, text):
+    rows = [(str(i), "succeeded" if i < ok else "failed", 0.5, "v", "p", 0, i) for i in range(n)]
+    log = spark.createDataFrame(rows, "talk_id string, status string, likeness double, model_version string, "
+                                      "source_path string, path_ordinal int, line int")
+    rep = Q.summary_report(Q.version_summary(Q.latest_entries(Q.prepared_entries(log)))).first()
+    assert (rep.total, rep.successes, rep.success_rate_text) == (n, ok, text)
