@@ -298,3 +298,10 @@ def test_published_success_rates(spark, n, ok, text):
                                       "source_path string, path_ordinal int, line int")
     rep = Q.summary_report(Q.version_summary(Q.latest_entries(Q.prepared_entries(log)))).first()
     assert (rep.total, rep.successes, rep.success_rate_text) == (n, ok, text)
+
+
+def test_histogram_extreme_scores(spark):
+    df = spark.createDataFrame([(1e300,), (-5.0,), (0.999999,), (1.0,)], "likeness double") \
+        .withColumn("source_path", F.lit("x"))
+    h = {r.bin: r.n for r in Q.accuracy_histogram(df).collect()}
+    assert h[10] == 2 and h[0] == 1 and h[9] == 1
