@@ -123,6 +123,12 @@ def unwrap_text_ascii(c: Column | str) -> Column:
     )
 
 
+def universal_newlines(c: Column | str) -> Column:
+    """Python's text-mode reading: ``\\r\\n`` and ``\\r`` become ``\\n`` (other line
+    breaks are kept)."""
+    return F.regexp_replace(_c(c), "\\r\\n?", "\n")
+
+
 def make_valid_utf8(c: Column | str) -> Column:
     """Invalid UTF-8 bytes become U+FFFD, as with ``errors="replace"``."""
     return F.make_valid_utf8(_c(c))

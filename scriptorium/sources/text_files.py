@@ -9,18 +9,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import make_valid_utf8
+from ..functions.text import make_valid_utf8, universal_newlines
 
 
 def read_text_corpus(spark: SparkSession, root: str, ext: str = ".txt", recursive: bool = True) -> DataFrame:
-    """(path, text): one row per file, whole text, invalid UTF-8 replaced."""
+    """(path, text): one row per file, whole text, invalid UTF-8 replaced,
+    newlines translated as Python's text mode does."""
     r = spark.read
     if recursive:
         r = r.option("recursiveFileLookup", True)
     if ext:
         r = r.option("pathGlobFilter", f"*{ext}")
     df = r.text(root, wholetext=True)  # the keyword overrides .option("wholetext")
-    return df.select(F.col("_metadata.file_path").alias("path"), make_valid_utf8("value").alias("text"))
+    return df.select(F.col("_metadata.file_path").alias("path"),
+                     universal_newlines(make_valid_utf8("value")).alias("text"))
 
 
 def template_regex(template: str) -> str:
@@ -42,9 +44,12 @@ def read_stage_transcripts(spark: SparkSession, sources: Mapping[str, Mapping])
         name = F.col("_metadata.file_name")
         for rank, tpl in enumerate(spec["filename_templates"]):
             rx = template_regex(tpl)
+            # strict UTF-8 (a bad file fails the read, naming it) and universal newlines
+            text = F.when(F.is_valid_utf8("value"), universal_newlines("value")).otherwise(F.raise_error(
+                F.concat(F.lit("invalid UTF-8 in "), F.col("_metadata.file_path"))))
             parts.append(df.where(name.rlike(rx)).select(
                 F.regexp_extract(name, rx, 1).alias("talk_id"), F.lit(stage).alias("stage"),
-                name.alias("file"), F.lit(rank).alias("template_rank"), F.col("value").alias("text")))
+                name.alias("file"), F.lit(rank).alias("template_rank"), text.alias("text")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -305,3 +305,18 @@ def test_histogram_extreme_scores(spark):
         .withColumn("source_path", F.lit("x"))
     h = {r.bin: r.n for r in Q.accuracy_histogram(df).collect()}
     assert h[10] == 2 and h[0] == 1 and h[9] == 1
+
+
+def test_newlines_and_strict_utf8(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "5.txt").write_bytes(b"one\r\ntwo\rthree\n")
+    t = read_stage_transcripts(spark, {"transcript_raw": {"directory": str(raw), "filename_templates": ["{id}.txt"]}})
+    assert t.first().text == "one\ntwo\nthree\n"
+    assert read_text_corpus(spark, str(raw)).first().text == "one\ntwo\nthree\n"
+    (raw / "6.txt").write_bytes(b"bad \xff byte")
+    with pytest.raises(Exception, match="invalid UTF-8"):
+        read_stage_transcripts(spark, {"transcript_raw": {"directory": str(raw),
+                                                          "filename_templates": ["{id}.txt"]}}).collect()
+    corpus = {r.path.rsplit("/", 1)[-1]: r.text for r in read_text_corpus(spark, str(raw)).collect()}
+    assert corpus["6.txt"] == "bad \ufffd byte"
