@@ -78,19 +78,29 @@ def lineage_stage_number(lineage: Column | str, stages: Sequence[str] = LINEAGE_
 
 
 def lineage_json(lineage: Column | str) -> Column:
-    """Heterogeneous JSON list: a bare string when likeness is null, else an object."""
+    """Heterogeneous JSON list: a bare string when likeness is null, else an object
+    ``{"likeness": x, "stage": s}`` with keys sorted."""
     lin = _c(lineage)
     items = F.transform(
         lin,
         lambda x: F.when(
             x.getField("likeness").isNull(), _quoted(x.getField("stage"))
         ).otherwise(
-            F.to_json(F.struct(x.getField("likeness").alias("likeness"), x.getField("stage").alias("stage")))
+            F.concat(F.lit('{"likeness":'), _py_float(x.getField("likeness")), F.lit(',"stage":'),
+                     _quoted(x.getField("stage")), F.lit("}"))
         ),
     )
     return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
 
 
+def _py_float(v: Column) -> Column:
+    """A 4-place likeness as Python's ``repr`` writes it.  Java switches to
+    scientific notation below 1e-3 (``5.0E-4``); Python keeps ``0.0005``."""
+    j = F.to_json(F.array(v))
+    plain = j.substr(F.lit(2), F.length(j) - F.lit(2))
+    return F.when((v > 0) & (v < 0.001), F.format_string("%.4f", v)).otherwise(plain)
+
+
 def _quoted(s: Column) -> Column:
     """JSON string literal; ``to_json`` of a one-element array does the escaping."""
     j = F.to_json(F.array(s))

@@ -90,6 +90,11 @@ def test_lineage_and_ts(spark):
     assert json.loads(out[2].j) == ["audio_original", "transcript_raw"]
     assert json.loads(out[3].j) == ["audio_original"]
     assert [r.ts for r in out] == [3, 4, 2, 1, 0]
+    small = spark.createDataFrame([("transcript_structured", 0.00049), ("transcript_structured", 0.95)],
+                                  "s string, l double")
+    got = [r[0] for r in small.select(lineage_json(build_lineage("s", "l"))).collect()]
+    assert got[0].endswith('{"likeness":0.0005,"stage":"transcript_structured"}]')
+    assert got[1].endswith('{"likeness":0.95,"stage":"transcript_structured"}]')
     empty = spark.createDataFrame([([],)], "l array<struct<stage:string,likeness:double>>")
     assert empty.select(lineage_stage_number("l")).first()[0] == 0
 
