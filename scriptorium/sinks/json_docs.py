@@ -28,20 +28,59 @@ _SLOT = "\u0001lineage\u0001"
 
 def talk_json(talks: DataFrame, pretty: bool = False) -> DataFrame:
     """(safe_name, json): one compact (or pretty) document per talk; ``transcript``
-    is omitted when null, every other key is always present."""
+    is omitted when null, every other key is always present.
+
+    Compact matches Python's ``separators=(",", ":")``; pretty matches
+    ``indent=2`` (``sort_keys``, non-ASCII kept) plus the trailing newline.
+    """
+    if pretty:
+        return talks.select("safe_name", _pretty_doc(talks).alias("json"))
     fields = []
     for k in EXPORT_KEYS:
         if k == "dataLineage":
             fields.append(F.lit(_SLOT).alias(k))
         elif k in talks.columns:
             fields.append(F.col(k).alias(k))
-    opts = {"pretty": "true"} if pretty else {}
-    doc = F.to_json(F.struct(*fields), opts)
+    doc = F.to_json(F.struct(*fields))
     slot = F.to_json(F.array(F.lit(_SLOT)))
     slot = slot.substr(F.lit(2), F.length(slot) - F.lit(2))
     return talks.select("safe_name", F.replace(doc, slot, lineage_json("dataLineage")).alias("json"))
 
 
+def _jstr(c):
+    j = F.to_json(F.array(c))
+    return j.substr(F.lit(2), F.length(j) - F.lit(2))
+
+
+def _pretty_list(items, indent: str):
+    """``[]`` when empty, else one item per line at ``indent + 2``."""
+    inner = indent + "  "
+    return F.when(F.size(items) == 0, F.lit("[]")).otherwise(F.concat(
+        F.lit("[\n" + inner), F.array_join(items, ",\n" + inner), F.lit("\n" + indent + "]")))
+
+
+def _pretty_doc(talks: DataFrame):
+    from ..functions.lineage import _py_float
+
+    lin_items = F.transform(F.col("dataLineage"), lambda x: F.when(
+        x.getField("likeness").isNull(), _jstr(x.getField("stage"))
+    ).otherwise(F.concat(
+        F.lit('{\n      "likeness": '), _py_float(x.getField("likeness")),
+        F.lit(',\n      "stage": '), _jstr(x.getField("stage")), F.lit("\n    }"))))
+    parts = []
+    for k in EXPORT_KEYS:
+        if k == "dataLineage":
+            v = _pretty_list(lin_items, "  ")
+        elif k == "tags":
+            v = _pretty_list(F.transform(F.coalesce(F.col("tags"), F.array().cast("array<string>")), _jstr), "  ")
+        elif k in talks.columns:
+            v = _jstr(F.col(k)) if k != "transcript" else F.when(F.col(k).isNotNull(), _jstr(F.col(k)))
+        else:
+            continue
+        parts.append(F.when(v.isNotNull(), F.concat(F.lit(f'  "{k}": '), v)))
+    return F.concat(F.lit("{\n"), F.concat_ws(",\n", *parts), F.lit("\n}\n"))
+
+
 def index_json_lines(index: DataFrame) -> DataFrame:
     """One compact JSON object per index entry, globally ordered by id."""
     keys = ["date", "duration", "id", "summary", "tags", "teacher", "title", "ts"]

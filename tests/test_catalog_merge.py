@@ -155,8 +155,33 @@ def test_export_roundtrip(spark, tmp_path):
     assert "transcript" not in json.loads((out / "5.json").read_text())
     pretty = {r.safe_name: r.json for r in talk_json(merged, pretty=True).collect()}
     compact = {r.safe_name: r.json for r in docs.collect()}
-    assert all(json.loads(pretty[k]) == json.loads(compact[k]) for k in compact)
-    assert "\n" in pretty["1"] and "\n" not in compact["1"].replace("\\n", "")
+    for k in compact:  # byte-identical to Python's json.dumps layouts
+        obj = json.loads(compact[k])
+        assert pretty[k] == json.dumps(obj, ensure_ascii=False, indent=2, sort_keys=True) + "\n"
+        assert compact[k] == json.dumps(obj, ensure_ascii=False, separators=(",", ":"), sort_keys=True)
     back = {r.id: r for r in read_talk_documents(spark, str(out)).collect()}
     assert back["1"].dataLineage[-1].likeness == d1["dataLineage"][-1]["likeness"]
     assert back["5"].dataLineage[0].stage == "audio_original"
+
+
+def test_export_bytes_special_values(spark):
+    from scriptorium.functions.lineage import LINEAGE_TYPE
+
+    keys = ["audioUrl", "caption", "catalogId", "date", "duration", "id", "koanCase", "koanCollection",
+            "location", "speaker", "summary", "title", "track", "trainingQuarter"]
+    row = {k: "" for k in keys}
+    row.update(id="7", title='Título "ñ" \\ back/slash\ttab', speaker="Ünïcode", summary="line1\nline2")
+    df = spark.createDataFrame([(row, ["zen", "talk \"x\""], "text é\n\nmore")],
+                               "r struct<" + ",".join(f"{k}:string" for k in keys) + ">, tags array<string>, "
+                               "transcript string")
+    df = df.select("r.*", "tags", "transcript", F.lit("7").alias("safe_name"),
+                   F.array(F.struct(F.lit("audio_original").alias("stage"),
+                                    F.lit(None).cast("double").alias("likeness")),
+                           F.struct(F.lit("transcript_structured").alias("stage"),
+                                    F.lit(0.9123).alias("likeness"))).cast(LINEAGE_TYPE).alias("dataLineage"))
+    compact = talk_json(df).first().json
+    pretty = talk_json(df, pretty=True).first().json
+    obj = json.loads(compact)
+    assert obj["tags"] == ["zen", 'talk "x"'] and obj["dataLineage"][1]["likeness"] == 0.9123
+    assert compact == json.dumps(obj, ensure_ascii=False, separators=(",", ":"), sort_keys=True)
+    assert pretty == json.dumps(obj, ensure_ascii=False, indent=2, sort_keys=True) + "\n"
