@@ -35,7 +35,7 @@ def incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).where(Q.valid_talk())
     out, ckpt = I.run_dir(spark, "latest")
     I.start_latest_entries(log, out, ckpt).awaitTermination()
-    return spark.read.parquet(out).select("model_version", "talk_id", "status", "likeness", "n_entries")
+    return I.read_latest(spark, out).select("model_version", "talk_id", "status", "likeness", "n_entries")
 
 
 QUERIES = {

@@ -4,8 +4,9 @@
   it has processed in its checkpoint, so a rerun picks up only new files; the
   per-document work is stateless per micro-batch.
 * Latest quality entry per (version, talk_id): a streaming ``max_by``
-  aggregate.  Log lines carry no event time, so there is no watermark: state is
-  bounded by the number of keys, not by time.
+  aggregate in update mode, written as an append-only changelog.  Log lines
+  carry no event time, so there is no watermark: state is bounded by the
+  number of keys, not by time.
 """
 
 from __future__ import annotations
@@ -46,19 +47,36 @@ def start_token_sizes(sized_stream: DataFrame, sink: str, checkpoint: str) -> St
 
 def start_latest_entries(log_stream: DataFrame, sink: str, checkpoint: str,
                          order_cols: tuple[str, ...] = ("path_ordinal", "line")) -> StreamingQuery:
-    """Complete-mode keyed latest; each micro-batch rewrites the (key-bounded) table."""
+    """Keyed latest entry as an append-only changelog.
+
+    Update mode emits, per micro-batch, only the keys whose aggregate changed
+    (with their full current state); each batch appends them tagged with its
+    ``batch_id``.  :func:`read_latest` keeps the newest row per key, so a
+    batch writes work proportional to what changed, never the whole table.
+    A retried batch re-appends identical rows under the same id (harmless).
+    """
     keep = [c for c in ("status", "likeness", "selected_file", *order_cols) if c in log_stream.columns]
     agg = log_stream.groupBy("model_version", "talk_id").agg(
         F.max_by(F.struct(*keep), F.struct(*[F.col(c) for c in order_cols])).alias("e"),
         F.count(F.lit(1)).alias("n_entries"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.select("model_version", "talk_id", "e.*", "n_entries").write.mode("overwrite").parquet(sink)
+        (batch.select("model_version", "talk_id", "e.*", "n_entries", F.lit(batch_id).alias("batch_id"))
+         .write.mode("append").parquet(sink))
 
-    return (agg.writeStream.outputMode("complete").foreachBatch(write)
+    return (agg.writeStream.outputMode("update").foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def read_latest(spark: SparkSession, sink: str) -> DataFrame:
+    """Current state from the changelog: the newest batch's row per key."""
+    log = spark.read.parquet(sink)
+    cols = [c for c in log.columns if c not in ("model_version", "talk_id", "batch_id")]
+    return (log.groupBy("model_version", "talk_id")
+            .agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("s"))
+            .select("model_version", "talk_id", "s.*"))
+
+
 def run_dir(spark: SparkSession, name: str) -> tuple[str, str]:
     base = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     return base + "/out", base + "/_checkpoint"

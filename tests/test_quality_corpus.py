@@ -194,7 +194,8 @@ def test_streamed_latest_equals_batch(spark, tmp_path):
     stream = I.parquet_stream(spark, str(src), df, max_files=1)
     sink, ckpt = str(tmp_path / "sink"), str(tmp_path / "ck")
     I.start_latest_entries(stream, sink, ckpt).awaitTermination()
-    got = {(r.model_version, r.talk_id): (r.line, r.n_entries) for r in spark.read.parquet(sink).collect()}
+    got = {(r.model_version, r.talk_id): (r.line, r.n_entries) for r in I.read_latest(spark, sink).collect()}
+    assert spark.read.parquet(sink).select("batch_id").distinct().count() == 4  # one file per trigger
     want = {(r.model_version, r.talk_id): (r.line, r.n_entries) for r in Q.latest_entries(df).collect()}
     assert got == want
 
