@@ -38,8 +38,9 @@ def build_session(
         # Scored text pairs are large per row: keep Arrow batches small so a
         # batch of long transcripts never has to fit in one Python buffer.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
-        "spark.driver.memory": "16g",
     }
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = "16g"  # local mode: the driver is the executor
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
