@@ -18,7 +18,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 def build_session(
     master: str | None = None,
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     app_name: str = "scriptorium",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
@@ -29,7 +29,6 @@ def build_session(
     conf = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -39,8 +38,13 @@ def build_session(
         # batch of long transcripts never has to fit in one Python buffer.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     }
-    if master and master.startswith("local"):
+    local = bool(master and master.startswith("local"))
+    if local:
         conf["spark.driver.memory"] = "16g"  # local mode: the driver is the executor
+    # On a cluster keep the configured shuffle width (AQE coalesces it);
+    # locally a small width avoids hundreds of near-empty tasks.
+    if shuffle_partitions is not None or local:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
