@@ -185,3 +185,21 @@ def test_export_bytes_special_values(spark):
     assert obj["tags"] == ["zen", 'talk "x"'] and obj["dataLineage"][1]["likeness"] == 0.9123
     assert compact == json.dumps(obj, ensure_ascii=False, separators=(",", ":"), sort_keys=True)
     assert pretty == json.dumps(obj, ensure_ascii=False, indent=2, sort_keys=True) + "\n"
+
+
+def test_publish_independent_of_partitions(spark):
+    from tests.conftest import SF
+    from scriptorium.functions.lineage import lineage_json as lj
+    from scriptorium.sources.tables import catalog_rows, stage_transcripts
+
+    out = []
+    for parts in ("3", "17"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        pub = publish(catalog_rows(spark, SF), stage_transcripts(spark, SF))
+        merged = {r.safe_name: (r.merge_reason, r.j, r.transcript)
+                  for r in pub.merged.select("safe_name", "merge_reason", lj("dataLineage").alias("j"),
+                                             "transcript").collect()}
+        log = sorted(tuple(r) for r in pub.log.collect())
+        out.append((merged, log))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert out[0] == out[1] and len(out[0][0]) > 100 and len(out[0][1]) > 50
