@@ -132,11 +132,11 @@ ORACLES = {
     "corpus_size_split_by_lang": f"""WITH {SIZED_SQL}
       SELECT lang, CASE WHEN tokens <= {SPLIT_THRESHOLD} THEN 'small' ELSE 'large' END AS bucket,
              count(*) AS n_docs, cast(sum(tokens) AS bigint) AS tokens FROM sized GROUP BY 1, 2""",
-    "unwrap_paragraphs": f"""SELECT doc_id, length({unwrap_sql('coalesce(text, \'\')')}) AS unwrapped_chars,
+    "unwrap_paragraphs": f"""SELECT doc_id, cast(length({unwrap_sql('coalesce(text, \'\')')}) AS INTEGER) AS unwrapped_chars,
              {unwrap_sql('coalesce(text, \'\')')} AS unwrapped FROM documents""",
-    "unwrap_ascii": f"""SELECT doc_id, length({unwrap_ascii_sql('coalesce(text, \'\')')}) AS unwrapped_chars,
+    "unwrap_ascii": f"""SELECT doc_id, cast(length({unwrap_ascii_sql('coalesce(text, \'\')')}) AS INTEGER) AS unwrapped_chars,
              {unwrap_ascii_sql('coalesce(text, \'\')')} AS unwrapped FROM documents""",
-    "normalize_tokens": f"""SELECT doc_id, len(regexp_extract_all(lower(coalesce(text, '')), '{TOKEN_RE2}', 0)) AS n_tokens,
+    "normalize_tokens": f"""SELECT doc_id, cast(len(regexp_extract_all(lower(coalesce(text, '')), '{TOKEN_RE2}', 0)) AS INTEGER) AS n_tokens,
              md5(array_to_string(regexp_extract_all(lower(coalesce(text, '')), '{TOKEN_RE2}', 0), ' ')) AS tokens_md5
       FROM documents""",
 }

@@ -208,9 +208,9 @@ ORACLES = {
              {strip_sql("replace(t.duration, '(approx)', '')")} AS duration, {TS_SQL} AS ts
       FROM talks t LEFT JOIN sel s ON t.id = s.talk_id""",
     "talk_index_json": f"""WITH {CATALOG_SQL}, {MERGE_SQL}
-      SELECT t.id, to_json(struct_pack(date := '', duration := {strip_sql("replace(t.duration, '(approx)', '')")},
+      SELECT t.id, cast(to_json(struct_pack(date := '', duration := {strip_sql("replace(t.duration, '(approx)', '')")},
              id := t.id, summary := '', tags := []::varchar[], teacher := t.speaker, title := t.title,
-             ts := {TS_SQL})) AS json
+             ts := {TS_SQL})) AS VARCHAR) AS json
       FROM talks t LEFT JOIN sel s ON t.id = s.talk_id""",
     "quality_gate": f"""WITH {CATALOG_SQL}, {MERGE_SQL}
       SELECT talk_id, cast(s_eval AS int) + cast(c_eval AS int) AS n_evaluated,

@@ -96,7 +96,7 @@ QUERIES = {
 LOG_SQL = """
 qlog AS (
   SELECT 'quality_' || cast(cast(ts AS date) AS varchar) || '.log' AS source_path,
-         date_diff('day', DATE '2024-01-01', cast(ts AS date)) AS path_ordinal,
+         cast(date_diff('day', DATE '2024-01-01', cast(ts AS date)) AS INTEGER) AS path_ordinal,
          event_id - min(event_id) OVER (PARTITION BY cast(ts AS date)) + 1 AS line,
          CASE WHEN event_type = 'error' AND value < 5 THEN NULL ELSE cast(user_id AS varchar) END AS talk_id,
          CASE WHEN value >= 90 THEN 'succeeded' ELSE 'failed' END AS status,
@@ -196,7 +196,7 @@ ORACLES = {
     "top_regressions": _top("regression"),
     "top_improvements": _top("improvement"),
     "log_warnings": f"""WITH {LOG_SQL}, {_versioned(False)},
-      firsts AS (SELECT model_version, talk_id, min(path_ordinal * 100000000 + line) AS f FROM ventries GROUP BY ALL)
+      firsts AS (SELECT model_version, talk_id, min(cast(path_ordinal AS BIGINT) * 100000000 + line) AS f FROM ventries GROUP BY ALL)
       SELECT source_path, line, 'missing_talk_id' AS kind, 'missing talk_id, skipping' AS detail
         FROM qlog WHERE talk_id IS NULL OR talk_id = ''
       UNION ALL
@@ -204,7 +204,7 @@ ORACLES = {
              'duplicate talk_id ''' || v.talk_id || ''' for version ''' || v.model_version
              || ''', overwriting prior entry'
       FROM ventries v JOIN firsts f USING (model_version, talk_id)
-      WHERE v.path_ordinal * 100000000 + v.line <> f.f""",
+      WHERE cast(v.path_ordinal AS BIGINT) * 100000000 + v.line <> f.f""",
     "version_override": f"WITH {LOG_SQL}, {_versioned(True)} {SUMMARY_SELECT}",
     "override_warnings": f"""WITH {LOG_SQL}, {_versioned(True)}
       SELECT source_path, line, 'version_override' AS kind,

@@ -102,9 +102,10 @@ ORACLES = {
              length(output) AS output_chars, CASE WHEN trim(unwrapped) = '' THEN 0 ELSE 1 END AS attempts,
              NULL::varchar AS error, output FROM tr2""",
     "transform_rollup": f"""WITH {PENDING_SQL}
-      SELECT count(*) AS files, count(*) AS wrote, 0 AS errors, cast(sum(length(text)) AS bigint) AS input_chars,
+      SELECT count(*) AS files, count(*) AS wrote, 0::BIGINT AS errors, cast(sum(length(text)) AS bigint) AS input_chars,
              cast(sum(length(unwrapped)) AS bigint) AS unwrapped_chars,
-             cast(sum(length(output)) AS bigint) AS output_chars, 0 AS prompt_eval_count, 0 AS eval_count FROM tr2""",
+             cast(sum(length(output)) AS bigint) AS output_chars, 0::BIGINT AS prompt_eval_count,
+             0::BIGINT AS eval_count FROM tr2""",
     "manifest_by_source": f"""WITH {IDS_SQL}
       SELECT source, count(*) AS n_ids, count(DISTINCT ref_id) AS n_distinct FROM ids GROUP BY source""",
     "manifest_totals": f"WITH {IDS_SQL} SELECT count(*) AS n_ids, count(DISTINCT ref_id) AS n_distinct FROM ids",
