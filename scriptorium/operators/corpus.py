@@ -56,36 +56,27 @@ def token_deciles(sized: DataFrame, buckets: int = 10) -> DataFrame:
 
     Not ``ntile``: the remainder lands in the later buckets.  An empty bucket
     reports count 0 with min = c[start], max = c[end-1] (0/0 when end = 0).
+
+    One pass over the (small) histogram: each distinct token value covers the
+    sorted positions [before, upto); the k bucket indices are exploded per
+    value and a value is kept for a bucket when its range holds the bucket's
+    first or last position.  No join, one scan of the corpus.
     """
-    hist = token_histogram(sized)
-    bounds = (
-        hist.agg(F.sum("n").cast("long").alias("total"))
-        .where(F.col("total") > 0)
-        .select(F.col("total"), F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("i"))
-        .select(
-            (F.col("i") + 1).alias("decile"),
-            F.expr(f"(i * total) div {buckets}").alias("start"),
-            F.expr(f"((i + 1) * total) div {buckets}").alias("end"),
-        )
-        .withColumn("last", F.greatest(F.col("end") - 1, F.lit(0)))
-    )
-    h = hist.select(F.col("tokens").alias("h_tokens"), F.col("before").alias("h_before"),
-                    F.col("upto").alias("h_upto")).alias("h")
-    # `buckets` boundary rows (a fixed 10, broadcast) probe the histogram by
-    # position: one tiny range join, no shuffle of the histogram.
-    b = F.broadcast(bounds.alias("b"))
-    hb, hu = F.col("h.h_before"), F.col("h.h_upto")
-    in_lo = (hb <= F.col("b.start")) & (F.col("b.start") < hu)
-    in_hi = (hb <= F.col("b.last")) & (F.col("b.last") < hu)
+    hist = token_histogram(sized).withColumn("total", F.sum("n").over(Window.partitionBy()))
+    x = hist.select("tokens", "before", "upto", "total",
+                    F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("i"))
+    x = x.withColumn("start", F.expr(f"(i * total) div {buckets}")).withColumn(
+        "end", F.expr(f"((i + 1) * total) div {buckets}")).withColumn(
+        "last", F.greatest(F.col("end") - 1, F.lit(0)))
+    in_lo = (F.col("before") <= F.col("start")) & (F.col("start") < F.col("upto"))
+    in_hi = (F.col("before") <= F.col("last")) & (F.col("last") < F.col("upto"))
     return (
-        b.join(h, in_lo | in_hi)
-        .groupBy(F.col("b.decile").alias("decile"), F.col("b.start").alias("start"), F.col("b.end").alias("end"))
-        .agg(
-            F.max(F.when(in_lo, F.col("h.h_tokens"))).alias("lo_tokens"),
-            F.max(F.when(in_hi, F.col("h.h_tokens"))).alias("hi_tokens"),
-        )
+        x.where(in_lo | in_hi)
+        .groupBy("i", "start", "end")
+        .agg(F.max(F.when(in_lo, F.col("tokens"))).alias("lo_tokens"),
+             F.max(F.when(in_hi, F.col("tokens"))).alias("hi_tokens"))
         .select(
-            F.col("decile").cast("int").alias("decile"),
+            (F.col("i") + 1).cast("int").alias("decile"),
             F.when(F.col("end") == 0, F.lit(0)).otherwise(F.col("lo_tokens")).cast("long").alias("min_tokens"),
             F.when(F.col("end") == 0, F.lit(0)).otherwise(F.col("hi_tokens")).cast("long").alias("max_tokens"),
             (F.col("end") - F.col("start")).cast("long").alias("n_docs"),
