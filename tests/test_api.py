@@ -44,3 +44,19 @@ def test_files_and_logs(spark, tmp_path):
     assert [w.kind for w in rep.warnings.collect()] == ["version_override"]
     one = api.summarize_log(spark, str(a), threshold=0.9)
     assert one.summary.first().successes == 1 and one.histogram.count() == 11
+
+
+def test_ingest_catalog_modes(spark, tmp_path):
+    p = tmp_path / "cat.csv"
+    p.write_text("Resource ID(s),Title,Speaker\n1,First,A\n,No id,B\n2,,C\n1,First again,A\n")
+    talks, bad, counters = api.ingest_catalog(spark, str(p))
+    assert counters.first().asDict() == {"written": 2, "skipped": 2, "missing_required": 2,
+                                         "removed_missing_title": 1}
+    t = {r.safe_name: (r.title, r.n_rows) for r in talks.collect()}
+    assert t == {"1": ("First again", 2)}
+    assert sorted(r.missing for r in bad.collect()) == ["resource id", "title"]
+    talks_lo, _, counters_lo = api.ingest_catalog(spark, str(p), mode="log_only")
+    assert counters_lo.first().written == 4 and counters_lo.first().skipped == 0
+    assert {r.safe_name for r in talks_lo.collect()} == {"1", "missing-id-row-2", "2"}
+    limited, _, c = api.ingest_catalog(spark, str(p), row_limit=2)
+    assert c.first().written + c.first().skipped == 2
