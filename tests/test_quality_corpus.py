@@ -321,3 +321,17 @@ def test_newlines_and_strict_utf8(spark, tmp_path):
                                                           "filename_templates": ["{id}.txt"]}}).collect()
     corpus = {r.path.rsplit("/", 1)[-1]: r.text for r in read_text_corpus(spark, str(raw)).collect()}
     assert corpus["6.txt"] == "bad \ufffd byte"
+
+
+def test_per_document_rates(spark):
+    from scriptorium.operators.transform import STATS_TYPE
+
+    rows = [("a", 1000, 2.0, {"prompt_eval_count": 100, "prompt_eval_duration": 2_000_000_000,
+                               "eval_count": 50, "eval_duration": 0, "total_duration": 3_000_000_000}),
+            ("b", 0, 0.0, None)]
+    df = spark.createDataFrame(rows, "path string, output_chars long, elapsed double, stats " +
+                               STATS_TYPE.simpleString())
+    r = {x.path: x for x in TR.with_rates(df).collect()}
+    assert r["a"].out_chars_per_sec == 500 and r["a"].prompt_tok_per_sec == 50.0
+    assert r["a"].gen_tok_per_sec is None and r["a"].model_seconds == 3.0
+    assert r["b"].out_chars_per_sec is None and r["b"].prompt_tok_per_sec is None
