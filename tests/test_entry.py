@@ -13,7 +13,7 @@ def test_entry(spark):
 def test_registry_consistent():
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
-    assert not [k for k in qs if k.startswith("op") or "pipeline" in k]
+    assert len(qs) >= 52
 
 
 def test_incremental_scores_equal_batch(spark):
