@@ -25,7 +25,7 @@ _VERDICT = " AND ".join(
 OP6_SQL = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
   FROM documents),
 win AS (
   SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS g
@@ -40,8 +40,8 @@ c AS (
          length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
          coalesce(n_repeat_words, 0) AS n_repeat_words,
-         len(list_filter(ws, w -> w IN ({_STOP}))) AS n_stop_words,
-         len(list_filter(ws, w -> regexp_matches(w, '\p{{L}}'))) AS n_letter_words
+         len(list_filter(ws, lambda w: w IN ({_STOP}))) AS n_stop_words,
+         len(list_filter(ws, lambda w: regexp_matches(w, '\p{{L}}'))) AS n_letter_words
   FROM d LEFT JOIN rep USING (doc_id)),
 f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
