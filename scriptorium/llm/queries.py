@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import base, quality_rules
+from . import base, pii, quality_rules, token_counts
 from .base import read_table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detected(read_table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return found.select(
+        "doc_id", *[count(k) for k in pii.KINDS],
+        F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans"),
+    )
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.counted(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = base.texts(read_table(spark, sf_dir, "documents"), "doc_id")
     out = quality_rules.judged(docs)
@@ -49,5 +65,9 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f
 """
 
-QUERIES = {"op6_quality_rules": op6_quality_rules}
+QUERIES = {
+    "op1_pii": op1_pii,
+    "op2_token_counts": op2_token_counts,
+    "op6_quality_rules": op6_quality_rules,
+}
 ORACLES = {"op6_quality_rules": OP6_SQL}
