@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import base, pii, quality_rules, token_counts
+from . import base, decontaminate, packing, pii, quality_rules, token_counts
 from .base import read_table
 
 
@@ -24,6 +24,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matched(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = base.texts(read_table(spark, sf_dir, "documents"), "doc_id")
     out = quality_rules.judged(docs)
@@ -31,6 +35,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[f"quality_rules.{n}" for n in names])
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 _STOP = ", ".join(f"'{w}'" for w in quality_rules.STOP_FORMS)
 _VERDICT = " AND ".join(
     f"(n_words < {r.least} OR (100 * {r.part} >= {r.low} * {r.whole}"
@@ -68,6 +76,8 @@ FROM f
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
+    "op4_decontamination": op4_decontamination,
     "op6_quality_rules": op6_quality_rules,
+    "op8_packing": op8_packing,
 }
 ORACLES = {"op6_quality_rules": OP6_SQL}
