@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +61,7 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 1
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = np.asarray(pa.compute.binary_length(batch.column(text)).fill_null(0))
+        lengths = np.asarray(pc.binary_length(batch.column(text)).fill_null(0))
         start, run = 0, size
         for i, n in enumerate(lengths.tolist()):
             run += n

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -85,7 +86,7 @@ def _matrix(path: str, buckets: int):
             tokens = list(seen)
             rows = [{
                 "key": block % buckets, "block": block, "bucket": -1, "ids": table["doc_id"].to_pylist(),
-                "lengths": pa.compute.binary_length(table["text"]).to_pylist(), "specials": specials, "sizes": sizes,
+                "lengths": pc.binary_length(table["text"]).to_pylist(), "specials": specials, "sizes": sizes,
                 "index": varints(np.concatenate(index)), "counts": varints(np.concatenate(counts)),
             }]
             for b in range(buckets):
