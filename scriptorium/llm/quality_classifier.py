@@ -1,7 +1,7 @@
 """Quality classifier: hashed word n-gram logistic regression, trained by follow-the-regularised-leader.
 
 Features are the words, the word pairs, the words' shapes (letters and digits
-folded) and the pairs of shapes, hashed to ``2 ** BITS`` columns; a feature's
+folded), the pairs of shapes and a word's immediate repetition, hashed to ``2 ** BITS`` columns; a feature's
 value is its share of all occurrences in the text.  Scoring is a sparse dot
 product over the whole text.
 
@@ -36,7 +36,6 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-5, 1e-4
 SCALE = 8.0  # the shares of a text sum to this, for each kind of feature
 KNOWN_WORDS = 1_000_000
 
-_MASK = np.uint64((1 << BITS) - 1)
 _RUN = re.compile(r"([a-z])+|([0-9])+|([^\x00-\x7f])+")
 
 
@@ -81,8 +80,9 @@ class Features:
         pair = of[1:] == of[:-1]
         mix = lambda h, k: (h * np.uint64(0x9E3779B97F4A7C15) ^ (h >> np.uint64(29)) + np.uint64(k)) >> np.uint64(64 - BITS)
         two = lambda h: (h[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + h[1:])[pair]
-        columns = np.concatenate([mix(word, 1), mix(shape, 2), mix(two(word), 3), mix(two(shape), 4)]).astype(np.int64)
-        return columns, np.concatenate([of, of, of[1:][pair], of[1:][pair]])
+        again = of[1:][pair & (word[1:] == word[:-1])]
+        columns = np.concatenate([mix(word, 1), mix(shape, 2), mix(two(word), 3), mix(two(shape), 4), np.zeros(len(again), np.uint64)])
+        return columns.astype(np.int64), np.concatenate([of, of, of[1:][pair], of[1:][pair], again])
 
 
 def _shares(features: Features, docs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import base, decontaminate, packing, pii, quality_rules, token_counts
+from . import base, decontaminate, html_text, license_scan, packing, pii, quality_classifier, quality_rules, token_counts
 from .base import read_table
 
 
@@ -24,6 +24,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(read_table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matched(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -39,6 +43,15 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(read_table(spark, sf_dir, "pages"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality_classifier.scored(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return scores.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 _STOP = ", ".join(f"'{w}'" for w in quality_rules.STOP_FORMS)
 _VERDICT = " AND ".join(
     f"(n_words < {r.least} OR (100 * {r.part} >= {r.low} * {r.whole}"
@@ -73,11 +86,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f
 """
 
+_TEMPLATE_ROWS = ", ".join(f"({k}, '{label}', '{w}')" for k, (label, t) in enumerate(license_scan.TEMPLATES) for w in sorted(set(license_scan.words_of(t))))
+_LICENSE_WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP3_SQL = f"""
+WITH tw AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) AS v(k, label, word)),
+tn AS (SELECT k, label, count(*) AS n FROM tw GROUP BY ALL),
+d AS (SELECT doc_id, coalesce(text, '') AS t, {_LICENSE_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+phrase AS (SELECT * FROM (VALUES ('mit', ['mit', 'license']), ('apache', ['apache', 'license']), ('gpl', ['general', 'public', 'license'])) AS v(label, parts)),
+pos AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d WHERE list_contains(ws, 'license')),
+hit AS (SELECT doc_id, i - 1 AS p, label FROM pos, phrase WHERE ws[i:i + len(parts) - 1] = parts),
+base AS (SELECT doc_id, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, list(DISTINCT label) AS base_list FROM hit GROUP BY doc_id),
+line AS (SELECT doc_id, generate_subscripts(ls, 1) AS line, unnest(ls) AS l FROM (SELECT doc_id, string_split(t, chr(10)) AS ls FROM d)),
+lw AS (SELECT DISTINCT doc_id, line, unnest({_LICENSE_WORDS.format("l")}) AS word FROM line),
+met AS (
+  SELECT doc_id, line, k, label, list_sort(list(word)) AS shared, count(*) / n AS share
+  FROM lw JOIN tw USING (word) JOIN tn USING (k, label) GROUP BY doc_id, line, k, label, n
+  HAVING 100 * count(*) >= {license_scan.THRESHOLD} * n),
+top AS (
+  SELECT * FROM met a WHERE NOT EXISTS (
+    FROM met b WHERE a.doc_id = b.doc_id AND a.line = b.line AND len(a.shared) < len(b.shared) AND list_has_all(b.shared, a.shared))),
+found AS (SELECT doc_id, list(DISTINCT label) AS more, max(share) AS share FROM top GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(base_list), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base_list, []), coalesce(more, [])))), ','), '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
+    "op3_license_scan": op3_license_scan,
     "op4_decontamination": op4_decontamination,
     "op6_quality_rules": op6_quality_rules,
     "op8_packing": op8_packing,
+    "op9_html_text": op9_html_text,
+    "op10_quality_classifier": op10_quality_classifier,
 }
-ORACLES = {"op6_quality_rules": OP6_SQL}
+ORACLES = {"op3_license_scan": OP3_SQL, "op6_quality_rules": OP6_SQL}
