@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import base, decontaminate, html_text, license_scan, packing, pii, quality_classifier, quality_rules, token_counts
+from . import base, decontaminate, html_text, license_scan, ngram_jaccard, packing, pii, quality_classifier, quality_rules, suffix_dedup, token_counts
 from .base import read_table
 
 
@@ -32,6 +32,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matched(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.classes_of(read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = base.texts(read_table(spark, sf_dir, "documents"), "doc_id")
     out = quality_rules.judged(docs)
@@ -39,6 +43,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[f"quality_rules.{n}" for n in names])
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(read_table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -118,7 +126,9 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_license_scan": op3_license_scan,
     "op4_decontamination": op4_decontamination,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_quality_rules": op6_quality_rules,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_packing": op8_packing,
     "op9_html_text": op9_html_text,
     "op10_quality_classifier": op10_quality_classifier,
