@@ -132,24 +132,27 @@ def _anchor_rows(buckets: int):
     return run
 
 
-def _repeated(table: pa.Table) -> pa.Table:
-    """One bucket of anchors: keep those that two documents hold; digests then tells the hot ones."""
-    rows = table.to_pylist()
-    if rows[0]["bucket"] < 0:
-        return table
-    names = [_long(r["names"]) for r in rows]
-    every = np.concatenate(names)
-    distinct, inverse, count = np.unique(every, return_inverse=True, return_counts=True)
-    often = count[inverse]
-    out, at = [], 0
-    for r, own in zip(rows, names, strict=True):
-        n = often[at : at + len(own)]
-        at += len(own)
-        docs = np.frombuffer(r["docs"], "<u4")
-        for hot, kept in ((0, (n > 1) & (n <= HOT)), (1, n > HOT)):
-            if kept.any():
-                out.append({"block": r["block"], "bucket": hot, "names": _short(own[kept]), "docs": docs[kept].astype("<u4").tobytes()})
-    return pa.Table.from_pylist(out, schema=_ARROW)
+def _repeated(most: int):
+    """One bucket of anchors: keep those that two documents hold; ``bucket`` then tells those of over ``most`` documents."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        if rows[0]["bucket"] < 0:
+            return table
+        names = [_long(r["names"]) for r in rows]
+        _, inverse, count = np.unique(np.concatenate(names), return_inverse=True, return_counts=True)
+        often = count[inverse]
+        out, at = [], 0
+        for r, own in zip(rows, names, strict=True):
+            n = often[at : at + len(own)]
+            at += len(own)
+            docs = np.frombuffer(r["docs"], "<u4")
+            for hot, kept in ((0, (n > 1) & (n <= most)), (1, n > most)):
+                if kept.any():
+                    out.append({"block": r["block"], "bucket": hot, "names": _short(own[kept]), "docs": docs[kept].astype("<u4").tobytes()})
+        return pa.Table.from_pylist(out, schema=_ARROW)
+
+    return run
 
 
 _LISTS = "doc_id long, digest long, names binary, hot binary"
@@ -353,13 +356,13 @@ def _sent(lists: DataFrame, size) -> DataFrame:
     return F.broadcast(lists) if int(lists.agg(F.sum(size)).first()[0] or 0) <= SENT_BYTES else lists
 
 
-def spans(docs: DataFrame) -> DataFrame:
+def spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """(doc_id, digest, start, stop): removable spans, which may overlap, of the documents (doc_id, text)."""
     buckets = total_bytes(docs) // ANCHOR_BYTES + 8
     found = docs.mapInArrow(_anchor_rows(buckets), _ROWS)
     # A block's list of documents goes along under a key of its own.
     key = F.when(F.col("bucket") < 0, -1 - F.col("block")).otherwise(F.col("bucket"))
-    kept = written(found.groupBy(key.alias("key")).applyInArrow(_repeated, _ROWS), "suffix-anchors")
+    kept = written(found.groupBy(key.alias("key")).applyInArrow(_repeated(hot), _ROWS), "suffix-anchors")
     lists = kept.groupBy("block").applyInArrow(_per_document, _LISTS)
     each = kept.where("bucket < 0").select(F.explode(F.arrays_zip("ids", "digests", "checks")).alias("d"))
     each = each.select(F.col("d.ids").alias("doc_id"), F.col("d.digests").alias("digest"), F.col("d.checks").alias("check")).where("doc_id is not null")
@@ -375,15 +378,15 @@ def spans(docs: DataFrame) -> DataFrame:
     cuts = written(keyed.select("doc_id", "digest", "text", "names", "hot", "first").mapInArrow(_contexts(groups), _CUTS), "suffix-cuts")
     marks = cuts.where(F.col("kind") == _MARK).select("doc_id", "digest", "start", "stop")
     packed = cuts.where(F.col("kind") == _PACK).select("bucket", "ids", "digests", "starts", "sizes", "context")
-    hot = cuts.where(F.col("kind") == _HOT).select("doc_id", "digest", "start", "context")
-    return marks.unionByName(packed.groupBy("bucket").applyInArrow(_decide, _MARKS)).unionByName(_hot_marks(hot))
+    common = cuts.where(F.col("kind") == _HOT).select("doc_id", "digest", "start", "context")
+    return marks.unionByName(packed.groupBy("bucket").applyInArrow(_decide, _MARKS)).unionByName(_hot_marks(common))
 
 
-def deduplicated(table: DataFrame) -> DataFrame:
+def deduplicated(table: DataFrame, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     bounded_batches(table.sparkSession)
     docs = texts(table, "doc_id")
-    found = spans(docs).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    found = spans(docs, hot).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     found = written(found, "suffix-spans")
     keyed = docs.withColumn("digest", F.xxhash64("text")).join(_sent(found, (16 * F.size("spans") + 32).cast("long")), ["doc_id", "digest"], "left")
     return keyed.select("doc_id", "text", "spans").mapInArrow(_remove, _OUT)
