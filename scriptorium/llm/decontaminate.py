@@ -100,6 +100,8 @@ class Matcher:
         self.automaton.make_automaton()
 
     def matches(self, text: str) -> Iterator[tuple[int, int, int, int]]:
+        if not self.ids:
+            return
         low = plain(text)
         windows: dict[int, list[list[int]]] = {}
         for last, (size, places) in self.automaton.iter(low):

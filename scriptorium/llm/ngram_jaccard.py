@@ -419,3 +419,13 @@ def _links(docs: DataFrame, members: DataFrame, link: Link) -> DataFrame:
     names = ["doc_id", F.xxhash64("family", "chunk", "part").alias("task"), F.xxhash64("family", "chunk", "part").alias("unit"), "side", "root"]
     second = low.select(*names).unionByName(high.select(*names))
     return out.unionByName(found).unionByName(_with_texts(docs, second).groupBy("task").applyInArrow(_compare(link), edges))
+
+
+def first_of_class(docs: DataFrame, link: Link = Link()) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its class, equal rows once; a null id is its own class."""
+    classes = written(classes_of(docs, link), "jaccard-classes")
+    gone = classes.where("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti")
+    if not classes.groupBy("doc_id").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "text"])  # a shuffle of texts that unique ids don't need
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
