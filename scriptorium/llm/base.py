@@ -55,6 +55,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+HOT_GROUP = 100_000  # rows of a group that is joined apart; their number is at most the rows over this
+
+
+def with_least(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """``df`` with the least ``value`` of its group as ``name``, only rows of groups of two or more.
+
+    The least is aggregated on the map side.  Groups over ``HOT_GROUP`` rows are
+    few, so they are sent to the rows instead of gathering the rows in one task.
+    """
+    least = df.groupBy(*keys).agg(F.min(value).alias(name), F.count("*").alias("__rows")).where("__rows > 1")
+    hot = df.join(F.broadcast(least.where(F.col("__rows") > HOT_GROUP)), keys)
+    cold = df.join(least.where(F.col("__rows") <= HOT_GROUP), keys)
+    return cold.unionByName(hot).drop("__rows")
+
+
 def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 16 << 20) -> Iterator[pa.Table]:
     """Join Arrow batches to tables of about ``limit`` bytes of text (one longer row is never cut)."""
     held, size = [], 0

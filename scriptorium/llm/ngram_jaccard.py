@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import blocks, bounded_batches, texts, total_bytes, written
+from .base import blocks, bounded_batches, texts, total_bytes, with_least, written
 from .components import components
 
 CELL_BYTES = 16 << 20  # text bytes for each bucket of cells
@@ -361,21 +361,23 @@ def classes_of(docs: DataFrame, link: Link = Link()) -> DataFrame:
     rows = written(whole.mapInArrow(_cells(link, buckets), _ROWS), "jaccard")
     own = rows.where(F.col("kind") == _DOC).select("doc_id", "n", "s1", "s2")
 
-    # Equal sets are one representative.
-    groups = own.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
-    reps = written(own.where("n > 0 and doc_id is not null").join(groups, ["s1", "s2", "n"]).select("doc_id", "rep", "n").distinct(), "jaccard-reps")
+    # Equal sets are one representative; a document of several sets stands for itself.
+    some = own.where("n > 0 and doc_id is not null")
+    several = some.groupBy("doc_id").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).where("x <> y").select("doc_id")
+    copies = with_least(some, ["s1", "s2", "n"], "doc_id", "rep").where("rep < doc_id").select("doc_id", "rep").distinct()
+    copies = written(copies.join(several, "doc_id", "left_anti"), "jaccard-copies")
     near = (
         rows.where(F.col("kind") == _CELLS).select("bucket", "keys", "ids").groupBy("bucket").applyInArrow(_meet, "a long, b long")
         .unionByName(rows.where(F.col("kind") == _EDGE).select(F.col("s1").alias("a"), F.col("s2").alias("b"))).distinct()
     )
-    a = reps.select(F.col("doc_id").alias("a"), F.col("rep").alias("x"))
-    b = reps.select(F.col("doc_id").alias("b"), F.col("rep").alias("y"))
-    near = near.join(a, "a").join(b, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    for end in ("a", "b"):
+        rep = copies.select(F.col("doc_id").alias(end), "rep")
+        near = near.join(rep, end, "left").withColumn(end, F.coalesce("rep", end)).drop("rep")
     family = components(near, "jaccard-family").select(F.col("id").alias("doc_id"), F.col("root").alias("family"))
-    links = _links(docs, written(family.join(reps.where("doc_id = rep").select("doc_id", "n"), "doc_id"), "jaccard-members"), link)
+    members = family.join(some.groupBy("doc_id").agg(F.sum("n").alias("n")), "doc_id")
+    links = _links(docs, written(members, "jaccard-members"), link)
 
-    # Representatives link as their sets do; a document may stand for several sets if its id repeats.
-    edges = links.unionByName(reps.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    edges = links.unionByName(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     roots = components(edges, "jaccard-links").select(F.col("id").alias("doc_id"), "root")
     return own.join(roots, "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id")

@@ -3,6 +3,7 @@
 A string is removed from a document if it also starts in one with a smaller id.
 Only strings that may repeat are sorted, wherever they stand:
 
+0. Copies of an earlier text go whole, by digest, and take no part in the rest.
 1. Anchors.  The least hash of the 25-byte grams in a 50-byte string depends on
    the string alone, so equal strings have equal anchors.  Each block of
    documents sends its distinct anchors, packed by hash bucket; a bucket finds
@@ -39,14 +40,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import blocks, bounded_batches, texts, total_bytes, written
+from .base import blocks, bounded_batches, texts, total_bytes, with_least, written
 
 LENGTH = 50
 GRAM = 25
 SPAN = LENGTH - GRAM + 1  # grams of a string
 LONGEST_RUN = 64  # strings of one context
-ANCHOR_BYTES = 24 << 20  # text bytes for each bucket of anchors
-CONTEXT_BYTES = 12 << 20  # context bytes for each bucket of strings
+BLOCK_BYTES = 6 << 20  # text bytes that a task holds at a time
+ANCHOR_BYTES = 12 << 20  # text bytes for each bucket of anchors
+CONTEXT_BYTES = 4 << 20  # context bytes for each bucket of strings
 HOT = 4096  # documents
 SENT_BYTES = 48 << 20  # per-document lists that may be sent to every task; more are joined by a shuffle
 
@@ -79,24 +81,24 @@ def runs_of(values: np.ndarray) -> np.ndarray:
     return first
 
 
-_LOW = np.uint64((1 << 40) - 1)  # an anchor's name inside its bucket; a chance hit is only a candidate
+_NAME = 4  # bytes of an anchor's name inside its bucket
+_BRIEF = 3  # and inside a document; a chance hit is only a candidate
 
 
-def _short(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+def _short(values: np.ndarray, width: int = _NAME) -> bytes:
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
 
-def _long(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8).reshape(-1, 5)
+def _long(data: bytes, width: int = _NAME) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8).reshape(-1, width)
     out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :5] = raw
+    out[:, :width] = raw
     return out.view("<u8").ravel()
 
 
-_ROWS = "block long, bucket int, names binary, docs binary, ids array<long>, digests array<long>, checks array<long>"
+_ROWS = "block long, bucket int, names binary, docs binary, ids array<long>, digests array<long>"
 _ARROW = pa.schema([
     ("block", pa.int64()), ("bucket", pa.int32()), ("names", pa.binary()), ("docs", pa.binary()), ("ids", pa.list_(pa.int64())), ("digests", pa.list_(pa.int64())),
-    ("checks", pa.list_(pa.int64())),
 ])
 
 
@@ -111,11 +113,11 @@ def _digest(data: bytes) -> int:
 def _anchor_rows(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32
-        for k, table in enumerate(blocks(batches)):
+        for k, table in enumerate(blocks(batches, limit=BLOCK_BYTES)):
             ids, own = table["doc_id"].to_pylist(), _bytes(table)
             found = [np.unique(anchors(np.frombuffer(d, np.uint8))) if i is not None and len(d) >= LENGTH else None for i, d in zip(ids, own, strict=True)]
             has = [n for n, f in enumerate(found) if f is not None]
-            rows = [{"block": part + k, "bucket": -1, "ids": ids, "digests": [_digest(d) for d in own], "checks": [xxhash.xxh3_64_intdigest(d) >> 1 for d in own]}]
+            rows = [{"block": part + k, "bucket": -1, "ids": ids, "digests": [_digest(d) for d in own]}]
             if has:
                 values = np.concatenate([found[n] for n in has])
                 of = np.repeat(np.asarray(has, np.uint32), [len(found[n]) for n in has])
@@ -124,7 +126,7 @@ def _anchor_rows(buckets: int):
                 bucket = ((values >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 starts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
                 rows += [
-                    {"block": part + k, "bucket": b, "names": _short(values[x:y] & _LOW), "docs": of[x:y].astype("<u4").tobytes()}
+                    {"block": part + k, "bucket": b, "names": _short(values[x:y]), "docs": of[x:y].astype("<u4").tobytes()}
                     for b, (x, y) in enumerate(zip(starts, starts[1:], strict=False)) if x < y
                 ]
             yield from pa.Table.from_pylist(rows, schema=_ARROW).to_batches(max_chunksize=64)
@@ -173,7 +175,7 @@ def _per_document(table: pa.Table) -> pa.Table:
         names, docs = names[order], docs[order]
         first = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
         for a, b in zip(first, np.append(first[1:], len(docs)), strict=True):
-            out.setdefault(int(docs[a]), [b"", b""])[hot] = _short(names[a:b])
+            out.setdefault(int(docs[a]), [b"", b""])[hot] = _short(names[a:b], _BRIEF)
     at = list(out)
     return pa.table({
         "doc_id": pa.array([head["ids"][k] for k in at], pa.int64()), "digest": pa.array([head["digests"][k] for k in at], pa.int64()),
@@ -181,9 +183,9 @@ def _per_document(table: pa.Table) -> pa.Table:
     })
 
 
-_CUTS = "kind int, bucket int, doc_id long, digest long, start long, stop long, context binary, ids binary, digests binary, starts binary, sizes binary"
+_CUTS = "kind int, bucket long, doc_id long, digest long, start long, stop long, context binary, ids binary, digests binary, starts binary, sizes binary"
 _CUT_NAMES = [c.split()[0] for c in _CUTS.split(", ")]
-_CUT_TYPES = [pa.int32(), pa.int32(), *[pa.int64()] * 4, *[pa.binary()] * 5]
+_CUT_TYPES = [pa.int32(), pa.int64(), *[pa.int64()] * 4, *[pa.binary()] * 5]
 _MARK, _PACK, _HOT = 0, 1, 2
 
 
@@ -195,8 +197,9 @@ def _contexts(buckets: int):
     """Documents with their repeated anchors to marks, packed contexts and hot contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in blocks(batches):
-            rows = table.select(["doc_id", "digest", "names", "hot", "first"]).to_pylist()
+        low_bits = np.uint64((1 << 8 * _BRIEF) - 1)
+        for table in blocks(batches, limit=BLOCK_BYTES):
+            rows = table.select(["doc_id", "digest", "names", "hot"]).to_pylist()
             own = _bytes(table)
             seen: dict[bytes, int] = {}
             marks: list[tuple[int, int, int, int]] = []
@@ -205,19 +208,13 @@ def _contexts(buckets: int):
             for k in sorted(range(len(rows)), key=lambda k: rows[k]["doc_id"]):
                 row, data = rows[k], own[k]
                 doc, digest = row["doc_id"], row["digest"]
-                if row["first"] is not None and row["first"] < doc:  # a copy of an earlier document
-                    if len(data) >= LENGTH:
-                        marks.append((doc, digest, 0, len(data)))
-                    continue
-                if not row["names"] and not row["hot"]:
-                    continue
                 values = anchors(np.frombuffer(data, np.uint8))
                 first = runs_of(values)
                 last = np.append(first[1:], len(values))
                 key = values[first]
-                low = key & _LOW
-                hot = np.isin(low, _long(row["hot"])) if row["hot"] else np.zeros(len(key), bool)
-                live = hot | np.isin(low, _long(row["names"])) if row["names"] else hot
+                low = key & low_bits
+                hot = np.isin(low, _long(row["hot"], _BRIEF))
+                live = hot | np.isin(low, _long(row["names"], _BRIEF))
                 bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 mark = None
                 for a, b, bk, is_hot in zip(first[live].tolist(), last[live].tolist(), bucket[live].tolist(), hot[live].tolist(), strict=True):
@@ -240,10 +237,10 @@ def _contexts(buckets: int):
                     marks.append(tuple(mark))
             if marks:
                 doc, digest, a, b = zip(*marks, strict=True)
-                yield _cut_batch({"kind": [_MARK] * len(doc), "doc_id": doc, "digest": digest, "start": a, "stop": b}, len(doc))
+                yield _cut_batch({"kind": [_MARK] * len(doc), "bucket": [-1 - abs(d) % 4093 for d in doc], "doc_id": doc, "digest": digest, "start": a, "stop": b}, len(doc))
             for x in range(0, len(hots), 8192):
                 doc, digest, a, c = zip(*hots[x : x + 8192], strict=True)
-                yield _cut_batch({"kind": [_HOT] * len(doc), "doc_id": doc, "digest": digest, "start": a, "context": c}, len(doc))
+                yield _cut_batch({"kind": [_HOT] * len(doc), "bucket": [-1 - abs(d) % 4093 for d in doc], "doc_id": doc, "digest": digest, "start": a, "context": c}, len(doc))
             full = list(packs)
             for x in range(0, len(full), 16):
                 some = [packs[b] for b in full[x : x + 16]]
@@ -274,11 +271,16 @@ def equal_strings(flat: np.ndarray, at: np.ndarray, length: int = LENGTH) -> tup
     return order, shared
 
 
-_MARKS = "doc_id long, digest long, start long, stop long"
+_MARKS = "kind int, doc_id long, digest long, start long, stop long, context binary"
 
 
 def _decide(table: pa.Table) -> pa.Table:
-    """One bucket: spans of its contexts whose strings start in an earlier document."""
+    """One bucket: spans of its contexts whose strings start in an earlier document.
+
+    Marks and hot contexts are dealt to buckets of their own and pass.
+    """
+    if table["kind"][0].as_py() != _PACK:
+        return table.select(["kind", "doc_id", "digest", "start", "stop", "context"])
     ids, digests, starts = (np.frombuffer(b"".join(table[c].to_pylist()), "<i8") for c in ("ids", "digests", "starts"))
     sizes = np.frombuffer(b"".join(table["sizes"].to_pylist()), np.uint8).astype(np.int64)
     blob = b"".join(table["context"].to_pylist())
@@ -315,7 +317,9 @@ def _decide(table: pa.Table) -> pa.Table:
         a = np.flatnonzero(new)
         b = np.append(a[1:], len(row)) - 1
         out.append((ids[row[a]], digests[row[a]], starts[row[a]] + shift[a], starts[row[a]] + shift[b] + LENGTH))
-    return pa.table({c: pa.array(np.concatenate(x), pa.int64()) for c, x in zip(("doc_id", "digest", "start", "stop"), zip(*out, strict=True), strict=True)})
+    columns = [pa.array(np.concatenate(x), pa.int64()) for x in zip(*out, strict=True)]
+    n = len(columns[0])
+    return pa.Table.from_arrays([pa.array(np.full(n, _MARK, np.int32)), *columns, pa.nulls(n, pa.binary())], names=["kind", "doc_id", "digest", "start", "stop", "context"])
 
 
 def _hot_marks(hot: DataFrame) -> DataFrame:
@@ -323,15 +327,15 @@ def _hot_marks(hot: DataFrame) -> DataFrame:
     each = hot.withColumn("shift", F.explode(F.expr(f"sequence(0, octet_length(context) - {LENGTH})"))).select(
         "doc_id", "digest", (F.col("start") + F.col("shift")).alias("start"), F.expr(f"substring(context, shift + 1, {LENGTH})").alias("string")
     )
-    least = each.groupBy("string").agg(F.min("doc_id").alias("least"))
-    return each.join(least, "string").where("least < doc_id").select("doc_id", "digest", "start", (F.col("start") + LENGTH).alias("stop"))
+    least = with_least(each, ["string"], "doc_id", "least").where("least < doc_id")
+    return least.select("doc_id", "digest", "start", (F.col("start") + LENGTH).alias("stop"))
 
 
 _OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in blocks(batches):
+    for table in blocks(batches, limit=BLOCK_BYTES):
         rows = []
         for doc, data, spans in zip(table["doc_id"].to_pylist(), _bytes(table), table["spans"].to_pylist(), strict=True):
             kept, at, removed, count = hashlib.sha256(), 0, 0, 0
@@ -356,30 +360,33 @@ def _sent(lists: DataFrame, size) -> DataFrame:
     return F.broadcast(lists) if int(lists.agg(F.sum(size)).first()[0] or 0) <= SENT_BYTES else lists
 
 
+def _copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, stop) of documents whose whole text an earlier document has."""
+    each = docs.where("doc_id is not null").select(
+        "doc_id", F.xxhash64("text").alias("digest"), F.hash("text").alias("check"), F.octet_length("text").cast("long").alias("stop")
+    )
+    return with_least(each, ["digest", "check", "stop"], "doc_id", "first").where("first < doc_id").select("doc_id", "digest", "stop").distinct()
+
+
 def spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """(doc_id, digest, start, stop): removable spans, which may overlap, of the documents (doc_id, text)."""
     buckets = total_bytes(docs) // ANCHOR_BYTES + 8
-    found = docs.mapInArrow(_anchor_rows(buckets), _ROWS)
+    copies = written(_copies(docs), "suffix-copies")
+    keyed = docs.where("doc_id is not null").withColumn("digest", F.xxhash64("text"))
+    own = keyed.join(_sent(copies, F.lit(32).cast("long")), ["doc_id", "digest"], "left_anti")
+    found = own.select("doc_id", "text").mapInArrow(_anchor_rows(buckets), _ROWS)
     # A block's list of documents goes along under a key of its own.
     key = F.when(F.col("bucket") < 0, -1 - F.col("block")).otherwise(F.col("bucket"))
-    kept = written(found.groupBy(key.alias("key")).applyInArrow(_repeated(hot), _ROWS), "suffix-anchors")
-    lists = kept.groupBy("block").applyInArrow(_per_document, _LISTS)
-    each = kept.where("bucket < 0").select(F.explode(F.arrays_zip("ids", "digests", "checks")).alias("d"))
-    each = each.select(F.col("d.ids").alias("doc_id"), F.col("d.digests").alias("digest"), F.col("d.checks").alias("check")).where("doc_id is not null")
-    copies = each.groupBy("digest", "check").agg(F.min("doc_id").alias("first"))
-    copies = each.join(copies, ["digest", "check"]).where("first < doc_id").groupBy("doc_id", "digest").agg(F.min("first").alias("first"))
-    lists = lists.groupBy("doc_id", "digest").agg(F.first("names").alias("names"), F.first("hot").alias("hot"))
-    lists = lists.join(copies, ["doc_id", "digest"], "left")
-    lists = written(lists, "suffix-lists")
-    size = F.octet_length("names") + F.octet_length("hot") + 32
-    volume = int(lists.agg(F.sum(size.cast("long"))).first()[0] or 0)
-    groups = volume * 12 // CONTEXT_BYTES + 8  # a name of 5 bytes stands for a context of about 60
-    keyed = docs.where("doc_id is not null").withColumn("digest", F.xxhash64("text")).join(_sent(lists, size.cast("long")), ["doc_id", "digest"])
-    cuts = written(keyed.select("doc_id", "digest", "text", "names", "hot", "first").mapInArrow(_contexts(groups), _CUTS), "suffix-cuts")
-    marks = cuts.where(F.col("kind") == _MARK).select("doc_id", "digest", "start", "stop")
-    packed = cuts.where(F.col("kind") == _PACK).select("bucket", "ids", "digests", "starts", "sizes", "context")
-    common = cuts.where(F.col("kind") == _HOT).select("doc_id", "digest", "start", "context")
-    return marks.unionByName(packed.groupBy("bucket").applyInArrow(_decide, _MARKS)).unionByName(_hot_marks(common))
+    kept = found.groupBy(key.alias("key")).applyInArrow(_repeated(hot), _ROWS)
+    lists = kept.groupBy("block").applyInArrow(_per_document, _LISTS).groupBy("doc_id", "digest")
+    lists = written(lists.agg(F.first("names").alias("names"), F.first("hot").alias("hot")), "suffix-lists")
+    size = (F.octet_length("names") + F.octet_length("hot")).cast("long")
+    groups = int(lists.agg(F.sum(size)).first()[0] or 0) * 60 // _BRIEF // CONTEXT_BYTES + 8  # a name stands for a context of about 60 bytes
+    cuts = keyed.join(_sent(lists, size + 32), ["doc_id", "digest"]).select("doc_id", "digest", "text", "names", "hot").mapInArrow(_contexts(groups), _CUTS)
+    marks = written(cuts.groupBy("bucket").applyInArrow(_decide, _MARKS), "suffix-marks")
+    whole = copies.where(F.col("stop") >= LENGTH).select("doc_id", "digest", F.lit(0).cast("long").alias("start"), "stop")
+    common = _hot_marks(marks.where(F.col("kind") == _HOT).drop("kind", "stop"))
+    return marks.where(F.col("kind") == _MARK).select("doc_id", "digest", "start", "stop").unionByName(whole).unionByName(common)
 
 
 def deduplicated(table: DataFrame, hot: int = HOT) -> DataFrame:

@@ -212,3 +212,20 @@ def test_decontamination_rows(spark, docs, empty):
     clean = decontaminate.clean(docs, items)
     assert clean.columns == docs.columns
     assert decontaminate.matched(docs, items.limit(0)).count() == 0 and decontaminate.clean(empty, items).count() == 0
+
+
+def test_ngram_jaccard_equal_ids(spark):
+    words = [f"w{i}" for i in range(40)]
+    x, y = " ".join(words), " ".join(reversed(words))
+    rows = [(1, x), (5, x), (5, y), (9, y + " end"), (9, y + " end"), (11, "alone in this table"), (None, x)]
+    got = ngram_jaccard.classes_of(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.component_id) for r in got if r.doc_id) == Counter({(1, 1): 1, (5, 1): 2, (9, 1): 2, (11, 11): 1})
+
+
+def test_least_of_hot_groups(spark, monkeypatch):
+    from scriptorium.llm import base
+
+    monkeypatch.setattr(base, "HOT_GROUP", 3)
+    df = spark.createDataFrame([(i, i % 3 if i < 20 else i) for i in range(25)], "id long, k long")
+    got = {r.id: r.least for r in base.with_least(df, ["k"], "id", "least").collect()}
+    assert got == {i: i % 3 for i in range(20)}
