@@ -43,7 +43,10 @@ CHUNK = 1 << 17  # shingles of one side of a comparison task
 TASK = 1 << 20  # shingles of small families that share a task
 PIVOTS = 8
 BROADCAST_ROWS = 500_000  # ids that may be sent to every task; more are joined by a shuffle
-GROWTH = 1.5  # of the size classes
+GROWTH = 1.2  # of the size classes
+SAMPLE_DOCS = 8000  # documents that tell which shingles are frequent
+FREQUENT = 8  # of them
+MOST_FREQUENT = 200_000  # shingles; more of them would only save comparisons
 KNOWN_WORDS = 1_000_000
 LEAF, FANOUT = 16, 8
 
@@ -122,31 +125,69 @@ def _classes(link: Link, largest: int) -> list[tuple[int, int, int, int]]:
     while low <= largest:
         high = max(low, int(low * GROWTH) - 1)
         d = link.differs(high)
-        out.append((low, high, d, d + 1 + -(-d // 12)))
+        out.append((low, high, d, d + 1 + -(-d // 6)))
         low = high + 1
     return out
 
 
-def cell_keys(s: np.ndarray, link: Link, classes: list[tuple[int, int, int, int]]) -> np.ndarray:
-    """Keys of a set: sets that link share one at least."""
+def _parts(s: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number, size, digest) of the non-empty parts of a sorted set: ranges of the hash, one after another."""
+    part = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+    return part[first], np.diff(first, append=len(s)), np.add.reduceat(_mix(s ^ _C1), first)
+
+
+def cell_keys(s: np.ndarray, link: Link, classes: list[tuple[int, int, int, int]], frequent: np.ndarray) -> np.ndarray:
+    """Keys of a set: sets that link share one at least.
+
+    At most d parts of two such sets differ.  If one of them has more than d
+    parts of m elements or more, one of these is equal in the other; so each set
+    may drop the parts under its own largest m of that kind.
+    """
     out = []
+    rare = s[~np.isin(s, frequent, assume_unique=True)] if len(frequent) else s
     for number, (low, high, d, parts) in enumerate(classes):
         if high < len(s):
             continue
         if low > len(s) and low * link.percent > 100 * len(s):
             break
-        # Parts are ranges of the hash, so they lie one after another in the sorted set.
-        part = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        own = part[first]
-        digest = np.add.reduceat(_mix(s ^ _C1), first)
-        if len(first) <= d:  # too few non-empty parts for the pigeonhole: the empty ones count too
-            empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), own)
-            own, digest = np.concatenate((own, empty)), np.concatenate((digest, np.zeros(len(empty), np.uint64)))
-        out.append(_mix(digest + _mix(own * _C3 + np.uint64(number + 1))))
+        for mode, elements in enumerate((rare, s)):
+            own = size = digest = np.zeros(0, np.uint64)
+            if len(elements):
+                own, size, digest = _parts(elements, parts)
+            enough = len(own) > d
+            if enough:
+                large = size >= np.partition(size, len(size) - d - 1)[len(size) - d - 1]
+                own, digest = own[large], digest[large]
+            elif mode == 1:  # no pigeonhole without the empty parts
+                empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), own)
+                own, digest = np.concatenate((own, empty)), np.concatenate((digest, np.zeros(len(empty), np.uint64)))
+            out.append(_mix(digest + _mix(own * _C3 + np.uint64(2 * number + mode + 1))))
+            if enough:
+                break
     return np.concatenate(out)
 
 
+def _common(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(words)
+        for table in blocks(batches):
+            found, count = np.unique(np.concatenate(shingles.of(table["text"].cast(pa.binary()).to_pylist())), return_counts=True)
+            kept = count > 1
+            yield pa.RecordBatch.from_arrays([pa.array(found[kept].view(np.int64)), pa.array(count[kept].astype(np.int64))], names=["shingle", "n"])
+
+    return run
+
+
+def frequent_shingles(whole: DataFrame, words: int) -> np.ndarray:
+    """Shingles that ``FREQUENT`` documents of a sample hold, sorted; a bounded list that no result depends on."""
+    every = whole.count() // SAMPLE_DOCS + 1
+    sample = whole.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(every)) == 0).select("text")
+    counts = sample.mapInArrow(_common(words), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    rows = counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).collect()
+    return np.sort(np.asarray([r.shingle for r in rows], np.int64).view(np.uint64))
+
+
 _ROWS = "kind int, bucket int, doc_id long, n long, s1 long, s2 long, keys binary, ids binary"
 _NAMES = [c.split()[0] for c in _ROWS.split(", ")]
 _TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
@@ -168,9 +209,9 @@ def _runs(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return keys[first], ids[first], pairs[:, 0], pairs[:, 1]
 
 
-def _cells(link: Link, buckets: int):
+def _cells(link: Link, buckets: int, common: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(link.words)
+        shingles, frequent = Shingles(link.words), np.frombuffer(common, np.uint64)
         for table in blocks(batches):
             docs = table["text"].cast(pa.binary()).to_pylist()
             ids = table["doc_id"].to_pylist()
@@ -178,7 +219,7 @@ def _cells(link: Link, buckets: int):
             classes = _classes(link, int(max(map(len, sets)) * 100 / link.percent) + 1)
             with np.errstate(over="ignore"):
                 sums = np.asarray([(_mix(s ^ _C2).sum(dtype=np.uint64), _mix(s ^ _C3).sum(dtype=np.uint64)) for s in sets], np.uint64).view(np.int64)
-                keyed = [(i, cell_keys(s, link, classes)) for i, s in zip(ids, sets, strict=True) if len(s) and i is not None]
+                keyed = [(i, cell_keys(s, link, classes, frequent)) for i, s in zip(ids, sets, strict=True) if len(s) and i is not None]
             sizes = [len(s) for s in sets]
             yield _batch({"kind": [_DOC] * len(ids), "doc_id": ids, "n": sizes, "s1": sums[:, 0], "s2": sums[:, 1]}, len(ids))
             if not keyed:
@@ -358,7 +399,8 @@ def classes_of(docs: DataFrame, link: Link = Link()) -> DataFrame:
     bounded_batches(spark)
     whole = texts(docs, "doc_id")
     buckets = total_bytes(whole) // CELL_BYTES + 8
-    rows = written(whole.mapInArrow(_cells(link, buckets), _ROWS), "jaccard")
+    common = frequent_shingles(whole, link.words).tobytes()
+    rows = written(whole.mapInArrow(_cells(link, buckets, common), _ROWS), "jaccard")
     own = rows.where(F.col("kind") == _DOC).select("doc_id", "n", "s1", "s2")
 
     # Equal sets are one representative; a document of several sets stands for itself.

@@ -94,8 +94,12 @@ def test_cells_hold_every_link():
                 b = np.asarray(sorted(b), np.uint64)
                 if link.holds(len(set(a.tolist()) & set(b.tolist())), len(a), len(b)):
                     classes = ngram_jaccard._classes(link, 2 * size + 10)
-                    with np.errstate(over="ignore"):
-                        assert set(ngram_jaccard.cell_keys(a, link, classes)) & set(ngram_jaccard.cell_keys(b, link, classes))
+                    every = np.asarray(sorted(set(a.tolist()) | set(b.tolist())), np.uint64)
+                    for share in (0.0, 0.3, 0.8, 1.0):
+                        often = np.sort(rnd.sample(every.tolist(), int(share * len(every))))
+                        with np.errstate(over="ignore"):
+                            x, y = (set(ngram_jaccard.cell_keys(s, link, classes, np.asarray(often, np.uint64))) for s in (a, b))
+                        assert x & y
 
 
 def _removed(rows):
