@@ -8,8 +8,7 @@ name costs one row per map task.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,25 +43,19 @@ ID_FIELD = "Resource ID(s)"
 TITLE_FIELD = "Title"
 
 
-@dataclass(frozen=True)
-class RequiredField:
-    field: str
-    label: str
-
-
-REQUIRED_FIELDS = (RequiredField(ID_FIELD, "resource id"), RequiredField(TITLE_FIELD, "title"))
+# Required headers and how reports name them.
+REQUIRED = {ID_FIELD: "resource id", TITLE_FIELD: "title"}
 
 CATALOG_SCHEMA = T.StructType([T.StructField(h, T.StringType()) for h in FIELD_MAP])
 KEPT_KEYS = [k for h, k in FIELD_MAP.items() if h not in IGNORED_FIELDS]
 TALK_KEYS = KEPT_KEYS + ["audioUrl", "summary", "tags", "dataLineage"]
 
 
-def check_headers(columns: Iterable[str], required: Sequence[RequiredField] = REQUIRED_FIELDS) -> None:
+def check_headers(columns: Iterable[str], required: Mapping[str, str] = REQUIRED) -> None:
     """Required headers must exist (tested on the untrimmed names)."""
-    cols = set(columns)
-    missing = [r.field for r in required if r.field not in cols]
-    if missing:
-        raise ValueError(f"Required column(s) not found in CSV headers: {', '.join(missing)}")
+    absent = sorted(set(required) - set(columns))
+    if absent:
+        raise ValueError(f"the catalog lacks the column(s) {absent}")
 
 
 def clean_rows(rows: DataFrame) -> DataFrame:
@@ -74,16 +67,16 @@ def clean_rows(rows: DataFrame) -> DataFrame:
     ])
 
 
-def missing_labels(rows: DataFrame, required: Sequence[RequiredField] = REQUIRED_FIELDS) -> Column:
+def missing_labels(rows: DataFrame, required: Mapping[str, str] = REQUIRED) -> Column:
     """Array of the labels of blank or absent required fields (in rule order)."""
     checks = [
-        F.when(is_blank(F.col(f"`{r.field}`")) if r.field in rows.columns else F.lit(True), F.lit(r.label))
-        for r in required
+        F.when(is_blank(F.col(f"`{header}`")) if header in rows.columns else F.lit(True), F.lit(label))
+        for header, label in required.items()
     ]
     return F.array_compact(F.array(*checks))
 
 
-def validate(rows: DataFrame, required: Sequence[RequiredField] = REQUIRED_FIELDS) -> DataFrame:
+def validate(rows: DataFrame, required: Mapping[str, str] = REQUIRED) -> DataFrame:
     """Cleaned rows + ``missing`` (labels) + ``valid``."""
     cleaned = clean_rows(rows)
     return cleaned.withColumn("missing", missing_labels(cleaned, required)).withColumn(

@@ -61,19 +61,28 @@ def audio_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("safe_name", "id", "audioUrl", "audio_reason")
 
 
-def catalog_csv_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stand-in catalog written as CSV (doubled quotes, header) to the shared
-    folder and ingested back through the CSV source: same counters."""
+def _catalog_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stand-in catalog written in row order to several CSV files (doubled
+    quotes, header) of the shared folder and read back through the CSV source."""
     import uuid
 
     from ..session import scratch_path
     from ..sources.catalog_csv import read_catalog_csv
 
     path = scratch_path(spark, f"catalog-csv-{uuid.uuid4().hex[:12]}")
-    rows = catalog_rows(spark, sf_dir).drop("src_row")
-    (rows.write.option("header", True).option("quote", '"').option("escape", '"')
-     .option("quoteAll", True).csv(path))
-    return K.ingest_counters(K.validate(read_catalog_csv(spark, path)), "enforce")
+    rows = catalog_rows(spark, sf_dir).repartitionByRange(4, "src_row").sortWithinPartitions("src_row").drop("src_row")
+    rows.write.option("header", True).option("quote", '"').option("escape", '"').option("quoteAll", True).csv(path)
+    return K.validate(read_catalog_csv(spark, path))
+
+
+def catalog_csv_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.ingest_counters(_catalog_from_csv(spark, sf_dir), "enforce")
+
+
+def catalog_csv_talks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-only ingest from several CSV files: no row without an id is lost."""
+    talks = K.latest_per_name(K.to_talks(_catalog_from_csv(spark, sf_dir), "log_only"))
+    return talks.select("safe_name", "id", "title", "src_row", "n_rows")
 
 
 QUERIES = {
@@ -81,6 +90,7 @@ QUERIES = {
     "catalog_invalid": catalog_invalid,
     "catalog_counters": catalog_counters,
     "catalog_csv_counters": catalog_csv_counters,
+    "catalog_csv_talks": catalog_csv_talks,
     "catalog_log_only": catalog_log_only,
     "safe_names": safe_names,
     "latest_per_name": latest_per_name,
@@ -154,6 +164,9 @@ ORACLES = {
       SELECT safe_name, arg_max(id, src_row) AS id, arg_max(title, src_row) AS title,
              arg_max(missing, src_row) AS missing, max(src_row) AS src_row, count(*) AS n_rows
       FROM named GROUP BY safe_name""",
+    "catalog_csv_talks": f"""WITH {CATALOG_SQL}
+      SELECT safe_name, arg_max(id, src_row) AS id, arg_max(title, src_row) AS title, max(src_row) AS src_row,
+             count(*) AS n_rows FROM named GROUP BY safe_name""",
     "safe_names": f"""WITH {CATALOG_SQL} SELECT src_row, id, safe_name FROM named""",
     "latest_per_name": f"""WITH {CATALOG_SQL} SELECT safe_name, id, src_row, n_rows FROM talks WHERE n_rows > 1""",
     "duration_normalized": f"""WITH {CATALOG_SQL}

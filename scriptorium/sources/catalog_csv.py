@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,9 +13,12 @@ from ..operators.catalog import check_headers
 def read_catalog_csv(spark: SparkSession, path: str, row_limit: int | None = None) -> DataFrame:
     """UTF-8 (BOM dropped) CSV with a header, quoted multi-line fields, all strings.
 
-    Adds ``src_row``: the 1-based row number in file order.  A multi-line CSV
-    file is read unsplit, so inside one file the monotonic id follows row
-    order; the per-file offset comes from a small per-file aggregate.
+    Adds ``src_row``: the 1-based row number over all files in name order, so
+    names of rows without an id never meet and the later row of a repeated id
+    wins.  A multi-line CSV file is read unsplit, so inside one file the
+    monotonic id follows row order; the offset of a file is the running sum of
+    the row counts of the files before it (one row per file).
+    ``row_limit`` keeps the first rows of the whole input.
     """
     reader = (
         spark.read.option("header", True).option("multiLine", True).option("escape", '"')
@@ -31,11 +34,13 @@ def read_catalog_csv(spark: SparkSession, path: str, row_limit: int | None = Non
         .withColumn("_file", F.col("_metadata.file_path"))
         .withColumn("_mid", F.monotonically_increasing_id())
     )
-    first = df.groupBy("_file").agg(F.min("_mid").alias("_first"))
-    df = df.join(F.broadcast(first), "_file").withColumn("src_row", F.col("_mid") - F.col("_first") + 1)
+    files = df.groupBy("_file").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    df = df.join(files, "_file").withColumn("src_row", F.col("_offset") + F.col("_mid") - F.col("_first") + 1)
     if row_limit is not None:
         df = df.where(F.col("src_row") <= row_limit)
-    return df.drop("_file", "_mid", "_first")
+    return df.drop("_file", "_mid", "_first", "_n", "_offset")
 
 
 TALK_SCHEMA = T.StructType(
