@@ -144,7 +144,7 @@ def learned(docs: DataFrame, labels: DataFrame, label: str = "quality") -> tuple
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     )
     # The sample has at most SAMPLE rows of two numbers.
-    rows = texts(docs, "doc_id").join(F.broadcast(sample), "doc_id").coalesce(1)
+    rows = texts(docs, "doc_id").join(F.broadcast(sample), "doc_id").repartition(1)
     first = rows.mapInArrow(_learn, "weights binary, bias double").first()
     return (np.frombuffer(first.weights, "<f4").astype(float), first.bias) if first else (np.zeros(1 << BITS), 0.0)
 
