@@ -1,8 +1,8 @@
 """Likeness of an edited text against its source, and the spans that differ.
 
 likeness = 2*M / (na + nb) over lower-cased word tokens, where M is the size of
-the matching blocks found by difflib's greedy longest-block recursion
-(``autojunk=False``).  It is not an LCS and not symmetric.
+the longest common blocks (:mod:`.alignment`).  It is not an LCS and not
+symmetric.
 
 Scale plan:
 1. Closed forms JVM-side, no Python: both empty -> 1, one empty -> 0, equal
@@ -10,8 +10,9 @@ Scale plan:
    (the longest block is then the whole shorter side).
 2. Only the remaining pairs reach Python: the UDF inputs are null-masked for
    closed-form rows, so they cross the Arrow boundary as nulls and cost nothing.
-3. The exact alignment runs in an Arrow-batched pandas UDF (small batches),
-   after a hash repartition so heavy pairs spread over tasks.
+3. The exact alignment runs in an Arrow-batched pandas UDF, after a range
+   repartition on the pair's cost (product of the text lengths) at every input
+   size, so heavy pairs spread over tasks.
 4. Optional gate-only mode: the multiset-overlap upper bound decides failures
    without alignment when only pass/fail is needed.
 """
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import TOKEN_PATTERN
+from . import alignment
 
 
 # --------------------------------------------------------------------------
@@ -39,9 +40,7 @@ _WORD = re.compile(r"\b[\w']+\b")
 
 
 def likeness_of_tokens(a: list, b: list) -> float:
-    if not a and not b:
-        return 1.0
-    return SequenceMatcher(None, a, b, autojunk=False).ratio()
+    return alignment.likeness(a, b)
 
 
 def overlap_bound_of_tokens(a: list, b: list) -> float:
@@ -91,13 +90,14 @@ def ordered_gate_udf(n_candidates: int, threshold: float):
     @F.pandas_udf(schema)
     def gate(src: pd.Series, cands: pd.DataFrame) -> pd.DataFrame:
         rows = []
+        settled = [cands[f"closed_{i}"].tolist() for i in range(n_candidates)]
+        texts = [cands[f"text_{i}"].tolist() for i in range(n_candidates)]
         for r, a in enumerate(src):
             out = [None] * n_candidates
             if a is not None:
                 ta = None
                 for i in range(n_candidates):
-                    closed = cands[f"closed_{i}"].iat[r]
-                    text = cands[f"text_{i}"].iat[r]
+                    closed, text = settled[i][r], texts[i][r]
                     if closed is not None and closed == closed:  # not null / NaN
                         if closed >= threshold:
                             break
@@ -175,23 +175,29 @@ def add_likeness(
     ).drop(closed, ta, tb)
 
 
+def spread_by_cost(pairs: DataFrame, a_text: str = "a_text", b_text: str = "b_text") -> DataFrame:
+    """Deal pairs to tasks by the logarithm of their cost, equal costs at random:
+    every task gets a few of the heaviest pairs at any input size (AQE cannot
+    split a single row)."""
+    tasks = 4 * int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = lambda c: F.coalesce(F.octet_length(F.col(c)), F.lit(0)).cast("double") + 1
+    cost = F.floor(F.log2(size(a_text) * size(b_text)))
+    return pairs.repartition(tasks, cost, F.pmod(F.xxhash64(F.col(a_text), F.col(b_text)), F.lit(64 * tasks)))
+
+
 def score_pairs(
     pairs: DataFrame,
     a_text: str = "a_text",
     b_text: str = "b_text",
     out: str = "likeness",
-    spread_partitions: int | None = None,
-    spread_key: str | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """Add ``out`` = likeness(a, b) for every row (a = source, b = edit).
 
-    ``spread_partitions`` hash-repartitions the pairs so that expensive
-    alignments land on many tasks (AQE cannot split a single row).
+    ``spread`` deals the pairs to tasks by cost first.
     """
+    pairs = spread_by_cost(pairs, a_text, b_text) if spread else pairs
     df = pairs.withColumn("_a_low", lowered(a_text)).withColumn("_b_low", lowered(b_text))
-    if spread_partitions:
-        key = F.col(spread_key) if spread_key else F.rand(seed=17)
-        df = df.repartition(spread_partitions, key)
     df = add_likeness(df, "_a_low", "_b_low", out, F.col(a_text).isNotNull() & F.col(b_text).isNotNull())
     return df.drop("_a_low", "_b_low")
 
@@ -242,15 +248,9 @@ def _spans_fn(context: int):
             rows = []
             for key, a, b in zip(pdf["pair_id"], pdf["_a_low"], pdf["_b_low"]):
                 a, b = _WORD.findall(a or ""), _WORD.findall(b or "")
-                sm = SequenceMatcher(None, a, b, autojunk=False)
-                for tag, i1, i2, j1, j2 in sm.get_opcodes():
-                    if tag == "equal":
-                        continue
-                    rows.append((
-                        key, tag, i1, i2, j1, j2, i2 - i1, j2 - j1,
-                        a[max(0, i1 - context):min(len(a), i2 + context)],
-                        b[max(0, j1 - context):min(len(b), j2 + context)],
-                    ))
+                for tag, a0, a1, b0, b1 in alignment.gaps(a, b):
+                    near = lambda words, x, y: words[max(x - context, 0):y + context]
+                    rows.append((key, tag, a0, a1, b0, b1, a1 - a0, b1 - b0, near(a, a0, a1), near(b, b0, b1)))
             yield pd.DataFrame(rows, columns=[f.name for f in SPAN_SCHEMA.fields])
     return run
 
@@ -260,19 +260,17 @@ def diff_spans(
     a_text: str = "a_text",
     b_text: str = "b_text",
     context: int = 8,
-    spread_partitions: int | None = None,
+    spread: bool = False,
 ) -> DataFrame:
-    """One row per non-equal opcode (replace/delete/insert) with clipped snippets."""
-    if spread_partitions:
-        pairs = pairs.repartition(spread_partitions, "pair_id")
+    """One row per differing span (replace/delete/insert) with clipped snippets."""
+    pairs = spread_by_cost(pairs, a_text, b_text) if spread else pairs
     df = pairs.select(
         F.col("pair_id").cast("string").alias("pair_id"),
         lowered(a_text).alias("_a_low"),
         lowered(b_text).alias("_b_low"),
     )
     # No JVM "skip equal pairs" filter here: Catalyst would push that
-    # predicate below the repartition, back into the scan tasks.  Equal token
-    # lists give only "equal" opcodes, which the worker drops.
+    # predicate below the repartition, back into the scan tasks.
     return df.mapInPandas(_spans_fn(context), SPAN_SCHEMA)
 
 

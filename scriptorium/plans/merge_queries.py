@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.lineage import lineage_json, lineage_stage_number
 from ..operators import merge as M
 from ..operators import scoring as S
-from ..sources.tables import alignment_spread, catalog_rows, edited_pairs, stage_transcripts
+from ..sources.tables import INSERTED, catalog_rows, edited_pairs, stage_transcripts
 from ..sinks.json_docs import index_json_lines, talk_json
 from .catalog_queries import CATALOG_SQL, WS, strip_sql
 from .corpus_queries import TOKEN_RE2
@@ -84,20 +84,18 @@ def talk_index_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def edited_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gate-only mode on the edited pairs: the overlap bound settles failures
     without alignment; ``likeness`` is exact wherever it is reported."""
-    p = edited_pairs(spark, sf_dir)
+    p = S.spread_by_cost(edited_pairs(spark, sf_dir))
     return S.gate_pairs(p, threshold=PARAMS.threshold).select("pair_id", "upper_bound", "likeness", "passed")
 
 
 def pair_scores_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact likeness of every whole document against its stutter-removed edit."""
-    p = edited_pairs(spark, sf_dir)
-    return S.score_pairs(p, spread_partitions=alignment_spread(p), spread_key="pair_id").select("pair_id", "likeness")
+    """Exact likeness of every whole document against its edit."""
+    return S.score_pairs(edited_pairs(spark, sf_dir), spread=True).select("pair_id", "likeness")
 
 
 def diff_spans_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten largest differing spans per edited document, with 8 tokens of context."""
-    p = edited_pairs(spark, sf_dir)
-    return S.top_spans(S.diff_spans(p, context=8, spread_partitions=alignment_spread(p)), limit=10, sort="size")
+    return S.top_spans(S.diff_spans(edited_pairs(spark, sf_dir), context=8, spread=True), limit=10, sort="size")
 
 
 QUERIES = {
@@ -157,6 +155,14 @@ sel AS (
   FROM ev2
 )"""
 
+# The edit inserts one word before position n - (n >> q) of n, while n >> q is positive.
+_CUT = " + ".join(f"cast(n >= {2 ** q} AS int)" for q in range(1, len(INSERTED) + 1))
+_NEW = " ".join(f"WHEN i = n - (n >> {q}) AND (n >> {q}) > 0 THEN ['{x}', t[i + 1]]" for q, x in enumerate(INSERTED, 1))
+EDITED_SQL = f"""
+et AS (SELECT cast(doc_id AS varchar) AS pair_id, regexp_extract_all(lower(coalesce(text, '')), '{TOKEN_RE2}', 0) AS t FROM documents),
+en AS (SELECT pair_id, t, len(t) AS n, {_CUT.replace("n >=", "len(t) >=")} AS k FROM et),
+es AS (SELECT *, CASE WHEN n = 0 THEN 1.0 ELSE 2 * n / cast(2 * n + k AS double) END AS score FROM en)"""
+
 LINEAGE_SQL = """CASE
   WHEN s.selected_stage IS NULL THEN '["audio_original"]'
   WHEN s.selected_stage = 'transcript_raw' THEN '["audio_original","transcript_raw"]'
@@ -170,6 +176,16 @@ TS_SQL = """CASE WHEN s.selected_stage IS NULL THEN 1 WHEN s.selected_stage = 't
   WHEN s.selected_stage = 'transcript_structured' THEN 3 ELSE 4 END"""
 
 ORACLES = {
+    "pair_scores_edited": f"""WITH {EDITED_SQL} SELECT pair_id, cast(score AS double) AS likeness FROM es""",
+    "edited_gate": f"""WITH {EDITED_SQL}
+      SELECT pair_id, cast(CASE WHEN k > 0 THEN score END AS double) AS upper_bound,
+             cast(CASE WHEN k = 0 OR score >= 0.9 THEN score END AS double) AS likeness, score >= 0.9 AS passed FROM es""",
+    "diff_spans_top": f"""WITH {EDITED_SQL},
+      eb AS (SELECT pair_id, t, n, k, flatten(list_transform(range(n), lambda i: CASE {_NEW} ELSE [t[i + 1]] END)) AS b FROM es),
+      ec AS (SELECT *, cast(unnest(range(1, k + 1)) AS int) AS q FROM eb),
+      ep AS (SELECT *, cast(n - (n >> q) AS int) AS a0, cast(n - (n >> q) + q - 1 AS int) AS b0 FROM ec)
+      SELECT pair_id, 'insert' AS tag, a0 AS a_start, a0 AS a_end, b0 AS b_start, b0 + 1 AS b_end, 0 AS a_len, 1 AS b_len,
+             t[greatest(a0 - 8, 0) + 1 : a0 + 8] AS a_snip, b[greatest(b0 - 8, 0) + 1 : b0 + 9] AS b_snip, q AS rank FROM ep""",
     "pair_scores": f"""WITH {CATALOG_SQL}, {MERGE_SQL}
       SELECT talk_id, 'transcript_structured' AS candidate_stage, s_score AS likeness, s_pass AS passed
         FROM ev2 WHERE s_eval AND talk_id IN (SELECT id FROM talks)

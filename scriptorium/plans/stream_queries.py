@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import quality as Q
 from ..streaming import incremental as I
 from .corpus_queries import NONWS_RE2
+from .merge_queries import EDITED_SQL
 
 
 def incremental_token_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +16,7 @@ def incremental_token_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spread = spark.sparkContext.defaultParallelism * 8
-    return I.incremental_edit_scores(spark, f"{sf_dir.rstrip('/')}/documents.parquet", spread)
+    return I.incremental_edit_scores(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
 def incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +45,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "incremental_scores": f"""WITH {EDITED_SQL} SELECT pair_id, cast(score AS double) AS likeness FROM es""",
     "incremental_token_sizes": f"""SELECT doc_id, len(regexp_extract_all(text, '{NONWS_RE2}+', 0)) AS words,
         cast(round(len(regexp_extract_all(text, '{NONWS_RE2}+', 0)) * 4 / 3.0) AS bigint) AS tokens
       FROM documents""",

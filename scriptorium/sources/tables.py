@@ -18,8 +18,9 @@ same way in the DuckDB oracles (``__spark_entry__.oracle_sql``):
                    ``transcript_cleaned`` for English and French (the model
                    appended a closing offer).  Both edits keep the whole raw
                    text, so their likeness has the closed form 2*na/(na+nb).
-* edited        <- documents: the stutter-removing editor (repeated adjacent
-                   words collapsed) applied to the whole text; scored exactly.
+* edited        <- documents: the likeness tokens of the whole text with a
+                   foreign word inserted after half of them, half of the rest,
+                   and so on; scored by the aligner, known in closed form.
 * quality log   <- events: one log file per day (``quality_{date}.log``), line
                    = position of the event inside its day, talk_id = user_id
                    (missing for ``error`` events with value < 5), version =
@@ -33,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import unwrap_text
+from ..operators.scoring import tokens_of_lowered
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -64,18 +65,6 @@ def balanced(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(slots * 2, *keys)
 
 
-def alignment_spread(df: DataFrame, per_slot: int = 8) -> int | None:
-    """Partition count for exact alignments when the input is narrow, else None.
-
-    One alignment can cost seconds, so a handful of partitions leaves
-    stragglers; ``per_slot`` small partitions per task slot spread them.  An
-    input that already has more partitions than that keeps its layout (no
-    extra shuffle of the text at scale).
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return slots * per_slot if df.rdd.getNumPartitions() < slots * per_slot else None
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents table, balanced for per-document text work."""
     return balanced(read_table(spark, sf_dir, "documents"), "doc_id")
@@ -158,19 +147,42 @@ def stage_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(tid.alias("talk_id"), F.explode(rows).alias("r")).select("talk_id", "r.*")
 
 
-def stutter_edit(text_col: str = "text"):
-    """The edited stand-in: unwrap, then collapse immediately repeated words."""
-    u = unwrap_text(text_col)
-    return F.regexp_replace(u, r"(?i)(?<![\p{L}\p{N}_'])([\p{L}\p{N}_']+)(?:[ \n]+\1(?![\p{L}\p{N}_']))+", "$1")
+# Words that occur nowhere in the tables, in the order in which an edit inserts them.
+INSERTED = tuple(f"qzxinserted{q}" for q in range(1, 6))
+
+
+def inserting_edit(text_col: str = "text"):
+    """The edited stand-in: the likeness tokens with a foreign word at each cut.
+
+    The first cut is after half of the words (rounded up), the next after half
+    of the rest, and so on: n words get a word before position ``n - (n >> q)``
+    for q = 1..5 while ``n >> q`` is positive.  Every part before a cut is at
+    least as long as the rest, so the longest-block alignment finds exactly the
+    parts: the likeness is 2n / (2n + k) for k cuts, the spans are the k inserts.
+    """
+    tokens = tokens_of_lowered(F.lower(F.coalesce(F.col(text_col), F.lit(""))))
+
+    def with_cut(words):
+        n = F.size(words)
+
+        def at(word, i):
+            cuts = [F.when((F.shiftright(n, q) > 0) & (i == n - F.shiftright(n, q)), F.lit(x)) for q, x in enumerate(INSERTED, 1)]
+            new = F.coalesce(*cuts)
+            return F.when(new.isNotNull(), F.array(new, word)).otherwise(F.array(word))
+
+        return F.array_join(F.flatten(F.transform(words, at)), " ")
+
+    # Bound once: the words are used at every position.
+    return F.transform(F.array(tokens), with_cut)[0]
 
 
 def edited_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(pair_id, a_text, b_text): raw text against its stutter-removed edit."""
+    """(pair_id, a_text, b_text): raw text against its edit with inserted words."""
     d = documents(spark, sf_dir).select("doc_id", "text")
     return d.select(
         F.col("doc_id").cast("string").alias("pair_id"),
         F.col("text").alias("a_text"),
-        stutter_edit("text").alias("b_text"),
+        inserting_edit("text").alias("b_text"),
     )
 
 

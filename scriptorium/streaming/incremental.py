@@ -92,22 +92,21 @@ def incremental_token_sizes(spark: SparkSession, documents_path: str) -> DataFra
     return spark.read.parquet(out)
 
 
-def incremental_edit_scores(spark: SparkSession, documents_path: str, spread: int | None = None) -> DataFrame:
-    """Stream documents, score each against its stutter-removed edit (exact,
+def incremental_edit_scores(spark: SparkSession, documents_path: str) -> DataFrame:
+    """Stream documents, score each against its edit (exact,
     stateless per micro-batch), append to a sink; return the sink table.
 
-    ``spread`` hash-repartitions each micro-batch before the alignment: a
-    streamed file can arrive as one task, and one exact alignment costs far
-    more than moving its text.
+    Each micro-batch is dealt to tasks by cost: a streamed file can arrive as
+    one task, and one exact alignment costs far more than moving its text.
     """
     from ..operators.scoring import score_pairs
-    from ..sources.tables import stutter_edit
+    from ..sources.tables import inserting_edit
 
     static = spark.read.parquet(documents_path)
     stream = parquet_stream(spark, documents_path, static)
     pairs = stream.select(F.col("doc_id").cast("string").alias("pair_id"), F.col("text").alias("a_text"),
-                          stutter_edit("text").alias("b_text"))
-    scored = score_pairs(pairs, spread_partitions=spread, spread_key="pair_id").select("pair_id", "likeness")
+                          inserting_edit("text").alias("b_text"))
+    scored = score_pairs(pairs, spread=True).select("pair_id", "likeness")
     out, ckpt = run_dir(spark, "edit-scores")
     (scored.writeStream.format("parquet").option("checkpointLocation", ckpt).outputMode("append")
      .trigger(availableNow=True).start(out).awaitTermination())
