@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from urllib.error import URLError
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -53,45 +54,54 @@ def pending_inputs(
 ) -> DataFrame:
     """Inputs whose output does not exist yet (anti-join on the output listing).
 
-    ``existing_outputs`` is a listing (``output_path`` only), so finished work
-    is skipped before any input text is read.
+    ``existing_outputs`` is a listing (``output_path`` only).  The anti-join
+    runs on paths alone; texts are then picked by the paths that are left.
     """
     df = inputs.withColumn("output_path", cleaned_output_path("path", input_root, output_root, ext))
-    if existing_outputs is not None and not overwrite:
-        df = df.join(existing_outputs.select("output_path").distinct(), "output_path", "left_anti")
-    return df
+    if existing_outputs is None or overwrite:
+        return df
+    todo = df.select("output_path").join(existing_outputs.select("output_path").distinct(), "output_path", "left_anti")
+    return df.join(todo.distinct(), "output_path", "left_semi")
+
+
+def skipped_inputs(inputs: DataFrame, input_root: str, output_root: str, ext: str, existing_outputs: DataFrame) -> DataFrame:
+    """``skip`` rows of the log: inputs whose output exists (paths only)."""
+    paths = inputs.select("path", cleaned_output_path("path", input_root, output_root, ext).alias("output_path"))
+    done = paths.join(existing_outputs.select("output_path").distinct(), "output_path", "left_semi")
+    empty = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in RESULT_SCHEMA.fields}
+    own = {"path": F.col("path"), "output_path": F.col("output_path"), "status": F.lit("skip").alias("status"),
+           "attempts": F.lit(0).alias("attempts")}
+    return done.select(*[own.get(n, c) for n, c in empty.items()])
+
+
+def attempted(fn: Callable, text: str, tries: int, retry_on: tuple[type[BaseException], ...]) -> tuple:
+    """(result, calls made, last error or None) of at most ``tries`` calls; other errors pass through."""
+    error = None
+    for calls in range(1, tries + 1):
+        try:
+            return fn(text), calls, None
+        except retry_on as caught:
+            error = f"{type(caught).__name__}: {caught}"
+    return None, tries, error
 
 
 def _runner(fn_factory: Callable[[], Callable], retries: int, retry_on: tuple[type[BaseException], ...]):
+    def one(fn: Callable, path: str, output_path: str, input_chars: int, unwrapped: str) -> dict:
+        started, clock = time.time(), time.perf_counter()
+        result, calls, error = ("", 0, None) if not unwrapped.strip() else attempted(fn, unwrapped, retries + 1, retry_on)
+        text, stats = result if isinstance(result, tuple) else (result, None)
+        return {
+            "path": path, "output_path": output_path, "status": "wrote" if error is None else "error",
+            "input_chars": input_chars, "unwrapped_chars": len(unwrapped), "output_chars": len(text or ""),
+            "started": started, "elapsed": time.perf_counter() - clock, "attempts": calls, "error": error,
+            "stats": stats and {k: stats.get(k) for k in STATS_TYPE.names}, "output": text,
+        }
+
     def run(batches):
         fn = fn_factory()
         for pdf in batches:
-            out = []
-            for path, opath, text, unwrapped in zip(pdf["path"], pdf["output_path"], pdf["text"], pdf["unwrapped"]):
-                start = time.time()
-                t0 = time.perf_counter()
-                text = text or ""
-                stats, err, status, result, attempts = None, None, "wrote", "", 0
-                if unwrapped.strip():
-                    while True:
-                        attempts += 1
-                        try:
-                            r = fn(unwrapped)
-                            result, stats = (r if isinstance(r, tuple) else (r, None))
-                            break
-                        except retry_on as exc:  # noqa: PERF203
-                            if attempts > retries:
-                                status, err, result = "error", f"{type(exc).__name__}: {exc}", None
-                                break
-                out.append({
-                    "path": path, "output_path": opath, "status": status,
-                    "input_chars": len(text), "unwrapped_chars": len(unwrapped),
-                    "output_chars": 0 if result is None else len(result),
-                    "started": start, "elapsed": time.perf_counter() - t0, "attempts": attempts,
-                    "error": err, "stats": None if stats is None else {k: stats.get(k) for k in STATS_TYPE.names},
-                    "output": result,
-                })
-            yield pd.DataFrame(out, columns=RESULT_SCHEMA.names)
+            rows = zip(pdf["path"], pdf["output_path"], pdf["input_chars"], pdf["unwrapped"])
+            yield pd.DataFrame([one(fn, *r) for r in rows], columns=RESULT_SCHEMA.names)
     return run
 
 
@@ -99,7 +109,7 @@ def apply_transform(
     pending: DataFrame,
     fn_factory: Callable[[], Callable],
     retries: int = 0,
-    retry_on: tuple[type[BaseException], ...] = (TimeoutError, ConnectionError, OSError),
+    retry_on: tuple[type[BaseException], ...] = (TimeoutError, URLError),
     concurrency: int | None = None,
 ) -> DataFrame:
     """``transform_log`` rows (plus the output text) for every pending input.
@@ -108,8 +118,9 @@ def apply_transform(
     the per-row loop).  Attempts are ``retries + 1`` at most; other errors
     fail the task, and Spark's task retry re-runs it.
     """
-    df = pending.select("path", "output_path", F.coalesce(F.col("text"), F.lit("")).alias("text"),
-                        unwrap_text("text").alias("unwrapped"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    df = pending.select("path", "output_path", F.length(text).cast("long").alias("input_chars"),
+                        F.coalesce(unwrap_text("text"), F.lit("")).alias("unwrapped"))
     if concurrency:
         df = df.repartition(concurrency)
     return df.mapInPandas(_runner(fn_factory, retries, retry_on), RESULT_SCHEMA)
@@ -171,11 +182,42 @@ def any_error(log: DataFrame) -> DataFrame:
 
 
 def raise_on_error(log: DataFrame) -> None:
-    """Fail the run after all documents were tried (call after the write)."""
-    if log.where(F.col("status") == "error").limit(1).count():
+    """Fail the run after all documents were tried; ``log`` is a written table (a lazy one would call again)."""
+    if not log.where(F.col("status") == "error").isEmpty():
         raise RuntimeError("one or more documents failed to transform")
 
 
 def write_outputs(log: DataFrame, path: str, mode: str = "append") -> None:
     """Written texts keyed by output path (Parquet); reruns skip them via the listing."""
     log.where(F.col("status") == "wrote").select("output_path", "output").write.mode(mode).parquet(path)
+
+
+def run_transform(
+    inputs: DataFrame,
+    input_root: str,
+    output_root: str,
+    fn_factory: Callable[[], Callable],
+    out_dir: str,
+    ext: str = ".txt",
+    existing_outputs: DataFrame | None = None,
+    overwrite: bool = False,
+    fail: bool = True,
+    **calls,
+) -> tuple[DataFrame, DataFrame]:
+    """(log, totals) of a whole run: skip finished work, call once per document,
+    write the log and the outputs, and fail at the end if a document failed.
+
+    The log is written first; outputs, totals and the check read it back, so no
+    document is sent twice.
+    """
+    pending = pending_inputs(inputs, input_root, output_root, ext, existing_outputs, overwrite)
+    log = apply_transform(pending, fn_factory, **calls)
+    if existing_outputs is not None and not overwrite:
+        log = log.unionByName(skipped_inputs(inputs, input_root, output_root, ext, existing_outputs))
+    log.write.mode("append").parquet(f"{out_dir}/log")
+    log = inputs.sparkSession.read.schema(RESULT_SCHEMA).parquet(f"{out_dir}/log")
+    write_outputs(log, f"{out_dir}/outputs", mode="overwrite")
+    totals = rollup(log)
+    if fail:
+        raise_on_error(log)
+    return log, totals

@@ -22,6 +22,8 @@ class Published:
     merged: DataFrame
     log: DataFrame
     index: DataFrame
+    quarantine: DataFrame
+    counters: DataFrame
 
 
 def publish(
@@ -31,14 +33,19 @@ def publish(
     mode: str = "enforce",
     audio_url_template: str | None = None,
 ) -> Published:
+    return _published(catalog_rows, transcripts, params, mode, audio_url_template, lambda scored: scored)
+
+
+def _published(catalog_rows, transcripts, params, mode, audio_url_template, settle) -> Published:
     validated = K.validate(catalog_rows)
     talks = K.latest_per_name(K.to_talks(validated, mode))
     talks = K.add_audio_urls(K.normalize_durations(talks), audio_url_template)
     stages = list(dict.fromkeys([M.RAW_STAGE, *params.candidate_order, *params.fallback_stages()]))
     pivot = M.pivot_stages(transcripts, stages)
-    scored = M.score_candidates(M.attach_transcripts(talks, pivot), params)
+    scored = settle(M.score_candidates(M.attach_transcripts(talks, pivot), params))
     merged = M.finalize_merge(scored, params)
-    return Published(talks, scored, merged, M.quality_log(scored, params), M.talk_index(merged, params.stages))
+    return Published(talks, scored, merged, M.quality_log(scored, params), M.talk_index(merged, params.stages),
+                     K.quarantine(validated), K.ingest_counters(validated, mode))
 
 
 def checkpointed(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -58,8 +65,10 @@ def run_publish(
     params: M.MergeParams = M.MergeParams(),
     mode: str = "enforce",
     talk_files: bool = False,
+    audio_url_template: str | None = None,
 ) -> dict:
-    """Materialise a publish run: talks (Parquet), quality log (append), index.
+    """Materialise a publish run: talks, quarantine and ingest counters (Parquet),
+    quality log (append), index.
 
     The scored pivot feeds both the talks and the log, so it is checkpointed
     once (reliable, in ``spark.checkpoint.dir``) and the alignment runs once.
@@ -67,16 +76,12 @@ def run_publish(
     """
     from ..sinks.json_docs import append_quality_log, talk_json, write_index, write_talk_files
 
-    validated = K.validate(catalog_rows)
-    talks = K.latest_per_name(K.to_talks(validated, mode))
-    talks = K.add_audio_urls(K.normalize_durations(talks))
-    stages = list(dict.fromkeys([M.RAW_STAGE, *params.candidate_order, *params.fallback_stages()]))
-    pivot = M.pivot_stages(transcripts, stages)
-    scored = checkpointed(spark, M.score_candidates(M.attach_transcripts(talks, pivot), params))
-    merged = M.finalize_merge(scored, params)
-    merged.write.mode("overwrite").parquet(f"{out_dir}/talks")
+    run = _published(catalog_rows, transcripts, params, mode, audio_url_template, lambda df: checkpointed(spark, df))
+    run.quarantine.write.mode("overwrite").parquet(f"{out_dir}/quarantine")
+    run.counters.write.mode("overwrite").parquet(f"{out_dir}/ingest_counters")
+    run.merged.write.mode("overwrite").parquet(f"{out_dir}/talks")
     published = spark.read.parquet(f"{out_dir}/talks")
-    append_quality_log(M.quality_log(scored, params), f"{out_dir}/quality_log", run_id)
+    append_quality_log(run.log, f"{out_dir}/quality_log", run_id)
     write_index(M.talk_index(published, params.stages), f"{out_dir}/index")
     if talk_files:
         write_talk_files(spark, talk_json(published), f"{out_dir}/talk_files")

@@ -55,13 +55,15 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """Return the shared checkpoint folder; a local session without one gets its own, a cluster must name it."""
     current = spark.conf.get(CHECKPOINT_CONF, None)
     sc = spark.sparkContext
     if not current:
         current = sc.getConf().get(CHECKPOINT_CONF, None)
     if not current:
-        # Local runs and tests only: a cluster always names a shared folder.
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
+        # Local runs and tests only.
         current = tempfile.mkdtemp(prefix="scriptorium-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set(CHECKPOINT_CONF, current)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
