@@ -104,7 +104,7 @@ def test_transform_run(spark, tmp_path):
     log = {r.path[3]: r for r in spark.read.parquet(str(tmp_path / "run/log")).collect()}
     assert {k: r.status for k, r in log.items()} == {"a": "wrote", "b": "wrote", "c": "wrote", "d": "error", "e": "skip"}
     assert {k: r.attempts for k, r in log.items()} == {"a": 1, "b": 0, "c": 2, "d": 2, "e": 0}
-    outputs = {r.output for r in spark.read.parquet(str(tmp_path / "run/outputs")).collect()}
+    outputs = {r.output.strip() for r in spark.read.parquet(str(tmp_path / "run/outputs")).collect()}
     assert outputs == {"ONE TWO", "", "RETRY ME"}
     totals = T.rollup(spark.read.schema(T.RESULT_SCHEMA).parquet(str(tmp_path / "run/log"))).first()
     assert (totals.wrote, totals.errors, totals.prompt_eval_count, totals.eval_count) == (3, 1, 6, 10)
