@@ -28,13 +28,16 @@ _SLOT = "\u0001lineage\u0001"
 
 def talk_json(talks: DataFrame, pretty: bool = False) -> DataFrame:
     """(safe_name, json): one compact (or pretty) document per talk; ``transcript``
-    is omitted when null, every other key is always present.
+    is omitted when null, every other key is always present.  Keys of an
+    ``extra`` column (key -> JSON text) stand among them in key order.
 
     Compact matches Python's ``separators=(",", ":")``; pretty matches
     ``indent=2`` (``sort_keys``, non-ASCII kept) plus the trailing newline.
     """
     if pretty:
         return talks.select("safe_name", _pretty_doc(talks).alias("json"))
+    if "extra" in talks.columns:
+        return talks.select("safe_name", F.concat(F.lit("{"), _joined(_compact_pairs(talks), ":", ","), F.lit("}")).alias("json"))
     fields = []
     for k in EXPORT_KEYS:
         if k == "dataLineage":
@@ -47,6 +50,24 @@ def talk_json(talks: DataFrame, pretty: bool = False) -> DataFrame:
     return talks.select("safe_name", F.replace(doc, slot, lineage_json("dataLineage")).alias("json"))
 
 
+def _pair(key: str, value):
+    return F.when(value.isNotNull(), F.struct(F.lit(key).alias("k"), value.alias("v")))
+
+
+def _joined(pairs: list, colon: str, comma: str):
+    """Known and extra (key, JSON) pairs in key order."""
+    extra = F.transform(F.map_entries(F.coalesce("extra", F.create_map().cast("map<string,string>"))),
+                        lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v")))
+    every = F.sort_array(F.concat(F.array_compact(F.array(*pairs)), extra))
+    return F.array_join(F.transform(every, lambda e: F.concat(_jstr(e["k"]), F.lit(colon), e["v"])), comma)
+
+
+def _compact_pairs(talks: DataFrame) -> list:
+    values = {k: F.col(k) for k in EXPORT_KEYS if k in talks.columns}
+    special = {"dataLineage": lambda c: lineage_json("dataLineage"), "tags": F.to_json}
+    return [_pair(k, special[k](c) if k in special else F.when(c.isNotNull(), _jstr(c))) for k, c in values.items()]
+
+
 def _jstr(c):
     j = F.to_json(F.array(c))
     return j.substr(F.lit(2), F.length(j) - F.lit(2))
@@ -77,7 +98,10 @@ def _pretty_doc(talks: DataFrame):
             v = _jstr(F.col(k)) if k != "transcript" else F.when(F.col(k).isNotNull(), _jstr(F.col(k)))
         else:
             continue
-        parts.append(F.when(v.isNotNull(), F.concat(F.lit(f'  "{k}": '), v)))
+        parts.append((k, v))
+    if "extra" in talks.columns:
+        return F.concat(F.lit("{\n  "), _joined([_pair(k, F.when(F.col(k).isNotNull(), v)) for k, v in parts], ": ", ",\n  "), F.lit("\n}\n"))
+    parts = [F.when(v.isNotNull(), F.concat(F.lit(f'  "{k}": '), v)) for k, v in parts]
     return F.concat(F.lit("{\n"), F.concat_ws(",\n", *parts), F.lit("\n}\n"))
 
 

@@ -67,11 +67,17 @@ def parse_lineage(raw_json_col: str = "dataLineage"):
 
 
 def read_talk_documents(spark: SparkSession, directory: str) -> DataFrame:
-    """One pretty/compact JSON object per ``*.json`` file; invalid JSON fails the read."""
-    df = (
-        spark.read.schema(TALK_SCHEMA).option("multiLine", True).option("mode", "FAILFAST")
-        .option("pathGlobFilter", "*.json").json(directory)
-    )
-    return df.withColumn("dataLineage", parse_lineage("dataLineage")).withColumn(
-        "safe_name", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1)
-    )
+    """One pretty/compact JSON object per ``*.json`` file; invalid JSON fails the read.
+
+    Keys outside the schema are kept in ``extra`` (key -> JSON text) and go out
+    again with the export.
+    """
+    df = spark.read.option("pathGlobFilter", "*.json").text(directory, wholetext=True)
+    known = F.from_json("value", TALK_SCHEMA, {"mode": "FAILFAST"})
+    every = F.from_json("value", "map<string,variant>", {"mode": "FAILFAST"})
+    extra = F.transform_values(F.map_filter(every, lambda k, _: ~k.isin(*TALK_SCHEMA.names)), lambda _, v: F.to_json(v))
+    df = df.select(
+        known.alias("doc"), extra.alias("extra"),
+        F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1).alias("safe_name"),
+    ).select("doc.*", "extra", "safe_name")
+    return df.withColumn("dataLineage", parse_lineage("dataLineage"))

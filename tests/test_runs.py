@@ -119,3 +119,23 @@ def test_other_errors_fail_the_run(spark, tmp_path):
     inputs = spark.createDataFrame([("in/a.txt", "one")], "path string, text string")
     with pytest.raises(Exception, match="no file"):
         T.run_transform(inputs, "in", "out", factory, str(tmp_path / "run"))
+
+
+def test_unknown_keys_pass_through(spark, tmp_path):
+    import json
+
+    from scriptorium.sinks.json_docs import talk_json
+    from scriptorium.sources.catalog_csv import read_talk_documents
+
+    doc = {"id": "7", "title": "T é", "tags": ["a"], "dataLineage": ["audio_original", {"likeness": 0.5, "stage": "transcript_raw"}],
+           "transcript": "x\ny", "rating": 4, "Zebra": {"a": [1, None, "ü"]}, "flag": True, "note": "n", "none": None}
+    (tmp_path / "7.json").write_text(json.dumps(doc, indent=2), encoding="utf-8")
+    docs = read_talk_documents(spark, str(tmp_path))
+    compact = talk_json(docs).first().json
+    back = json.loads(compact)
+    assert {k: back[k] for k in doc} == doc
+    assert compact == json.dumps(back, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+    assert json.loads(talk_json(docs, pretty=True).first().json) == back
+    (tmp_path / "8.json").write_text("{broken", encoding="utf-8")
+    with pytest.raises(Exception):
+        read_talk_documents(spark, str(tmp_path)).collect()
