@@ -46,9 +46,9 @@ LENGTH = 50
 GRAM = 25
 SPAN = LENGTH - GRAM + 1  # grams of a string
 LONGEST_RUN = 64  # strings of one context
-BLOCK_BYTES = 6 << 20  # text bytes that a task holds at a time
-ANCHOR_BYTES = 12 << 20  # text bytes for each bucket of anchors
-CONTEXT_BYTES = 4 << 20  # context bytes for each bucket of strings
+BLOCK_BYTES = 3 << 20  # text bytes that a task holds at a time
+ANCHOR_BYTES = 6 << 20  # text bytes for each bucket of anchors
+CONTEXT_BYTES = 3 << 19  # context bytes for each bucket of strings
 HOT = 4096  # documents
 SENT_BYTES = 48 << 20  # per-document lists that may be sent to every task; more are joined by a shuffle
 
@@ -260,11 +260,11 @@ def equal_strings(flat: np.ndarray, at: np.ndarray, length: int = LENGTH) -> tup
     Column by column from the last: each round inserts one symbol in front of
     every string, and a common prefix lives on where the symbols agree.
     """
-    order, place = np.arange(len(at), dtype=np.int32), at.astype(np.int64)
+    order, place = np.arange(len(at), dtype=np.int32), at
     shared = np.zeros(len(at), np.int32)
     for column in range(length - 1, -1, -1):
         symbol = flat[place + column]
-        move = np.argsort(symbol, kind="stable")
+        move = np.argsort(symbol, kind="stable").astype(np.int32)
         order, place, shared, symbol = order[move], place[move], shared[move], symbol[move]
         new = (symbol[1:] != symbol[:-1]) | (shared[1:] != shared[:-1])
         shared = np.concatenate((np.zeros(1, np.int32), np.cumsum(new, dtype=np.int32)))
@@ -294,9 +294,10 @@ def _decide(table: pa.Table) -> pa.Table:
     length = np.fromiter(map(len, known), np.int64, len(known))
     windows = length - LENGTH + 1
     begin = np.cumsum(windows) - windows
-    inside = np.arange(windows.sum()) - np.repeat(begin, windows)
-    at = np.repeat(np.cumsum(length) - length, windows) + inside
-    of = np.repeat(np.arange(len(known)), windows)
+    # A bucket's contexts are a few megabytes: 32 bits hold every position.
+    shift_of = np.repeat((np.cumsum(length) - length - begin).astype(np.int32), windows)
+    at = shift_of + np.arange(len(shift_of), dtype=np.int32)
+    of = np.repeat(np.arange(len(known), dtype=np.int32), windows)
     order, shared = equal_strings(flat, at)
     head = np.flatnonzero(np.concatenate(([True], shared[1:] != shared[:-1])))
     least = np.minimum.reduceat(first[of[order]], head)
