@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 from .base import blocks, bounded_batches, texts, total_bytes, with_least, written
 from .components import components
 
-CELL_BYTES = 16 << 20  # text bytes for each bucket of cells
+CELL_BYTES = 4 << 20  # text bytes for each bucket of cells
 CHUNK = 1 << 17  # shingles of one side of a comparison task
-TASK = 1 << 20  # shingles of small families that share a task
+TASK = 1 << 18  # shingles of small families that share a task
 PIVOTS = 8
 BROADCAST_ROWS = 500_000  # ids that may be sent to every task; more are joined by a shuffle
 GROWTH = 1.2  # of the size classes

@@ -121,6 +121,42 @@ SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, la
 FROM d LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+_SHINGLE_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+OP5_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SHINGLE_WORDS} AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+                                     WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+many AS (SELECT g FROM s GROUP BY g HAVING count(*) > 1),
+r AS (SELECT doc_id, g FROM s SEMI JOIN many USING (g)),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM r a JOIN r b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n u ON u.doc_id = x JOIN n v ON v.doc_id = y WHERE 100 * k >= 85 * (u.n + v.n - k)),
+l AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, c AS component_id
+FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS c FROM reach GROUP BY x) USING (doc_id)
+"""
+OP7_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, i, h[2 * i + 1 : 2 * i + 100] AS g FROM (SELECT doc_id, h, unnest(range(n - 49)) AS i FROM d WHERE n >= 50)),
+f AS (SELECT g, min(doc_id) AS least FROM w GROUP BY g),
+gone AS (SELECT doc_id, i FROM w JOIN f USING (g) WHERE least < doc_id),
+run AS (
+  SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS r
+  FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM gone)),
+span AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM run GROUP BY doc_id, r),
+gap AS (
+  SELECT doc_id, n, h, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS from_, a AS to_ FROM span JOIN d USING (doc_id)),
+kept AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+         string_agg(h[2 * from_ + 1 : 2 * to_], '' ORDER BY a) || any_value(h[2 * last + 1 :]) AS k
+  FROM (SELECT *, max(b) OVER (PARTITION BY doc_id) AS last FROM gap) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, cast(coalesce(n_removed, 0) AS bigint) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
@@ -133,4 +169,9 @@ QUERIES = {
     "op9_html_text": op9_html_text,
     "op10_quality_classifier": op10_quality_classifier,
 }
-ORACLES = {"op3_license_scan": OP3_SQL, "op6_quality_rules": OP6_SQL}
+ORACLES = {
+    "op3_license_scan": OP3_SQL,
+    "op5_ngram_jaccard": OP5_SQL,
+    "op6_quality_rules": OP6_SQL,
+    "op7_suffix_dedup": OP7_SQL,
+}
