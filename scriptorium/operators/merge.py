@@ -160,8 +160,11 @@ def attach_transcripts(talks: DataFrame, pivot: DataFrame) -> DataFrame:
     because a Python evaluation node hides that partitioning from the planner.
     """
     t = talks.withColumn("_key", py_strip(F.col("id")))
-    return t.join(pivot, t["_key"] == pivot["talk_id"], "left").withColumn(
-        "talk_id", F.col("_key")).drop("_key")
+    # Talks without an id match nothing; a key of their own keeps them out of one task.
+    alone = F.concat(F.lit("\u0001"), F.col("safe_name") if "safe_name" in talks.columns else F.uuid())
+    t = t.withColumn("_join", F.when(F.col("_key") == "", alone).otherwise(F.col("_key")))
+    return t.join(pivot, t["_join"] == pivot["talk_id"], "left").withColumn(
+        "talk_id", F.col("_key")).drop("_key", "_join")
 
 
 def finalize_merge(scored: DataFrame, params: MergeParams = MergeParams()) -> DataFrame:

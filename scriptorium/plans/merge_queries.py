@@ -12,7 +12,7 @@ from ..sources.tables import INSERTED, catalog_rows, edited_pairs, stage_transcr
 from ..sinks.json_docs import index_json_lines, talk_json
 from .catalog_queries import CATALOG_SQL, WS, strip_sql
 from .corpus_queries import TOKEN_RE2
-from .publish import publish
+from .publish import checkpointed, publish
 
 PARAMS = M.MergeParams()
 
@@ -77,8 +77,11 @@ def talk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def talk_index_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The index export: one compact JSON object per entry, in id order."""
-    return index_json_lines(_pub(spark, sf_dir).index)
+    """The index export: one compact JSON object per entry, in id order.
+
+    The sort samples its input, so it runs over the checkpointed index: over the
+    lazy merge it would score every pair twice."""
+    return index_json_lines(checkpointed(spark, _pub(spark, sf_dir).index))
 
 
 def edited_gate(spark: SparkSession, sf_dir: str) -> DataFrame:

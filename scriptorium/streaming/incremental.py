@@ -17,15 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.text import make_valid_utf8, universal_newlines
 from ..operators.corpus import with_token_sizes
 from ..session import scratch_path
 
 
 def text_file_stream(spark: SparkSession, directory: str, ext: str = ".txt") -> DataFrame:
-    """Whole-text file stream: (path, text), one row per new file."""
+    """Whole-text file stream: (path, text), one row per new file, sub-folders
+    included; text as the batch reader gives it (line breaks, invalid UTF-8)."""
     df = (spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", f"*{ext}")
-          .load(directory))
-    return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+          .option("recursiveFileLookup", True).load(directory))
+    return df.select(F.col("_metadata.file_path").alias("path"), universal_newlines(make_valid_utf8("value")).alias("text"))
 
 
 def parquet_stream(spark: SparkSession, path: str, like: DataFrame, max_files: int | None = None) -> DataFrame:
