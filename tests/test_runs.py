@@ -139,3 +139,49 @@ def test_unknown_keys_pass_through(spark, tmp_path):
     (tmp_path / "8.json").write_text("{broken", encoding="utf-8")
     with pytest.raises(Exception):
         read_talk_documents(spark, str(tmp_path)).collect()
+
+
+def test_text_stream_reads_what_the_batch_reads(spark, tmp_path):
+    from scriptorium.sources.text_files import read_text_corpus
+    from scriptorium.streaming.incremental import text_file_stream
+
+    (tmp_path / "in/sub").mkdir(parents=True)
+    (tmp_path / "in/a.txt").write_bytes(b"one\r\ntwo\rthree")
+    (tmp_path / "in/sub/b.txt").write_bytes(b"bad \xff byte")
+    out = str(tmp_path / "out")
+    (text_file_stream(spark, str(tmp_path / "in")).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck"))
+     .trigger(availableNow=True).start(out).awaitTermination())
+    stream = {r.path: r.text for r in spark.read.parquet(out).collect()}
+    assert stream == {r.path: r.text for r in read_text_corpus(spark, str(tmp_path / "in")).collect()} and len(stream) == 2
+
+
+def test_talks_without_id_keep_their_own_key(spark):
+    from scriptorium.operators import merge as M
+
+    talks = spark.createDataFrame([(" 1 ", "1"), ("", "missing-1"), ("  ", "missing-2")], "id string, safe_name string")
+    texts = spark.createDataFrame([("1", M.RAW_STAGE, "1.txt", 0, "hello"), ("", M.RAW_STAGE, ".txt", 0, "no")],
+                                  "talk_id string, stage string, file string, template_rank int, text string")
+    joined = M.attach_transcripts(talks, M.pivot_stages(texts, [M.RAW_STAGE]))
+    assert {(r.safe_name, r.talk_id, r.st_transcript_raw and r.st_transcript_raw.text) for r in joined.collect()} == {
+        ("1", "1", "hello"), ("missing-1", "", None), ("missing-2", "", None)}
+    plan = joined._jdf.queryExecution().toString()
+    assert "_join" in plan
+
+
+def test_a_cluster_must_name_its_checkpoint_folder(spark, monkeypatch):
+    from scriptorium import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
