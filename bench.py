@@ -31,6 +31,9 @@ HEADLINE = (
     "talk_index",
     "pair_scores_edited",
     "diff_spans_top",
+    "edited_gate",
+    "catalog_csv_talks",
+    "log_warnings",
     "log_latest",
     "version_compare",
     "top_regressions",
