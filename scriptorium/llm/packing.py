@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .base import bounded_batches, texts, total_bytes
 
 GROUP_BYTES = 128 << 20  # text bytes of a packing group
-KNOWN_WORDS = 2_000_000  # words that a task remembers
+KNOWN_WORDS = 1_000_000  # words that a task remembers
 
 
 @functools.lru_cache(maxsize=2)
