@@ -15,9 +15,11 @@ reaches ``percent``.  Every document gets the smallest id that links reach.
    and the range of set sizes.  The dual traversal drops a pair of nodes whose
    greatest possible overlap cannot reach the threshold, and pairs that are
    linked already; what is left is verified exactly.
-4. A family over ``CHUNK`` shingles is cut: first every chunk with a few
-   pivots; then only the sets outside the family's main class meet all chunks.
-   No task holds an unbounded family and no pairs are listed.
+4. A family over ``CHUNK`` shingles is first split by signatures alone: the
+   dual traversal of chunks of bitmaps keeps together what may link.  What is
+   still over it is cut: every chunk with a few pivots; then only the sets
+   outside the family's main class meet all chunks.  No task holds an unbounded
+   family and no pairs are listed.
 
 Cases: a null or empty text has an empty set, links with nothing and is its own
 class (a null id has a null class).  Fewer words than n make one shingle.  Rows
@@ -41,6 +43,8 @@ from .components import components
 CELL_BYTES = 4 << 20  # text bytes for each bucket of cells
 CHUNK = 1 << 17  # shingles of one side of a comparison task
 TASK = 1 << 18  # shingles of small families that share a task
+SIGNATURE = 1 << 13  # bits of the signatures that split a large family
+SIGNED_CHUNK = 4096  # documents of one side of a comparison of signatures
 PIVOTS = 8
 BROADCAST_ROWS = 500_000  # ids that may be sent to every task; more are joined by a shuffle
 GROWTH = 1.2  # of the size classes
@@ -272,11 +276,10 @@ class Forest:
 class Tree:
     """Signature tree over some of the sets: OR-combined bitmaps, size ranges and most collisions, level by level."""
 
-    def __init__(self, at: np.ndarray, sets: list[np.ndarray], maps: np.ndarray):
-        lead = np.asarray([sets[i][0] for i in at], np.uint64)  # similar sets often share their least hash
-        self.at = at[np.lexsort((np.asarray([len(sets[i]) for i in at]), lead))]
-        size = np.asarray([len(sets[i]) for i in self.at])
-        bits = maps[self.at]
+    def __init__(self, at: np.ndarray, size: np.ndarray, lead: np.ndarray, maps: np.ndarray):
+        """``at`` chooses rows; ``lead`` is each set's least hash, which similar sets often share."""
+        self.at = at[np.lexsort((size[at], lead[at]))]
+        size, bits = size[self.at], maps[self.at]
         lost = size - np.bitwise_count(bits).sum(1)
         self.levels = [(bits, size, size, lost)]
         step = LEAF
@@ -298,6 +301,11 @@ class Tree:
         return parent[real], child[real]
 
 
+def _mark(bitmap: np.ndarray, s: np.ndarray, width: int) -> None:
+    bit = s & np.uint64(width - 1)
+    np.bitwise_or.at(bitmap, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+
+
 def _possible(link: Link, a, b, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Whether nodes ``i`` of level ``a`` and ``j`` of level ``b`` may hold a link."""
     overlap = np.bitwise_count(a[0][i] & b[0][j]).sum(1) + np.minimum(a[3][i], b[3][j])
@@ -341,10 +349,11 @@ def linked(link: Link, sets: list[np.ndarray], left: np.ndarray, right: np.ndarr
     width = min(width, 1 << 15)
     maps = np.zeros((len(sets), width // 64), np.uint64)
     for i in every:
-        bit = sets[i] & np.uint64(width - 1)
-        np.bitwise_or.at(maps[i], (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
-    x = Tree(left, sets, maps)
-    y = x if right is None else Tree(right, sets, maps)
+        _mark(maps[i], sets[i], width)
+    size = np.asarray([len(s) for s in sets])
+    lead = np.asarray([s[0] if len(s) else 0 for s in sets], np.uint64)
+    x = Tree(left, size, lead, maps)
+    y = x if right is None else Tree(right, size, lead, maps)
     held: dict[int, set[int]] = {}
 
     def own(i: int) -> set[int]:
@@ -387,6 +396,68 @@ def _compare(link: Link):
     return run
 
 
+_SIGNED = "doc_id long, family long, n int, lead long, bitmap binary"
+
+
+def _signatures(words: int):
+    """Members of families to signatures of a set width."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(words)
+        for table in blocks(batches):
+            sets = shingles.of(table["text"].cast(pa.binary()).to_pylist())
+            maps = np.zeros((len(sets), SIGNATURE // 64), np.uint64)
+            for bitmap, own in zip(maps, sets, strict=True):
+                _mark(bitmap, own, SIGNATURE)
+            lead = np.asarray([own[0] if len(own) else 0 for own in sets], np.uint64).view(np.int64)
+            out = table.select(["doc_id", "family"]).append_column("n", pa.array([len(own) for own in sets], pa.int32()))
+            out = out.append_column("lead", pa.array(lead)).append_column("bitmap", pa.array([m.tobytes() for m in maps], pa.binary()))
+            yield from out.to_batches(max_chunksize=4096)
+
+    return run
+
+
+def _may_link(link: Link):
+    """One pair of chunks of a family: a spanning forest of the pairs whose signatures allow a link."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, size = np.asarray(table["doc_id"]), np.asarray(table["n"]).astype(np.int64)
+        lead = np.asarray(table["lead"]).view(np.uint64)
+        maps = np.frombuffer(b"".join(table["bitmap"].to_pylist()), np.uint64).reshape(len(ids), -1)
+        side, forest = np.asarray(table["side"]), Forest(len(ids))
+        low, high = np.flatnonzero((side == 0) & (size > 0)), np.flatnonzero((side == 1) & (size > 0))
+        if len(low) and (len(high) or not side.any()):
+            x = Tree(low, size, lead, maps)
+            y = Tree(high, size, lead, maps) if len(high) else x
+            for a, b in _candidates(link, x, y, x is y):
+                for i, j in zip(a.tolist(), b.tolist(), strict=True):
+                    if forest.find(i) != forest.find(j):
+                        forest.join(i, j)
+        up = np.asarray([forest.find(k) for k in range(len(ids))])
+        own = np.flatnonzero(up != np.arange(len(ids)))
+        return pa.table({"a": pa.array(ids[own], pa.int64()), "b": pa.array(ids[up[own]], pa.int64())})
+
+    return run
+
+
+def _refined(docs: DataFrame, large: DataFrame, link: Link) -> DataFrame:
+    """(doc_id, family, n) of large families, split by their sets' signatures.
+
+    Sets that link always allow it by their signatures, so they stay together;
+    a set without any such partner links with nothing and leaves.
+    """
+    names = large.select("doc_id", "family").distinct()
+    signed = written(_with_texts(docs, names).select("doc_id", "family", "text").mapInArrow(_signatures(link.words), _SIGNED), "jaccard-signatures")
+    chunks = signed.groupBy("family").agg(F.ceil(F.count("*") / SIGNED_CHUNK).cast("int").alias("chunks"))
+    dealt = signed.join(chunks, "family").withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(3)), "chunks").cast("int"))
+    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    task = F.xxhash64("family", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("task")
+    rows = other.select(task, "doc_id", "n", "lead", "bitmap", (F.col("chunk") > F.col("other")).cast("int").alias("side"))
+    edges = rows.groupBy("task").applyInArrow(_may_link(link), "a long, b long")
+    roots = components(edges, "jaccard-refined").select(F.col("id").alias("doc_id"), F.col("root").alias("family"))
+    return roots.join(large.groupBy("doc_id").agg(F.max("n").alias("n")), "doc_id")
+
+
 def _with_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
     """``members`` (doc_id, ...) with their texts."""
     few = members.count() <= BROADCAST_ROWS
@@ -428,18 +499,28 @@ def classes_of(docs: DataFrame, link: Link = Link()) -> DataFrame:
 
 def _links(docs: DataFrame, members: DataFrame, link: Link) -> DataFrame:
     """Edges of a spanning forest of the links inside the families."""
-    edges = "a long, b long"
-    total = members.groupBy("family").agg(F.sum("n").alias("total"))
-    sized = members.join(total, "family")
-    small = sized.where(F.col("total") <= CHUNK)
+    sized = members.join(members.groupBy("family").agg(F.sum("n").alias("total")), "family")
+    small, large = (sized.where(F.col("total") <= CHUNK), sized.where(F.col("total") > CHUNK))
+    if large.isEmpty():
+        return _small(docs, small, link)
+    fine = written(_refined(docs, large, link), "jaccard-fine")
+    fine = fine.join(fine.groupBy("family").agg(F.sum("n").alias("total")), "family")
+    out = _small(docs, small.unionByName(fine.where(F.col("total") <= CHUNK)), link)
+    large = fine.where(F.col("total") > CHUNK)
+    return out if large.isEmpty() else out.unionByName(_large(docs, large, link))
+
+
+def _small(docs: DataFrame, small: DataFrame, link: Link) -> DataFrame:
+    """Edges inside families that fit a task; a task takes several."""
     tasks = int(small.agg(F.sum("n")).first()[0] or 0) // TASK + 1
     null = F.lit(None).cast("long").alias("root")
     one = small.select("doc_id", F.pmod(F.xxhash64("family"), F.lit(tasks)).alias("task"), F.col("family").alias("unit"), F.lit(0).alias("side"), null)
-    out = _with_texts(docs, one).groupBy("task").applyInArrow(_compare(link), edges)
-    large = sized.where(F.col("total") > CHUNK)
-    if large.isEmpty():
-        return out
+    return _with_texts(docs, one).groupBy("task").applyInArrow(_compare(link), "a long, b long")
+
 
+def _large(docs: DataFrame, large: DataFrame, link: Link) -> DataFrame:
+    """Edges inside families that are cut: chunks and pivots, then what is outside the main class with all chunks."""
+    edges, null = "a long, b long", F.lit(None).cast("long").alias("root")
     chunks = F.ceil(F.col("total") / CHUNK).cast("int").alias("chunks")
     cut = written(large.select("doc_id", "family", "n", chunks).withColumn("chunk", F.pmod(F.xxhash64("doc_id"), "chunks").cast("int")), "jaccard-chunks")
     order = Window.partitionBy("family").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")
@@ -462,7 +543,7 @@ def _links(docs: DataFrame, members: DataFrame, link: Link) -> DataFrame:
     high = rest.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("side", F.lit(2))
     names = ["doc_id", F.xxhash64("family", "chunk", "part").alias("task"), F.xxhash64("family", "chunk", "part").alias("unit"), "side", "root"]
     second = low.select(*names).unionByName(high.select(*names))
-    return out.unionByName(found).unionByName(_with_texts(docs, second).groupBy("task").applyInArrow(_compare(link), edges))
+    return found.unionByName(_with_texts(docs, second).groupBy("task").applyInArrow(_compare(link), edges))
 
 
 def first_of_class(docs: DataFrame, link: Link = Link()) -> DataFrame:

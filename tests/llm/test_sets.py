@@ -68,6 +68,7 @@ def test_ngram_jaccard(docs, rows, empty):
 
 def test_large_families_are_cut(docs, rows, monkeypatch):
     monkeypatch.setattr(ngram_jaccard, "CHUNK", 300)
+    monkeypatch.setattr(ngram_jaccard, "SIGNED_CHUNK", 7)
     link = ngram_jaccard.Link(words=5, percent=80)
     want = _classes(rows, 5, 80)
     assert {r.doc_id: r.component_id for r in ngram_jaccard.classes_of(docs, link).collect()} == {d: c for d, (_, c) in want.items()}
