@@ -356,6 +356,19 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def _merged(spans):
+    """Sorted spans with touching ones joined: a few per document, whatever the number of marks."""
+    pair = "struct<start:long,stop:long>"
+    state = f"struct<start:long,stop:long,out:array<{pair}>>"
+    none = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("stop"), F.array().alias("out")).cast(state)
+    closed = lambda acc: F.when(acc["stop"] < 0, acc["out"]).otherwise(
+        F.concat(acc["out"], F.array(F.struct(acc["start"], acc["stop"]).cast(pair))))
+    step = lambda acc, s: F.when(
+        s["start"] <= acc["stop"], F.struct(acc["start"].alias("start"), F.greatest(acc["stop"], s["stop"]).alias("stop"), acc["out"].alias("out"))
+    ).otherwise(F.struct(s["start"].alias("start"), s["stop"].alias("stop"), closed(acc).alias("out"))).cast(state)
+    return F.aggregate(F.sort_array(spans), none, step, closed)
+
+
 def _sent(lists: DataFrame, size) -> DataFrame:
     """Send a checked small list of documents to every task; join a larger one by a shuffle."""
     return F.broadcast(lists) if int(lists.agg(F.sum(size)).first()[0] or 0) <= SENT_BYTES else lists
@@ -394,7 +407,7 @@ def deduplicated(table: DataFrame, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     bounded_batches(table.sparkSession)
     docs = texts(table, "doc_id")
-    found = spans(docs, hot).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    found = spans(docs, hot).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans")).withColumn("spans", _merged(F.col("spans")))
     found = written(found, "suffix-spans")
     keyed = docs.withColumn("digest", F.xxhash64("text")).join(_sent(found, (16 * F.size("spans") + 32).cast("long")), ["doc_id", "digest"], "left")
     return keyed.select("doc_id", "text", "spans").mapInArrow(_remove, _OUT)
