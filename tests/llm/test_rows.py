@@ -100,6 +100,52 @@ def test_license_scan(docs, rows, empty):
     assert license_scan.scanned(empty).count() == 0
 
 
+def test_license_notices_wrapped_and_edited(spark):
+    notice = {label: text for label, text, _ in license_scan.NOTICES}  # the whole notice where there is one
+    wrap = lambda text, n: "\n".join(" ".join(text.split()[i:i + n]) for i in range(0, len(text.split()), n))
+    cases = [
+        (wrap(license_scan.TEMPLATES[1][1], 7), "mit"), (wrap(license_scan.TEMPLATES[12][1], 5), "bsd"), (wrap(license_scan.TEMPLATES[14][1], 9), "mpl"),
+        ("Licensed under the GNU Lesser General\nPublic License, version 3.", "gpl,lgpl"), ("Licensed under CC BY-NC 3.0.", "cc-by-nc"),
+        ("Licensed under CC BY\n4.0. Licensed under CC BY-NC\n4.0.", "cc-by,cc-by-nc"), ("a All rights\nreserved. b", "reserved"),
+        *((f"x y {wrap(notice[k], 9)} z", k) for k in ("mit", "bsd", "mpl", "unlicense")),
+        (wrap(notice["mit"].replace("sublicense", "sublicense, rent").replace("holders", "owners").replace("Permission is hereby", "Permission is"), 11), "mit"),
+        (wrap(notice["bsd"].replace("must retain", "should keep"), 8), "bsd"), (wrap(notice["lgpl"], 10), "gpl,lgpl"),
+        # Another licence with most of the words, and words that stand too far apart.
+        ("Permission is hereby granted, free of charge, to any person or organization obtaining\na copy of the software and accompanying documentation covered by this license", ""),
+        ("all " + "word " * 20 + "rights\n" + "word " * 20 + "reserved", ""), ("Licensed under CC BY-SA 4.0", "cc-by-sa"),
+    ]
+    got = {r.doc_id: r for r in license_scan.scanned(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()}
+    assert [got[i].labels for i in range(len(cases))] == [labels for _, labels in cases]
+    assert got[4].score == 6 / 7
+
+
+def test_license_windows_against_brute_force():
+    rnd, notices = __import__("random").Random(7), license_scan.Notices(license_scan.NOTICES, {})
+    texts = [license_scan.words_of(t) for _, t, _ in license_scan.NOTICES]
+    for _ in range(120):
+        words = []
+        for _ in range(3):
+            part = list(rnd.choice(texts))
+            for _ in range(rnd.randint(0, max(1, len(part) // 4))):
+                at = rnd.randrange(len(part))
+                part[at:at + 1] = rnd.choice([[], ["x"], [part[at], "y"]])
+                part = part or ["x"]
+            words += part + ["z"] * rnd.randint(0, 6)
+        met = []
+        for k, (label, text, keys) in enumerate(license_scan.NOTICES):
+            own, length = set(license_scan.words_of(text)), license_scan.window_words(text)
+            for i in range(len(words)):
+                at = [j for j in range(i, min(i + length, len(words))) if words[j] in own]
+                shared = {words[j] for j in at}
+                if words[i] in own and set(keys.split()) <= shared and 100 * len(shared) >= license_scan.NOTICE_THRESHOLD * len(own):
+                    met.append((k, label, i, at[-1] + 1, shared, len(shared) / len(own)))
+        want = {}
+        for k, label, a, b, shared, share in met:
+            if not any(j != k and c <= a and b <= d and shared < other for j, _, c, d, other, _ in met):
+                want[label] = max(share, want.get(label, 0))
+        assert notices.best(words) == want
+
+
 PAGE = (
     '<html><head><title>No</title><style>p{}</style></head><body><nav><a href="/a">Home</a></nav><div class="cookie-notice">We use cookies on this site</div>'
     '<article><h1>Title &amp; more</h1><p><b>Short.<br><p>A  long\n paragraph&nbsp;with <a href="x">a link</a><script>if (a < b) {"</p>"}</script>'
