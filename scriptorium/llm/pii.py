@@ -4,14 +4,18 @@ Only DataFrame functions run.  Positions come from splitting a text by a
 pattern: the pieces between the matches give every match's start.
 
 1. ``spans_of_text`` finds the base spans of the four kinds in the whole text.
-2. ``mentions`` lists words that look like identifiers, each with the words
-   around it.  A mention that starts at a base span is a seed of its kind.
+2. ``mentions`` lists words, and digit groups set apart by blanks, that look like
+   identifiers, each with the words before it.  A mention in which a base span
+   starts is a seed of its kind.
 3. ``induced`` scores the graph of contexts (patterns) and values (instances)
-   in rounds: a pattern's confidence in a kind is the share of its distinct
-   values that carry it, an instance's is the noisy-or of its patterns.
-   Values over the threshold are identifiers that no base pattern names.
-
-Only contexts that hold a seed enter the graph.  Edges are pre-aggregated to
+   in rounds: a pattern's confidence in a kind is the share of that kind among
+   its distinct labelled values and those that can be no identifier (values that
+   nobody has labelled yet speak neither for nor against it), an instance's is
+   the noisy-or of its patterns.  Values over the threshold are identifiers that
+   no base pattern names; they label contexts in turn, until nothing new passes.
+
+Only contexts that could pass if all their identifier-like values were of one
+kind, and have one to reveal, enter the graph.  Edges are pre-aggregated to
 distinct (pattern, value) before they are shuffled, sums combine on the map
 side, and the joins are plain equi-joins that adaptive execution can split, so
 one frequent context does not fill one task.
@@ -45,6 +49,8 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
 MENTION = r"\+[0-9][\x20().0-9-]+[0-9]|(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+# Two or more groups of digits with single blanks between them.
+GROUPS = r"(?<!\S)\(?[0-9][0-9().-]*+(?:\x20\(?[0-9][0-9().-]*+)+(?![^\s,;:!?\"'\])}>»”])"
 EDGE = r"^[(\[{<\"'«“]*(.*?)[)\]}>\"'»”.,;:!?]*$"
 
 
@@ -52,8 +58,7 @@ EDGE = r"^[(\[{<\"'«“]*(.*?)[)\]}>\"'»”.,;:!?]*$"
 class Induction:
     """How strict the bootstrapping is."""
 
-    rounds: int = 2
-    support: float = 3.0  # distinct seed values that a pattern needs
+    support: float = 3.0  # distinct labelled values that a pattern needs
     pattern_confidence: float = 0.8
     instance_confidence: float = 0.8
     min_digits: int = 6  # an induced identifier has an @ or so many digits
@@ -117,7 +122,7 @@ def digest(spans: Column) -> Column:
 
 
 def _mentions_of(text: Column, base: Column) -> Column:
-    """Words with a digit or an @, without the marks around them, and their left context."""
+    """Words with a digit or an @, and spaced digit groups, without the marks around them, and their left context."""
 
     def clean(m: Column) -> Column:
         inner = F.regexp_extract(m["value"], EDGE, 1)
@@ -139,7 +144,8 @@ def _mentions_of(text: Column, base: Column) -> Column:
         )
 
     # A word of one sign only is no identifier.
-    found = F.filter(F.transform(_located(text, MENTION, F.lit("")), clean), lambda m: F.length(m["value"]) >= 5)
+    every = F.concat(_located(text, MENTION, F.lit("")), F.when(text.rlike(GROUPS), _located(text, GROUPS, F.lit(""))).otherwise(F.array()))
+    found = F.filter(F.transform(every, clean), lambda m: F.length(m["value"]) >= 5)
     every = F.transform(found, labelled)
     return F.filter(every, lambda m: m["seed"].isNotNull() | ~m["taken"])
 
@@ -175,35 +181,56 @@ def induced(found: DataFrame, how: Induction = Induction()) -> DataFrame:
     """(row, kind, start, stop) of identifiers that the contexts of the seeds reveal."""
     one = found.select("row", F.explode("mentions").alias("m")).select("row", "m.*")
     each = one.withColumn("pattern", F.explode(_patterns(F.col("before"), F.col("value"))))
-    edges = each.groupBy("pattern", "value").agg(F.max("seed").alias("seed"))
-    seeded = edges.groupBy("pattern").agg(F.count("seed").alias("n_seeds"), F.count("*").alias("n"))
-    live = seeded.where((F.col("n_seeds") >= how.support) & (F.col("n") > F.col("n_seeds"))).select("pattern", "n")
-    graph = written(edges.join(live, "pattern"), "pii-graph")
-
-    weight = F.lit(1.0).alias("score")
-    known = graph.where("seed is not null").select("value", F.col("seed").alias("kind"), weight).distinct()
-    scores = known
-    for _ in range(how.rounds):
+    like_id = F.contains(F.col("value"), F.lit("@")) | (F.length(_digits(F.col("value"))) >= how.min_digits)
+    edges = each.groupBy("pattern", "value").agg(F.max("seed").alias("seed")).withColumn("may", F.col("seed").isNotNull() | like_id)
+    counts = edges.groupBy("pattern").agg(
+        F.count_if("may").alias("n_may"), F.count_if(~F.col("may")).alias("n_none"), F.count_if(F.col("may") & F.col("seed").isNull()).alias("n_free")
+    )
+    live = counts.where(
+        (F.col("n_free") > 0) & (F.col("n_may") > how.support) & (F.col("n_may") >= how.pattern_confidence * (F.col("n_may") + F.col("n_none")))
+    )
+    graph = written(edges.where("may").drop("may").join(live.select("pattern", "n_none"), "pattern"), "pii-graph")
+
+    known = graph.where("seed is not null").select("value", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
+    order = Window.partitionBy("value").orderBy(F.desc("score"), F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")))
+    best, n_best = None, 0
+    while True:
+        scores = known if best is None else known.unionByName(best.join(known, "value", "left_anti"))
+        sums = graph.join(scores, "value").groupBy("pattern").agg(
+            F.first("n_none").alias("n_none"), *[F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)).alias(k) for k in KINDS]
+        )
+        share = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("s")) for k in KINDS]))
         strong = (
-            graph.join(scores, "value").groupBy("pattern", "kind")
-            .agg(F.sum("score").alias("s"), F.first("n").alias("n"))
-            .where((F.col("s") >= how.support) & (F.col("s") >= how.pattern_confidence * F.col("n")))
+            sums.select("pattern", (sum(map(F.col, KINDS)) + F.col("n_none")).alias("n"), share.alias("own")).select("pattern", "n", "own.*")
+            .where((F.col("s") >= how.support - 1e-9) & (F.col("s") >= how.pattern_confidence * F.col("n") - 1e-9))
             .select("pattern", "kind", (F.col("s") / F.col("n")).alias("confidence"))
         )
         miss = F.exp(F.sum(F.log(F.lit(1.0000001) - F.col("confidence"))))
         fresh = (
             graph.where("seed is null").select("pattern", "value").join(strong, "pattern")
-            .groupBy("value", "kind").agg((1 - miss).alias("score"))
+            .groupBy("value", "kind").agg(F.round(1 - miss, 6).alias("score")).where(F.col("score") >= how.instance_confidence)
+            .withColumn("rank", F.row_number().over(order)).where("rank = 1").drop("rank")
         )
-        scores = known.unionByName(fresh)
-    like_id = F.contains(F.col("value"), F.lit("@")) | (F.length(_digits(F.col("value"))) >= how.min_digits)
-    order = Window.partitionBy("value").orderBy(F.desc("score"), F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")))
-    best = (
-        fresh.where((F.col("score") >= how.instance_confidence) & like_id)
-        .withColumn("rank", F.row_number().over(order)).where("rank = 1").select("value", "kind")
-    )
+        # A value keeps the kind with which it passed, so every round but the last adds one and the rounds end.
+        best = written(fresh if best is None else best.unionByName(fresh.join(best, "value", "left_anti")), "pii-labels")
+        now = best.count()
+        if now == n_best:
+            break
+        n_best = now
     free = one.where("seed is null").select("row", "value", "start", "stop")
-    return free.join(best, "value").select("row", "kind", "start", "stop").distinct()
+    return free.join(best.select("value", "kind"), "value").select("row", "kind", "start", "stop").distinct()
+
+
+def _outermost(spans: Column) -> Column:
+    """Spans by start that lie in no other one: a word may also stand in a group of words."""
+    state = "struct<at:int,out:array<struct<rank:int,start:int,stop:int,kind:string>>>"
+    empty = F.struct(F.lit(-1).alias("at"), F.array().alias("out")).cast(state)
+    by_start = F.array_sort(spans, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["stop"] - a["stop"]))
+    return F.aggregate(
+        by_start, empty,
+        lambda acc, s: F.when(s["stop"] > acc["at"], F.struct(s["stop"].alias("at"), F.concat(acc["out"], F.array(s)).alias("out")).cast(state)).otherwise(acc),
+        lambda acc: acc["out"],
+    )
 
 
 def detected(docs: DataFrame, how: Induction = Induction()) -> DataFrame:
@@ -212,7 +239,7 @@ def detected(docs: DataFrame, how: Induction = Induction()) -> DataFrame:
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     more = induced(found, how).groupBy("row").agg(
         F.collect_list(F.struct(rank.cast("int").alias("rank"), "start", "stop", "kind")).alias("more")
-    )
+    ).withColumn("more", _outermost(F.col("more")))
     ranked = lambda s: F.struct(
         F.array_position(F.array(*map(F.lit, KINDS)), s["kind"]).cast("int").alias("rank"),
         s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"),

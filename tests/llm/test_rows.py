@@ -68,6 +68,35 @@ def test_pii_contexts_reveal_identifiers(spark):
     assert pii.masked(docs).count() == docs.count()
 
 
+def test_pii_bootstrapping_goes_on_from_what_it_finds(spark):
+    texts, want = [], {}
+
+    def add(text, found=None, kind="phone"):
+        if found:
+            want[len(texts)] = [(kind, text.index(found), text.index(found) + len(found))]
+        texts.append(text)
+
+    for i in range(4):
+        add(f"please call me at +1 (4{i:02d}) 555-24{i:02d} now", f"+1 (4{i:02d}) 555-24{i:02d}")
+        add(f"kindly dial +1 (5{i:02d}) 555-24{i:02d} today", f"+1 (5{i:02d}) 555-24{i:02d}")
+        add(f"reach us via +1 (6{i:02d}) 555-24{i:02d} or", f"+1 (6{i:02d}) 555-24{i:02d}")
+        add(f"reach us via a{i}@example.org or", f"a{i}@example.org", "email")
+    for i in range(10):
+        add(f"please call me at 555-123-45{i:02d} now", f"555-123-45{i:02d}")  # more unseen values than seeds
+        add(f"kindly dial 030 123 45{i:02d} today", f"030 123 45{i:02d}")  # spaced groups
+        add(f"reach us via 888-123-45{i:02d} or")  # a context of two kinds
+        add(f"the invoice has number 99-{i}-777-22 in it")  # no labelled value
+    for i in range(4):
+        add(f"my desk line is 555-123-45{i:02d} here", f"555-123-45{i:02d}")  # what the first hop found
+        add(f"my desk line is 77{i}.88.99 here", f"77{i}.88.99")  # second hop
+        add(f"and fax it to 77{i}.88.99 please", f"77{i}.88.99")
+        add(f"and fax it to 1234567{i} please", f"1234567{i}")  # third hop
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: [tuple(s) for s in r.spans] for r in pii.detected(docs).collect() if r.spans} == want
+    masked = {r.doc_id: r.text for r in pii.masked(docs).collect()}
+    assert masked[17] == "kindly dial [PHONE] today"
+
+
 def test_token_counts(docs, rows, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
