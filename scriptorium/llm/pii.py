@@ -131,8 +131,8 @@ def _mentions_of(text: Column, base: Column) -> Column:
             start.alias("start"),
             (start + F.length(inner)).alias("stop"),
             inner.alias("value"),
-            # The last words of the gap; a blank gap follows another mention.
-            F.lower(F.right(m["before"], F.lit(80))).alias("before"),
+            # The last two whole words of the gap, found from its end; a blank gap follows another mention.
+            F.lower(F.reverse(F.regexp_extract(F.reverse(m["before"]), r"^\s*+(\S++(?:\s++\S++)?+)", 1))).alias("before"),
         )
 
     def labelled(m: Column) -> Column:

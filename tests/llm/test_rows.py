@@ -97,6 +97,14 @@ def test_pii_bootstrapping_goes_on_from_what_it_finds(spark):
     assert masked[17] == "kindly dial [PHONE] today"
 
 
+def test_pii_context_words_are_whole(spark):
+    long = "https://example.org/" + "x" * 100
+    seeds = [(i, f"see {long} at +1 (4{i:02d}) 555-24{i:02d} now") for i in range(4)]
+    new = [(10, f"see {long}  at 555-123-4567 now"), (11, f"see {long}\nat\n555-123-4568 now"), (12, f"see {long.replace('org', 'com')} at 555-123-4569 now")]
+    found = {r.doc_id: len(r.spans) for r in pii.detected(spark.createDataFrame(seeds + new, "doc_id long, text string")).collect()}
+    assert found == {0: 1, 1: 1, 2: 1, 3: 1, 10: 1, 11: 1, 12: 0}
+
+
 def test_token_counts(docs, rows, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
