@@ -82,7 +82,7 @@ def runs_of(values: np.ndarray) -> np.ndarray:
 
 
 _NAME = 4  # bytes of an anchor's name inside its bucket
-_BRIEF = 3  # and inside a document; a chance hit is only a candidate
+_BRIEF = 3  # and inside a document; a chance hit is only a candidate, on every path whose list it hits
 
 
 def _short(values: np.ndarray, width: int = _NAME) -> bytes:
@@ -160,8 +160,12 @@ def _repeated(most: int):
 _LISTS = "doc_id long, digest long, names binary, hot binary"
 
 
-def _per_document(table: pa.Table) -> pa.Table:
+def _per_document(brief: int):
     """One block: the repeated anchors of each of its documents."""
+    return lambda table: _lists_of(table, brief)
+
+
+def _lists_of(table: pa.Table, brief: int) -> pa.Table:
     rows = table.to_pylist()
     head = next(r for r in rows if r["bucket"] < 0)
     out: dict[int, list[bytes]] = {}
@@ -175,7 +179,7 @@ def _per_document(table: pa.Table) -> pa.Table:
         names, docs = names[order], docs[order]
         first = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
         for a, b in zip(first, np.append(first[1:], len(docs)), strict=True):
-            out.setdefault(int(docs[a]), [b"", b""])[hot] = _short(names[a:b], _BRIEF)
+            out.setdefault(int(docs[a]), [b"", b""])[hot] = _short(names[a:b], brief)
     at = list(out)
     return pa.table({
         "doc_id": pa.array([head["ids"][k] for k in at], pa.int64()), "digest": pa.array([head["digests"][k] for k in at], pa.int64()),
@@ -193,11 +197,11 @@ def _cut_batch(columns: dict, size: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(size, t) for c, t in zip(_CUT_NAMES, _CUT_TYPES, strict=True)], names=_CUT_NAMES)
 
 
-def _contexts(buckets: int):
+def _contexts(buckets: int, brief: int):
     """Documents with their repeated anchors to marks, packed contexts and hot contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low_bits = np.uint64((1 << 8 * _BRIEF) - 1)
+        low_bits = np.uint64((1 << 8 * brief) - 1)
         for table in blocks(batches, limit=BLOCK_BYTES):
             rows = table.select(["doc_id", "digest", "names", "hot"]).to_pylist()
             own = _bytes(table)
@@ -213,11 +217,12 @@ def _contexts(buckets: int):
                 last = np.append(first[1:], len(values))
                 key = values[first]
                 low = key & low_bits
-                hot = np.isin(low, _long(row["hot"], _BRIEF))
-                live = hot | np.isin(low, _long(row["names"], _BRIEF))
+                # A short name in both lists may be of either: all documents must send a string on the path of its anchor.
+                hot, cold = np.isin(low, _long(row["hot"], brief)), np.isin(low, _long(row["names"], brief))
+                live = hot | cold
                 bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 mark = None
-                for a, b, bk, is_hot in zip(first[live].tolist(), last[live].tolist(), bucket[live].tolist(), hot[live].tolist(), strict=True):
+                for a, b, bk, is_hot, is_cold in zip(first[live].tolist(), last[live].tolist(), bucket[live].tolist(), hot[live].tolist(), cold[live].tolist(), strict=True):
                     context = data[a : b + LENGTH - 1]
                     earlier = seen.setdefault(context, doc)
                     if earlier < doc:
@@ -227,9 +232,10 @@ def _contexts(buckets: int):
                             if mark:
                                 marks.append(tuple(mark))
                             mark = [doc, digest, a, b + LENGTH - 1]
-                    elif is_hot:
+                        continue
+                    if is_hot:
                         hots.append((doc, digest, a, context))
-                    else:
+                    if is_cold:
                         pack = packs.setdefault(bk, [[], [], [], []])
                         for to, value in zip(pack, (doc, digest, a, context), strict=True):
                             to.append(value)
@@ -382,7 +388,7 @@ def _copies(docs: DataFrame) -> DataFrame:
     return with_least(each, ["digest", "check", "stop"], "doc_id", "first").where("first < doc_id").select("doc_id", "digest", "stop").distinct()
 
 
-def spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def spans(docs: DataFrame, hot: int = HOT, brief: int = _BRIEF) -> DataFrame:
     """(doc_id, digest, start, stop): removable spans, which may overlap, of the documents (doc_id, text)."""
     buckets = total_bytes(docs) // ANCHOR_BYTES + 8
     copies = written(_copies(docs), "suffix-copies")
@@ -392,22 +398,22 @@ def spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     # A block's list of documents goes along under a key of its own.
     key = F.when(F.col("bucket") < 0, -1 - F.col("block")).otherwise(F.col("bucket"))
     kept = found.groupBy(key.alias("key")).applyInArrow(_repeated(hot), _ROWS)
-    lists = kept.groupBy("block").applyInArrow(_per_document, _LISTS).groupBy("doc_id", "digest")
+    lists = kept.groupBy("block").applyInArrow(_per_document(brief), _LISTS).groupBy("doc_id", "digest")
     lists = written(lists.agg(F.first("names").alias("names"), F.first("hot").alias("hot")), "suffix-lists")
     size = (F.octet_length("names") + F.octet_length("hot")).cast("long")
-    groups = int(lists.agg(F.sum(size)).first()[0] or 0) * 60 // _BRIEF // CONTEXT_BYTES + 8  # a name stands for a context of about 60 bytes
-    cuts = keyed.join(_sent(lists, size + 32), ["doc_id", "digest"]).select("doc_id", "digest", "text", "names", "hot").mapInArrow(_contexts(groups), _CUTS)
+    groups = int(lists.agg(F.sum(size)).first()[0] or 0) * 60 // brief // CONTEXT_BYTES + 8  # a name stands for a context of about 60 bytes
+    cuts = keyed.join(_sent(lists, size + 32), ["doc_id", "digest"]).select("doc_id", "digest", "text", "names", "hot").mapInArrow(_contexts(groups, brief), _CUTS)
     marks = written(cuts.groupBy("bucket").applyInArrow(_decide, _MARKS), "suffix-marks")
     whole = copies.where(F.col("stop") >= LENGTH).select("doc_id", "digest", F.lit(0).cast("long").alias("start"), "stop")
     common = _hot_marks(marks.where(F.col("kind") == _HOT).drop("kind", "stop"))
     return marks.where(F.col("kind") == _MARK).select("doc_id", "digest", "start", "stop").unionByName(whole).unionByName(common)
 
 
-def deduplicated(table: DataFrame, hot: int = HOT) -> DataFrame:
+def deduplicated(table: DataFrame, hot: int = HOT, brief: int = _BRIEF) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     bounded_batches(table.sparkSession)
     docs = texts(table, "doc_id")
-    found = spans(docs, hot).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans")).withColumn("spans", _merged(F.col("spans")))
+    found = spans(docs, hot, brief).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans")).withColumn("spans", _merged(F.col("spans")))
     found = written(found, "suffix-spans")
     keyed = docs.withColumn("digest", F.xxhash64("text")).join(_sent(found, (16 * F.size("spans") + 32).cast("long")), ["doc_id", "digest"], "left")
     return keyed.select("doc_id", "text", "spans").mapInArrow(_remove, _OUT)

@@ -143,6 +143,17 @@ def test_suffix_dedup_equal_ids(spark):
     assert Counter(map(tuple, got.collect())) == _removed(rows)
 
 
+def test_suffix_dedup_short_names_of_both_paths(spark):
+    rnd = random.Random(11)
+    noise = lambda n: "".join(rnd.choice("abcdefghijklmnop ") for _ in range(n))
+    common, shared = noise(400), [noise(60) for _ in range(40)]
+    mixed = lambda: "".join(s + noise(30) for s in shared)
+    # Anchors of ``common`` are hot, those of ``shared`` are not; document 1 holds both, document 9 only the latter.
+    rows = [(1, common + mixed()), (9, mixed()), *((i, noise(60) + common) for i in range(2, 8))]
+    got = suffix_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), 3, brief=1)
+    assert Counter(map(tuple, got.collect())) == _removed(rows)
+
+
 def test_packing(docs, rows, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
