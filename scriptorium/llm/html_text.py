@@ -2,8 +2,8 @@
 
 A page becomes a flat list of text blocks.  A block's features are its word
 count and link density, those of the blocks before and after it, and where it
-stands (inside an article, inside a part that is named as page furniture).  A
-small decision tree, grown here from the labelled table ``LABELLED``, tells
+stands (inside an article, inside a part that is named as page furniture, and
+which share of the page's plain words the article has).  A small decision tree, grown here from the labelled table ``LABELLED``, tells
 main text from the rest.
 
 Pages are worked on where they are read; nothing is shuffled.
@@ -41,6 +41,14 @@ FURNITURE_NAMES = (
     "dropdown footer header hidden login masthead menu modal nav navbar navigation newsletter notice overlay pager pagination popup promo "
     "recommended related replies reply search share sidebar signup skip social sponsor sponsored subscribe tags toc toolbar widget"
 ).split()
+# Elements that may stay open: what a start tag ends, up to the first of some elements around it.
+_ROWS = (frozenset(("tr", "td", "th")), frozenset(("table",)))
+_CELLS = (frozenset(("td", "th")), frozenset(("tr", "table")))
+_TERMS = (frozenset(("dt", "dd")), frozenset(("dl", "article", "section", "main", "aside", "table")))
+ENDS = {
+    "li": (frozenset(("li",)), frozenset(("ul", "ol", "menu", "article", "section", "main", "aside", "table"))), "dt": _TERMS, "dd": _TERMS,
+    "tr": _ROWS, "td": _CELLS, "th": _CELLS, "tbody": _ROWS, "thead": _ROWS, "tfoot": _ROWS,
+}
 FURNITURE_ROLES = frozenset("banner navigation complementary contentinfo search form alert dialog menu menubar note".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|([^<]+|<)", re.S)
@@ -77,6 +85,28 @@ def flat_blocks(page: str) -> list[Block]:
     links: list[str] = []
     linked, main, furniture, at = False, False, False, 0
 
+    def end_open(names: frozenset[str], around: frozenset[str]) -> None:
+        """Close the outermost open element of ``names`` inside the nearest one of ``around``."""
+        nonlocal main, furniture
+        last = None
+        for k in range(len(open_) - 1, -1, -1):
+            if open_[k][0] in around:
+                break
+            if open_[k][0] in names:
+                last = k
+        if last is not None:
+            _, main, furniture = open_[last]
+            del open_[last:]
+
+    def end_paragraph() -> None:
+        nonlocal main, furniture
+        k = len(open_) - 1
+        while k >= 0 and open_[k][0] in INLINE:
+            k -= 1
+        if k >= 0 and open_[k][0] == "p":
+            _, main, furniture = open_[k]
+            del open_[k:]
+
     def flush() -> None:
         nonlocal parts, links
         if parts:
@@ -113,19 +143,29 @@ def flat_blocks(page: str) -> list[Block]:
                 flush()
                 open_.append((name, main, furniture))
                 furniture = True
-            elif close and open_ and open_[-1][0] == name:
+            elif close and (k := len(open_) - 1 - (len(open_) > 1 and open_[-1][0] == "p" and open_[-2][0] in INLINE)) >= 0 and open_[k][0] == name:
                 flush()
-                _, main, furniture = open_.pop()
+                _, main, furniture = open_[k]
+                del open_[k:]
             continue
         flush()
         linked = False
-        if close:
+        if close and name == "p":
+            end_paragraph()
+        elif close and name in ENDS and name not in ("tbody", "thead", "tfoot"):
+            end_open(frozenset((name,)), ENDS[name][1])
+        elif close:
             for k in range(len(open_) - 1, -1, -1):
                 if open_[k][0] == name:
                     _, main, furniture = open_[k]
                     del open_[k:]
                     break
-        elif name not in VOID and not attributes.endswith("/") and name not in ("p", "li", "dt", "dd", "tr", "td", "th", "html", "body"):
+        elif name == "hr":
+            end_paragraph()
+        elif name not in VOID and not attributes.endswith("/") and name not in ("html", "body"):
+            end_paragraph()
+            if name in ENDS:
+                end_open(*ENDS[name])
             open_.append((name, main, furniture))
             main = main or name in MAIN or "main" in attributes and bool(re.search(r"role\s*=\s*[\"']?main", attributes, re.I))
             furniture = furniture or name in FURNITURE or bool(attributes) and _is_furniture(attributes)
@@ -133,35 +173,43 @@ def flat_blocks(page: str) -> list[Block]:
     return found
 
 
-FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "main", "furniture", "page_has_main")
+FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "main", "furniture", "main_part")
 # A small table labelled by hand: the first six features of a block, then whether it is main text where it stands
-# in an article, in furniture inside one, outside the page's article, in the furniture of a page without an
-# article, and elsewhere on such a page.
+# in an article, outside an article that holds most of the page's plain words, and elsewhere: on a page whose
+# article is a small part (a teaser, a heading) or that has none.  In furniture nothing is main text.
 SHAPES = (
-    (1, 0.0, 0, 0.0, 8, 0.0, 1, 0, 0, 0, 0),
-    (1, 0.0, 40, 0.0, 60, 0.0, 1, 0, 0, 0, 1),
-    (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0, 0, 0),
-    (3, 0.0, 6, 0.0, 0, 0.0, 1, 0, 0, 0, 0),
-    (3, 1.0, 70, 0.0, 4, 1.0, 1, 0, 0, 0, 0),
-    (4, 0.0, 30, 0.0, 48, 0.0, 1, 0, 0, 0, 1),
-    (5, 1.0, 2, 1.0, 60, 0.0, 1, 0, 0, 0, 0),
-    (5, 0.0, 2, 1.0, 0, 0.0, 1, 0, 0, 0, 0),
-    (6, 0.0, 55, 0.0, 70, 0.0, 1, 0, 0, 0, 1),
-    (6, 0.5, 40, 0.0, 9, 0.0, 1, 0, 0, 0, 0),
-    (7, 0.0, 5, 0.0, 4, 0.0, 1, 0, 0, 0, 0),
-    (9, 0.0, 1, 1.0, 8, 0.0, 1, 0, 0, 0, 0),
-    (18, 0.0, 40, 0.0, 25, 0.0, 1, 0, 0, 0, 1),
-    (20, 0.0, 3, 1.0, 22, 0.0, 1, 0, 0, 0, 1),
-    (25, 0.3, 60, 0.0, 6, 0.0, 1, 0, 0, 0, 1),
-    (28, 0.9, 4, 1.0, 30, 0.8, 1, 0, 0, 0, 0),
-    (30, 0.8, 28, 0.9, 5, 0.0, 1, 0, 0, 0, 0),
-    (45, 0.0, 3, 1.0, 4, 1.0, 1, 0, 0, 0, 1),
-    (60, 0.0, 2, 0.0, 80, 0.1, 1, 0, 0, 0, 1),
-    (70, 0.1, 60, 0.0, 0, 0.0, 1, 0, 0, 0, 1),
-    (90, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0, 0, 1),
+    (1, 0.0, 0, 0.0, 8, 0.0, 1, 0, 0),
+    (1, 0.0, 40, 0.0, 60, 0.0, 1, 0, 1),
+    (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0),
+    (2, 1.0, 45, 0.0, 2, 1.0, 0, 0, 0),
+    (3, 0.0, 6, 0.0, 0, 0.0, 1, 0, 0),
+    (3, 1.0, 70, 0.0, 4, 1.0, 0, 0, 0),
+    (4, 0.0, 30, 0.0, 48, 0.0, 1, 0, 1),
+    (5, 1.0, 2, 1.0, 60, 0.0, 0, 0, 0),
+    (5, 0.0, 2, 1.0, 0, 0.0, 1, 0, 0),
+    (6, 0.0, 55, 0.0, 70, 0.0, 1, 0, 1),
+    (6, 0.33, 1, 0.0, 1, 0.0, 1, 0, 0),
+    (6, 0.7, 40, 0.0, 9, 0.0, 0, 0, 0),
+    (7, 0.0, 5, 0.0, 4, 0.0, 1, 0, 0),
+    (9, 0.0, 1, 1.0, 8, 0.0, 1, 0, 0),
+    (18, 0.0, 40, 0.0, 25, 0.0, 1, 0, 1),
+    (20, 0.0, 3, 1.0, 22, 0.0, 1, 0, 1),
+    (25, 0.3, 60, 0.0, 6, 0.0, 1, 0, 1),
+    (28, 0.9, 4, 1.0, 30, 0.8, 0, 0, 0),
+    (30, 0.8, 28, 0.9, 5, 0.0, 0, 0, 0),
+    (45, 0.0, 3, 1.0, 4, 1.0, 1, 0, 1),
+    (50, 0.0, 90, 0.0, 45, 0.0, 1, 1, 1),
+    (60, 0.0, 2, 0.0, 80, 0.1, 1, 0, 1),
+    (70, 0.1, 60, 0.0, 0, 0.0, 1, 0, 1),
+    (70, 0.0, 60, 0.0, 80, 0.0, 1, 1, 1),
+    (90, 0.0, 0, 0.0, 0, 0.0, 1, 0, 1),
+)
+# (main, furniture, main_part) and the label's place in the shape; None for furniture.
+_PLACES = (
+    (1, 0, 0.9, 6), (1, 0, 0.1, 6), (0, 0, 0.9, 7), (0, 0, 0.1, 8), (0, 0, 0.0, 8),
+    (1, 1, 0.9, None), (1, 1, 0.1, None), (0, 1, 0.9, None), (0, 1, 0.1, None), (0, 1, 0.0, None),
 )
-_PLACES = ((1, 0, 1), (1, 1, 1), (0, 0, 1), (0, 1, 0), (0, 0, 0))
-LABELLED = tuple((*s[:6], *place, s[6 + k]) for s in SHAPES for k, place in enumerate(_PLACES))
+LABELLED = tuple((*s[:6], *place, s[k] if k else 0) for s in SHAPES for *place, k in _PLACES)
 
 
 def grown(rows: tuple[tuple[float, ...], ...]):
@@ -204,11 +252,12 @@ def _main_share(features: tuple[float, ...]) -> float:
 def main_text(page: str) -> str:
     """The blocks that the tree takes for main text, one a line."""
     found = flat_blocks(page)
-    has_main = any(b.main and not b.furniture for b in found)
+    plain = [(b.words - b.linked, b.main) for b in found if not b.furniture]
+    main_part = sum(n for n, main in plain if main) / max(1, sum(n for n, _ in plain))
     shape = [(0, 0.0), *((b.words, b.linked / b.words) for b in found), (0, 0.0)]
     out = []
     for k, b in enumerate(found):
-        if _main_share((*shape[k + 1], *shape[k], *shape[k + 2], b.main, b.furniture, has_main)) > 0.5:
+        if _main_share((*shape[k + 1], *shape[k], *shape[k + 2], b.main, b.furniture, main_part)) > 0.5:
             out.append(b.text)
     return "\n".join(out)
 

@@ -198,6 +198,28 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+_LONG = ["word " * 60, "text " * 70, "body " * 80, "last " * 50]
+
+
+@pytest.mark.parametrize("page, text", [
+    # The body stands beside an article that is a heading or a teaser.
+    ("<article><h1>A title</h1></article>" + "".join(f"<div>{t}</div>" for t in _LONG), "\n".join(["A title", *map(str.strip, _LONG)])),
+    ("<article><a href='/x'>Read this other story too</a></article><div><a href=a>One</a></div><div><a href=b>Two</a></div>"
+     + "".join(f"<div>{t}</div>" for t in _LONG), "\n".join(map(str.strip, _LONG))),
+    # Link lists in unnamed containers of an article, and a lone block beside it.
+    (f"<article><p>{_LONG[0]}<div><div><a href=a>One more</a></div><div><a href=b>Another one</a></div></div><p>{_LONG[1]}</article><div>{_LONG[3]}</div>",
+     f"{_LONG[0].strip()}\n{_LONG[1].strip()}"),
+    # Furniture named on elements whose end may be left out.
+    (f"<article><p>{_LONG[0]}<ul><li>one item<li class='comment'>Nice work<li>two items</ul><p class=ad>Buy this</p>after it</article>",
+     f"{_LONG[0].strip()}\none item\ntwo items\nafter it"),
+    (f"<main><table><tr><td class='sidebar'>Links here<td>{_LONG[0]}<tr class=toolbar><td>Edit<tr><td>cell</table><dl><dt>term<dd class=share>Share it<dt>next</dl></main>",
+     f"{_LONG[0].strip()}\ncell\nterm\nnext"),
+    (f"<main><script>x</script><p class=byline>By me<div>{_LONG[0]}</div><ul><li class=tags>a<ul><li>b</ul>c</li><li>d</ul>e</main>", f"{_LONG[0].strip()}\nd\ne"),
+])
+def test_main_text_by_counts_and_names(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None)], "page_id long, url string, html string, text string")
     got = html_text.extracted(pages).collect()
