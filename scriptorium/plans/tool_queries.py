@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.editors import tidy_punctuation_factory
+from ..functions.editors import CountingEditor, tidy_punctuation_factory
 from ..operators import manifest as MF
 from ..operators import transform as TR
 from ..sources.tables import corpus_documents, id_list_lines, read_table
@@ -50,6 +50,18 @@ def transform_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "prompt_eval_count", "eval_count")
 
 
+def transform_rollup_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rollup of a run whose calls return statistics, fail and are retried, with ``skip`` rows of finished work."""
+    done = TR.skipped_inputs(_inputs(spark, sf_dir), IN_ROOT, OUT_ROOT, ".txt", _existing(spark, sf_dir))
+    log = TR.apply_transform(_pending(spark, sf_dir), CountingEditor, retries=1).unionByName(done)
+    totals = TR.rollup(log).select(
+        "files", "wrote", "errors", "input_chars", "unwrapped_chars", "output_chars", "prompt_eval_count", "prompt_seconds",
+        "eval_count", "gen_seconds", "prompt_tok_per_sec", "gen_tok_per_sec", (F.col("wall_seconds") > 0).alias("has_wall"),
+    )
+    tried = log.agg(F.count_if(F.col("status") == "skip").alias("skipped"), F.sum("attempts").cast("long").alias("attempts"))
+    return totals.crossJoin(tried)
+
+
 def _ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MF.parse_ids(id_list_lines(spark, sf_dir))
 
@@ -74,6 +86,7 @@ QUERIES = {
     "pending_inputs": pending_inputs,
     "transform_metrics": transform_metrics,
     "transform_rollup": transform_rollup,
+    "transform_rollup_calls": transform_rollup_calls,
     "manifest_by_source": manifest_by_source,
     "manifest_totals": manifest_totals,
     "manifest_duplicates": manifest_duplicates,
@@ -106,6 +119,23 @@ ORACLES = {
              cast(sum(length(unwrapped)) AS bigint) AS unwrapped_chars,
              cast(sum(length(output)) AS bigint) AS output_chars, 0::BIGINT AS prompt_eval_count,
              0::BIGINT AS eval_count FROM tr2""",
+    "transform_rollup_calls": f"""WITH {PENDING_SQL},
+      c AS (
+        SELECT length(text) AS input_chars, length(unwrapped) AS unwrapped_chars, length(output) AS output_chars,
+               trim(unwrapped) <> '' AS called FROM tr2),
+      l AS (SELECT *, called AND unwrapped_chars % 7 = 0 AS failed, CASE WHEN NOT called THEN 0
+                   WHEN unwrapped_chars % 7 = 0 OR unwrapped_chars % 5 = 0 THEN 2 ELSE 1 END AS attempts FROM c),
+      s AS (SELECT count(*) AS skipped FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
+      t AS (
+        SELECT count(*) AS n, count(*) FILTER (NOT failed) AS wrote, count(*) FILTER (failed) AS errors,
+               sum(input_chars) FILTER (NOT failed) AS input_chars, sum(unwrapped_chars) FILTER (NOT failed) AS unwrapped_chars,
+               sum(output_chars) FILTER (NOT failed) AS output_chars, sum(unwrapped_chars) FILTER (called AND NOT failed) AS pe,
+               sum(output_chars) FILTER (called AND NOT failed) AS ev, sum(attempts) AS attempts FROM l)
+      SELECT n + skipped AS files, wrote, errors, cast(input_chars AS bigint) AS input_chars,
+             cast(unwrapped_chars AS bigint) AS unwrapped_chars, cast(output_chars AS bigint) AS output_chars,
+             cast(pe AS bigint) AS prompt_eval_count, pe::DOUBLE * 0.002 AS prompt_seconds, cast(ev AS bigint) AS eval_count,
+             ev::DOUBLE * 0.004 AS gen_seconds, 500.0::DOUBLE AS prompt_tok_per_sec, 250.0::DOUBLE AS gen_tok_per_sec,
+             true AS has_wall, skipped, cast(attempts AS bigint) AS attempts FROM t, s""",
     "manifest_by_source": f"""WITH {IDS_SQL}
       SELECT source, count(*) AS n_ids, count(DISTINCT ref_id) AS n_distinct FROM ids GROUP BY source""",
     "manifest_totals": f"WITH {IDS_SQL} SELECT count(*) AS n_ids, count(DISTINCT ref_id) AS n_distinct FROM ids",

@@ -21,3 +21,9 @@ def test_incremental_scores_equal_batch(spark):
     stream = {r.pair_id: r.likeness for r in qs["incremental_scores"](spark, SF).collect()}
     batch = {r.pair_id: r.likeness for r in qs["pair_scores_edited"](spark, SF).collect()}
     assert stream == batch and len(batch) > 100
+
+
+def test_rollup_of_calls_has_sums_errors_and_skips(spark):
+    r = E.queries()["transform_rollup_calls"](spark, SF).first()
+    assert min(r.wrote, r.errors, r.skipped, r.prompt_eval_count, r.eval_count) > 0 and r.files == r.wrote + r.errors + r.skipped
+    assert r.attempts > r.wrote + r.errors and abs(r.prompt_tok_per_sec - 500) < 1e-6 and abs(r.gen_tok_per_sec - 250) < 1e-6
