@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import base, decontaminate, html_text, license_scan, ngram_jaccard, packing, pii, quality_classifier, quality_rules, suffix_dedup, token_counts
+from . import base, decontaminate, html_text, license_scan, ngram_jaccard, packing, pii, quality_classifier, quality_rules, suffix_dedup, token_counts, vector_queries
 from .base import read_table
 
 
@@ -168,10 +168,12 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_html_text": op9_html_text,
     "op10_quality_classifier": op10_quality_classifier,
+    **vector_queries.QUERIES,
 }
 ORACLES = {
     "op3_license_scan": OP3_SQL,
     "op5_ngram_jaccard": OP5_SQL,
     "op6_quality_rules": OP6_SQL,
     "op7_suffix_dedup": OP7_SQL,
+    **vector_queries.ORACLES,
 }
