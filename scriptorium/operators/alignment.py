@@ -1,21 +1,26 @@
 """Word-sequence alignment by longest common blocks.
 
-The longest common block of two sequences (the first of several) splits both;
-the parts before and after it are aligned the same way.  The matched words of
-all blocks give the likeness, the gaps between blocks the differing spans.
-
-Tokens are integer codes.  All maximal common runs are found once, by sorting
-the equal pairs along their diagonals; a part then only looks at the runs that
-cross it, clipped to its borders.  Small parts, and sequences with more equal
-pairs than ``MOST_PAIRS``, are scanned row by row instead, so memory is bounded.
+The longest common block of two sequences (of several the first in a, then the
+first in b) splits both; the parts before and after it are aligned the same way.
+The matched words of all blocks give the likeness, the gaps the differing spans.
+
+Tokens are integer codes.  Every run of 1, 2, 4, ... words gets a number, equal
+for equal runs, so two runs of any length are compared by two numbers and a
+part's longest block is found by bisecting its length.  What is held grows with
+the words times the logarithm of the longest block; equal word pairs are never
+listed.
+
+Once the greatest length n in a part is known, all its blocks of n words are taken
+in one walk: after a block, the rest of the part behind it has the next one, and
+what lies before it has shorter blocks only.  So a part is searched again for
+shorter lengths alone, and dissimilar texts do not lead to a search per word.
 """
 
 from __future__ import annotations
 
-import numpy as np
+from bisect import bisect_left
 
-SMALL = 4096  # cells of a part that is scanned directly
-MOST_PAIRS = 8_000_000
+import numpy as np
 
 
 def coded(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -25,72 +30,98 @@ def coded(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return code(a), code(b)
 
 
-def common_runs(a: np.ndarray, b: np.ndarray) -> np.ndarray | None:
-    """Maximal common runs as rows (start in a, start in b, length); None when there are too many equal pairs."""
-    order = np.argsort(b, kind="stable")
-    ranked = b[order]
-    low, high = np.searchsorted(ranked, a, "left"), np.searchsorted(ranked, a, "right")
-    count = high - low
-    total = int(count.sum())
-    if total > MOST_PAIRS:
-        return None
-    i = np.repeat(np.arange(len(a)), count)
-    j = order[np.arange(total) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)]
-    diagonal = j - i
-    by = np.lexsort((i, diagonal))
-    i, diagonal = i[by], diagonal[by]
-    new = np.ones(total, bool)
-    new[1:] = (diagonal[1:] != diagonal[:-1]) | (i[1:] != i[:-1] + 1)
-    first = np.flatnonzero(new)
-    return np.stack((i[first], i[first] + diagonal[first], np.diff(first, append=total)), 1)
-
-
-def _scan(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
-    """(start in a, start in b, length) of the longest common block, row by row."""
-    best, run = (0, 0, 0), np.zeros(len(b) + 1, np.int64)
-    for row, code in enumerate(a):
-        longer = np.zeros_like(run)
-        longer[1:] = np.where(b == code, run[:-1] + 1, 0)
-        at = int(longer.argmax())
-        if longer[at] > best[2]:
-            best = (row - int(longer[at]) + 1, at - int(longer[at]), int(longer[at]))
-        run = longer
-    return best
-
-
-def _crossing(runs: np.ndarray, part: tuple[int, int, int, int]) -> tuple[np.ndarray, tuple[int, int, int]]:
-    """The runs that cross a part, and the longest clipped one of them."""
+class Runs:
+    """Numbers of the runs of a text: equal runs of a length have equal numbers."""
+
+    def __init__(self, words: np.ndarray, border: int):
+        """``border`` splits ``words`` into the two sequences."""
+        self.levels = [words]
+        length = 1
+        while self._met(border, length):
+            last = self.levels[-1]
+            if len(last) <= length:
+                break
+            pairs = last[:-length] * (int(last.max(initial=0)) + 1) + last[length:]
+            self.levels.append(np.unique(pairs, return_inverse=True)[1].astype(np.int64))
+            length *= 2
+
+    def _met(self, border: int, length: int) -> bool:
+        """Whether a run of the highest level stands in both sequences."""
+        last = self.levels[-1]
+        left, right = last[: max(0, border - length + 1)], last[border:]
+        return bool(len(left) and len(right) and np.isin(left, right).any())
+
+    def of(self, start: int, end: int, length: int) -> np.ndarray:
+        """Numbers of the runs of ``length`` words that lie in start:end."""
+        level = self.levels[length.bit_length() - 1]
+        step, stop = length - (1 << (length.bit_length() - 1)), end - length + 1
+        if not step:
+            return level[start:stop]
+        return level[start:stop] * (int(level.max(initial=0)) + 1) + level[start + step : stop + step]
+
+    def longest(self) -> int:
+        """Above the length of any common block."""
+        return 1 << len(self.levels)
+
+
+def _length(runs: Runs, border: int, part: tuple[int, int, int, int], most: int) -> int:
+    """Length of the longest common block of a part, at most ``most``."""
     a0, a1, b0, b1 = part
-    shift = runs[:, 1] - runs[:, 0]
-    start = np.maximum(np.maximum(runs[:, 0], a0), b0 - shift)
-    length = np.minimum(np.minimum(runs[:, 0] + runs[:, 2], a1), b1 - shift) - start
-    inside = length > 0
-    if not inside.any():
-        return runs[:0], (0, 0, 0)
-    runs, start, length, shift = runs[inside], start[inside], length[inside], shift[inside]
-    top = np.flatnonzero(length == length.max())
-    at = top[np.lexsort((start[top] + shift[top], start[top]))[0]]
-    return runs, (int(start[at]), int(start[at] + shift[at]), int(length[at]))
+
+    def common(length: int) -> bool:
+        left, right = runs.of(a0, a1, length), np.sort(runs.of(border + b0, border + b1, length))
+        at = np.searchsorted(right, left)
+        at[at == len(right)] = 0
+        return bool((right[at] == left).any())
+
+    most = min(most, a1 - a0, b1 - b0, runs.longest() - 1)
+    low, high = 0, 1  # low words are common; high is the next length to try
+    while high <= most and common(high):
+        low, high = high, 2 * high
+    high = min(high, most + 1)  # high is not, or out of reach
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if common(middle) else (low, middle)
+    return low
+
+
+def _walk(runs: Runs, border: int, part: tuple[int, int, int, int], length: int) -> list[tuple[int, int]]:
+    """Starts of the blocks of a part's greatest length: the first in a, then in b, then on behind both."""
+    a0, a1, b0, b1 = part
+    left, right = runs.of(a0, a1, length), runs.of(border + b0, border + b1, length)
+    order = np.argsort(right, kind="stable")
+    ranked = right[order]
+    low, high = np.searchsorted(ranked, left, "left"), np.searchsorted(ranked, left, "right")
+    places, out, i, j = order.tolist(), [], 0, 0
+    for at in np.flatnonzero(high > low).tolist():
+        if at < i:
+            continue
+        first = bisect_left(places, j, int(low[at]), int(high[at]))
+        if first < high[at]:
+            out.append((a0 + at, b0 + places[first]))
+            i, j = at + length, places[first] + length
+    return out
 
 
 def matching_blocks(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
     """Blocks (start in a, start in b, length) in text order, touching ones joined."""
+    border = len(a)
+    runs = Runs(np.concatenate((a, b)), border)
     found = []
-    whole = (0, len(a), 0, len(b))
-    todo = [(whole, common_runs(a, b) if len(a) * len(b) > SMALL else None)]
+    todo = [((0, len(a), 0, len(b)), min(len(a), len(b)))]
     while todo:
-        part, runs = todo.pop()
-        a0, a1, b0, b1 = part
-        if a0 == a1 or b0 == b1:
+        part, most = todo.pop()
+        if not most or part[0] == part[1] or part[2] == part[3]:
+            continue
+        length = _length(runs, border, part, most)
+        if not length:
             continue
-        if runs is None or (a1 - a0) * (b1 - b0) <= SMALL:
-            i, j, n = _scan(a[a0:a1], b[b0:b1])
-            i, j = i + a0, j + b0
-        else:
-            runs, (i, j, n) = _crossing(runs, part)
-        if n:
-            found.append((i, j, n))
-            todo += [((a0, i, b0, j), runs), ((i + n, a1, j + n, b1), runs)]
+        i, j = part[0], part[2]
+        for x, y in _walk(runs, border, part, length):
+            found.append((x, y, length))
+            todo.append(((i, x, j, y), length - 1))
+            i, j = x + length, y + length
+        todo.append(((i, part[1], j, part[3]), length - 1))
     joined: list[tuple[int, int, int]] = []
     for i, j, n in sorted(found):
         if joined and joined[-1][0] + joined[-1][2] == i and joined[-1][1] + joined[-1][2] == j:

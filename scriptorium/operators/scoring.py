@@ -13,14 +13,13 @@ Scale plan:
 3. The exact alignment runs in an Arrow-batched pandas UDF, after a range
    repartition on the pair's cost (product of the text lengths) at every input
    size, so heavy pairs spread over tasks.
-4. Optional gate-only mode: the multiset-overlap upper bound decides failures
-   without alignment when only pass/fail is needed.
+4. Optional gate-only mode: the length bound, then the multiset-overlap bound (both
+   JVM-side) decide failures without alignment when only pass/fail is needed.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -43,17 +42,6 @@ def likeness_of_tokens(a: list, b: list) -> float:
     return alignment.likeness(a, b)
 
 
-def overlap_bound_of_tokens(a: list, b: list) -> float:
-    """2 * sum(min(count_a, count_b)) / (na + nb): never below the likeness."""
-    if not a and not b:
-        return 1.0
-    ca, cb = Counter(a), Counter(b)
-    if len(ca) > len(cb):
-        ca, cb = cb, ca
-    m = sum(min(n, cb.get(t, 0)) for t, n in ca.items())
-    return 2.0 * m / (len(a) + len(b))
-
-
 # The UDFs receive lower-cased *texts* (one Arrow string per row) and split
 # them in the worker: shipping token arrays instead would materialise one
 # Python object per token on the Arrow -> pandas boundary.
@@ -66,15 +54,6 @@ def likeness_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-@F.pandas_udf(T.DoubleType())
-def overlap_bound_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = [
-        None if (x is None or y is None) else overlap_bound_of_tokens(_WORD.findall(x), _WORD.findall(y))
-        for x, y in zip(a, b)
-    ]
-    return pd.Series(out, dtype="float64")
-
-
 def ordered_gate_udf(n_candidates: int, threshold: float):
     """One Python pass for an ordered list of candidates against one source.
 
@@ -138,6 +117,42 @@ def closed_form_likeness(a_tokens: Column | str, b_tokens: Column | str) -> Colu
     )
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once per row and hand it to ``body``."""
+    return F.transform(F.array(value), body)[0]
+
+
+def numbered_tokens(tokens: Column | str) -> Column:
+    """Each token with its occurrence number (``1 the``, ``2 the``): a multiset as a set of strings.
+
+    The sorted array is cut where the token changes; each stretch is numbered from one.
+    """
+
+    def cut(s: Column) -> Column:
+        n = F.size(s)
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        numbers = lambda at, k, every: F.sequence(F.lit(1), F.coalesce(F.get(every, k + 1), n) - at)
+        stretch = lambda at, k, every: F.transform(numbers(at, k, every), lambda o: F.concat_ws(" ", o, F.get(s, at)))
+        return _let(starts, lambda every: F.flatten(F.transform(every, lambda at, k: stretch(at, k, every))))
+
+    t = _c(tokens)
+    return F.when(F.size(t) > 0, _let(F.array_sort(t), cut)).otherwise(F.array().cast("array<string>"))
+
+
+def length_bound(a_tokens: Column | str, b_tokens: Column | str) -> Column:
+    """2 * min(na, nb) / (na + nb): never below the likeness; 1 for two empty lists."""
+    na, nb = F.size(_c(a_tokens)), F.size(_c(b_tokens))
+    return F.when(na + nb > 0, F.lit(2.0) * F.least(na, nb) / (na + nb)).otherwise(1.0)
+
+
+def overlap_bound(a_tokens: Column | str, b_tokens: Column | str) -> Column:
+    """2 * sum(min(count_a, count_b)) / (na + nb), JVM-side: never below the likeness, never above the length bound."""
+    a, b = _c(a_tokens), _c(b_tokens)
+    shared = F.size(F.array_intersect(numbered_tokens(a), numbered_tokens(b)))
+    total = F.size(a) + F.size(b)
+    return F.when(total > 0, F.lit(2.0) * shared / total).otherwise(1.0)
+
+
 def lowered(c: Column | str) -> Column:
     return F.lower(F.coalesce(_c(c), F.lit("")))
 
@@ -208,16 +223,20 @@ def gate_pairs(
     a_text: str = "a_text",
     b_text: str = "b_text",
 ) -> DataFrame:
-    """Pass/fail only: pairs whose overlap bound is below the threshold fail
-    without alignment; ``likeness`` is null for those (not logged exactly)."""
+    """Pass/fail only: pairs whose length bound or overlap bound is below the threshold
+    fail without alignment; ``likeness`` is null for those (not logged exactly).
+
+    Both bounds are JVM expressions; only the pairs they leave open reach Python, as
+    the one Python node of the plan.
+    """
     df = pairs.withColumn("_a_low", lowered(a_text)).withColumn("_b_low", lowered(b_text))
     df = df.withColumn("_ta", tokens_of_lowered("_a_low")).withColumn("_tb", tokens_of_lowered("_b_low"))
-    df = df.withColumn("_closed", closed_form_likeness("_ta", "_tb")).drop("_ta", "_tb")
+    df = df.withColumn("_closed", closed_form_likeness("_ta", "_tb"))
     open_ = F.col("_closed").isNull()
-    df = df.withColumn("upper_bound", F.when(open_, overlap_bound_udf(F.when(open_, F.col("_a_low")),
-                                                                      F.when(open_, F.col("_b_low")))))
+    by_length = length_bound("_ta", "_tb")
+    df = df.withColumn("upper_bound", F.when(open_, F.when(by_length < F.lit(threshold), by_length).otherwise(overlap_bound("_ta", "_tb"))))
     need = open_ & (F.col("upper_bound") >= F.lit(threshold))
-    df = df.withColumn(
+    df = df.drop("_ta", "_tb").withColumn(
         "likeness",
         F.coalesce(F.col("_closed"), likeness_udf(F.when(need, F.col("_a_low")), F.when(need, F.col("_b_low")))),
     )

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.naming import cleaned_output_path
 from ..functions.text import is_blank, unwrap_text
+from . import runs
 
 STATS_TYPE = T.StructType([
     T.StructField("prompt_eval_count", T.LongType()),
@@ -160,6 +161,8 @@ def rollup(log: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("files"),
         F.count_if(w).alias("wrote"),
         F.count_if(F.col("status") == "error").alias("errors"),
+        F.count_if(F.col("status") == "skip").alias("skipped"),
+        F.coalesce(F.sum("attempts"), F.lit(0)).cast("long").alias("attempts"),
         F.coalesce(wsum(F.col("input_chars")), F.lit(0)).alias("input_chars"),
         F.coalesce(wsum(F.col("unwrapped_chars")), F.lit(0)).alias("unwrapped_chars"),
         F.coalesce(wsum(F.col("output_chars")), F.lit(0)).alias("output_chars"),
@@ -187,11 +190,6 @@ def raise_on_error(log: DataFrame) -> None:
         raise RuntimeError("one or more documents failed to transform")
 
 
-def write_outputs(log: DataFrame, path: str, mode: str = "append") -> None:
-    """Written texts keyed by output path (Parquet); reruns skip them via the listing."""
-    log.where(F.col("status") == "wrote").select("output_path", "output").write.mode(mode).parquet(path)
-
-
 def run_transform(
     inputs: DataFrame,
     input_root: str,
@@ -202,22 +200,27 @@ def run_transform(
     existing_outputs: DataFrame | None = None,
     overwrite: bool = False,
     fail: bool = True,
+    run_id: str | None = None,
     **calls,
 ) -> tuple[DataFrame, DataFrame]:
-    """(log, totals) of a whole run: skip finished work, call once per document,
-    write the log and the outputs, and fail at the end if a document failed.
-
-    The log is written first; outputs, totals and the check read it back, so no
-    document is sent twice.
+    """(log, totals) of one run: skip finished work, call once per document, commit
+    the run to the ledger at ``out_dir`` (:mod:`.runs`), then fail if a document failed.
+
+    Finished work is what whole runs in the ledger wrote, and ``existing_outputs``
+    (a listing) beside it.  Log, totals and the check are those of this run alone:
+    a run after a failed one tries the failed documents again and succeeds if they
+    do.  ``overwrite`` does everything again; the new outputs replace the earlier
+    ones in :func:`.runs.current_outputs`.
     """
-    pending = pending_inputs(inputs, input_root, output_root, ext, existing_outputs, overwrite)
+    spark = inputs.sparkSession
+    done = runs.finished_outputs(spark, out_dir)
+    if existing_outputs is not None:
+        done = done.unionByName(existing_outputs.select("output_path"))
+    pending = pending_inputs(inputs, input_root, output_root, ext, done, overwrite)
     log = apply_transform(pending, fn_factory, **calls)
-    if existing_outputs is not None and not overwrite:
-        log = log.unionByName(skipped_inputs(inputs, input_root, output_root, ext, existing_outputs))
-    log.write.mode("append").parquet(f"{out_dir}/log")
-    log = inputs.sparkSession.read.schema(RESULT_SCHEMA).parquet(f"{out_dir}/log")
-    write_outputs(log, f"{out_dir}/outputs", mode="overwrite")
-    totals = rollup(log)
+    if not overwrite:
+        log = log.unionByName(skipped_inputs(inputs, input_root, output_root, ext, done))
+    log = runs.write_run(log, out_dir, run_id or runs.new_run_id())
     if fail:
         raise_on_error(log)
-    return log, totals
+    return log, rollup(log)

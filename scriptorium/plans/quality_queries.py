@@ -41,6 +41,15 @@ def log_summary_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.log_summary(_log(spark, sf_dir), threshold=PARSER_THRESHOLD)
 
 
+def log_summary_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one-log report over all entries as one log."""
+    return Q.log_summary(_log(spark, sf_dir), by=())
+
+
+def accuracy_histogram_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.accuracy_histogram(_log(spark, sf_dir), by=())
+
+
 def accuracy_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.accuracy_histogram(_log(spark, sf_dir))
 
@@ -80,7 +89,9 @@ QUERIES = {
     "version_summary": version_summary,
     "log_summary": log_summary,
     "log_summary_threshold": log_summary_threshold,
+    "log_summary_all": log_summary_all,
     "accuracy_histogram": accuracy_histogram,
+    "accuracy_histogram_all": accuracy_histogram_all,
     "version_compare": version_compare,
     "top_regressions": top_regressions,
     "top_improvements": top_improvements,
@@ -167,6 +178,20 @@ ORACLES = {
     "version_summary": f"WITH {LOG_SQL}, {_versioned(False)} {SUMMARY_SELECT}",
     "log_summary": _parser(None),
     "log_summary_threshold": _parser(PARSER_THRESHOLD),
+    "log_summary_all": f"""WITH {LOG_SQL}
+      SELECT count(likeness) AS entries, count(*) FILTER (WHERE status = 'succeeded') AS successes,
+             count(*) FILTER (WHERE status = 'succeeded') / count(likeness) AS success_rate,
+             avg(likeness) AS avg_likeness, median(likeness) AS median_likeness
+      FROM qlog""",
+    "accuracy_histogram_all": f"""WITH {LOG_SQL},
+      binned AS (
+        SELECT CASE WHEN p = 100 THEN 10 ELSE p // 10 END AS bin
+        FROM (SELECT least(greatest(cast(trunc(likeness * 100) AS int), 0), 100) AS p FROM qlog WHERE likeness IS NOT NULL))
+      SELECT cast(x.bin AS int) AS bin,
+             CASE WHEN x.bin = 10 THEN '100%' ELSE lpad(cast(x.bin * 10 AS varchar), 2, '0') || '-'
+                  || lpad(cast(x.bin * 10 + 9 AS varchar), 2, '0') || '%' END AS label,
+             count(y.bin) AS n
+      FROM range(11) x(bin) LEFT JOIN binned y ON x.bin = y.bin GROUP BY x.bin""",
     "accuracy_histogram": f"""WITH {LOG_SQL},
       files AS (SELECT DISTINCT source_path FROM qlog),
       bins AS (SELECT source_path, b.bin FROM files, range(11) b(bin)),

@@ -54,12 +54,11 @@ def transform_rollup_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rollup of a run whose calls return statistics, fail and are retried, with ``skip`` rows of finished work."""
     done = TR.skipped_inputs(_inputs(spark, sf_dir), IN_ROOT, OUT_ROOT, ".txt", _existing(spark, sf_dir))
     log = TR.apply_transform(_pending(spark, sf_dir), CountingEditor, retries=1).unionByName(done)
-    totals = TR.rollup(log).select(
+    return TR.rollup(log).select(
         "files", "wrote", "errors", "input_chars", "unwrapped_chars", "output_chars", "prompt_eval_count", "prompt_seconds",
         "eval_count", "gen_seconds", "prompt_tok_per_sec", "gen_tok_per_sec", (F.col("wall_seconds") > 0).alias("has_wall"),
+        "skipped", "attempts",
     )
-    tried = log.agg(F.count_if(F.col("status") == "skip").alias("skipped"), F.sum("attempts").cast("long").alias("attempts"))
-    return totals.crossJoin(tried)
 
 
 def _ids(spark: SparkSession, sf_dir: str) -> DataFrame:

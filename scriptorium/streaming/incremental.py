@@ -140,3 +140,32 @@ def start_incremental_transform(
     log = apply_transform(pending_inputs(stream, root, output_root, ext), fn_factory, retries)
     return (log.writeStream.format("parquet").option("checkpointLocation", checkpoint)
             .outputMode("append").trigger(availableNow=True).start(output_path))
+
+
+def start_incremental_runs(
+    spark: SparkSession,
+    input_dir: str,
+    out_dir: str,
+    checkpoint: str,
+    fn_factory,
+    input_root: str | None = None,
+    output_root: str = "cleaned",
+    ext: str = ".txt",
+    retries: int = 0,
+) -> StreamingQuery:
+    """Transform files not seen before, each micro-batch a run in the ledger of
+    :mod:`..operators.runs`: ``current_outputs`` and the totals of a run read as
+    after a batch run.  A batch that is repeated after a crash replaces what it
+    left unless it was committed, so no document counts twice."""
+    from ..operators import runs
+    from ..operators.transform import apply_transform, pending_inputs
+
+    stream = text_file_stream(spark, input_dir, ext).withColumn("path", F.regexp_replace("path", "^file:(//)?(?=/)", ""))
+    root = (input_root or input_dir).rstrip("/")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        run_id = f"batch-{batch_id:08d}"
+        if not runs.is_committed(batch.sparkSession, out_dir, run_id):
+            runs.write_run(apply_transform(pending_inputs(batch, root, output_root, ext), fn_factory, retries), out_dir, run_id)
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

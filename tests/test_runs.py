@@ -1,15 +1,20 @@
 """Whole runs and the edges that earlier oracles did not reach."""
 
 import random
+import shutil
+import statistics
+import time
 from difflib import SequenceMatcher
 from urllib.error import URLError
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.operators import alignment
 from scriptorium.operators import catalog as K
 from scriptorium.operators import quality as Q
+from scriptorium.operators import runs as R
 from scriptorium.operators import transform as T
 from scriptorium.sources.catalog_csv import read_catalog_csv
 
@@ -30,23 +35,57 @@ def test_missing_headers(spark, tmp_path):
         read_catalog_csv(spark, str(tmp_path))
 
 
-@pytest.mark.parametrize("small", [0, alignment.SMALL])
-def test_alignment_equals_longest_block_reference(monkeypatch, small):
-    monkeypatch.setattr(alignment, "SMALL", small)
-    rnd = random.Random(small)
-    for k in range(600):
-        monkeypatch.setattr(alignment, "MOST_PAIRS", 50 if k % 5 == 0 else 8_000_000)
-        words = [str(n) for n in range(rnd.choice([2, 3, 6, 30]))]
-        a = [rnd.choice(words) for _ in range(rnd.randint(0, 40))]
-        b = list(a) if rnd.random() < 0.5 else [rnd.choice(words) for _ in range(rnd.randint(0, 40))]
-        for _ in range(rnd.randint(0, 5)):
-            at = rnd.randrange(len(b) + 1)
-            b[at:at + rnd.randint(0, 2)] = [rnd.choice(words)] * rnd.randint(0, 2)
+def _edited(rnd, a: list[str], edits: int, words: list[str]) -> list[str]:
+    b = list(a)
+    for _ in range(edits):
+        at = rnd.randrange(len(b) + 1)
+        b[at:at + rnd.randint(0, 2)] = [rnd.choice(words)] * rnd.randint(0, 2)
+    return b
+
+
+def test_alignment_equals_longest_block_reference():
+    rnd = random.Random(1)
+    for _ in range(1500):
+        words = [str(n) for n in range(rnd.choice([1, 2, 3, 6, 30]))]
+        a = [rnd.choice(words) for _ in range(rnd.randint(0, 50))]
+        b = list(a) if rnd.random() < 0.5 else [rnd.choice(words) for _ in range(rnd.randint(0, 50))]
+        b = _edited(rnd, b, rnd.randint(0, 5), words)
         reference = SequenceMatcher(None, a, b, autojunk=False)
         assert alignment.likeness(a, b) == pytest.approx(reference.ratio())
         assert alignment.gaps(a, b) == [o for o in reference.get_opcodes() if o[0] != "equal"]
 
 
+def test_alignment_of_long_texts():
+    """Frequent words, many edits and periodic texts stay quick; no equal pairs are listed."""
+    rnd = random.Random(2)
+    often = lambda n: [f"w{int(8000 ** rnd.random())}" for _ in range(n)]
+    a = often(3000)
+    for b in (_edited(rnd, a, 200, a), often(3000), a[1500:] + a[:1500]):
+        reference = SequenceMatcher(None, a, b, autojunk=False)
+        assert alignment.gaps(a, b) == [o for o in reference.get_opcodes() if o[0] != "equal"]
+    a = often(40_000)
+    b = _edited(rnd, a, 800, a)
+    periodic = ["x", "y"] * 20_000
+    began = time.perf_counter()
+    assert alignment.likeness(a, b) > 0.95
+    assert alignment.gaps(["x"] * 40_000, ["x"] * 39_990) == [("delete", 39_990, 40_000, 39_990, 39_990)]
+    assert alignment.likeness(periodic, periodic[1:] + ["z"]) == pytest.approx(39_999 / 40_000)
+    assert time.perf_counter() - began < 20
+
+
+def test_runs_are_numbered_alike_when_equal():
+    rnd = random.Random(3)
+    words = np.asarray([rnd.randrange(3) for _ in range(64)])
+    words[32:] = words[:32]
+    runs = alignment.Runs(words, 32)
+    for length in range(1, 33):
+        left, right = runs.of(0, 32, length), runs.of(32, 64, length)
+        assert (left == right).all()
+        for i in range(len(left)):
+            for j in range(len(left)):
+                assert (left[i] == left[j]) == (words[i:i + length] == words[j:j + length]).all()
+
+
 def test_numbers_in_reports(spark):
     df = spark.createDataFrame([("0.5",), ("0.5d",), ("1f",), ("nope",), (None,), (" 3e-1 ",)], "v string")
     assert [r[0] for r in df.select(Q.coerce_likeness("v")).collect()] == [0.5, None, None, None, None, 0.3]
@@ -66,6 +105,8 @@ def test_medians_and_hot_keys(spark, monkeypatch):
     df = spark.createDataFrame(rows, "g string, v double")
     out = Q.with_median(df.groupBy("g").agg(F.count("*").alias("n")), df, ("g",), F.col("v"), "m")
     assert {r.g: r.m for r in out.collect()} == {"v": 2.0, "w": 3.0, "x": None, None: 6.0}
+    every = Q.with_median(df.groupBy().agg(F.count("*").alias("n")), df, (), F.col("v"), "m")
+    assert [(r.n, r.m) for r in every.collect()] == [(9, statistics.median(v for _, v in rows if v is not None))]
     log = spark.createDataFrame(
         [("f", 0, k, "hot" if k < 40 else f"t{k % 50}", "v1") for k in range(100)],
         "source_path string, path_ordinal int, line int, talk_id string, model_version string")
@@ -74,6 +115,36 @@ def test_medians_and_hot_keys(spark, monkeypatch):
     assert {tuple(r) for r in Q.warnings(log).collect()} == plain and len(plain) == 39 + 10
 
 
+@pytest.mark.parametrize("ranges", [1, 7, 4096])
+def test_median_selection(spark, monkeypatch, ranges):
+    """Odd and even counts, heavy ties, negative, tiny, huge and infinite values, NaN, nothing: as sorted values give it."""
+    monkeypatch.setattr(Q, "RANGES", ranges)
+    rnd, inf = random.Random(4), float("inf")
+    groups = {
+        "a": [rnd.random() for _ in range(301)], "b": [rnd.gauss(0, 1e-3) for _ in range(300)], "c": [0.5] * 200 + [0.1, 0.9],
+        "d": [1e308, -1e308, 3.0, 1e308], "e": [inf, 1.0, 2.0, inf, -inf], "f": [], "g": [5e-324, 0.0], "h": [7.0], "i": [1.0, float("nan"), float("nan"), 2.0, 0.0],
+    }
+    df = spark.createDataFrame([(k, v) for k, own in groups.items() for v in [*own, None]], "g string, v double").repartition(4)
+    out = Q.with_median(df.select("g").distinct(), df, ("g",), F.col("v"), "m")
+    nan_last = lambda own: sorted(own, key=lambda v: (v != v, v))
+    middle = lambda own: (nan_last(own)[(len(own) - 1) // 2] + nan_last(own)[len(own) // 2]) / 2 if own else None
+    assert {r.g: r.m for r in out.collect()} == {k: middle(own) for k, own in groups.items()}
+    plain = [v for k in "abch" for v in groups[k]]
+    some = df.where("g in ('a', 'b', 'c', 'h')")
+    assert Q.with_median(some.groupBy().count(), some, (), F.col("v"), "m").first().m == statistics.median(plain)
+
+
+def _windows_over_one_partition(df) -> int:
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return sum("Window [" in line and line.rstrip().endswith("ASC NULLS FIRST]") and "], [" not in line for line in plan.splitlines())
+
+
+def test_median_of_all_rows_needs_no_single_task(spark):
+    df = spark.range(1000).select((F.col("id") % 97).cast("double").alias("v"))
+    out = Q.with_median(df.groupBy().count(), df, (), F.col("v"), "m")
+    assert out.first().m == statistics.median(k % 97 for k in range(1000)) and _windows_over_one_partition(out) == 0
+
+
 def _models():
     """A model made where it is called; nested, so that workers need not import this file."""
 
@@ -98,16 +169,76 @@ def test_transform_run(spark, tmp_path):
         [("in/a.txt", "one two"), ("in/b.txt", " \n "), ("in/c.txt", "retry me"), ("in/d.txt", "broken"), ("in/e.txt", "done before")],
         "path string, text string")
     done = inputs.where("path = 'in/e.txt'").select(T.cleaned_output_path("path", "in", "out", ".txt").alias("output_path"))
-    args = (inputs, "in", "out", _models(), str(tmp_path / "run"))
+    out = str(tmp_path / "run")
     with pytest.raises(RuntimeError):
-        T.run_transform(*args, existing_outputs=done, retries=1)
-    log = {r.path[3]: r for r in spark.read.parquet(str(tmp_path / "run/log")).collect()}
+        T.run_transform(inputs, "in", "out", _models(), out, existing_outputs=done, retries=1, run_id="1")
+    own = R.run_log(spark, out, "1", T.RESULT_SCHEMA)
+    log = {r.path[3]: r for r in own.collect()}
     assert {k: r.status for k, r in log.items()} == {"a": "wrote", "b": "wrote", "c": "wrote", "d": "error", "e": "skip"}
     assert {k: r.attempts for k, r in log.items()} == {"a": 1, "b": 0, "c": 2, "d": 2, "e": 0}
-    outputs = {r.output.strip() for r in spark.read.parquet(str(tmp_path / "run/outputs")).collect()}
-    assert outputs == {"ONE TWO", "", "RETRY ME"}
-    totals = T.rollup(spark.read.schema(T.RESULT_SCHEMA).parquet(str(tmp_path / "run/log"))).first()
-    assert (totals.wrote, totals.errors, totals.prompt_eval_count, totals.eval_count) == (3, 1, 6, 10)
+    assert {r.output.strip() for r in R.current_outputs(spark, out).collect()} == {"ONE TWO", "", "RETRY ME"}
+    totals = T.rollup(own).first()
+    assert (totals.wrote, totals.errors, totals.skipped, totals.attempts, totals.prompt_eval_count, totals.eval_count) == (3, 1, 1, 5, 6, 10)
+
+
+def test_run_after_a_failed_one_succeeds(spark, tmp_path):
+    """Fail, rerun with a working callable, overwrite: totals and errors are those of one run, each path has one output."""
+    out = str(tmp_path / "run")
+    inputs = spark.createDataFrame([("in/a.txt", "one"), ("in/b.txt", "broken")], "path string, text string")
+    with pytest.raises(RuntimeError):
+        T.run_transform(inputs, "in", "out", _models(), out, run_id="1")
+
+    def mended():
+        return lambda text: text.strip() + "!"
+
+    log, totals = T.run_transform(inputs, "in", "out", mended, out, run_id="2")
+    assert {r.path: r.status for r in log.collect()} == {"in/a.txt": "skip", "in/b.txt": "wrote"}
+    assert (totals.first().wrote, totals.first().errors, totals.first().skipped) == (1, 0, 1)
+    texts = lambda: {r.output_path: (r.output.strip(), r.run_id) for r in R.current_outputs(spark, out).collect()}
+    assert texts() == {"out/a_cleaned.txt": ("ONE", "1"), "out/b_cleaned.txt": ("broken!", "2")}
+    _, totals = T.run_transform(inputs, "in", "out", mended, out, overwrite=True, run_id="3")
+    assert totals.first().wrote == 2
+    assert texts() == {"out/a_cleaned.txt": ("one!", "3"), "out/b_cleaned.txt": ("broken!", "3")}
+    runs = [(r.run_id, r.number, r.files, r.wrote, r.errors) for r in R.committed_runs(spark, out).orderBy("number").collect()]
+    assert runs == [("1", 1, 2, 1, 1), ("2", 2, 2, 1, 0), ("3", 3, 2, 2, 0)]
+
+
+def test_a_run_that_died_is_not_read(spark, tmp_path):
+    """Log and outputs without a marker count for nothing, and the same run id may be used again."""
+    out = str(tmp_path / "run")
+    inputs = spark.createDataFrame([("in/a.txt", "one")], "path string, text string")
+    T.run_transform(inputs, "in", "out", lambda: (lambda t: "half"), out, run_id="batch")
+    shutil.rmtree(tmp_path / "run/runs/run_id=batch")
+    assert R.finished_outputs(spark, out).isEmpty() and not R.is_committed(spark, out, "batch")
+    T.run_transform(inputs, "in", "out", lambda: (lambda t: "whole"), out, run_id="batch")
+    assert [r.output for r in R.current_outputs(spark, out).collect()] == ["whole"] and R.is_committed(spark, out, "batch")
+
+
+def test_one_call_per_document(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    def counting():
+        def fn(text):
+            calls.add(1)
+            return text
+        return fn
+
+    inputs = spark.createDataFrame([(f"in/{k}.txt", f"text {k}") for k in range(20)], "path string, text string").repartition(4)
+    log, totals = T.run_transform(inputs, "in", "out", counting, str(tmp_path / "run"))
+    assert (totals.first().attempts, log.count(), R.current_outputs(spark, str(tmp_path / "run")).count(), calls.value) == (20, 20, 20, 20)
+
+
+def test_incremental_runs_share_the_ledger(spark, tmp_path):
+    from scriptorium.streaming.incremental import start_incremental_runs
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.txt").write_text("first")
+    args = (spark, str(tmp_path / "in"), str(tmp_path / "run"), str(tmp_path / "ck"), lambda: (lambda t: t.upper()))
+    start_incremental_runs(*args).awaitTermination()
+    (tmp_path / "in/b.txt").write_text("second")
+    start_incremental_runs(*args).awaitTermination()
+    assert [(r.run_id, r.wrote) for r in R.committed_runs(spark, args[2]).orderBy("number").collect()] == [("batch-00000000", 1), ("batch-00000001", 1)]
+    assert {r.output.strip() for r in R.current_outputs(spark, args[2]).collect()} == {"FIRST", "SECOND"}
 
 
 def test_other_errors_fail_the_run(spark, tmp_path):

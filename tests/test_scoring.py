@@ -1,6 +1,7 @@
 """Likeness and diff spans: goldens and agreement with difflib on whole texts."""
 
 import random
+from collections import Counter
 import re
 from difflib import SequenceMatcher
 
@@ -94,6 +95,40 @@ def test_bound_never_below_score_and_gate(spark):
             assert r.upper_bound >= exact[r.pair_id] - 1e-12
 
 
+def test_native_bounds_equal_counters(spark):
+    rnd = random.Random(9)
+    rows = [([], []), (["a"], []), (["a", "a", "b"], ["a", "b", "b"]), (["é", "it's"] * 5, ["it's"] * 7)]
+    for _ in range(300):
+        words = [f"{k}" for k in range(rnd.choice([1, 3, 40]))] + ["1", "1 1", "ﬀ", "\u10ffff"]
+        rows.append(([rnd.choice(words) for _ in range(rnd.randint(0, 60))], [rnd.choice(words) for _ in range(rnd.randint(0, 60))]))
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "i int, a array<string>, b array<string>")
+    for r in df.select("i", S.overlap_bound("a", "b").alias("overlap"), S.length_bound("a", "b").alias("length")).collect():
+        a, b = rows[r.i]
+        shared = sum((Counter(a) & Counter(b)).values())
+        assert r.overlap == (2.0 * shared / (len(a) + len(b)) if a or b else 1.0)
+        assert r.length == (2.0 * min(len(a), len(b)) / (len(a) + len(b)) if a or b else 1.0) and r.overlap <= r.length
+
+
+def test_gate_has_one_python_node(spark):
+    """Random pairs: the gate agrees with the exact score, and only pairs the bounds leave open are aligned."""
+    rnd = random.Random(10)
+    word = lambda: f"w{rnd.randrange(30)}"
+    rows = []
+    for _ in range(200):
+        a = [word() for _ in range(rnd.randint(1, 40))]
+        b = [x if rnd.random() < 0.93 else word() for x in a] + [word()] * rnd.randint(0, 6)
+        rows.append((" ".join(a), " ".join(b)))
+    gate = S.gate_pairs(_pairs(spark, rows), threshold=0.9)
+    plan = gate._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    for r in gate.collect():
+        exact = ref_likeness(*rows[int(r.pair_id)])
+        assert r.passed == (exact >= 0.9)
+        assert r.upper_bound is None or r.upper_bound >= exact - 1e-12
+        assert r.likeness is None or r.likeness == pytest.approx(exact, abs=1e-12)
+        assert (r.likeness is None) == (r.upper_bound is not None and r.upper_bound < 0.9)
+
+
 def test_closed_form_only_no_python_for_contained(spark):
     rows = [("a b c d e", "x a b c d e y"), ("a b c", "a b c"), ("p q", "")]
     df = _pairs(spark, rows)
