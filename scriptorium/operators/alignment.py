@@ -33,35 +33,37 @@ def coded(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
 class Runs:
     """Numbers of the runs of a text: equal runs of a length have equal numbers."""
 
-    def __init__(self, words: np.ndarray, border: int):
-        """``border`` splits ``words`` into the two sequences."""
-        self.levels = [words]
-        length = 1
-        while self._met(border, length):
-            last = self.levels[-1]
-            if len(last) <= length:
-                break
-            pairs = last[:-length] * (int(last.max(initial=0)) + 1) + last[length:]
-            self.levels.append(np.unique(pairs, return_inverse=True)[1].astype(np.int64))
-            length *= 2
-
-    def _met(self, border: int, length: int) -> bool:
-        """Whether a run of the highest level stands in both sequences."""
-        last = self.levels[-1]
-        left, right = last[: max(0, border - length + 1)], last[border:]
-        return bool(len(left) and len(right) and np.isin(left, right).any())
+    def __init__(self, words: np.ndarray):
+        self.levels = [words]  # of runs of 1, 2, 4, ... words
+        self.bounds = [int(words.max(initial=0)) + 1]
+
+    def _level(self, k: int) -> np.ndarray:
+        while len(self.levels) <= k:
+            last, half = self.levels[-1], 1 << (len(self.levels) - 1)
+            pairs = last[:-half] * self.bounds[-1] + last[half:]
+            numbers = np.unique(pairs, return_inverse=True)[1].astype(np.int64)
+            self.levels.append(numbers)
+            self.bounds.append(int(numbers.max(initial=0)) + 1)
+        return self.levels[k]
 
     def of(self, start: int, end: int, length: int) -> np.ndarray:
         """Numbers of the runs of ``length`` words that lie in start:end."""
-        level = self.levels[length.bit_length() - 1]
-        step, stop = length - (1 << (length.bit_length() - 1)), end - length + 1
+        k = length.bit_length() - 1
+        level, step, stop = self._level(k), length - (1 << k), end - length + 1
         if not step:
             return level[start:stop]
-        return level[start:stop] * (int(level.max(initial=0)) + 1) + level[start + step : stop + step]
+        return level[start:stop] * self.bounds[k] + level[start + step : stop + step]
 
-    def longest(self) -> int:
-        """Above the length of any common block."""
-        return 1 << len(self.levels)
+
+def _edges(words: np.ndarray, border: int, part: tuple[int, int, int, int]) -> int:
+    """Words that a part's two sides share at their start or at their end: no longer than its longest block."""
+    a0, a1, b0, b1 = part
+    n = min(a1 - a0, b1 - b0)
+    same = words[a0 : a0 + n] == words[border + b0 : border + b0 + n]
+    start = n if same.all() else int(same.argmin())
+    same = words[a1 - n : a1] == words[border + b1 - n : border + b1]
+    end = n if same.all() else int(same[::-1].argmin())
+    return max(start, end)
 
 
 def _length(runs: Runs, border: int, part: tuple[int, int, int, int], most: int) -> int:
@@ -74,11 +76,11 @@ def _length(runs: Runs, border: int, part: tuple[int, int, int, int], most: int)
         at[at == len(right)] = 0
         return bool((right[at] == left).any())
 
-    most = min(most, a1 - a0, b1 - b0, runs.longest() - 1)
-    low, high = 0, 1  # low words are common; high is the next length to try
-    while high <= most and common(high):
-        low, high = high, 2 * high
-    high = min(high, most + 1)  # high is not, or out of reach
+    most = min(most, a1 - a0, b1 - b0)
+    low, step = min(most, _edges(runs.levels[0], border, part)), 1  # low words are common
+    while low + step <= most and common(low + step):
+        low, step = low + step, 2 * step
+    high = min(low + step, most + 1)  # high is not, or out of reach
     while high - low > 1:
         middle = (low + high) // 2
         low, high = (middle, high) if common(middle) else (low, middle)
@@ -106,7 +108,7 @@ def _walk(runs: Runs, border: int, part: tuple[int, int, int, int], length: int)
 def matching_blocks(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
     """Blocks (start in a, start in b, length) in text order, touching ones joined."""
     border = len(a)
-    runs = Runs(np.concatenate((a, b)), border)
+    runs = Runs(np.concatenate((a, b)))
     found = []
     todo = [((0, len(a), 0, len(b)), min(len(a), len(b)))]
     while todo:

@@ -136,7 +136,7 @@ def numbered_tokens(tokens: Column | str) -> Column:
         return _let(starts, lambda every: F.flatten(F.transform(every, lambda at, k: stretch(at, k, every))))
 
     t = _c(tokens)
-    return F.when(F.size(t) > 0, _let(F.array_sort(t), cut)).otherwise(F.array().cast("array<string>"))
+    return F.when(F.size(t) > 0, _let(F.sort_array(t), cut)).otherwise(F.array().cast("array<string>"))
 
 
 def length_bound(a_tokens: Column | str, b_tokens: Column | str) -> Column:
