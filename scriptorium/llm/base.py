@@ -44,30 +44,46 @@ def total_bytes(df: DataFrame, column: str = "text") -> int:
     return int(df.agg(F.sum(F.octet_length(F.col(column)).cast("long"))).first()[0] or 0)
 
 
+SCRATCH: list[str] = []  # paths of the tables that this process wrote, in order
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts lineage: a lost executor later rereads these files instead of
-    computing again.
+    computing again.  ``SCRATCH`` tells a caller what it may ``drop`` once its own
+    result is written.
     """
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.option("compression", "zstd").parquet(path)
+    SCRATCH.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-HOT_GROUP = 100_000  # rows of a group that is joined apart; their number is at most the rows over this
+def drop(spark: SparkSession, *paths: str) -> None:
+    """Delete tables by path, on whatever file system they are."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+SENT_BYTES = 48 << 20  # of a table that may be sent to every task; a larger one is joined by a shuffle
+
+
+def sent(df: DataFrame, size: Column, limit: int | None = None) -> DataFrame:
+    """``df`` as a broadcast side where its rows' ``size`` adds up to ``limit`` at most (it is computed for this), else as it is."""
+    total = int(df.agg(F.sum(size.cast("long"))).first()[0] or 0)
+    return F.broadcast(df) if total <= (SENT_BYTES if limit is None else limit) else df
 
 
 def with_least(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     """``df`` with the least ``value`` of its group as ``name``, only rows of groups of two or more.
 
-    The least is aggregated on the map side.  Groups over ``HOT_GROUP`` rows are
-    few, so they are sent to the rows instead of gathering the rows in one task.
+    The least is aggregated on the map side and written, so both sides of the join
+    are plain shuffles: adaptive execution splits a group that many rows hold.
     """
-    least = df.groupBy(*keys).agg(F.min(value).alias(name), F.count("*").alias("__rows")).where("__rows > 1")
-    hot = df.join(F.broadcast(least.where(F.col("__rows") > HOT_GROUP)), keys)
-    cold = df.join(least.where(F.col("__rows") <= HOT_GROUP), keys)
-    return cold.unionByName(hot).drop("__rows")
+    least = df.groupBy(*keys).agg(F.min(value).alias(name), F.count("*").alias("__rows")).where("__rows > 1").drop("__rows")
+    return df.join(written(least, "least"), keys)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 16 << 20) -> Iterator[pa.Table]:

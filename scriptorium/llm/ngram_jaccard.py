@@ -9,17 +9,20 @@ reaches ``percent``.  Every document gets the smallest id that links reach.
    of parts, and a set also enters the larger classes that its partners may be
    in.  Keys travel packed, grouped by block and hash bucket; equal keys inside
    a block leave it once.
-2. Members of a cell point to its smallest id: families are the components.
+2. The pairs of a cell's members are tested where they meet the sets' sketches:
+   each element flips one bit, so sketches of linked sets differ in no more bits
+   than the sets in elements.  No link is lost and few other pairs are left.  A
+   cell of over ``PAIRED`` members is too large for all pairs; its members point
+   to its smallest id untested.  Families are the components of what is left.
    Equal sets are one representative, so copies are never compared.
 3. A family's sets meet in signature trees: nodes hold the OR of token bitmaps
    and the range of set sizes.  The dual traversal drops a pair of nodes whose
    greatest possible overlap cannot reach the threshold, and pairs that are
    linked already; what is left is verified exactly.
-4. A family over ``CHUNK`` shingles is first split by signatures alone: the
-   dual traversal of chunks of bitmaps keeps together what may link.  What is
-   still over it is cut: every chunk with a few pivots; then only the sets
-   outside the family's main class meet all chunks.  No task holds an unbounded
-   family and no pairs are listed.
+4. A family over ``CHUNK`` shingles is cut: every chunk with a few pivots.  Only
+   the sets outside the family's main class then meet all chunks: first by
+   signatures alone, which tell what may link with what, then those exactly.  No
+   task holds an unbounded family and no pairs are listed.
 
 Cases: a null or empty text has an empty set, links with nothing and is its own
 class (a null id has a null class).  Fewer words than n make one shingle.  Rows
@@ -33,14 +36,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import blocks, bounded_batches, texts, total_bytes, with_least, written
-from .components import components
+from .components import components, forest
 
 CELL_BYTES = 4 << 20  # text bytes for each bucket of cells
+PAIR_BUCKETS = 16  # buckets of cells for each bucket of pairs
+PAIRED = 32  # members of a cell whose pairs are all tested
+MOST_BITS = 1 << 17  # of a sketch; there are as many as elements below that
 CHUNK = 1 << 17  # shingles of one side of a comparison task
 TASK = 1 << 18  # shingles of small families that share a task
 SIGNATURE = 1 << 13  # bits of the signatures that split a large family
@@ -192,27 +199,27 @@ def frequent_shingles(whole: DataFrame, words: int) -> np.ndarray:
     return np.sort(np.asarray([r.shingle for r in rows], np.int64).view(np.uint64))
 
 
-_ROWS = "kind int, bucket int, doc_id long, n long, s1 long, s2 long, keys binary, ids binary"
+def sketch_of(s: np.ndarray) -> bytes:
+    """Bits that say of each slot whether an odd number of a set's elements falls into it.
+
+    Longer sketches fold to shorter ones.  Sketches of two sets differ in at most
+    as many bits as the sets in elements.
+    """
+    bits = min(MOST_BITS, max(64, 1 << (len(s) - 1).bit_length()))
+    slot = (_mix(s ^ _C3) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(slot, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+_ROWS = "kind int, bucket int, doc_id long, n long, s1 long, s2 long, sketch binary, keys binary, ids binary"
 _NAMES = [c.split()[0] for c in _ROWS.split(", ")]
-_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-_DOC, _EDGE, _CELLS = 0, 1, 2
+_TYPES = [pa.int32(), pa.int32(), *[pa.int64()] * 4, *[pa.binary()] * 3]
+_DOC, _CELLS = 0, 1
 
 
 def _batch(columns: dict, size: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(size, t) for c, t in zip(_NAMES, _TYPES, strict=True)], names=_NAMES)
 
 
-def _runs(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, least id of each, linked ids, the least ids they point to), equal pairs once."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    new = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, bool)
-    first = np.flatnonzero(new)
-    least = ids[first][np.cumsum(new) - 1] if len(keys) else ids
-    pairs = np.unique(np.stack((ids, least), 1)[ids != least], axis=0)
-    return keys[first], ids[first], pairs[:, 0], pairs[:, 1]
-
-
 def _cells(link: Link, buckets: int, common: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, frequent = Shingles(link.words), np.frombuffer(common, np.uint64)
@@ -223,16 +230,25 @@ def _cells(link: Link, buckets: int, common: bytes):
             classes = _classes(link, int(max(map(len, sets)) * 100 / link.percent) + 1)
             with np.errstate(over="ignore"):
                 sums = np.asarray([(_mix(s ^ _C2).sum(dtype=np.uint64), _mix(s ^ _C3).sum(dtype=np.uint64)) for s in sets], np.uint64).view(np.int64)
-                keyed = [(i, cell_keys(s, link, classes, frequent)) for i, s in zip(ids, sets, strict=True) if len(s) and i is not None]
             sizes = [len(s) for s in sets]
-            yield _batch({"kind": [_DOC] * len(ids), "doc_id": ids, "n": sizes, "s1": sums[:, 0], "s2": sums[:, 1]}, len(ids))
-            if not keyed:
+            yield _batch({
+                "kind": [_DOC] * len(ids), "doc_id": ids, "n": sizes, "s1": sums[:, 0], "s2": sums[:, 1],
+                "sketch": [sketch_of(s) if len(s) else None for s in sets],
+            }, len(ids))
+            # Equal sets of a block send their cells once: copies meet by their sums.
+            first: dict[tuple, int] = {}
+            for k, i in enumerate(ids):
+                if i is not None and sizes[k]:
+                    first.setdefault((sizes[k], *sums[k].tolist()), k)
+            if not first:
                 continue
-            keys = np.concatenate([k for _, k in keyed])
-            own = np.repeat(np.asarray([i for i, _ in keyed], np.int64), [len(k) for _, k in keyed])
-            keys, least, a, b = _runs(keys, own)
-            if len(a):
-                yield _batch({"kind": [_EDGE] * len(a), "s1": a, "s2": b}, len(a))
+            sent = list(first.values())
+            with np.errstate(over="ignore"):
+                keyed = [cell_keys(sets[k], link, classes, frequent) for k in sent]
+            keys = np.concatenate(keyed)
+            own = np.repeat(np.asarray([ids[k] for k in sent], np.int64), [len(k) for k in keyed])
+            order = np.argsort(keys, kind="stable")
+            keys, own = keys[order], own[order]
             # The upper bits choose the bucket; 40 others tell keys of a bucket apart (a chance hit is only a candidate).
             bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             starts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
@@ -241,20 +257,90 @@ def _cells(link: Link, buckets: int, common: bytes):
             yield _batch({
                 "kind": [_CELLS] * len(full), "bucket": full,
                 "keys": [short[starts[k]:starts[k + 1]].tobytes() for k in full],
-                "ids": [least[starts[k]:starts[k + 1]].astype("<i8").tobytes() for k in full],
+                "ids": [own[starts[k]:starts[k + 1]].astype("<i8").tobytes() for k in full],
             }, len(full))
 
     return run
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    """One bucket: its cells' members, each pointing to the cell's smallest id."""
-    short = np.frombuffer(b"".join(table["keys"].to_pylist()), np.uint8).reshape(-1, 5)
-    keys = np.zeros((len(short), 8), np.uint8)
-    keys[:, :5] = short
-    ids = np.frombuffer(b"".join(table["ids"].to_pylist()), "<i8")
-    _, _, a, b = _runs(keys.view("<u8").ravel(), ids)
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+_MET = "dest int, pairs binary, stars binary"
+
+
+def _meet(dests: int):
+    """One bucket of cells: the pairs of members of small cells, and members of large ones with the least, packed by ``dest``."""
+
+    def run(table: pa.Table) -> pa.Table:
+        short = np.frombuffer(b"".join(table["keys"].to_pylist()), np.uint8).reshape(-1, 5)
+        keys = np.zeros((len(short), 8), np.uint8)
+        keys[:, :5] = short
+        keys = keys.view("<u8").ravel()
+        ids = np.frombuffer(b"".join(table["ids"].to_pylist()), "<i8")
+        order = np.lexsort((ids, keys))
+        keys, ids = keys[order], ids[order]
+        once = np.concatenate(([True], (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))) if len(keys) else np.zeros(0, bool)
+        keys, ids = keys[once], ids[once]
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        count = np.diff(first, append=len(keys))
+        pairs = [np.zeros((0, 2), np.int64)]
+        for m in range(2, PAIRED + 1):
+            members = ids[first[count == m][:, None] + np.arange(m)]
+            low, high = np.triu_indices(m, 1)
+            pairs.append(np.unique(np.stack((members[:, low].ravel(), members[:, high].ravel()), 1), axis=0))
+        pairs = np.unique(np.concatenate(pairs), axis=0)
+        large = np.repeat(count > PAIRED, count)
+        stars = np.stack((ids[large], np.repeat(ids[first], count)[large]), 1)
+        stars = np.unique(stars[stars[:, 0] != stars[:, 1]], axis=0)
+        out = {}
+        for kind, rows in (("pairs", pairs), ("stars", stars)):
+            dest = (_mix(rows[:, 0].astype(np.uint64)) % np.uint64(dests)).astype(np.int64)
+            order = np.argsort(dest, kind="stable")
+            at = np.searchsorted(dest[order], np.arange(dests + 1))
+            out[kind] = [rows[order[x:y]].astype("<i8").tobytes() for x, y in zip(at, at[1:], strict=False)]
+        full = [k for k in range(dests) if out["pairs"][k] or out["stars"][k]]
+        return pa.table({"dest": pa.array(full, pa.int32()), **{c: pa.array([out[c][k] for k in full], pa.binary()) for c in ("pairs", "stars")}})
+
+    return run
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """All that buckets sent to one place: distinct pairs to test, and a spanning forest of the untested edges."""
+    pairs, stars = (np.frombuffer(b"".join(table[c].to_pylist()), "<i8").reshape(-1, 2) for c in ("pairs", "stars"))
+    pairs = np.unique(pairs, axis=0)
+    a, b = forest(stars[:, 0], stars[:, 1])
+    return pa.table({
+        "a": pa.array(np.concatenate((pairs[:, 0], a)), pa.int64()), "b": pa.array(np.concatenate((pairs[:, 1], b)), pa.int64()),
+        "test": pa.array(np.arange(len(pairs) + len(a)) < len(pairs)),
+    })
+
+
+def _fit(link: Link):
+    """Pairs with sizes and sketches to those that may link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m, n = np.asarray(batch.column("m")), np.asarray(batch.column("n"))
+            most = (m + n) * (100 - link.percent) // (100 + link.percent)
+            fits = np.abs(m - n) <= most
+            x, y = batch.column("x"), batch.column("y")
+            widths = np.minimum(*(np.asarray(pc.binary_length(c)) for c in (x, y)))
+            for width in np.unique(widths[fits]):
+                some = np.flatnonzero(fits & (widths == width))
+                for at in range(0, len(some), 4096):
+                    part = some[at : at + 4096]
+                    bits = np.stack([_folded(c, part, int(width)) for c in (x, y)])
+                    fits[part] = np.bitwise_count(bits[0] ^ bits[1]).sum(1) <= most[part]
+            kept = pa.array(fits)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], names=["a", "b"])
+
+    return run
+
+
+def _folded(sketches: pa.Array, rows: np.ndarray, width: int) -> np.ndarray:
+    """Sketches as rows of 64-bit words, folded to ``width`` bytes."""
+    out = np.zeros((len(rows), width // 8), np.uint64)
+    for k, value in enumerate(sketches.take(pa.array(rows)).to_pylist()):
+        out[k] = np.bitwise_xor.reduce(np.frombuffer(value, np.uint64).reshape(-1, width // 8), axis=0)
+    return out
 
 
 class Forest:
@@ -396,7 +482,7 @@ def _compare(link: Link):
     return run
 
 
-_SIGNED = "doc_id long, family long, n int, lead long, bitmap binary"
+_SIGNED = "doc_id long, family long, chunks int, parts int, n int, lead long, bitmap binary"
 
 
 def _signatures(words: int):
@@ -410,7 +496,7 @@ def _signatures(words: int):
             for bitmap, own in zip(maps, sets, strict=True):
                 _mark(bitmap, own, SIGNATURE)
             lead = np.asarray([own[0] if len(own) else 0 for own in sets], np.uint64).view(np.int64)
-            out = table.select(["doc_id", "family"]).append_column("n", pa.array([len(own) for own in sets], pa.int32()))
+            out = table.select(["doc_id", "family", "chunks", "parts"]).append_column("n", pa.array([len(own) for own in sets], pa.int32()))
             out = out.append_column("lead", pa.array(lead)).append_column("bitmap", pa.array([m.tobytes() for m in maps], pa.binary()))
             yield from out.to_batches(max_chunksize=4096)
 
@@ -440,22 +526,26 @@ def _may_link(link: Link):
     return run
 
 
-def _refined(docs: DataFrame, large: DataFrame, link: Link) -> DataFrame:
-    """(doc_id, family, n) of large families, split by their sets' signatures.
+def _grouped(docs: DataFrame, state: DataFrame, rest: DataFrame, link: Link) -> DataFrame:
+    """(doc_id, family, n, root) of what may link with a set of ``rest``, the families now groups of such sets.
 
-    Sets that link always allow it by their signatures, so they stay together;
-    a set without any such partner links with nothing and leaves.
+    Sets that link always allow it by their signatures, so they stay together; a
+    set that nothing outside its class may link with leaves.  Only ``rest`` meets
+    all chunks of its family.
     """
-    names = large.select("doc_id", "family").distinct()
-    signed = written(_with_texts(docs, names).select("doc_id", "family", "text").mapInArrow(_signatures(link.words), _SIGNED), "jaccard-signatures")
-    chunks = signed.groupBy("family").agg(F.ceil(F.count("*") / SIGNED_CHUNK).cast("int").alias("chunks"))
-    dealt = signed.join(chunks, "family").withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(3)), "chunks").cast("int"))
-    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    task = F.xxhash64("family", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("task")
-    rows = other.select(task, "doc_id", "n", "lead", "bitmap", (F.col("chunk") > F.col("other")).cast("int").alias("side"))
-    edges = rows.groupBy("task").applyInArrow(_may_link(link), "a long, b long")
-    roots = components(edges, "jaccard-refined").select(F.col("id").alias("doc_id"), F.col("root").alias("family"))
-    return roots.join(large.groupBy("doc_id").agg(F.max("n").alias("n")), "doc_id")
+    share = lambda df, name: df.groupBy("family").agg(F.ceil(F.count("*") / SIGNED_CHUNK).cast("int").alias(name))
+    open_ = state.join(share(state, "chunks").join(share(rest, "parts"), "family"), "family")
+    names = open_.select("doc_id", "family", "chunks", "parts")
+    signed = _with_texts(docs, names).select("doc_id", "family", "text", "chunks", "parts").mapInArrow(_signatures(link.words), _SIGNED)
+    signed = written(signed, "jaccard-signatures")
+    spot = lambda seed, of: F.pmod(F.xxhash64("doc_id", F.lit(seed)), of).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    low = signed.withColumns({"chunk": spot(3, "chunks"), "part": every("parts"), "side": F.lit(0)})
+    high = signed.join(rest.select("doc_id", "family"), ["doc_id", "family"]).withColumns({"chunk": every("chunks"), "part": spot(4, "parts"), "side": F.lit(1)})
+    columns = [F.xxhash64("family", "chunk", "part").alias("task"), "doc_id", "n", "lead", "bitmap", "side"]
+    edges = low.select(*columns).unionByName(high.select(*columns)).groupBy("task").applyInArrow(_may_link(link), "a long, b long")
+    groups = components(edges, "jaccard-groups").select(F.col("id").alias("doc_id"), F.col("root").alias("family"))
+    return groups.join(state.select("doc_id", "n", "root"), "doc_id")
 
 
 def _with_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -472,17 +562,23 @@ def classes_of(docs: DataFrame, link: Link = Link()) -> DataFrame:
     buckets = total_bytes(whole) // CELL_BYTES + 8
     common = frequent_shingles(whole, link.words).tobytes()
     rows = written(whole.mapInArrow(_cells(link, buckets, common), _ROWS), "jaccard")
-    own = rows.where(F.col("kind") == _DOC).select("doc_id", "n", "s1", "s2")
+    own = rows.where(F.col("kind") == _DOC).select("doc_id", "n", "s1", "s2", "sketch")
 
     # Equal sets are one representative; a document of several sets stands for itself.
     some = own.where("n > 0 and doc_id is not null")
     several = some.groupBy("doc_id").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).where("x <> y").select("doc_id")
-    copies = with_least(some, ["s1", "s2", "n"], "doc_id", "rep").where("rep < doc_id").select("doc_id", "rep").distinct()
+    copies = with_least(some.drop("sketch"), ["s1", "s2", "n"], "doc_id", "rep").where("rep < doc_id").select("doc_id", "rep").distinct()
     copies = written(copies.join(several, "doc_id", "left_anti"), "jaccard-copies")
-    near = (
-        rows.where(F.col("kind") == _CELLS).select("bucket", "keys", "ids").groupBy("bucket").applyInArrow(_meet, "a long, b long")
-        .unionByName(rows.where(F.col("kind") == _EDGE).select(F.col("s1").alias("a"), F.col("s2").alias("b"))).distinct()
+    cells = rows.where(F.col("kind") == _CELLS).select("bucket", "keys", "ids")
+    met = cells.groupBy("bucket").applyInArrow(_meet(buckets // PAIR_BUCKETS + 8), _MET)
+    met = written(met.groupBy("dest").applyInArrow(_gathered, "a long, b long, test boolean"), "jaccard-met")
+    sets = some.select("doc_id", "n", "sketch")
+    tested = (
+        met.where("test").select("a", "b").join(sets.select(F.col("doc_id").alias("a"), F.col("n").alias("m"), F.col("sketch").alias("x")), "a")
+        .join(sets.select(F.col("doc_id").alias("b"), "n", F.col("sketch").alias("y")), "b")
+        .select("a", "b", "m", "n", "x", "y").mapInArrow(_fit(link), "a long, b long")
     )
+    near = written(tested.unionByName(met.where("not test").select("a", "b")), "jaccard-near")
     for end in ("a", "b"):
         rep = copies.select(F.col("doc_id").alias(end), "rep")
         near = near.join(rep, end, "left").withColumn(end, F.coalesce("rep", end)).drop("rep")
@@ -497,53 +593,74 @@ def classes_of(docs: DataFrame, link: Link = Link()) -> DataFrame:
     )
 
 
+def _sized(members: DataFrame) -> DataFrame:
+    """``members`` with the shingles of their family as ``total``."""
+    return members.join(written(members.groupBy("family").agg(F.sum("n").alias("total")), "jaccard-totals"), "family")
+
+
 def _links(docs: DataFrame, members: DataFrame, link: Link) -> DataFrame:
     """Edges of a spanning forest of the links inside the families."""
-    sized = members.join(members.groupBy("family").agg(F.sum("n").alias("total")), "family")
-    small, large = (sized.where(F.col("total") <= CHUNK), sized.where(F.col("total") > CHUNK))
+    sized = _sized(members.withColumn("root", F.lit(None).cast("long")))
+    out, large = _small(docs, sized.where(F.col("total") <= CHUNK), link), sized.where(F.col("total") > CHUNK)
     if large.isEmpty():
-        return _small(docs, small, link)
-    fine = written(_refined(docs, large, link), "jaccard-fine")
-    fine = fine.join(fine.groupBy("family").agg(F.sum("n").alias("total")), "family")
-    out = _small(docs, small.unionByName(fine.where(F.col("total") <= CHUNK)), link)
-    large = fine.where(F.col("total") > CHUNK)
-    return out if large.isEmpty() else out.unionByName(_large(docs, large, link))
+        return out
+    found, state, rest = _cut(docs, large, link)
+    out = out.unionByName(found)
+    if rest.isEmpty():
+        return out
+    groups = _sized(written(_grouped(docs, state, rest, link), "jaccard-fine"))
+    out = out.unionByName(_small(docs, groups.where(F.col("total") <= CHUNK), link))
+    large = groups.where(F.col("total") > CHUNK)
+    return out if large.isEmpty() else out.unionByName(_outside(docs, large, link))
 
 
 def _small(docs: DataFrame, small: DataFrame, link: Link) -> DataFrame:
     """Edges inside families that fit a task; a task takes several."""
     tasks = int(small.agg(F.sum("n")).first()[0] or 0) // TASK + 1
-    null = F.lit(None).cast("long").alias("root")
-    one = small.select("doc_id", F.pmod(F.xxhash64("family"), F.lit(tasks)).alias("task"), F.col("family").alias("unit"), F.lit(0).alias("side"), null)
+    one = small.select("doc_id", F.pmod(F.xxhash64("family"), F.lit(tasks)).alias("task"), F.col("family").alias("unit"), F.lit(0).alias("side"), "root")
     return _with_texts(docs, one).groupBy("task").applyInArrow(_compare(link), "a long, b long")
 
 
-def _large(docs: DataFrame, large: DataFrame, link: Link) -> DataFrame:
-    """Edges inside families that are cut: chunks and pivots, then what is outside the main class with all chunks."""
-    edges, null = "a long, b long", F.lit(None).cast("long").alias("root")
+def _chunked(large: DataFrame) -> DataFrame:
     chunks = F.ceil(F.col("total") / CHUNK).cast("int").alias("chunks")
-    cut = written(large.select("doc_id", "family", "n", chunks).withColumn("chunk", F.pmod(F.xxhash64("doc_id"), "chunks").cast("int")), "jaccard-chunks")
+    return large.select("doc_id", "family", "n", "root", chunks).withColumn("chunk", F.pmod(F.xxhash64("doc_id"), "chunks").cast("int"))
+
+
+def _apart(state: DataFrame) -> DataFrame:
+    """The rows of ``state`` outside the main (largest) class of their family."""
+    sizes = state.groupBy("family", "root").agg(F.count("*").alias("size"))
+    main = written(sizes.groupBy("family").agg(F.max_by("root", F.struct("size", "root")).alias("main")), "jaccard-main")
+    return state.join(main, "family").where("root <> main").drop("main")
+
+
+def _cut(docs: DataFrame, large: DataFrame, link: Link) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Families in chunks, each with some pivots of the family: (edges found, members with their classes, those outside the main class)."""
+    cut = written(_chunked(large).drop("root"), "jaccard-chunks")
     order = Window.partitionBy("family").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")
     pivots = (
         cut.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PIVOTS)
         .withColumn("of", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("of <> chunk")
     )
     first = cut.select("doc_id", "family", "chunk").unionByName(pivots.select("doc_id", "family", F.col("of").alias("chunk")))
+    null = F.lit(None).cast("long").alias("root")
     first = first.select("doc_id", F.xxhash64("family", "chunk").alias("task"), F.col("family").alias("unit"), F.lit(0).alias("side"), null)
-    found = written(_with_texts(docs, first).groupBy("task").applyInArrow(_compare(link), edges), "jaccard-first")
-
-    roots = components(found, "jaccard-main").select(F.col("id").alias("doc_id"), "root")
-    state = written(cut.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id")), "jaccard-state")
-    sizes = state.groupBy("family", "root").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("family").agg(F.max_by("root", F.struct("size", "root")).alias("main"))
-    rest = state.join(main, "family").where("root <> main")
-    parts = rest.groupBy("family").agg(F.ceil(F.sum("n") / CHUNK).cast("int").alias("parts"))
-    rest = rest.join(parts, "family").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(2)), "parts").cast("int"))
+    found = written(_with_texts(docs, first).groupBy("task").applyInArrow(_compare(link), "a long, b long"), "jaccard-first")
+    roots = components(found, "jaccard-classes").select(F.col("id").alias("doc_id"), "root")
+    state = written(cut.join(roots, "doc_id", "left").select("doc_id", "family", "n", F.coalesce("root", "doc_id").alias("root")), "jaccard-state")
+    return found, state, written(_apart(state), "jaccard-rest")
+
+
+def _outside(docs: DataFrame, large: DataFrame, link: Link) -> DataFrame:
+    """Edges of what is outside a group's main class with all chunks of the group."""
+    state = written(_chunked(large), "jaccard-large")
+    rest = _apart(state)
+    parts = written(rest.groupBy("family").agg(F.ceil(F.sum("n") / CHUNK).cast("int").alias("parts")), "jaccard-parts")
+    high = rest.join(parts, "family").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(2)), "parts").cast("int"))
+    high = high.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("side", F.lit(2))
     low = state.join(parts, "family").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("side", F.lit(1))
-    high = rest.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("side", F.lit(2))
-    names = ["doc_id", F.xxhash64("family", "chunk", "part").alias("task"), F.xxhash64("family", "chunk", "part").alias("unit"), "side", "root"]
-    second = low.select(*names).unionByName(high.select(*names))
-    return found.unionByName(_with_texts(docs, second).groupBy("task").applyInArrow(_compare(link), edges))
+    key = F.xxhash64("family", "chunk", "part")
+    columns = ["doc_id", key.alias("task"), key.alias("unit"), "side", "root"]
+    return _with_texts(docs, low.select(*columns).unionByName(high.select(*columns))).groupBy("task").applyInArrow(_compare(link), "a long, b long")
 
 
 def first_of_class(docs: DataFrame, link: Link = Link()) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
 from .base import written
-from .components import components
+from .components import components, join_all
 from .small_world import ROOM, SmallWorld
 from .vectors import finite
 
@@ -153,22 +153,6 @@ class _Part(_Side):
         self.ids, self.units, self.single = side.ids[rows], side.units[rows], side.single[rows]
 
 
-def _joined(up: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Union of a and b in the forest ``up`` (every position to a smaller one or itself)."""
-    while True:
-        x, y = up[a], up[b]
-        apart = x != y
-        if not apart.any():
-            return
-        a, b = a[apart], b[apart]
-        np.minimum.at(up, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
-        while True:
-            jumped = up[up]
-            if (jumped == up).all():
-                break
-            up[:] = jumped
-
-
 class _Bits:
     """A symmetric table of links among the vectors of one shard: a pair that two searches met counts once."""
 
@@ -213,7 +197,7 @@ def _matched(least: float, dtype: str):
                 else:
                     links += np.bincount(row, side.weights[node], size).astype(np.int64)
                     back += np.bincount(node, query.weights[row], len(back)).astype(np.int64)
-                _joined(up, row, node + shift)
+                join_all(up, row, node + shift)
             if bits is not None:
                 links = bits.counts(side.weights)
             ids = query.ids if query is side else np.concatenate((query.ids, side.ids))

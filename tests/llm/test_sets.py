@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from scriptorium.llm import components, decontaminate, ngram_jaccard, packing, suffix_dedup
@@ -103,6 +104,27 @@ def test_cells_hold_every_link():
                         assert x & y
 
 
+def test_sketches_bound_the_difference():
+    rnd = random.Random(6)
+    for size in (1, 3, 64, 65, 700, 3000):
+        a = {rnd.getrandbits(64) for _ in range(size)}
+        for changes in (0, 1, size // 10, size, 3 * size):
+            b = set(a) ^ {rnd.choice(sorted(a)) for _ in range(changes // 2)} ^ {rnd.getrandbits(64) for _ in range(changes)}
+            x, y = (ngram_jaccard.sketch_of(np.asarray(sorted(s), np.uint64)) for s in (a, b or {1}))
+            width = min(len(x), len(y))
+            own = ngram_jaccard._folded(pa.array([x, y], pa.binary()), np.arange(2), width)
+            assert int(np.bitwise_count(own[0] ^ own[1]).sum()) <= len(a ^ (b or {1}))
+
+
+def test_small_limits_keep_every_link(docs, rows, monkeypatch):
+    """Large cells pointing to their least id, and shuffles instead of broadcasts, give the same classes."""
+    monkeypatch.setattr(ngram_jaccard, "PAIRED", 2)
+    monkeypatch.setattr(ngram_jaccard, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(ngram_jaccard, "PAIR_BUCKETS", 1)
+    want = _classes(rows, 4, 85)
+    assert {r.doc_id: r.component_id for r in ngram_jaccard.classes_of(docs).collect() if r.doc_id is not None} == {d: c for d, (_, c) in want.items() if d is not None}
+
+
 def _removed(rows):
     first, out = {}, Counter()
     own = sorted(((d, (t or "").encode()) for d, t, *_ in rows if d is not None), key=lambda r: r[0])
@@ -215,6 +237,16 @@ def test_decontamination_finds_edited_items():
             assert not got
 
 
+def test_decontamination_of_short_items_at_word_edges():
+    short = decontaminate.Matcher([(1, "the"), (2, "Saw it?"), (3, "東京都"), (4, "x"), (5, "the")])
+    found = lambda text: sorted((i, a, b) for i, _, a, b in short.matches(text))
+    assert found("Others bathe; saw items") == []
+    assert found("breathe the air") == [(1, 8, 11), (5, 8, 11)]
+    assert found("I saw\tit? Yes") == [(2, 2, 9)] and found("resaw it?") == []
+    assert found("私は東京都に住む") == [(3, 2, 5)]
+    assert found("x") == [(4, 0, 1)] and found("xx x2 (x)") == [(4, 7, 8)]
+
+
 def test_decontamination_rows(spark, docs, empty):
     items = spark.createDataFrame(
         [(1, "A PASSAGE of words\tthat repeats across many documents"), (2, None), (3, " "), (4, "never in any text of this table, not once")],
@@ -238,10 +270,9 @@ def test_ngram_jaccard_equal_ids(spark):
     assert Counter((r.doc_id, r.component_id) for r in got if r.doc_id) == Counter({(1, 1): 1, (5, 1): 2, (9, 1): 2, (11, 11): 1})
 
 
-def test_least_of_hot_groups(spark, monkeypatch):
+def test_least_of_hot_groups(spark):
     from scriptorium.llm import base
 
-    monkeypatch.setattr(base, "HOT_GROUP", 3)
     df = spark.createDataFrame([(i, i % 3 if i < 20 else i) for i in range(25)], "id long, k long")
     got = {r.id: r.least for r in base.with_least(df, ["k"], "id", "least").collect()}
     assert got == {i: i % 3 for i in range(20)}
