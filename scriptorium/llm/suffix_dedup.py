@@ -18,7 +18,8 @@ Only strings that may repeat are sorted, wherever they stand:
    neighbours share the prefix so far.  After 50 rounds neighbours that share it
    are equal strings, and the least id of each class decides.
 4. Anchors that stand in more than ``HOT`` documents skip the bucket: their
-   strings are aggregated to the least id on the map side before they meet.
+   contexts are aggregated to the first document on the map side; only the
+   strings of distinct contexts are then listed and aggregated again.
 
 A bucket's state is bounded by the text bytes dealt to it, so it stays in
 memory where the published method keeps sequential files.
@@ -40,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import blocks, bounded_batches, texts, total_bytes, with_least, written
+from .base import blocks, bounded_batches, sent, texts, total_bytes, with_least, written
 
 LENGTH = 50
 GRAM = 25
@@ -50,7 +51,6 @@ BLOCK_BYTES = 3 << 20  # text bytes that a task holds at a time
 ANCHOR_BYTES = 6 << 20  # text bytes for each bucket of anchors
 CONTEXT_BYTES = 3 << 19  # context bytes for each bucket of strings
 HOT = 4096  # documents
-SENT_BYTES = 48 << 20  # per-document lists that may be sent to every task; more are joined by a shuffle
 
 _TABLE = np.random.default_rng(25).integers(1, 1 << 64, 256, np.uint64)
 _A = [np.uint64(pow(0x9E3779B97F4A7C15, 1 << k, 1 << 64)) for k in range(5)]
@@ -243,10 +243,10 @@ def _contexts(buckets: int, brief: int):
                     marks.append(tuple(mark))
             if marks:
                 doc, digest, a, b = zip(*marks, strict=True)
-                yield _cut_batch({"kind": [_MARK] * len(doc), "bucket": [-1 - abs(d) % 4093 for d in doc], "doc_id": doc, "digest": digest, "start": a, "stop": b}, len(doc))
+                yield _cut_batch({"kind": [_MARK] * len(doc), "doc_id": doc, "digest": digest, "start": a, "stop": b}, len(doc))
             for x in range(0, len(hots), 8192):
                 doc, digest, a, c = zip(*hots[x : x + 8192], strict=True)
-                yield _cut_batch({"kind": [_HOT] * len(doc), "bucket": [-1 - abs(d) % 4093 for d in doc], "doc_id": doc, "digest": digest, "start": a, "context": c}, len(doc))
+                yield _cut_batch({"kind": [_HOT] * len(doc), "doc_id": doc, "digest": digest, "start": a, "context": c}, len(doc))
             full = list(packs)
             for x in range(0, len(full), 16):
                 some = [packs[b] for b in full[x : x + 16]]
@@ -277,16 +277,11 @@ def equal_strings(flat: np.ndarray, at: np.ndarray, length: int = LENGTH) -> tup
     return order, shared
 
 
-_MARKS = "kind int, doc_id long, digest long, start long, stop long, context binary"
+_MARKS = "doc_id long, digest long, start long, stop long"
 
 
 def _decide(table: pa.Table) -> pa.Table:
-    """One bucket: spans of its contexts whose strings start in an earlier document.
-
-    Marks and hot contexts are dealt to buckets of their own and pass.
-    """
-    if table["kind"][0].as_py() != _PACK:
-        return table.select(["kind", "doc_id", "digest", "start", "stop", "context"])
+    """One bucket: spans of its contexts whose strings start in an earlier document."""
     ids, digests, starts = (np.frombuffer(b"".join(table[c].to_pylist()), "<i8") for c in ("ids", "digests", "starts"))
     sizes = np.frombuffer(b"".join(table["sizes"].to_pylist()), np.uint8).astype(np.int64)
     blob = b"".join(table["context"].to_pylist())
@@ -325,17 +320,47 @@ def _decide(table: pa.Table) -> pa.Table:
         b = np.append(a[1:], len(row)) - 1
         out.append((ids[row[a]], digests[row[a]], starts[row[a]] + shift[a], starts[row[a]] + shift[b] + LENGTH))
     columns = [pa.array(np.concatenate(x), pa.int64()) for x in zip(*out, strict=True)]
-    n = len(columns[0])
-    return pa.Table.from_arrays([pa.array(np.full(n, _MARK, np.int32)), *columns, pa.nulls(n, pa.binary())], names=["kind", "doc_id", "digest", "start", "stop", "context"])
+    return pa.Table.from_arrays(columns, names=["doc_id", "digest", "start", "stop"])
 
 
-def _hot_marks(hot: DataFrame) -> DataFrame:
-    """Strings of hot anchors: the least id of each, aggregated before it is shuffled."""
-    each = hot.withColumn("shift", F.explode(F.expr(f"sequence(0, octet_length(context) - {LENGTH})"))).select(
-        "doc_id", "digest", (F.col("start") + F.col("shift")).alias("start"), F.expr(f"substring(context, shift + 1, {LENGTH})").alias("string")
+def _merged(spans):
+    """Sorted spans with touching ones joined: a few per document, whatever the number of marks."""
+    pair = "struct<start:long,stop:long>"
+    state = f"struct<start:long,stop:long,out:array<{pair}>>"
+    none = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("stop"), F.array().alias("out")).cast(state)
+    closed = lambda acc: F.when(acc["stop"] < 0, acc["out"]).otherwise(
+        F.concat(acc["out"], F.array(F.struct(acc["start"], acc["stop"]).cast(pair))))
+    step = lambda acc, s: F.when(
+        s["start"] <= acc["stop"], F.struct(acc["start"].alias("start"), F.greatest(acc["stop"], s["stop"]).alias("stop"), acc["out"].alias("out"))
+    ).otherwise(F.struct(s["start"].alias("start"), s["stop"].alias("stop"), closed(acc).alias("out"))).cast(state)
+    return F.aggregate(F.sort_array(spans), none, step, closed)
+
+
+def _shared(hot: DataFrame) -> DataFrame:
+    """(key, first, spans) of each distinct hot context: its first document, and the runs of its strings that start in an earlier one.
+
+    Contexts are aggregated before their strings are listed, so a context that
+    many documents hold is cut into strings once.
+    """
+    each = hot.groupBy("context").agg(F.min("doc_id").alias("first"))
+    each = written(each.withColumn("key", F.xxhash64("context")), "suffix-hot")
+    strings = each.withColumn("shift", F.explode(F.expr(f"sequence(0, octet_length(context) - {LENGTH})"))).select(
+        "context", "key", "first", F.col("shift").cast("long").alias("shift"), F.expr(f"substring(context, shift + 1, {LENGTH})").alias("string")
     )
-    least = with_least(each, ["string"], "doc_id", "least").where("least < doc_id")
-    return least.select("doc_id", "digest", "start", (F.col("start") + LENGTH).alias("stop"))
+    gone = with_least(strings, ["string"], "first", "least").where("least < first")
+    span = F.struct(F.col("shift").alias("start"), (F.col("shift") + LENGTH).alias("stop"))
+    spans = gone.groupBy("context").agg(F.collect_list(span).alias("spans"))  # a context has at most LONGEST_RUN strings
+    return each.join(spans, "context", "left").select("context", "key", "first", _merged(F.coalesce("spans", F.array().cast("array<struct<start:long,stop:long>>"))).alias("spans"))
+
+
+def _hot_marks(hot: DataFrame) -> DataFrame:
+    """Spans of hot contexts: a later document's goes whole, the first one's loses what an earlier document has in another context."""
+    shared = written(_shared(hot), "suffix-shared")
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.octet_length("context").cast("long").alias("stop")))
+    shared = sent(shared, F.octet_length("context") + 16 * F.size("spans") + 32)
+    met = hot.withColumn("key", F.xxhash64("context")).join(shared, ["key", "context"])
+    lost = met.withColumn("span", F.explode(F.when(F.col("doc_id") > F.col("first"), whole).otherwise(F.col("spans"))))
+    return lost.select("doc_id", "digest", (F.col("start") + F.col("span.start")).alias("start"), (F.col("start") + F.col("span.stop")).alias("stop"))
 
 
 _OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -362,24 +387,6 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def _merged(spans):
-    """Sorted spans with touching ones joined: a few per document, whatever the number of marks."""
-    pair = "struct<start:long,stop:long>"
-    state = f"struct<start:long,stop:long,out:array<{pair}>>"
-    none = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("stop"), F.array().alias("out")).cast(state)
-    closed = lambda acc: F.when(acc["stop"] < 0, acc["out"]).otherwise(
-        F.concat(acc["out"], F.array(F.struct(acc["start"], acc["stop"]).cast(pair))))
-    step = lambda acc, s: F.when(
-        s["start"] <= acc["stop"], F.struct(acc["start"].alias("start"), F.greatest(acc["stop"], s["stop"]).alias("stop"), acc["out"].alias("out"))
-    ).otherwise(F.struct(s["start"].alias("start"), s["stop"].alias("stop"), closed(acc).alias("out"))).cast(state)
-    return F.aggregate(F.sort_array(spans), none, step, closed)
-
-
-def _sent(lists: DataFrame, size) -> DataFrame:
-    """Send a checked small list of documents to every task; join a larger one by a shuffle."""
-    return F.broadcast(lists) if int(lists.agg(F.sum(size)).first()[0] or 0) <= SENT_BYTES else lists
-
-
 def _copies(docs: DataFrame) -> DataFrame:
     """(doc_id, digest, stop) of documents whose whole text an earlier document has."""
     each = docs.where("doc_id is not null").select(
@@ -393,7 +400,7 @@ def spans(docs: DataFrame, hot: int = HOT, brief: int = _BRIEF) -> DataFrame:
     buckets = total_bytes(docs) // ANCHOR_BYTES + 8
     copies = written(_copies(docs), "suffix-copies")
     keyed = docs.where("doc_id is not null").withColumn("digest", F.xxhash64("text"))
-    own = keyed.join(_sent(copies, F.lit(32).cast("long")), ["doc_id", "digest"], "left_anti")
+    own = keyed.join(sent(copies, F.lit(32).cast("long")), ["doc_id", "digest"], "left_anti")
     found = own.select("doc_id", "text").mapInArrow(_anchor_rows(buckets), _ROWS)
     # A block's list of documents goes along under a key of its own.
     key = F.when(F.col("bucket") < 0, -1 - F.col("block")).otherwise(F.col("bucket"))
@@ -402,11 +409,14 @@ def spans(docs: DataFrame, hot: int = HOT, brief: int = _BRIEF) -> DataFrame:
     lists = written(lists.agg(F.first("names").alias("names"), F.first("hot").alias("hot")), "suffix-lists")
     size = (F.octet_length("names") + F.octet_length("hot")).cast("long")
     groups = int(lists.agg(F.sum(size)).first()[0] or 0) * 60 // brief // CONTEXT_BYTES + 8  # a name stands for a context of about 60 bytes
-    cuts = keyed.join(_sent(lists, size + 32), ["doc_id", "digest"]).select("doc_id", "digest", "text", "names", "hot").mapInArrow(_contexts(groups, brief), _CUTS)
-    marks = written(cuts.groupBy("bucket").applyInArrow(_decide, _MARKS), "suffix-marks")
+    cuts = keyed.join(sent(lists, size + 32), ["doc_id", "digest"]).select("doc_id", "digest", "text", "names", "hot").mapInArrow(_contexts(groups, brief), _CUTS)
+    cuts = written(cuts, "suffix-cuts")
+    packs = cuts.where(F.col("kind") == _PACK).select("bucket", "context", "ids", "digests", "starts", "sizes")
+    marks = packs.groupBy("bucket").applyInArrow(_decide, _MARKS)
+    clear = cuts.where(F.col("kind") == _MARK).select("doc_id", "digest", "start", "stop")
     whole = copies.where(F.col("stop") >= LENGTH).select("doc_id", "digest", F.lit(0).cast("long").alias("start"), "stop")
-    common = _hot_marks(marks.where(F.col("kind") == _HOT).drop("kind", "stop"))
-    return marks.where(F.col("kind") == _MARK).select("doc_id", "digest", "start", "stop").unionByName(whole).unionByName(common)
+    common = _hot_marks(cuts.where(F.col("kind") == _HOT).select("doc_id", "digest", "start", "context"))
+    return marks.unionByName(clear).unionByName(whole).unionByName(common)
 
 
 def deduplicated(table: DataFrame, hot: int = HOT, brief: int = _BRIEF) -> DataFrame:
@@ -415,5 +425,5 @@ def deduplicated(table: DataFrame, hot: int = HOT, brief: int = _BRIEF) -> DataF
     docs = texts(table, "doc_id")
     found = spans(docs, hot, brief).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans")).withColumn("spans", _merged(F.col("spans")))
     found = written(found, "suffix-spans")
-    keyed = docs.withColumn("digest", F.xxhash64("text")).join(_sent(found, (16 * F.size("spans") + 32).cast("long")), ["doc_id", "digest"], "left")
+    keyed = docs.withColumn("digest", F.xxhash64("text")).join(sent(found, (16 * F.size("spans") + 32).cast("long")), ["doc_id", "digest"], "left")
     return keyed.select("doc_id", "text", "spans").mapInArrow(_remove, _OUT)

@@ -158,6 +158,14 @@ def test_suffix_dedup(docs, rows, empty):
     assert suffix_dedup.deduplicated(empty).count() == 0
 
 
+def test_suffix_dedup_by_shuffles_alone(docs, rows, monkeypatch):
+    """Lists too large to be sent are joined by a shuffle, with the same result on both paths."""
+    from scriptorium.llm import base
+
+    monkeypatch.setattr(base, "SENT_BYTES", -1)
+    assert Counter(map(tuple, suffix_dedup.deduplicated(docs, 2).collect())) == _removed(rows)
+
+
 def test_suffix_dedup_equal_ids(spark):
     text = "a text of more than fifty bytes that stands in every one of them "
     rows = [(2, text), (2, text + "2"), (1, "1" + text), (3, text), (3, text), (4, "short")]
