@@ -6,6 +6,10 @@ item does.  One automaton of all pieces runs over each whole text; every hit
 names a window, windows of one item that overlap merge, and Myers' bit-parallel
 recurrence gives the item's least edit distance inside each.
 
+An item under ``PIECE`` characters has no budget: it must stand as it is and at
+word edges, so that "the" is not found in "others".  Such an item still matches
+every text that holds it as words; a benchmark of single words would.
+
 Letters count regardless of case and any white space as a blank, both one to
 one, so spans refer to the text as it is.
 
@@ -43,6 +47,13 @@ def plain(text: str) -> str:
     return low.translate(_BLANKS)
 
 
+def at_edges(text: str, start: int, stop: int) -> bool:
+    """Whether a place neither begins nor ends inside a word; scripts written without blanks have no such edges."""
+    letter = lambda c: c.isalnum() and c < "\u2e80"
+    inside = lambda k: 0 < k < len(text) and letter(text[k - 1]) and letter(text[k])
+    return not inside(start) and not inside(stop)
+
+
 def cut(item: str, piece: int = PIECE) -> list[tuple[int, str]]:
     """Error budget plus one pieces of an item, as (offset, piece)."""
     n = len(item) // piece + 1
@@ -104,11 +115,18 @@ class Matcher:
             return
         low = plain(text)
         windows: dict[int, list[list[int]]] = {}
+        exact: dict[int, int] = {}
         for last, (size, places) in self.automaton.iter(low):
             for k, offset in places:
                 first = last + 1 - size - offset
                 slack = self.budgets[k]
+                if not slack:
+                    if k not in exact and at_edges(low, first, first + size):
+                        exact[k] = first
+                    continue
                 windows.setdefault(k, []).append([max(0, first - slack), first + self.patterns[k].size + slack])
+        for k, first in exact.items():
+            yield self.ids[k], 0, first, first + self.patterns[k].size
         for k, found in windows.items():
             found.sort()
             merged = [found[0]]

@@ -8,9 +8,13 @@ main text from the rest.
 
 Pages are worked on where they are read; nothing is shuffled.
 
+An element is furniture by its tag, by a class or id that names it so alone or with
+words for containers (``comment-list``), and, where the name has other words too
+(``no-sidebar``), unless the element holds most of the page's plain words.
+
 Cases: a null or empty page, or one without main text, gives an empty text.
 Broken markup is read as far as it goes: an unclosed element ends with its
-parent, an unclosed comment or script at the end of the page.  Repeated rows
+parent, an unclosed comment or script at the end of the page, an unclosed button or option where the next block begins.  Repeated rows
 and repeated or null ids keep a row each; other columns are not read.
 """
 
@@ -32,7 +36,7 @@ from .base import blocks, bounded_batches
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
-RAW = frozenset("script style noscript template textarea title iframe svg math object select option button".split())
+RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 FURNITURE = frozenset("nav header footer aside form menu dialog fieldset figcaption".split())
 MAIN = frozenset("article main".split())
@@ -41,6 +45,10 @@ FURNITURE_NAMES = (
     "dropdown footer header hidden login masthead menu modal nav navbar navigation newsletter notice overlay pager pagination popup promo "
     "recommended related replies reply search share sidebar signup skip social sponsor sponsored subscribe tags toc toolbar widget"
 ).split()
+# What a part of a page is called beside its kind: "comment-list" holds comments, "sidebar-left" may be a page's layout.
+CONTAINERS = frozenset("area block box container group inner item items list outer panel section thread widget wrap wrapper".split())
+# Controls: their text ends where a block begins or the next one starts, closed or not.
+_CONTROL_END = re.compile(r"<(?:/?(?:button|option|optgroup|select|datalist)\b[^>]*>|(?=/?(?:address|article|aside|blockquote|body|div|dl|fieldset|figure|footer|form|h[1-6]|header|hr|html|main|nav|ol|p|pre|section|table|ul)\b))", re.I)
 # Elements that may stay open: what a start tag ends, up to the first of some elements around it.
 _ROWS = (frozenset(("tr", "td", "th")), frozenset(("table",)))
 _CELLS = (frozenset(("td", "th")), frozenset(("tr", "table")))
@@ -53,7 +61,8 @@ FURNITURE_ROLES = frozenset("banner navigation complementary contentinfo search
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|([^<]+|<)", re.S)
 _NAMED = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-_FURNITURE_NAME = re.compile(r"(?:^|[^a-z0-9])(?:" + "|".join(FURNITURE_NAMES) + r")(?:$|[^a-z0-9])")
+_FURNITURE_NAME = frozenset(FURNITURE_NAMES)
+_PARTS = re.compile(r"[^a-z0-9]+")
 
 
 @dataclass
@@ -65,29 +74,60 @@ class Block:
     furniture: bool
 
 
-def _is_furniture(attributes: str) -> bool:
+NO, MAYBE, SURE = range(3)
+
+
+def _furniture(attributes: str) -> int:
+    """Whether an element's attributes name it as page furniture.
+
+    A class or id that is such a name, or one with words for containers, does.  A
+    name among other words (``no-sidebar``, ``comments-open``) may: the page decides.
+    """
+    found = NO
     for name, a, b, c in _NAMED.findall(attributes):
         value, name = (a or b or c).lower(), name.lower()
-        if name in ("class", "id") and _FURNITURE_NAME.search(value):
-            return True
-        if name == "role" and value in FURNITURE_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+        if name in ("class", "id"):
+            for token in value.split():
+                parts = [p for p in _PARTS.split(token) if p]
+                named = [p in _FURNITURE_NAME for p in parts]
+                if any(named):
+                    found = max(found, SURE if all(n or p in CONTAINERS for n, p in zip(named, parts, strict=True)) else MAYBE)
+        elif name == "role" and value in FURNITURE_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
+            return SURE
+        elif name == "style" and "display:none" in value.replace(" ", ""):
+            return SURE
+    return found
+
+
+MOST = 0.5  # of a page's plain words: what holds more is no furniture for a name that only may say so
 
 
 def flat_blocks(page: str) -> list[Block]:
     """The page's text blocks in page order, head and scripts left out."""
-    found: list[Block] = []
-    open_: list[tuple[str, bool, bool]] = []  # element, inside main, inside furniture
+    found: list[tuple[Block, tuple[int, ...]]] = []
+    open_: list[tuple[str, tuple]] = []  # element, the state around it
     parts: list[str] = []
     links: list[str] = []
-    linked, main, furniture, at = False, False, False, 0
+    linked, at, doubtful = False, 0, 0
+    state: tuple[bool, bool, tuple[int, ...]] = (False, False, ())  # inside main, inside furniture, elements that may be furniture
+
+    def leave(k: int) -> None:
+        nonlocal state
+        state = open_[k][1]
+        del open_[k:]
+
+    def enter(name: str, attributes: str) -> None:
+        nonlocal state, doubtful
+        open_.append((name, state))
+        main, furniture, maybe = state
+        kind = _furniture(attributes) if attributes else NO
+        if kind == MAYBE:
+            maybe, doubtful = (*maybe, doubtful), doubtful + 1
+        main = main or name in MAIN or "main" in attributes and bool(re.search(r"role\s*=\s*[\"']?main", attributes, re.I))
+        state = main, furniture or name in FURNITURE or kind == SURE, maybe
 
     def end_open(names: frozenset[str], around: frozenset[str]) -> None:
         """Close the outermost open element of ``names`` inside the nearest one of ``around``."""
-        nonlocal main, furniture
         last = None
         for k in range(len(open_) - 1, -1, -1):
             if open_[k][0] in around:
@@ -95,17 +135,14 @@ def flat_blocks(page: str) -> list[Block]:
             if open_[k][0] in names:
                 last = k
         if last is not None:
-            _, main, furniture = open_[last]
-            del open_[last:]
+            leave(last)
 
     def end_paragraph() -> None:
-        nonlocal main, furniture
         k = len(open_) - 1
         while k >= 0 and open_[k][0] in INLINE:
             k -= 1
         if k >= 0 and open_[k][0] == "p":
-            _, main, furniture = open_[k]
-            del open_[k:]
+            leave(k)
 
     def flush() -> None:
         nonlocal parts, links
@@ -113,7 +150,7 @@ def flat_blocks(page: str) -> list[Block]:
             words = html.unescape("".join(parts)).split()
             if words:
                 inside = len(html.unescape(" ".join(links)).split()) if links else 0
-                found.append(Block(" ".join(words), len(words), min(inside, len(words)), main, furniture))
+                found.append((Block(" ".join(words), len(words), min(inside, len(words)), state[0], state[1]), state[2]))
             parts, links = [], []
 
     while match := _TOKEN.match(page, at):
@@ -130,23 +167,28 @@ def flat_blocks(page: str) -> list[Block]:
         if name in RAW or name == "head":
             if not close and not attributes.endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                at = end.end() if end else at if name == "select" else len(page)
             if name not in ("title", "script", "style"):
                 parts.append(" ")
             continue
+        if name in ("button", "option", "optgroup"):
+            if not close and not attributes.endswith("/"):
+                end = _CONTROL_END.search(page, at)
+                stop = end is not None and end.group().startswith("</") and end.group().lower().startswith(f"</{name}")
+                at = (end.end() if stop else end.start()) if end else at
+            parts.append(" ")
+            continue
         if name in INLINE:
             if name == "a":
                 linked = not close
             elif name in ("br", "img"):
                 parts.append(" ")
-            elif attributes and not close and _is_furniture(attributes):
+            elif attributes and not close and _furniture(attributes):
                 flush()
-                open_.append((name, main, furniture))
-                furniture = True
+                enter(name, attributes)
             elif close and (k := len(open_) - 1 - (len(open_) > 1 and open_[-1][0] == "p" and open_[-2][0] in INLINE)) >= 0 and open_[k][0] == name:
                 flush()
-                _, main, furniture = open_[k]
-                del open_[k:]
+                leave(k)
             continue
         flush()
         linked = False
@@ -157,8 +199,7 @@ def flat_blocks(page: str) -> list[Block]:
         elif close:
             for k in range(len(open_) - 1, -1, -1):
                 if open_[k][0] == name:
-                    _, main, furniture = open_[k]
-                    del open_[k:]
+                    leave(k)
                     break
         elif name == "hr":
             end_paragraph()
@@ -166,11 +207,19 @@ def flat_blocks(page: str) -> list[Block]:
             end_paragraph()
             if name in ENDS:
                 end_open(*ENDS[name])
-            open_.append((name, main, furniture))
-            main = main or name in MAIN or "main" in attributes and bool(re.search(r"role\s*=\s*[\"']?main", attributes, re.I))
-            furniture = furniture or name in FURNITURE or bool(attributes) and _is_furniture(attributes)
+            enter(name, attributes)
     flush()
-    return found
+
+    # What holds most of the page is no furniture, whatever words its name has.
+    plain, held = 0, [0] * doubtful
+    for b, maybe in found:
+        if not b.furniture:
+            plain += b.words - b.linked
+            for k in maybe:
+                held[k] += b.words - b.linked
+    for b, maybe in found:
+        b.furniture = b.furniture or any(held[k] <= MOST * plain for k in maybe)
+    return [b for b, _ in found]
 
 
 FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "main", "furniture", "main_part")

@@ -202,16 +202,21 @@ class Notices:
 
     @staticmethod
     def _windows(words, own, keys, need, length) -> list[tuple[int, int, frozenset[str]]]:
-        """(start, stop, shared words) of the met windows that start at a word of the notice, cut behind their last."""
+        """(start, stop, shared words) of the met windows that start at a word of the notice, cut behind their last.
+
+        Windows that share the same words hold one set between them.
+        """
         at = [i for i, w in enumerate(words) if w in own]
         held: dict[str, int] = {}
+        sets: dict[frozenset[str], frozenset[str]] = {}
         out, stop = [], 0
         for k, start in enumerate(at):
             while stop < len(at) and at[stop] < start + length:
                 held[words[at[stop]]] = held.get(words[at[stop]], 0) + 1
                 stop += 1
             if len(held) >= need and held.keys() >= keys:
-                out.append((start, at[stop - 1] + 1, frozenset(held)))
+                shared = frozenset(held)
+                out.append((start, at[stop - 1] + 1, sets.setdefault(shared, shared)))
             held[words[start]] -= 1
             if not held[words[start]]:
                 del held[words[start]]

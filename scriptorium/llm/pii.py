@@ -9,9 +9,10 @@ pattern: the pieces between the matches give every match's start.
    starts is a seed of its kind.
 3. ``induced`` scores the graph of contexts (patterns) and values (instances)
    in rounds: a pattern's confidence in a kind is the share of that kind among
-   its distinct labelled values and those that can be no identifier (values that
-   nobody has labelled yet speak neither for nor against it), an instance's is
-   the noisy-or of its patterns.  Values over the threshold are identifiers that
+   its distinct labelled values and those that can be no identifier; values that
+   nobody has labelled yet speak against it in part where they look unlike that
+   kind (digit count, separators), else not at all.  An instance's is the
+   noisy-or of its patterns.  Values over the threshold are identifiers that
    no base pattern names; they label contexts in turn, until nothing new passes.
 
 Only contexts that could pass if all their identifier-like values were of one
@@ -34,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import let, written
+from .base import let, sent, written
 
 KINDS = ("email", "ip", "card", "phone")
 # The four base patterns.  Look-behinds and possessive loops only
@@ -62,6 +63,16 @@ class Induction:
     pattern_confidence: float = 0.8
     instance_confidence: float = 0.8
     min_digits: int = 6  # an induced identifier has an @ or so many digits
+    unlike: float = 0.2  # vote of an unlabelled value that looks unlike the kind, against a labelled one's
+
+
+# How a value of each kind looks, loosely: also where no base pattern takes it.
+LOOKS = {
+    "email": lambda v: F.contains(v, F.lit("@")),
+    "ip": lambda v: v.rlike(r"^[0-9]{1,3}(?:[^0-9\p{L}@]+[0-9]{1,3}){3}$"),
+    "card": lambda v: ~v.rlike(r"[\p{L}@]") & F.length(_digits(v)).between(13, 19),
+    "phone": lambda v: ~v.rlike(r"[\p{L}@]") & v.rlike("[^0-9]") & F.length(_digits(v)).between(9, 15),
+}
 
 
 def _digits(value: Column) -> Column:
@@ -196,12 +207,16 @@ def induced(found: DataFrame, how: Induction = Induction()) -> DataFrame:
     best, n_best = None, 0
     while True:
         scores = known if best is None else known.unionByName(best.join(known, "value", "left_anti"))
-        sums = graph.join(scores, "value").groupBy("pattern").agg(
-            F.first("n_none").alias("n_none"), *[F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)).alias(k) for k in KINDS]
+        free = F.col("kind").isNull()
+        sums = graph.join(scores, "value", "left").groupBy("pattern").agg(
+            F.first("n_none").alias("n_none"), F.sum(F.coalesce("score", F.lit(0.0))).alias("labelled"),
+            *[F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)).alias(k) for k in KINDS],
+            *[F.count_if(free & ~LOOKS[k](F.col("value"))).alias(f"un_{k}") for k in KINDS],
         )
-        share = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("s")) for k in KINDS]))
+        share = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("s"), F.col(f"un_{k}").alias("un")) for k in KINDS]))
         strong = (
-            sums.select("pattern", (sum(map(F.col, KINDS)) + F.col("n_none")).alias("n"), share.alias("own")).select("pattern", "n", "own.*")
+            sums.select("pattern", (F.col("labelled") + F.col("n_none")).alias("n"), share.alias("own")).select("pattern", "n", "own.*")
+            .withColumn("n", F.col("n") + how.unlike * F.col("un"))
             .where((F.col("s") >= how.support - 1e-9) & (F.col("s") >= how.pattern_confidence * F.col("n") - 1e-9))
             .select("pattern", "kind", (F.col("s") / F.col("n")).alias("confidence"))
         )
@@ -256,11 +271,15 @@ def detected(docs: DataFrame, how: Induction = Induction()) -> DataFrame:
 def masked(docs: DataFrame, how: Induction = Induction()) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in brackets; null texts stay null.
 
-    Rows meet their spans by id and text digest, so equal rows get equal spans.
+    Base spans are found again where a text is rebuilt, so only induced ones travel:
+    they are sent to the texts where that is a checked small table, else joined by
+    a shuffle.  They meet by id and text digest, so equal rows get equal spans.
     """
     key = F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")))
-    spans = detected(docs.select(key.alias("doc_id"), "text"), how).where(F.size("spans") > 0)
-    spans = spans.groupBy(F.col("doc_id").alias("__pii_key")).agg(F.first("spans").alias("__pii_spans"))
+    found = located(docs.select(key.alias("doc_id"), "text"))
+    more = induced(found, how).join(found.select("row", F.col("doc_id").alias("__pii_key")), "row")
+    more = more.groupBy("__pii_key").agg(F.collect_set(F.struct("kind", "start", "stop")).cast(_SPAN).alias("__pii_more"))
+    more = sent(written(more, "pii-more"), 24 * F.size("__pii_more") + 16)
 
     def rebuild(text: Column, found: Column) -> Column:
         by_start = F.sort_array(F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
@@ -279,6 +298,9 @@ def masked(docs: DataFrame, how: Induction = Induction()) -> DataFrame:
         rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
         return F.aggregate(by_start, empty, step, rest)
 
-    joined = docs.withColumn("__pii_key", key).join(spans, "__pii_key", "left")
-    text = F.when(F.col("__pii_spans").isNull(), F.col("text")).otherwise(rebuild(F.col("text"), F.col("__pii_spans")))
+    raw = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    joined = docs.withColumn("__pii_key", key).join(more, "__pii_key", "left")
+    spans = F.concat(spans_of_text(raw), F.coalesce("__pii_more", F.array().cast(_SPAN)))
+    joined = joined.withColumn("__pii_spans", spans)
+    text = F.when(F.size("__pii_spans") == 0, F.col("text")).otherwise(rebuild(raw, F.col("__pii_spans")))
     return joined.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])

@@ -1,7 +1,9 @@
 """Operators that judge each text by itself, against plain Python."""
 
+import random
 import re
 from collections import Counter
+from html.parser import HTMLParser
 
 import public_tokenizers
 import pytest
@@ -97,6 +99,38 @@ def test_pii_bootstrapping_goes_on_from_what_it_finds(spark):
     assert masked[17] == "kindly dial [PHONE] today"
 
 
+def test_pii_numbers_unlike_the_kind_are_left(spark):
+    """A few seeds in a context of ordinary numbers do not make these identifiers."""
+    texts = [f"Order number {52893411 + i} was paid." for i in range(30)] + [f"Order number +44 20 7946 10{i:02d} was paid." for i in range(3)]
+    texts += [f"parcel code {4520017733 + i} sent" for i in range(20)] + [f"parcel code +44 20 7946 20{i:02d} sent" for i in range(4)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in pii.detected(docs).collect() if r.spans} == {30, 31, 32, *range(53, 57)}
+    assert {r.doc_id for r in pii.masked(docs).collect() if r.text != texts[r.doc_id]} == {30, 31, 32, *range(53, 57)}
+
+
+def test_pii_precision_and_recall_of_contexts(spark):
+    """Planted contexts: precision 1.0, recall 1.0 of unseen identifiers whose context has at least three seeds."""
+    rnd = random.Random(12)
+    number = lambda n: "".join(rnd.choice("123456789") for _ in range(n))
+    seed = {"phone": lambda: f"+49 30 {number(3)} {number(4)}", "email": lambda: f"n{number(5)}@example.org", "ip": lambda: f"10.{rnd.randrange(256)}.{rnd.randrange(256)}.7"}
+    unseen = {"phone": lambda: f"0{number(3)} {number(3)} {number(4)}", "email": lambda: f"n{number(5)}@localhost", "ip": lambda: f"10-{rnd.randrange(256)}-{rnd.randrange(256)}-8"}
+    texts, want = [], set()
+    for k in range(12):
+        kind = ("phone", "email", "ip")[k % 3]
+        for _ in range(rnd.randint(3, 9)):
+            texts.append(f"contact{chr(97 + k)} via {seed[kind]()} today")
+        for _ in range(rnd.randint(1, 20)):
+            want.add(len(texts))
+            texts.append(f"contact{chr(97 + k)} via {unseen[kind]()} today")
+    for k in range(12):  # contexts of ordinary numbers, some with a few seeds among them
+        for _ in range(rnd.randint(0, 3)):
+            texts.append(f"item{chr(97 + k)} code {seed['phone']()} sold")
+        for _ in range(rnd.randint(25, 40)):
+            texts.append(f"item{chr(97 + k)} code {number(rnd.choice([6, 8, 10]))} sold")
+    found = {r.doc_id for r in pii.detected(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect() if len(r.spans) > len(r.base)}
+    assert found == want
+
+
 def test_pii_context_words_are_whole(spark):
     long = "https://example.org/" + "x" * 100
     seeds = [(i, f"see {long} at +1 (4{i:02d}) 555-24{i:02d} now") for i in range(4)]
@@ -113,6 +147,20 @@ def test_token_counts(docs, rows, empty):
     assert token_counts.counted(empty, path).count() == 0
 
 
+def test_license_windows_of_a_very_long_text():
+    """A text of notices only: memory stays a small multiple of the text."""
+    import tracemalloc
+
+    own = license_scan.Notices(license_scan.NOTICES, {})
+    words = license_scan.words_of(" ".join(t for _, t, _ in license_scan.NOTICES) * 60)
+    assert sum(map(len, words)) > 250_000
+    tracemalloc.start()
+    found = own.best(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(found) == {label for label, _, _ in license_scan.NOTICES} and peak < 60 << 20
+
+
 def test_license_scan(docs, rows, empty):
     def words(text):
         return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
@@ -220,6 +268,107 @@ def test_main_text_by_counts_and_names(page, text):
     assert html_text.main_text(page) == text
 
 
+ARTICLE = " ".join(f"Sentence {k} of the article tells what happened on that day and why it did." for k in range(12))
+
+
+@pytest.mark.parametrize("name", ["no-sidebar", "overflow-hidden", "with-comments", "has-share", "tags-travel", "two-col sidebar-left", "post comments-open", "entry search-result-17", "promo-free layout"])
+def test_html_names_of_wrappers(name):
+    menu = "<div class='main-nav'><a href=a>Home</a> <a href=b>About</a></div>"
+    for tag in ("div", "article", "section", "body"):
+        page = f"<html>{menu}<{tag} class=\"{name}\"><h1>Title</h1><p>{ARTICLE}</p><div class='social-share'>Share this</div></{tag}><div id=site-footer>Contact us</div></html>"
+        assert html_text.main_text(page).split("\n")[-1] == ARTICLE, (name, tag)
+
+
+@pytest.mark.parametrize("name", ["comments", "comment-list", "site-header", "cookie-banner", "sidebar_widget", "newsletter box", "ad-slot", "related-posts sidebar"])
+def test_html_names_of_furniture(name):
+    other = "Other words that a reader wrote below the text about something else entirely. " * 3
+    page = f"<body><div><p>{ARTICLE}</p></div><div class='{name}'><p>{other}</p></div></body>"
+    assert html_text.main_text(page) == ARTICLE
+
+
+def test_html_open_controls():
+    for control in ("<button>Share", "<button class=x>Share</button><button>Save", "<select><option>One<option>Two</select>", "<select><option>One<option>Two", "<option>One", "<button>A</button>"):
+        assert html_text.main_text(f"<div>{control}<p>{ARTICLE}</p><p>{ARTICLE}</p></div>").split("\n")[-2:] == [ARTICLE, ARTICLE], control
+
+
+class _Blocks(HTMLParser):
+    """Blocks of well-formed pages by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.text, self.skip = [], "", 0
+
+    def flush(self):
+        if self.text.split():
+            self.out.append(" ".join(self.text.split()))
+        self.text = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style", "button", "select"):
+            self.skip += 1
+            self.text += " " * (tag in ("button", "select"))
+        elif tag in ("br", "img"):
+            self.text += " "
+        elif tag not in html_text.INLINE:
+            self.flush()
+
+    def handle_endtag(self, tag):
+        if tag in ("script", "style", "button", "select"):
+            self.skip -= 1
+        elif tag not in html_text.INLINE:
+            self.flush()
+
+    def handle_data(self, data):
+        if not self.skip:
+            self.text += data
+
+
+def test_html_blocks_equal_a_parser():
+    rnd = random.Random(8)
+    word = lambda: rnd.choice(["a", "bc", "d&amp;e", "&eacute;t&#233;", "x&nbsp;y", "&lt;b&gt;", "1 &gt; 0"])
+
+    def node(depth: int) -> str:
+        kind = rnd.random()
+        if depth == 0 or kind < 0.35:
+            return rnd.choice([" ", "\n", ""]) + " ".join(word() for _ in range(rnd.randint(1, 6)))
+        if kind < 0.55:
+            return f"<{(t := rnd.choice(['b', 'em', 'a href=x', 'span']))}>{node(0)}</{t.split()[0]}>"
+        if kind < 0.62:
+            return rnd.choice(["<br>", "<!-- no <p> -->", "<script>if (a < b) { x = '<p>' }</script>", "<button type=button>Go <b>on</b></button>", "<hr/>", "<img alt='<p>' src=a>"])
+        inner = "".join(node(depth - 1) for _ in range(rnd.randint(1, 4)))
+        return f"<{(t := rnd.choice(['div', 'section', 'blockquote', 'pre', 'h2']))} class='c d'>{inner}</{t}>"
+
+    for _ in range(400):
+        page = "<html><body>" + "".join(node(3) for _ in range(5)) + "</body></html>"
+        parser = _Blocks()
+        parser.feed(page)
+        parser.close()
+        parser.flush()
+        assert [b.text for b in html_text.flat_blocks(page)] == parser.out, page
+
+
+def test_html_recall_and_precision():
+    """Words of pages of several kinds: recall and precision of main text, each page by itself."""
+    rnd = random.Random(9)
+    para = lambda n: " ".join(f"word{rnd.randrange(900)}" for _ in range(n)) + "."
+    links = lambda n: " ".join(f"<a href=/{k}>Link {k}</a>" for k in range(n))
+    low_recall = low_precision = 0
+    for k in range(120):
+        paragraphs = [para(rnd.randint(25, 90)) for _ in range(rnd.randint(3, 9))]
+        body = "".join(f"<p>{p}</p>" for p in paragraphs)
+        shell = ("<article>{}</article>", "<main>{}</main>", "<div class='content with-sidebar'>{}</div>", "<td>{}</td>", "<section class='post no-comments'>{}</section>", "<div>{}</div>")[k % 6]
+        if "td" in shell:
+            shell = f"<table><tr>{shell}<td class=sidebar>{links(9)}</td></tr></table>"
+        before = rnd.choice([f"<nav>{links(6)}</nav>", f"<div id=header><ul><li>{links(1)}<li>{links(1)}</ul></div>", f"<div class='top-bar'>{links(8)}</div>"])
+        after = rnd.choice(["", f"<div class='comment-list'><p>{para(60)}</p><p>{para(40)}</p></div>", f"<aside><p>{para(30)}</p></aside>"]) + f"<footer>{para(12)} {links(4)}</footer>"
+        got = Counter(html_text.main_text(f"<html><body>{before}{shell.format(body)}{after}</body></html>").split())
+        want = Counter(" ".join(paragraphs).split())
+        shared = (got & want).total()
+        low_recall += shared < 0.99 * want.total()
+        low_precision += shared < 0.95 * got.total()
+    assert (low_recall, low_precision) == (0, 0)
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None)], "page_id long, url string, html string, text string")
     got = html_text.extracted(pages).collect()
