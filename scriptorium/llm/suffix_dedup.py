@@ -85,6 +85,11 @@ _NAME = 4  # bytes of an anchor's name inside its bucket
 _BRIEF = 3  # and inside a document; a chance hit is only a candidate, on every path whose list it hits
 
 
+def _bucket(values: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each anchor.  Anchors are least hashes, most of them small, so they are mixed first."""
+    return (((values * _C) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+
+
 def _short(values: np.ndarray, width: int = _NAME) -> bytes:
     return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
@@ -121,10 +126,10 @@ def _anchor_rows(buckets: int):
             if has:
                 values = np.concatenate([found[n] for n in has])
                 of = np.repeat(np.asarray(has, np.uint32), [len(found[n]) for n in has])
-                order = np.argsort(values, kind="stable")
+                bucket = _bucket(values, buckets)
+                order = np.argsort(bucket, kind="stable")
                 values, of = values[order], of[order]
-                bucket = ((values >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-                starts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+                starts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
                 rows += [
                     {"block": part + k, "bucket": b, "names": _short(values[x:y]), "docs": of[x:y].astype("<u4").tobytes()}
                     for b, (x, y) in enumerate(zip(starts, starts[1:], strict=False)) if x < y
@@ -220,7 +225,7 @@ def _contexts(buckets: int, brief: int):
                 # A short name in both lists may be of either: all documents must send a string on the path of its anchor.
                 hot, cold = np.isin(low, _long(row["hot"], brief)), np.isin(low, _long(row["names"], brief))
                 live = hot | cold
-                bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+                bucket = _bucket(key, buckets)
                 mark = None
                 for a, b, bk, is_hot, is_cold in zip(first[live].tolist(), last[live].tolist(), bucket[live].tolist(), hot[live].tolist(), cold[live].tolist(), strict=True):
                     context = data[a : b + LENGTH - 1]
