@@ -17,6 +17,8 @@ from .operators import corpus as C
 from .operators import quality as Q
 from .operators import scoring as S
 from .operators.scoring import _WORD, likeness_of_tokens
+from .plans.publish import publish_files
+from .sinks.files import listed, write_files
 from .sources.catalog_csv import read_catalog_csv
 from .sources.text_files import read_quality_logs, read_text_corpus
 
@@ -53,6 +55,26 @@ def split_plan(spark: SparkSession, input_dir: str, threshold: int = C.DEFAULT_S
     return C.size_split_plan(sized, threshold, small_dir, large_dir, input_root=root)
 
 
+def run_split(spark: SparkSession, input_dir: str, threshold: int = C.DEFAULT_SPLIT_THRESHOLD, ext: str = ".txt",
+              small_dir: str | None = None, large_dir: str | None = None, overwrite: bool = False) -> list:
+    """Copy every file into its bucket's folder; targets that exist are skipped unless ``overwrite``.
+
+    Each bucket is committed on its own, all files or none.  Returns the rows of
+    (bucket, n_docs, moved, skipped).  Inputs stay where they are.
+    """
+    small_dir, large_dir = small_dir or f"{input_dir.rstrip('/')}/small", large_dir or f"{input_dir.rstrip('/')}/large"
+    plan = split_plan(spark, input_dir, threshold, ext, small_dir, large_dir)
+    existing = listed(spark, small_dir, large_dir)
+    report = C.split_report(plan, existing, overwrite)
+    rows = report.orderBy("bucket").collect()
+    todo = plan if overwrite else C.pending_split(plan, existing)
+    for bucket, folder in (("small", small_dir), ("large", large_dir)):
+        if any(r.bucket == bucket and r.moved for r in rows):
+            own = todo.where(F.col("bucket") == bucket)
+            write_files(spark, own, folder, F.substring("dest", len(folder.rstrip("/")) + 2, 1 << 20), F.col("text"))
+    return rows
+
+
 def _file_pairs(spark: SparkSession, pairs: DataFrame, roots: list[str], ext: str = "") -> DataFrame:
     """(pair_id, a_path, b_path) -> (pair_id, a_text, b_text).
 
@@ -123,3 +145,9 @@ def ingest_catalog(spark: SparkSession, csv_path: str, mode: str = "enforce",
     """(talks after last-wins, quarantine, counters) from a catalog CSV."""
     v = K.validate(read_catalog_csv(spark, csv_path, row_limit))
     return K.latest_per_name(K.to_talks(v, mode)), K.quarantine(v), K.ingest_counters(v, mode)
+
+
+def publish_run(spark: SparkSession, catalog_csv: str, stage_sources: dict, out_dir: str, run_id: str, **options) -> dict:
+    """Catalog CSV and stage folders -> talks, talk files, quality log, index, quarantine,
+    counters under ``out_dir`` (:func:`.plans.publish.publish_files`); returns the merge counters."""
+    return publish_files(spark, catalog_csv, stage_sources, out_dir, run_id, **options)

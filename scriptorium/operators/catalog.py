@@ -120,17 +120,22 @@ def quarantine(validated: DataFrame) -> DataFrame:
     )
 
 
-def ingest_counters(validated: DataFrame, mode: str = "enforce") -> DataFrame:
-    """written / skipped / missing_required / removed_missing_title in one pass."""
+def counter_columns(mode: str = "enforce") -> list[Column]:
+    """The ingest counters over validated rows, as aggregates (also for an observation)."""
     invalid = ~F.col("valid")
     enforce = F.lit(mode != "log_only")
     no_title = F.array_contains("missing", "title")
-    return validated.agg(
+    return [
         F.count_if(F.col("valid") | ~enforce).cast("long").alias("written"),
         F.count_if(invalid & enforce).cast("long").alias("skipped"),
         F.count_if(invalid).cast("long").alias("missing_required"),
         F.count_if(invalid & enforce & no_title).cast("long").alias("removed_missing_title"),
-    )
+    ]
+
+
+def ingest_counters(validated: DataFrame, mode: str = "enforce") -> DataFrame:
+    """written / skipped / missing_required / removed_missing_title in one pass."""
+    return validated.agg(*counter_columns(mode))
 
 
 def latest_per_name(talks: DataFrame) -> DataFrame:

@@ -128,3 +128,17 @@ def size_split_counts(plan: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 def write_size_split(plan: DataFrame, path: str, mode: str = "error") -> None:
     """The physical split: one folder per bucket (inputs are never moved)."""
     plan.write.mode(mode).partitionBy("bucket").parquet(path)
+
+
+def pending_split(plan: DataFrame, existing: DataFrame) -> DataFrame:
+    """The rows of a split plan whose ``dest`` is not among the ``existing`` paths (``path``); only paths are compared."""
+    todo = plan.select("dest").join(existing.select(F.col("path").alias("dest")).distinct(), "dest", "left_anti")
+    return plan.join(todo.distinct(), "dest", "left_semi")
+
+
+def split_report(plan: DataFrame, existing: DataFrame, overwrite: bool = False) -> DataFrame:
+    """(bucket, n_docs, moved, skipped) of a split run against existing targets."""
+    there = existing.select(F.col("path").alias("dest")).distinct().withColumn("_there", F.lit(True))
+    skip = F.col("_there").isNotNull() & F.lit(not overwrite)
+    return plan.select("dest", "bucket").join(there, "dest", "left").groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.count_if(~skip).alias("moved"), F.count_if(skip).alias("skipped"))

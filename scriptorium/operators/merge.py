@@ -55,6 +55,33 @@ def pivot_stages(transcripts: DataFrame, stages: Sequence[str]) -> DataFrame:
     return transcripts.groupBy("talk_id").agg(*aggs)
 
 
+def store_transcripts(transcripts: DataFrame, table: str, path: str | None = None, buckets: int = 200) -> None:
+    """Write stage transcripts once for many merges: partitioned by stage, bucketed by talk.
+
+    Which file of a talk and stage counts is decided on the keys; its text is then
+    fetched once, so no aggregation holds texts.  ``attach_stored`` joins such a table
+    without a shuffle of its texts.
+    """
+    keys = ["talk_id", "stage"]
+    first = transcripts.groupBy(*keys).agg(F.min(F.struct("template_rank", "file")).alias("first")).select(*keys, "first.*")
+    chosen = transcripts.join(first, [*keys, "template_rank", "file"]).select("talk_id", "file", "text", "stage")
+    writer = chosen.repartition(buckets, "talk_id").write.mode("overwrite").partitionBy("stage").bucketBy(buckets, "talk_id").sortBy("talk_id")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def attach_stored(talks: DataFrame, stored: DataFrame, stages: Sequence[str]) -> DataFrame:
+    """:func:`attach_transcripts` over a stored table: one join per stage on the bucketed key.
+
+    Only the catalog is shuffled, to the table's buckets; the stages follow in its
+    partitioning.
+    """
+    t = _keyed(talks)
+    for stage in stages:
+        own = stored.where(F.col("stage") == stage).select(F.col("talk_id").alias("_id"), F.struct("file", "text").alias(_col(stage)))
+        t = t.join(own, t["_join"] == own["_id"], "left").drop("_id")
+    return t.withColumn("talk_id", F.col("_key")).drop("_key", "_join")
+
+
 def score_candidates(pivot: DataFrame, params: MergeParams = MergeParams()) -> DataFrame:
     """Evaluate candidates in order; add per-candidate score/pass and the selection.
 
@@ -151,6 +178,17 @@ def quality_log(scored: DataFrame, params: MergeParams = MergeParams()) -> DataF
     return scored.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
 
 
+def _keyed(talks: DataFrame) -> DataFrame:
+    """``talks`` with the stripped id as ``_key`` and what they join on as ``_join``.
+
+    Talks without an id match nothing; a key of their own, the same in every attempt
+    of a task, keeps them out of one task.
+    """
+    t = talks.withColumn("_key", py_strip(F.col("id")))
+    alone = F.concat(F.lit("\u0001"), F.col("safe_name") if "safe_name" in talks.columns else F.xxhash64(*talks.columns).cast("string"))
+    return t.withColumn("_join", F.when(F.col("_key") == "", alone).otherwise(F.col("_key")))
+
+
 def attach_transcripts(talks: DataFrame, pivot: DataFrame) -> DataFrame:
     """Catalog talks left-joined with their stage pivot on ``strip(id) = talk_id``.
 
@@ -159,10 +197,7 @@ def attach_transcripts(talks: DataFrame, pivot: DataFrame) -> DataFrame:
     small catalog side is shuffled; the join happens before any Python step,
     because a Python evaluation node hides that partitioning from the planner.
     """
-    t = talks.withColumn("_key", py_strip(F.col("id")))
-    # Talks without an id match nothing; a key of their own keeps them out of one task.
-    alone = F.concat(F.lit("\u0001"), F.col("safe_name") if "safe_name" in talks.columns else F.uuid())
-    t = t.withColumn("_join", F.when(F.col("_key") == "", alone).otherwise(F.col("_key")))
+    t = _keyed(talks)
     return t.join(pivot, t["_join"] == pivot["talk_id"], "left").withColumn(
         "talk_id", F.col("_key")).drop("_key", "_join")
 
@@ -184,8 +219,9 @@ def finalize_merge(scored: DataFrame, params: MergeParams = MergeParams()) -> Da
         .when(found, F.concat(F.lit("merged from "), stage))
         .otherwise(F.lit("no transcript found"))
     )
-    internal = [c for c in scored.columns
-                if c.startswith("st_") or c.split("_")[0] in ("score", "evaluated", "passed")]
+    candidates = range(len(params.candidate_order))
+    internal = [f"{name}_{i}" for name in ("score", "evaluated", "passed") for i in candidates]
+    internal += [_col(s) for s in dict.fromkeys([RAW_STAGE, *params.candidate_order, *params.fallback_stages()])]
     out = scored.withColumn("dataLineage", lineage).withColumn("transcript", transcript).withColumn(
         "merge_reason", reason
     ).withColumn("selected_stage", stage).withColumn("selected_file", F.col("selected").getField("file"))
@@ -197,6 +233,12 @@ def merge_talks(talks: DataFrame, pivot: DataFrame, params: MergeParams = MergeP
     return finalize_merge(score_candidates(attach_transcripts(talks, pivot), params), params)
 
 
+def merge_reasons(params: MergeParams = MergeParams()) -> list[str]:
+    """Every reason that a merge can give."""
+    stages = dict.fromkeys([RAW_STAGE, *params.candidate_order, *params.fallback_stages()])
+    return [*(f"merged from {s}" for s in stages), "no transcript found", "missing id"]
+
+
 def merge_counters(merged: DataFrame) -> DataFrame:
     return merged.groupBy(F.col("merge_reason").startswith("merged").alias("ok"), "merge_reason").agg(
         F.count(F.lit(1)).alias("n"))

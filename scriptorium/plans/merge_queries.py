@@ -134,10 +134,16 @@ def _score(na: str, nb: str) -> str:
 
 
 MERGE_SQL = f"""
+doc AS (
+  SELECT CASE WHEN lang = 'es' THEN 'ES/' || cast(doc_id // 10 AS varchar) ELSE cast(doc_id AS varchar) END AS talk_id,
+         arg_max({{'lang': lang, 'text': text, 'doc_id': doc_id}}, doc_id) AS d
+  FROM documents GROUP BY 1
+),
 tk AS (
-  SELECT cast(doc_id AS varchar) AS talk_id, lang, text,
-         {_ntok('text')} AS na, {_ntok(PRE + ' || text')} AS ns, {_ntok('text || ' + POST)} AS nc
-  FROM documents
+  SELECT talk_id, d.lang AS lang, d.text AS text, replace(talk_id, '/', '_') AS file_id,
+         d.lang <> 'es' AND NOT (d.lang = 'de' AND d.doc_id % 3 = 0) AS has_raw,
+         {_ntok('d.text')} AS na, {_ntok(PRE + ' || d.text')} AS ns, {_ntok('d.text || ' + POST)} AS nc
+  FROM doc
 ),
 sc AS (
   SELECT *, {_score('na', 'ns')} AS s_score, {_score('na', 'nc')} AS c_score FROM tk
@@ -150,8 +156,8 @@ ev2 AS (SELECT *, c_eval AND c_score >= 0.9 AS c_pass FROM ev),
 sel AS (
   SELECT talk_id, lang,
     CASE WHEN lang = 'es' THEN 'transcript_structured' WHEN s_pass THEN 'transcript_structured'
-         WHEN c_pass THEN 'transcript_cleaned' ELSE 'transcript_raw' END AS selected_stage,
-    CASE WHEN lang = 'es' OR s_pass OR c_pass THEN talk_id || '_cleaned.txt' ELSE talk_id || '.txt' END AS selected_file,
+         WHEN c_pass THEN 'transcript_cleaned' WHEN has_raw THEN 'transcript_raw' ELSE 'audio_original' END AS selected_stage,
+    CASE WHEN lang = 'es' OR s_pass OR c_pass THEN file_id || '_cleaned.txt' ELSE file_id || '.txt' END AS selected_file,
     CASE WHEN s_pass THEN s_score WHEN c_pass THEN c_score END AS likeness,
     CASE WHEN lang = 'es' THEN {PRE} || text WHEN s_pass THEN {PRE} || text WHEN c_pass THEN text || {POST}
          ELSE text END AS sel_text
@@ -167,7 +173,7 @@ en AS (SELECT pair_id, t, len(t) AS n, {_CUT.replace("n >=", "len(t) >=")} AS k
 es AS (SELECT *, CASE WHEN n = 0 THEN 1.0 ELSE 2 * n / cast(2 * n + k AS double) END AS score FROM en)"""
 
 LINEAGE_SQL = """CASE
-  WHEN s.selected_stage IS NULL THEN '["audio_original"]'
+  WHEN s.selected_stage IS NULL OR s.selected_stage = 'audio_original' THEN '["audio_original"]'
   WHEN s.selected_stage = 'transcript_raw' THEN '["audio_original","transcript_raw"]'
   WHEN s.selected_stage = 'transcript_cleaned'
     THEN '["audio_original","transcript_raw","transcript_structured","transcript_cleaned"]'
@@ -175,7 +181,7 @@ LINEAGE_SQL = """CASE
   ELSE '["audio_original","transcript_raw",{"likeness":' || cast(round_even(s.likeness, 4) AS varchar)
        || ',"stage":"transcript_structured"}]' END"""
 
-TS_SQL = """CASE WHEN s.selected_stage IS NULL THEN 1 WHEN s.selected_stage = 'transcript_raw' THEN 2
+TS_SQL = """CASE WHEN s.selected_stage IS NULL OR s.selected_stage = 'audio_original' THEN 1 WHEN s.selected_stage = 'transcript_raw' THEN 2
   WHEN s.selected_stage = 'transcript_structured' THEN 3 ELSE 4 END"""
 
 ORACLES = {
@@ -234,7 +240,7 @@ ORACLES = {
     "quality_gate": f"""WITH {CATALOG_SQL}, {MERGE_SQL}
       SELECT talk_id, cast(s_eval AS int) + cast(c_eval AS int) AS n_evaluated,
              CASE WHEN s_pass THEN 'transcript_structured' WHEN c_pass THEN 'transcript_cleaned' END AS passed_stage
-      FROM ev2 WHERE lang <> 'es' AND talk_id IN (SELECT id FROM talks)""",
+      FROM ev2 WHERE has_raw AND talk_id IN (SELECT id FROM talks)""",
     "talk_documents": f"""WITH {CATALOG_SQL}, {MERGE_SQL},
       docs AS (
         SELECT t.safe_name, {LINEAGE_SQL} AS lineage,

@@ -2,21 +2,17 @@
 
 Rendering is a JVM-side ``to_json`` over an alphabetical struct; the
 heterogeneous lineage list (bare strings, or objects when a likeness exists)
-is spliced in as pre-rendered JSON.  Per-talk files are written by a Python
-data source whose tasks each write their own rows: a retried task rewrites the
-same files with the same bytes, so executor loss is harmless.
+is spliced in as pre-rendered JSON.  Per-talk files are written by a data source
+that publishes them together once all tasks have succeeded (:mod:`.files`).
 """
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from ..functions.lineage import lineage_json
+from .files import write_files
 
 EXPORT_KEYS = (
     "audioUrl", "caption", "catalogId", "dataLineage", "date", "duration", "id", "koanCase",
@@ -111,53 +107,10 @@ def index_json_lines(index: DataFrame) -> DataFrame:
     return index.select("id", F.to_json(F.struct(*[F.col(k) for k in keys])).alias("json")).orderBy("id")  # SL1
 
 
-class _Commit(WriterCommitMessage):
-    def __init__(self, n: int):
-        self.n = n
-
-
-class _TalkFileWriter(DataSourceWriter):
-    def __init__(self, options):
-        self.path = options["path"]
-        self.suffix = options.get("suffix", ".json")
-        self.newline = options.get("trailing_newline", "false") == "true"
-
-    def write(self, iterator):
-        os.makedirs(self.path, exist_ok=True)
-        n = 0
-        for row in iterator:
-            target = os.path.join(self.path, f"{row['safe_name']}{self.suffix}")
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            # unique per attempt: a speculative or retried attempt never shares it
-            tmp = f"{target}.{uuid.uuid4().hex}.part"
-            with open(tmp, "w", encoding="utf-8") as f:
-                f.write(row["json"])
-                if self.newline:
-                    f.write("\n")
-            os.replace(tmp, target)
-            n += 1
-        return _Commit(n)
-
-
-class TalkFiles(DataSource):
-    """``df.write.format("talkfiles").option("path", dir).save()`` with (safe_name, json)."""
-
-    @classmethod
-    def name(cls):
-        return "talkfiles"
-
-    def schema(self):
-        return "safe_name string, json string"
-
-    def writer(self, schema, overwrite):
-        return _TalkFileWriter(self.options)
-
-
 def write_talk_files(spark, docs: DataFrame, path: str, trailing_newline: bool = False) -> None:
-    """Write one file per talk under ``path`` (a shared folder on a cluster)."""
-    spark.dataSource.register(TalkFiles)
-    (docs.select("safe_name", "json").write.format("talkfiles").mode("append")
-     .option("path", path).option("trailing_newline", str(trailing_newline).lower()).save())
+    """Write one file per talk under ``path``, committed together (:mod:`.files`)."""
+    content = F.concat("json", F.lit("\n")) if trailing_newline else F.col("json")
+    write_files(spark, docs, path, F.concat("safe_name", F.lit(".json")), content)
 
 
 def write_index(index: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -178,6 +131,4 @@ def append_quality_log(log: DataFrame, path: str, run_id: str) -> None:
 def write_text_files(spark, df: DataFrame, root: str, name_col: str, content_col: str) -> None:
     """One file per row at ``root/<name>`` (names may hold sub-folders): the
     cleaned-text sink, mirroring the input folder layout."""
-    docs = df.select(F.col(name_col).alias("safe_name"), F.coalesce(F.col(content_col), F.lit("")).alias("json"))
-    spark.dataSource.register(TalkFiles)
-    (docs.write.format("talkfiles").mode("append").option("path", root).option("suffix", "").save())
+    write_files(spark, df, root, F.col(name_col), F.col(content_col))

@@ -12,12 +12,15 @@ same way in the DuckDB oracles (``__spark_entry__.oracle_sql``):
                    (so several rows sanitise to one file name), German ids are
                    padded with spaces, English/French durations carry
                    ``(approx)``.
-* transcripts   <- documents: ``transcript_raw`` for every language but Spanish
-                   (not transcribed yet); ``transcript_structured`` for English
-                   and Spanish (the editing model prefixed a chatty preamble);
-                   ``transcript_cleaned`` for English and French (the model
-                   appended a closing offer).  Both edits keep the whole raw
-                   text, so their likeness has the closed form 2*na/(na+nb).
+* transcripts   <- documents, keyed as their talks: ``transcript_raw`` for English,
+                   French and German (Spanish is not transcribed yet, nor is a third
+                   of the German talks, which have ``audio_original`` only);
+                   ``transcript_structured`` for English and Spanish (the editing
+                   model prefixed a chatty preamble); ``transcript_cleaned`` for
+                   English and French (the model appended a closing offer).  Both
+                   edits keep the whole raw text, so their likeness has the closed
+                   form 2*na/(na+nb).  Documents that share a Spanish talk id are
+                   files of templates in their order; the latest one comes first.
 * edited        <- documents: the likeness tokens of the whole text with a
                    foreign word inserted after half of them, half of the rest,
                    and so on; scored by the aligner, known in closed form.
@@ -123,22 +126,27 @@ def catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``transcript(talk_id, stage, file, template_rank, text)`` for three stages.
+    """``transcript(talk_id, stage, file, template_rank, text)`` for four stages.
 
     One (balanced) scan; every document explodes into the stage rows it has.
     A union of three filtered branches would scan three times, and Catalyst
     pushes each branch's filter below the rebalancing shuffle.
     """
     d = documents(spark, sf_dir).select("doc_id", "lang", "text")
-    tid = F.col("doc_id").cast("string")
+    lang, doc_id = F.col("lang"), F.col("doc_id")
+    shared = lang == "es"
+    number = F.when(shared, F.expr("doc_id div 10")).otherwise(doc_id).cast("string")
+    tid = F.when(shared, F.concat(F.lit("ES/"), number)).otherwise(number)
+    rank = F.when(shared, -doc_id).otherwise(F.lit(0)).cast("int")
 
     def row(stage: str, file_suffix: str, text):
-        return F.struct(F.lit(stage).alias("stage"), F.concat(tid, F.lit(file_suffix)).alias("file"),
-                        F.lit(0).alias("template_rank"), text.alias("text"))
+        file = F.concat(F.when(shared, F.lit("ES_")).otherwise(F.lit("")), number, F.lit(file_suffix))
+        return F.struct(F.lit(stage).alias("stage"), file.alias("file"), rank.alias("template_rank"), text.alias("text"))
 
-    lang = F.col("lang")
+    audio_only = (lang == "de") & (doc_id % 3 == 0)
     rows = F.array_compact(F.array(
-        F.when(lang != "es", row("transcript_raw", ".txt", F.col("text"))),
+        F.when((lang != "es") & ~audio_only, row("transcript_raw", ".txt", F.col("text"))),
+        F.when(audio_only, row("audio_original", ".txt", F.col("text"))),
         F.when(lang.isin("en", "es"), row("transcript_structured", "_cleaned.txt",
                                           F.concat(F.lit(STRUCTURED_PREAMBLE), F.col("text")))),
         F.when(lang.isin("en", "fr"), row("transcript_cleaned", "_cleaned.txt",

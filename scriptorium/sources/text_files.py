@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,13 +91,14 @@ LOG_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in LOG_FIELDS]
 def read_quality_logs(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Strict JSONL: blank lines skipped, a malformed line fails naming path:line.
 
-    ``path_ordinal`` is the argument order (paths given twice are read once);
+    ``path_ordinal`` is the argument's position (paths given twice are read once);
+    files of a folder share it and are ordered by ``source_path``;
     ``likeness`` stays a string here (numbers or numeric strings), and
     ``has_likeness`` tells an absent key from an explicit null.
     """
     uniq = list(dict.fromkeys(paths))
     lines = with_line_numbers(spark.read.text(uniq))
-    lines = _attach_ordinal(lines, uniq)
+    lines = lines.withColumn("path_ordinal", _argument(F.col("source_path"), uniq))
     v = F.trim(F.col("value"))
     lines = lines.where(v != "")
     parsed = lines.withColumn("j", F.from_json(v, LOG_SCHEMA, {"mode": "PERMISSIVE",
@@ -110,19 +111,17 @@ def read_quality_logs(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         F.array_contains(F.json_object_keys(v), "likeness").alias("has_likeness"))
 
 
-def _attach_ordinal(lines: DataFrame, paths: Sequence[str]) -> DataFrame:
-    """``path_ordinal``: argument position first, then file name order inside a
-    folder argument.  Ranked on the table of distinct files (one row per log
-    file), then joined back."""
-    arg = F.lit(None).cast("int")
+def _argument(path: Column, paths: Sequence[str]) -> Column:
+    """Position of the argument (a file or a folder) that a file was read for.
+
+    Files of one folder have the same number and follow in name order; nothing is
+    ranked, so no table of files is gathered or joined to the lines.
+    """
+    found = F.lit(None).cast("int")
     for i, p in reversed(list(enumerate(paths))):
-        q = p.rstrip("/")
-        if q.startswith("file:"):
-            q = re.sub(r"^file:(//)?(?=/)", "", q)
-        hit = (F.col("source_path") == F.lit(q)) | F.col("source_path").startswith(q + "/")
+        q = re.sub(r"^file:(//)?(?=/)", "", p.rstrip("/"))
+        hit = (path == F.lit(q)) | path.startswith(q + "/")
         if not q.startswith("/"):
-            hit = hit | F.col("source_path").endswith("/" + q)
-        arg = F.when(hit, F.lit(i)).otherwise(arg)
-    files = lines.select("source_path").distinct().withColumn("_arg", arg)
-    files = files.withColumn("path_ordinal", F.dense_rank().over(Window.orderBy("_arg", "source_path")) - 1)
-    return lines.join(files.select("source_path", "path_ordinal"), "source_path")
+            hit = hit | path.endswith("/" + q) | path.contains("/" + q + "/")
+        found = F.when(hit, F.lit(i)).otherwise(found)
+    return found

@@ -52,10 +52,10 @@ def start_latest_entries(log_stream: DataFrame, sink: str, checkpoint: str,
     """Keyed latest entry as an append-only changelog.
 
     Update mode emits, per micro-batch, only the keys whose aggregate changed
-    (with their full current state); each batch appends them tagged with its
-    ``batch_id``.  :func:`read_latest` keeps the newest row per key, so a
-    batch writes work proportional to what changed, never the whole table.
-    A retried batch re-appends identical rows under the same id (harmless).
+    (with their full current state); each batch is a partition ``batch_id=N`` of
+    its own, so a batch writes work proportional to what changed and one that is
+    repeated replaces itself.  :func:`read_latest` keeps the newest row per key,
+    :func:`compact_latest` folds old batches into a snapshot.
     """
     keep = [c for c in ("status", "likeness", "selected_file", *order_cols) if c in log_stream.columns]
     agg = log_stream.groupBy("model_version", "talk_id").agg(
@@ -63,20 +63,61 @@ def start_latest_entries(log_stream: DataFrame, sink: str, checkpoint: str,
         F.count(F.lit(1)).alias("n_entries"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.select("model_version", "talk_id", "e.*", "n_entries", F.lit(batch_id).alias("batch_id"))
-         .write.mode("append").parquet(sink))
+        batch.select("model_version", "talk_id", "e.*", "n_entries").write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     return (agg.writeStream.outputMode("update").foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def _names(spark: SparkSession, folder: str, prefix: str) -> list[tuple[int, str]]:
+    """(number, path) of the sub-folders ``prefix<number>``, in order; none where the folder is missing."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath().getName() for f in files.listStatus(at)] if files.exists(at) else []
+    return sorted((int(n[len(prefix):]), f"{folder}/{n}") for n in found if n.startswith(prefix))
+
+
+def _base(spark: SparkSession, sink: str) -> tuple[int, str] | None:
+    """The newest whole snapshot: (last batch in it, path).  One without its success marker was never finished."""
+    for number, path in reversed(_names(spark, f"{sink}/_bases", "upto=")):
+        marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        if marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
+            return number, path
+    return None
+
+
 def read_latest(spark: SparkSession, sink: str) -> DataFrame:
-    """Current state from the changelog: the newest batch's row per key."""
-    log = spark.read.parquet(sink)
+    """Current state: the newest row per key of the last snapshot and the batches after it."""
+    base = _base(spark, sink)
+    batches = [path for number, path in _names(spark, sink, "batch_id=") if base is None or number > base[0]]
+    parts = [spark.read.parquet(base[1])] if base else []
+    if batches:
+        log = spark.read.option("basePath", sink).parquet(*batches)
+        parts.append(log.withColumn("batch_id", F.col("batch_id").cast("long")))
+    log = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     cols = [c for c in log.columns if c not in ("model_version", "talk_id", "batch_id")]
     return (log.groupBy("model_version", "talk_id")
-            .agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("s"))
-            .select("model_version", "talk_id", "s.*"))
+            .agg(F.max_by(F.struct(*cols, "batch_id"), F.col("batch_id")).alias("s"))
+            .select("model_version", "talk_id", "s.*")).drop("batch_id")
+
+
+def compact_latest(spark: SparkSession, sink: str) -> int | None:
+    """Fold all batches so far into one snapshot; returns the last batch in it.
+
+    The snapshot counts from the moment its success marker is written; before, readers
+    use the old one and the batches, after, this one.  Batches and snapshots that it
+    replaces are deleted last, so a crash at any point changes no result.
+    """
+    batches, base = _names(spark, sink, "batch_id="), _base(spark, sink)
+    last = max([n for n, _ in batches] + ([base[0]] if base else []), default=None)
+    if last is not None and (base is None or last > base[0]):
+        state = read_latest(spark, sink).withColumn("batch_id", F.lit(last).cast("long"))
+        state.write.mode("overwrite").parquet(f"{sink}/_bases/upto={last}")
+    for number, path in [*batches, *_names(spark, f"{sink}/_bases", "upto=")]:
+        if number < last or number == last and "batch_id=" in path:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return last
 
 
 def run_dir(spark: SparkSession, name: str) -> tuple[str, str]:

@@ -60,3 +60,45 @@ def test_ingest_catalog_modes(spark, tmp_path):
     assert {r.safe_name for r in talks_lo.collect()} == {"1", "missing-id-row-2", "2"}
     limited, _, c = api.ingest_catalog(spark, str(p), row_limit=2)
     assert c.first().written + c.first().skipped == 2
+
+
+def test_split_run_skips_existing_targets(spark, tmp_path):
+    (tmp_path / "in/sub").mkdir(parents=True)
+    (tmp_path / "in/a.txt").write_text("word " * 20)
+    (tmp_path / "in/sub/b.txt").write_text("few words\n")
+    run = lambda **more: [tuple(r) for r in api.run_split(spark, str(tmp_path / "in"), threshold=10, **more)]
+    assert run() == [("large", 1, 1, 0), ("small", 1, 1, 0)]
+    small = tmp_path / "in/small/sub/b.txt"
+    assert small.read_text() == "few words\n" and (tmp_path / "in/large/a.txt").read_text() == "word " * 20
+    small.write_text("kept")
+    (tmp_path / "in/c.txt").write_text("new")
+    assert run() == [("large", 1, 0, 1), ("small", 2, 1, 1)]
+    assert small.read_text() == "kept" and (tmp_path / "in/small/c.txt").read_text() == "new"
+    assert run() == [("large", 1, 0, 1), ("small", 2, 0, 2)]
+    assert run(overwrite=True) == [("large", 1, 1, 0), ("small", 2, 2, 0)] and small.read_text() == "few words\n"
+
+
+def test_publish_run_from_files(spark, tmp_path):
+    """Files in, files out; the counters that ride on the writes equal those counted from the results."""
+    from scriptorium.operators import catalog as K
+    from scriptorium.sources.catalog_csv import read_catalog_csv
+
+    (tmp_path / "talks.csv").write_text(
+        "\ufeffResource ID(s),Title,Speaker,Duration\n1,One,A,10 (approx)\n2,\"Two\nlines\",B,20\n,No id,C,1\n4,,D,1\n5,Five,E,5\n1,One again,A,11\n", encoding="utf-8")
+    words = "the talk has some words that were said and written down here "
+    for name, text in {"raw/1.txt": words * 3, "raw/2.txt": words, "out/1_cleaned.txt": words * 3 + "yes", "out/2_cleaned.txt": "something else entirely"}.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    sources = {"transcript_raw": {"directory": str(tmp_path / "raw"), "filename_templates": ["{id}.txt"]},
+               "transcript_structured": {"directory": str(tmp_path / "out"), "filename_templates": ["{id}.txt", "{id}_cleaned.txt"]}}
+    out = tmp_path / "pub"
+    counts = api.publish_run(spark, str(tmp_path / "talks.csv"), sources, str(out), run_id="r1")
+    assert counts == {(True, "merged from transcript_structured"): 1, (True, "merged from transcript_raw"): 1, (False, "no transcript found"): 1}
+    one = json.loads((out / "talk_files/1.json").read_text())
+    assert one["title"] == "One again" and one["transcript"].endswith("yes") and one["dataLineage"][-1]["stage"] == "transcript_structured"
+    assert sorted(p.name for p in (out / "talk_files").iterdir()) == ["1.json", "2.json", "5.json"]
+    validated = K.validate(read_catalog_csv(spark, str(tmp_path / "talks.csv")))
+    assert spark.read.parquet(str(out / "ingest_counters")).collect() == K.ingest_counters(validated).collect()
+    assert {r.missing for r in spark.read.parquet(str(out / "quarantine")).collect()} == {"resource id", "title"}
+    assert {r.status for r in spark.read.json(str(out / "quality_log")).collect()} == {"succeeded", "failed"}
+    assert [json.loads(r.value)["id"] for r in spark.read.text(str(out / "index")).collect()] == ["1", "2", "5"]

@@ -203,3 +203,31 @@ def test_publish_independent_of_partitions(spark):
         out.append((merged, log))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert out[0] == out[1] and len(out[0][0]) > 100 and len(out[0][1]) > 50
+
+
+def test_stored_transcripts_join_without_a_shuffle_of_texts(spark, tmp_path):
+    """Merging over the stored table gives the rows of the pivot; the plan shuffles the catalog only."""
+    from scriptorium.operators import catalog as K
+
+    cat, tr = _merge_fixture(spark)
+    later = tr.withColumn("template_rank", F.col("template_rank") + 1).withColumn("text", F.lit("a later template"))
+    params = M.MergeParams()
+    stages = [M.RAW_STAGE, *params.candidate_order, *params.fallback_stages()]
+    talks = K.latest_per_name(K.to_talks(K.validate(cat))).drop("n_rows")
+    M.store_transcripts(tr.unionByName(later), "stored_transcripts", str(tmp_path / "stored"), buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        attached = M.attach_stored(talks, spark.table("stored_transcripts"), stages)
+        plan = attached._jdf.queryExecution().executedPlan().toString()
+        scans = [part for part in plan.split("Exchange") if "stored" in part.split("FileScan")[0]]
+        assert not scans and plan.count("SelectedBucketsCount: 4 out of 4") == len(stages)
+        rows = lambda df: sorted((r.safe_name, r.merge_reason, r.transcript or "", str(r.dataLineage)) for r in df.collect())
+        got = rows(M.finalize_merge(M.score_candidates(attached, params), params))
+        assert got == rows(M.merge_talks(talks, M.pivot_stages(tr, stages), params)) and len(got) == 5
+        for line in plan.splitlines():  # every exchange stands over the catalog side
+            if "Exchange hashpartitioning" in line:
+                assert "_join" in line or "safe_name" in line, line
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS stored_transcripts")

@@ -200,6 +200,57 @@ def test_streamed_latest_equals_batch(spark, tmp_path):
     assert got == want
 
 
+def test_compaction_at_any_crash_point(spark, tmp_path, monkeypatch):
+    """Snapshot half written, batches not or partly deleted, a batch repeated: always the state of the batch run."""
+    import shutil
+
+    def batch(number, rows):
+        frame = spark.createDataFrame(rows, "model_version string, talk_id string, status string, likeness double, path_ordinal int, line int, n_entries long")
+        frame.write.mode("overwrite").parquet(f"{sink}/batch_id={number}")
+
+    sink = str(tmp_path / "sink")
+    rows = lambda n, keys: [("v", f"t{k}", f"b{n}", n / 10, 0, n, n + 1) for k in keys]
+    state = {}
+    read = lambda: {r.talk_id: (r.status, r.line, r.n_entries) for r in I.read_latest(spark, sink).collect()}
+    for n, keys in enumerate([range(5), range(3, 9), [0, 20]]):
+        batch(n, rows(n, keys))
+        state |= {f"t{k}": (f"b{n}", n, n + 1) for k in keys}
+        assert read() == state
+    shutil.copytree(sink, tmp_path / "whole")
+    (tmp_path / "sink/_bases/upto=2").mkdir(parents=True)  # died while the snapshot was written
+    (tmp_path / "sink/_bases/upto=2/part-0.parquet").write_text("half")
+    assert read() == state
+    assert I.compact_latest(spark, sink) == 2 and read() == state
+    assert not [p for p in (tmp_path / "sink").iterdir() if p.name.startswith("batch_id=")]
+    for number in (0, 2):  # died before all batches were deleted; the last one repeated
+        shutil.copytree(tmp_path / f"whole/batch_id={number}", tmp_path / f"sink/batch_id={number}")
+    assert read() == state
+    batch(3, rows(3, [1, 30]))
+    state |= {f"t{k}": ("b3", 3, 4) for k in (1, 30)}
+    assert read() == state and I.compact_latest(spark, sink) == 3 and read() == state
+    assert [p.name for p in (tmp_path / "sink/_bases").iterdir()] == ["upto=3"] and I.compact_latest(spark, sink) == 3 and read() == state
+
+
+def test_files_are_committed_together(spark, tmp_path):
+    """A failed task leaves no file; sub-folders, replaced files and bytes are as one open() would write them."""
+    from pyspark.sql import functions as F2
+
+    from scriptorium.sinks.files import listed, write_files
+
+    out = tmp_path / "out"
+    rows = [(f"sub{k % 3}/n{k}.txt", f"line {k}\r\nü\n" if k else None) for k in range(40)]
+    df = spark.createDataFrame(rows, "name string, content string").repartition(4)
+    write_files(spark, df, str(out), F2.col("name"), F2.col("content"))
+    read = lambda: {p.relative_to(out).as_posix(): p.read_bytes() for p in out.rglob("*") if p.is_file()}
+    assert read() == {n: (c or "").encode() for n, c in rows}
+    broken = df.withColumn("content", F2.when(F2.col("name") == "sub1/n7.txt", F2.raise_error(F2.lit("lost"))).otherwise(F2.lit("other")))
+    with pytest.raises(Exception, match="lost"):
+        write_files(spark, broken, str(out), F2.col("name"), F2.col("content"))
+    assert read() == {n: (c or "").encode() for n, c in rows} and sorted(p.name for p in out.iterdir()) == ["sub0", "sub1", "sub2"]
+    write_files(spark, df.limit(1), f"file://{out}", F2.lit("sub1/n7.txt"), F2.lit("new"))
+    assert read()["sub1/n7.txt"] == b"new" and listed(spark, str(out), str(tmp_path / "missing")).count() == 40
+
+
 def test_hot_key_and_partition_independence(spark):
     """One (version, talk) holds a third of all rows; results do not depend on
     the shuffle partition count."""
