@@ -61,6 +61,12 @@ def audio_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("safe_name", "id", "audioUrl", "audio_reason")
 
 
+def audio_urls_log_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With invalid rows kept, talks without an id are skipped with their reason."""
+    talks = K.latest_per_name(K.to_talks(_validated(spark, sf_dir), "log_only"))
+    return K.add_audio_urls(talks).select("safe_name", "id", "audioUrl", "audio_reason")
+
+
 def _catalog_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stand-in catalog written in row order to several CSV files (doubled
     quotes, header) of the shared folder and read back through the CSV source."""
@@ -97,6 +103,7 @@ QUERIES = {
     "duration_normalized": duration_normalized,
     "duration_changed": duration_changed,
     "audio_urls": audio_urls,
+    "audio_urls_log_only": audio_urls_log_only,
 }
 
 # ---------------------------------------------------------------------------
@@ -179,6 +186,10 @@ ORACLES = {
     "audio_urls": f"""WITH {CATALOG_SQL}
       SELECT safe_name, id, 'https://media.example.org/download?direct=1&ref=' || {strip_sql('id')} || '&ext=mp3'
              AS audioUrl, 'updated' AS audio_reason FROM talks""",
+    "audio_urls_log_only": f"""WITH {CATALOG_SQL}, kept AS (SELECT safe_name, arg_max(id, src_row) AS id FROM named GROUP BY safe_name)
+      SELECT safe_name, id, CASE WHEN {strip_sql('id')} = '' THEN '' ELSE
+               'https://media.example.org/download?direct=1&ref=' || {strip_sql('id')} || '&ext=mp3' END AS audioUrl,
+             CASE WHEN {strip_sql('id')} = '' THEN 'missing id' ELSE 'updated' END AS audio_reason FROM kept""",
     "catalog_csv_counters": f"""WITH {CATALOG_SQL}
       SELECT count(*) FILTER (WHERE missing = '') AS written, count(*) FILTER (WHERE missing <> '') AS skipped,
              count(*) FILTER (WHERE missing <> '') AS missing_required,

@@ -15,9 +15,14 @@ IN_ROOT, OUT_ROOT = "corpus", "cleaned"
 DONE_SOURCES = ("error",)
 
 
+BLANK = " \n "
+
+
 def _inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = corpus_documents(spark, sf_dir)
-    return d.select(F.concat(F.lit(IN_ROOT + "/"), "path").alias("path"), "text")
+    """Every document, and for each source a file of white space (the short cut of blank inputs)."""
+    d = corpus_documents(spark, sf_dir).select(F.concat(F.lit(IN_ROOT + "/"), "path").alias("path"), "text")
+    blank = read_table(spark, sf_dir, "documents").select("source").where("source is not null").distinct()
+    return d.unionByName(blank.select(F.concat(F.lit(f"{IN_ROOT}/blank/"), "source", F.lit(".txt")).alias("path"), F.lit(BLANK).alias("text")))
 
 
 def _existing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +66,18 @@ def transform_rollup_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def transform_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of each document of a run with call statistics, failures and blank inputs."""
+    log = TR.with_rates(TR.apply_transform(_pending(spark, sf_dir), CountingEditor, retries=1))
+    return log.select("path", "status", "prompt_seconds", "prompt_tok_per_sec", "gen_seconds", "gen_tok_per_sec",
+                      (F.col("out_chars_per_sec") > 0).alias("has_char_rate"))
+
+
+def transform_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inputs that are blank after unwrap: written empty, without a call."""
+    return TR.skipped_blank(_pending(spark, sf_dir)).select("path", "output_path")
+
+
 def _ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MF.parse_ids(id_list_lines(spark, sf_dir))
 
@@ -86,6 +103,8 @@ QUERIES = {
     "transform_metrics": transform_metrics,
     "transform_rollup": transform_rollup,
     "transform_rollup_calls": transform_rollup_calls,
+    "transform_rates": transform_rates,
+    "transform_blank": transform_blank,
     "manifest_by_source": manifest_by_source,
     "manifest_totals": manifest_totals,
     "manifest_duplicates": manifest_duplicates,
@@ -97,6 +116,9 @@ pend AS (
   SELECT '{IN_ROOT}/' || cast(doc_id AS varchar) || '.txt' AS path,
          '{OUT_ROOT}/' || cast(doc_id AS varchar) || '_cleaned.txt' AS output_path, coalesce(text, '') AS text
   FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+  UNION ALL
+  SELECT DISTINCT '{IN_ROOT}/blank/' || source || '.txt', '{OUT_ROOT}/blank/' || source || '_cleaned.txt', ' ' || chr(10) || ' '
+  FROM documents WHERE source IS NOT NULL
 ),
 tr AS (
   SELECT path, output_path, text, {unwrap_sql('text')} AS unwrapped FROM pend
@@ -135,6 +157,17 @@ ORACLES = {
              cast(pe AS bigint) AS prompt_eval_count, pe::DOUBLE * 0.002 AS prompt_seconds, cast(ev AS bigint) AS eval_count,
              ev::DOUBLE * 0.004 AS gen_seconds, 500.0::DOUBLE AS prompt_tok_per_sec, 250.0::DOUBLE AS gen_tok_per_sec,
              true AS has_wall, skipped, cast(attempts AS bigint) AS attempts FROM t, s""",
+    "transform_rates": f"""WITH {PENDING_SQL},
+      c AS (SELECT path, length(unwrapped) AS n, length(output) AS m, trim(unwrapped) <> '' AS called FROM tr2),
+      l AS (SELECT *, called AND n % 7 = 0 AS failed FROM c)
+      SELECT path, CASE WHEN failed THEN 'error' ELSE 'wrote' END AS status,
+             CASE WHEN called AND NOT failed THEN (n * 2000000)::DOUBLE / 1e9 END AS prompt_seconds,
+             CASE WHEN called AND NOT failed THEN n::DOUBLE / ((n * 2000000)::DOUBLE / 1e9) END AS prompt_tok_per_sec,
+             CASE WHEN called AND NOT failed AND m > 0 THEN (m * 4000000)::DOUBLE / 1e9 END AS gen_seconds,
+             CASE WHEN called AND NOT failed AND m > 0 THEN m::DOUBLE / ((m * 4000000)::DOUBLE / 1e9) END AS gen_tok_per_sec,
+             CASE WHEN NOT failed AND m > 0 THEN true END AS has_char_rate
+      FROM l""",
+    "transform_blank": f"WITH {PENDING_SQL} SELECT path, output_path FROM tr WHERE trim(unwrapped) = ''",
     "manifest_by_source": f"""WITH {IDS_SQL}
       SELECT source, count(*) AS n_ids, count(DISTINCT ref_id) AS n_distinct FROM ids GROUP BY source""",
     "manifest_totals": f"WITH {IDS_SQL} SELECT count(*) AS n_ids, count(DISTINCT ref_id) AS n_distinct FROM ids",
