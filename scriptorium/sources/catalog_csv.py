@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.lineage import LINEAGE_TYPE
 from ..operators.catalog import check_headers
+from .csv_records import read_records
 
 
 def read_catalog_csv(spark: SparkSession, path: str, row_limit: int | None = None) -> DataFrame:
@@ -15,32 +16,18 @@ def read_catalog_csv(spark: SparkSession, path: str, row_limit: int | None = Non
 
     Adds ``src_row``: the 1-based row number over all files in name order, so
     names of rows without an id never meet and the later row of a repeated id
-    wins.  A multi-line CSV file is read unsplit, so inside one file the
-    monotonic id follows row order; the offset of a file is the running sum of
-    the row counts of the files before it (one row per file).
+    wins.  Large files are read by many tasks (:mod:`.csv_records`).
     ``row_limit`` keeps the first rows of the whole input.
     """
-    reader = (
+    header = (
         spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-        .option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+        .option("encoding", "UTF-8").option("mode", "PERMISSIVE").csv(path).columns
     )
-    header = reader.csv(path).columns
     if not header:
         raise ValueError("CSV file contains no headers.")
     check_headers(header)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    df = (
-        reader.schema(schema).option("enforceSchema", True).csv(path)
-        .withColumn("_file", F.col("_metadata.file_path"))
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
-    files = df.groupBy("_file").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = files.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    df = df.join(files, "_file").withColumn("src_row", F.col("_offset") + F.col("_mid") - F.col("_first") + 1)
-    if row_limit is not None:
-        df = df.where(F.col("src_row") <= row_limit)
-    return df.drop("_file", "_mid", "_first", "_n", "_offset")
+    df = read_records(spark, path, header)
+    return df if row_limit is None else df.where(F.col("src_row") <= row_limit)
 
 
 TALK_SCHEMA = T.StructType(

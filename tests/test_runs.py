@@ -29,6 +29,52 @@ def test_catalog_rows_are_numbered_over_files(spark, tmp_path):
     assert sorted(r.src_row for r in read_catalog_csv(spark, str(tmp_path), row_limit=4).collect()) == [1, 2, 3, 4]
 
 
+def _unsplit(spark, path, header):
+    df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"').schema(", ".join("`" + c.replace("`", "``") + "` string" for c in header))
+          .csv(path).withColumn("f", F.col("_metadata.file_path")).withColumn("i", F.monotonically_increasing_id()))
+    return [tuple(r)[:-2] for r in sorted(df.collect(), key=lambda r: (r.f, r.i))]
+
+
+@pytest.mark.parametrize("size", [17, 64, 1 << 20])
+def test_csv_records_over_splits_equal_the_unsplit_reader(spark, tmp_path, size):
+    """Quoted breaks, doubled quotes, blank lines, short and long rows at every offset near a split, over several files."""
+    rnd = random.Random(size)
+    header = ["Resource ID(s)", "Title", "a b`c"]
+
+    def field() -> str:
+        kind = rnd.random()
+        if kind < 0.4:
+            return rnd.choice(["", "x", "é ü", "a b", "1"])
+        inner = "".join(rnd.choice(["a", "\n", '""', ",", "é", "\n\n", "long text "]) for _ in range(rnd.randint(0, 6)))
+        return f'"{inner}"'
+
+    for name in ("a.csv", "b.csv", "c.csv"):
+        rows = [",".join(field() for _ in range(rnd.choice([3, 3, 3, 2, 4]))) for _ in range(60)]
+        rows = [r for r in rows if r] + ["", "z,end,"]
+        rnd.shuffle(rows)
+        head = ",".join('"' + h + '"' for h in header)
+        (tmp_path / name).write_bytes((("\ufeff" if name == "b.csv" else "") + head + "\n" + "\n".join(rows) + rnd.choice(["", "\n", "\n\n"])).encode())
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k, v in zip(old, (str(size), "1")):
+        spark.conf.set(k, v)
+    try:
+        got = read_catalog_csv(spark, str(tmp_path))
+        assert got.columns == [*header, "src_row"]
+        rows = sorted(got.collect(), key=lambda r: r.src_row)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = _unsplit(spark, str(tmp_path), header)
+    assert [r.src_row for r in rows] == list(range(1, len(want) + 1))
+    assert [tuple(r)[:-1] for r in rows] == want
+
+
+def test_csv_with_carriage_returns(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'Resource ID(s),Title\r\n1,"two\r\nlines"\r\n\r\n2,"said ""no"""\r\n3,\r\n')
+    got = sorted(tuple(r) for r in read_catalog_csv(spark, str(tmp_path)).collect())
+    assert got == [("1", "two\r\nlines", 1), ("2", 'said "no"', 2), ("3", None, 3)]
+
+
 def test_missing_headers(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Resource ID(s),Other\n1,2\n", encoding="utf-8")
     with pytest.raises(ValueError, match="Title"):
