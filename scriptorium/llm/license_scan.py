@@ -21,6 +21,7 @@ document is scanned where it lies: no shuffle of texts.
 Cases: a null or empty text has no words and no labels.  Rows are scanned one
 by one, so repeated rows and repeated or null ids keep a row each.  Words of
 equal frequency are ordered by their letters.
+Building the frame runs Spark jobs and lowers the session's Arrow batch size.
 """
 
 from __future__ import annotations

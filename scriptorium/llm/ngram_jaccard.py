@@ -27,6 +27,7 @@ reaches ``percent``.  Every document gets the smallest id that links reach.
 Cases: a null or empty text has an empty set, links with nothing and is its own
 class (a null id has a null class).  Fewer words than n make one shingle.  Rows
 with equal ids are one document: their classes merge, each keeps its row.
+Building the frame runs Spark jobs and lowers the session's Arrow batch size.
 """
 
 from __future__ import annotations

@@ -15,6 +15,7 @@ same ids everywhere; they are looked up in a bounded table per task.
 Cases: a null or empty text is its end token alone.  Repeated rows and repeated
 or null ids are packed row by row.  A text longer than a sequence is cut; a
 full piece is a sequence by itself.
+Building the frame runs Spark jobs and lowers the session's Arrow batch size.
 """
 
 from __future__ import annotations

@@ -13,6 +13,7 @@ numbers, which go to the scoring tasks.  Everything else covers all rows.
 Cases: a null or empty text scores the bias alone.  Without labelled rows every
 text scores 0.5.  Null labels are no labels; rows with equal ids learn the
 label of their id; a null id is never held out and never labelled.
+Building the frame runs Spark jobs and lowers the session's Arrow batch size.
 """
 
 from __future__ import annotations

@@ -27,6 +27,7 @@ memory where the published method keeps sequential files.
 Cases: a null or empty text, or one under 50 bytes, keeps all bytes.  Rows with
 equal ids never remove from each other; a null id removes from nothing and
 keeps all.  Equal rows get equal results.
+Building the frame runs Spark jobs and lowers the session's Arrow batch size.
 """
 
 from __future__ import annotations
