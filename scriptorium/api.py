@@ -7,6 +7,7 @@ multi-log version comparison, catalog ingest and the publish run.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from .operators.scoring import _WORD, likeness_of_tokens
 from .plans.publish import publish_files
 from .sinks.files import listed, write_files
 from .sources.catalog_csv import read_catalog_csv
-from .sources.text_files import read_quality_logs, read_text_corpus
+from .sources.text_files import read_quality_logs, read_text_corpus, read_whole_files, strict_utf8
 
 
 def likeness_ratio(original: str, transcribed: str) -> float:
@@ -38,7 +39,9 @@ class CorpusSizes:
 
 
 def corpus_sizes(spark: SparkSession, input_dir: str, ext: str = ".txt") -> CorpusSizes:
-    """Words/tokens per file, totals, the largest file and token deciles."""
+    """Words/tokens per file, totals, the largest file and token deciles; no matching file is an error."""
+    if listed(spark, input_dir, ext=ext).isEmpty():
+        raise FileNotFoundError(f"no file *{ext} under {input_dir}")
     sized = C.with_token_sizes(read_text_corpus(spark, input_dir, ext))
     return CorpusSizes(sized, C.token_stats(sized), C.largest_document(sized), C.token_deciles(sized))
 
@@ -75,17 +78,22 @@ def run_split(spark: SparkSession, input_dir: str, threshold: int = C.DEFAULT_SP
     return rows
 
 
+def _outermost(roots: list[str]) -> list[str]:
+    """The folders that lie in no other one of the list, so that each file is read once."""
+    own = list(dict.fromkeys(re.sub("^file:(//)?(?=/)", "", r).rstrip("/") for r in roots))
+    return [r for r in own if not any(r.startswith(other + "/") for other in own)]
+
+
 def _file_pairs(spark: SparkSession, pairs: DataFrame, roots: list[str], ext: str = "") -> DataFrame:
     """(pair_id, a_path, b_path) -> (pair_id, a_text, b_text).
 
     The folders in ``roots`` are scanned once (whole texts) and joined to both
-    sides on the path: no path list goes through the driver.
+    sides on the path: no path list goes through the driver.  A file of a pair
+    that is no UTF-8 fails the query; other files under the roots may be anything.
     """
-    texts = None
-    for r in roots:
-        t = read_text_corpus(spark, r, ext)
-        texts = t if texts is None else texts.unionByName(t)
-    texts = texts.select(F.regexp_replace("path", "^file:(//)?(?=/)", "").alias("p"), F.col("text").alias("t"))
+    files = read_whole_files(spark, _outermost(roots), ext).withColumn("p", F.regexp_replace("path", "^file:(//)?(?=/)", ""))
+    wanted = pairs.select(F.explode(F.array("a_path", "b_path")).alias("p")).distinct()
+    texts = files.join(wanted, "p").select("p", strict_utf8(F.col("value"), F.col("path")).alias("t"))
     a = texts.select(F.col("p").alias("a_path"), F.col("t").alias("a_text"))
     b = texts.select(F.col("p").alias("b_path"), F.col("t").alias("b_text"))
     return pairs.join(a, "a_path").join(b, "b_path")
@@ -133,6 +141,8 @@ def compare_logs(spark: SparkSession, log_paths: list[str], versions: list[str]
     log = read_quality_logs(spark, paths)
     vm = Q.version_map_frame(spark, vmap) if vmap else None
     latest = Q.latest_entries(Q.prepared_entries(log, vm))
+    if log.where(Q.valid_talk()).isEmpty():
+        raise ValueError("No entries found in provided logs.")
     pairs = Q.version_pairs(latest, baseline)
     return VersionReport(
         Q.summary_report(Q.version_summary(latest)), Q.compare_versions(pairs),

@@ -39,8 +39,9 @@ def build_session(
         "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     }
     local = bool(master and master.startswith("local"))
-    if local:
-        conf["spark.driver.memory"] = "16g"  # local mode: the driver is the executor
+    if local:  # the driver is the executor: half of the machine's memory, 16 GB at most
+        half = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") // (2 << 20)
+        conf["spark.driver.memory"] = f"{min(16 << 10, half)}m"
     # On a cluster keep the configured shuffle width (AQE coalesces it);
     # locally a small width avoids hundreds of near-empty tasks.
     if shuffle_partitions is not None or local:

@@ -111,8 +111,8 @@ def write_files(spark: SparkSession, df: DataFrame, folder: str, name: Column, c
     rows.write.format("committedfiles").mode("append").option("path", folder).save()
 
 
-def listed(spark: SparkSession, *folders: str) -> DataFrame:
-    """(path) of every file under the folders, empty ones too; a folder that is missing has none.
+def listed(spark: SparkSession, *folders: str, ext: str = "") -> DataFrame:
+    """(path) of every file under the folders whose name ends so, empty ones too; a folder that is missing has none.
 
     The names come from the engine's own file index, which the driver holds for any
     scan of a folder; no content is read.
@@ -121,6 +121,6 @@ def listed(spark: SparkSession, *folders: str) -> DataFrame:
     for folder in folders:
         at = spark._jvm.org.apache.hadoop.fs.Path(folder)
         if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
-            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).inputFiles()
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{ext}").load(folder).inputFiles()
             found += [(re.sub("^file:(//)?(?=/)", "", unquote(f)),) for f in files]
     return spark.createDataFrame(found, "path string")

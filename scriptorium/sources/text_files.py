@@ -12,17 +12,27 @@ from pyspark.sql import types as T
 from ..functions.text import make_valid_utf8, universal_newlines
 
 
-def read_text_corpus(spark: SparkSession, root: str, ext: str = ".txt", recursive: bool = True) -> DataFrame:
-    """(path, text): one row per file, whole text, invalid UTF-8 replaced,
-    newlines translated as Python's text mode does."""
+def strict_utf8(value: Column, path: Column) -> Column:
+    """Text with universal newlines; bytes that are no UTF-8 fail the read and name the file."""
+    bad = F.raise_error(F.concat(F.lit("invalid UTF-8 in "), path))
+    return F.when(F.is_valid_utf8(value), universal_newlines(value)).otherwise(bad)
+
+
+def read_whole_files(spark: SparkSession, roots: Sequence[str], ext: str = "", recursive: bool = True) -> DataFrame:
+    """(path, value): one row per file under the roots, the whole content as it is."""
     r = spark.read
     if recursive:
         r = r.option("recursiveFileLookup", True)
     if ext:
         r = r.option("pathGlobFilter", f"*{ext}")
-    df = r.text(root, wholetext=True)  # the keyword overrides .option("wholetext")
-    return df.select(F.col("_metadata.file_path").alias("path"),
-                     universal_newlines(make_valid_utf8("value")).alias("text"))
+    df = r.text(list(roots), wholetext=True)  # the keyword overrides .option("wholetext")
+    return df.select(F.col("_metadata.file_path").alias("path"), "value")
+
+
+def read_text_corpus(spark: SparkSession, root: str, ext: str = ".txt", recursive: bool = True) -> DataFrame:
+    """(path, text): one row per file, whole text, invalid UTF-8 replaced,
+    newlines translated as Python's text mode does."""
+    return read_whole_files(spark, [root], ext, recursive).select("path", universal_newlines(make_valid_utf8("value")).alias("text"))
 
 
 def template_regex(template: str) -> str:
@@ -44,9 +54,7 @@ def read_stage_transcripts(spark: SparkSession, sources: Mapping[str, Mapping])
         name = F.col("_metadata.file_name")
         for rank, tpl in enumerate(spec["filename_templates"]):
             rx = template_regex(tpl)
-            # strict UTF-8 (a bad file fails the read, naming it) and universal newlines
-            text = F.when(F.is_valid_utf8("value"), universal_newlines("value")).otherwise(F.raise_error(
-                F.concat(F.lit("invalid UTF-8 in "), F.col("_metadata.file_path"))))
+            text = strict_utf8(F.col("value"), F.col("_metadata.file_path"))
             parts.append(df.where(name.rlike(rx)).select(
                 F.regexp_extract(name, rx, 1).alias("talk_id"), F.lit(stage).alias("stage"),
                 name.alias("file"), F.lit(rank).alias("template_rank"), text.alias("text")))

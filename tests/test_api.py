@@ -102,3 +102,20 @@ def test_publish_run_from_files(spark, tmp_path):
     assert {r.missing for r in spark.read.parquet(str(out / "quarantine")).collect()} == {"resource id", "title"}
     assert {r.status for r in spark.read.json(str(out / "quality_log")).collect()} == {"succeeded", "failed"}
     assert [json.loads(r.value)["id"] for r in spark.read.text(str(out / "index")).collect()] == ["1", "2", "5"]
+
+
+def test_empty_input_and_bad_files_are_errors(spark, tmp_path):
+    (tmp_path / "in/sub").mkdir(parents=True)
+    with pytest.raises(FileNotFoundError):
+        api.corpus_sizes(spark, str(tmp_path / "in"))
+    (tmp_path / "empty.log").write_text('\n{"talk_id": "", "likeness": 1}\n')
+    with pytest.raises(ValueError, match="No entries"):
+        api.compare_logs(spark, [str(tmp_path / "empty.log")])
+    (tmp_path / "in/a.txt").write_text("one two")
+    (tmp_path / "in/sub/b.txt").write_text("one two three")
+    (tmp_path / "in/sub/bad.txt").write_bytes(b"one \xff two")
+    roots = [str(tmp_path / "in"), str(tmp_path / "in/sub"), str(tmp_path / "in/")]
+    pair = lambda b: spark.createDataFrame([("p", str(tmp_path / "in/a.txt"), str(tmp_path / b))], "pair_id string, a_path string, b_path string")
+    assert [r.likeness for r in api.likeness_of_files(spark, pair("in/sub/b.txt"), roots).collect()] == [pytest.approx(4 / 5)]
+    with pytest.raises(Exception, match="invalid UTF-8 in .*bad.txt"):
+        api.likeness_of_files(spark, pair("in/sub/bad.txt"), roots).collect()
