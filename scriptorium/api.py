@@ -137,12 +137,12 @@ def compare_logs(spark: SparkSession, log_paths: list[str], versions: list[str]
     vmap = Q.parse_version_pairs(versions or [])
     paths = Q.log_inputs(log_paths, vmap)
     if not paths:
-        raise ValueError("Provide at least one log path.")
+        raise ValueError("no log path was given")
     log = read_quality_logs(spark, paths)
     vm = Q.version_map_frame(spark, vmap) if vmap else None
     latest = Q.latest_entries(Q.prepared_entries(log, vm))
     if log.where(Q.valid_talk()).isEmpty():
-        raise ValueError("No entries found in provided logs.")
+        raise ValueError("the logs hold no entry with a talk id")
     pairs = Q.version_pairs(latest, baseline)
     return VersionReport(
         Q.summary_report(Q.version_summary(latest)), Q.compare_versions(pairs),

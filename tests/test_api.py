@@ -109,7 +109,7 @@ def test_empty_input_and_bad_files_are_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         api.corpus_sizes(spark, str(tmp_path / "in"))
     (tmp_path / "empty.log").write_text('\n{"talk_id": "", "likeness": 1}\n')
-    with pytest.raises(ValueError, match="No entries"):
+    with pytest.raises(ValueError, match="hold no entry"):
         api.compare_logs(spark, [str(tmp_path / "empty.log")])
     (tmp_path / "in/a.txt").write_text("one two")
     (tmp_path / "in/sub/b.txt").write_text("one two three")
