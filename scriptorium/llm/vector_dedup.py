@@ -44,7 +44,7 @@ from .components import components, join_all
 from .small_world import ROOM, SmallWorld
 from .vectors import finite
 
-SHARD_ROWS = 1 << 14
+SHARD_ROWS = 1 << 15  # every shard is searched, so larger ones mean less work; the table of links of a shard takes their square in bits
 SHARD_COMPONENTS = 1 << 24  # 64 MB in single precision
 PROBES, AUDITED = 512, 64  # searches that an audit runs for each graph, and for each pair of shards
 BEAM, RECALL = 16, 0.998  # first width of the beam; what an audit has to find
