@@ -31,11 +31,12 @@ def text_file_stream(spark: SparkSession, directory: str, ext: str = ".txt") ->
 
 
 def parquet_stream(spark: SparkSession, path: str, like: DataFrame, max_files: int | None = None) -> DataFrame:
-    """Parquet file stream over ``path`` (a folder, or one file named inside its folder)."""
+    """Parquet file stream over ``path`` (a folder of part files whatever its name, or one file named inside its folder)."""
     r = spark.readStream.schema(like.schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    if path.endswith(".parquet"):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isFile():
         folder, _, name = path.rstrip("/").rpartition("/")
         return r.option("pathGlobFilter", name).parquet(folder)
     return r.parquet(path)
