@@ -170,18 +170,16 @@ def inserting_edit(text_col: str = "text"):
     """
     tokens = tokens_of_lowered(F.lower(F.coalesce(F.col(text_col), F.lit(""))))
 
-    def with_cut(words):
+    def with_cuts(words):
         n = F.size(words)
-
-        def at(word, i):
-            cuts = [F.when((F.shiftright(n, q) > 0) & (i == n - F.shiftright(n, q)), F.lit(x)) for q, x in enumerate(INSERTED, 1)]
-            new = F.coalesce(*cuts)
-            return F.when(new.isNotNull(), F.array(new, word)).otherwise(F.array(word))
-
-        return F.array_join(F.flatten(F.transform(words, at)), " ")
-
-    # Bound once: the words are used at every position.
-    return F.transform(F.array(tokens), with_cut)[0]
+        cuts = [F.lit(0), *[n - F.shiftright(n, q) for q in range(1, len(INSERTED) + 1)], n]
+        none = F.array().cast("array<string>")
+        new = [none, *[F.when(F.shiftright(n, q) > 0, F.array(F.lit(x))).otherwise(none) for q, x in enumerate(INSERTED, 1)]]
+        parts = [F.concat(word, F.slice(words, at + 1, to - at)) for word, at, to in zip(new, cuts, cuts[1:])]
+        return F.array_join(F.concat(*parts), " ")
+
+    # Bound once: the words are used in every part.
+    return F.transform(F.array(tokens), with_cuts)[0]
 
 
 def edited_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

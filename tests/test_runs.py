@@ -119,6 +119,27 @@ def test_alignment_of_long_texts():
     assert time.perf_counter() - began < 20
 
 
+def test_aligner_starts_from_the_diagonal_of_a_part(monkeypatch):
+    """A text with some inserts is aligned by a few probes for each part, not by bisecting every length."""
+    rnd = random.Random(4)
+    a = [f"w{rnd.randrange(4000)}" for _ in range(2000)]
+    b = list(a)
+    for at in (1900, 1700, 1500, 1000):
+        b.insert(at, "new")
+    calls, of = [], alignment.Hashes.of
+    monkeypatch.setattr(alignment.Hashes, "of", lambda self, *args: calls.append(1) or of(self, *args))
+    assert [g[:3] for g in alignment.gaps(a, b)] == [("insert", at, at) for at in (1000, 1500, 1700, 1900)]
+    assert len(calls) <= 4 * 5
+
+
+def test_hashes_equal_by_chance_fall_back_to_exact_runs(monkeypatch):
+    rnd = random.Random(6)
+    monkeypatch.setattr(alignment.Hashes, "of", lambda self, start, end, length: np.zeros(max(end - length + 1 - start, 0), np.uint64))
+    for _ in range(50):
+        a, b = ([str(rnd.randrange(6)) for _ in range(rnd.randint(0, 40))] for _ in range(2))
+        assert alignment.gaps(a, b) == [o for o in SequenceMatcher(None, a, b, autojunk=False).get_opcodes() if o[0] != "equal"]
+
+
 def test_runs_are_numbered_alike_when_equal():
     rnd = random.Random(3)
     words = np.asarray([rnd.randrange(3) for _ in range(64)])
