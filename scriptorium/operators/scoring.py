@@ -5,16 +5,19 @@ the longest common blocks (:mod:`.alignment`).  It is not an LCS and not
 symmetric.
 
 Scale plan:
-1. Closed forms JVM-side, no Python: both empty -> 1, one empty -> 0, equal
-   token lists -> 1, one list a contiguous run of the other -> 2*min/(na+nb)
-   (the longest block is then the whole shorter side).
-2. Only the remaining pairs reach Python: the UDF inputs are null-masked for
-   closed-form rows, so they cross the Arrow boundary as nulls and cost nothing.
+1. Closed forms: both empty -> 1, one empty -> 0, equal token lists -> 1, one list
+   a contiguous run of the other -> 2*min/(na+nb) (the longest block is then the
+   whole shorter side).
+2. Pairs are cut into words once, in the worker that aligns them: equal texts are
+   settled JVM-side, their UDF inputs are null, so they cross the Arrow boundary as
+   nulls and cost nothing.  The ordered gate of the merge, whose candidates mostly
+   have a closed form, settles all closed forms JVM-side.
 3. The exact alignment runs in an Arrow-batched pandas UDF, after a range
    repartition on the pair's cost (product of the text lengths) at every input
    size, so heavy pairs spread over tasks.
-4. Optional gate-only mode: the length bound, then the multiset-overlap bound (both
-   JVM-side) decide failures without alignment when only pass/fail is needed.
+4. Optional gate-only mode: the length bound, then the multiset-overlap bound, both
+   over the words at hand, decide failures without alignment when only pass/fail is
+   needed.
 """
 
 from __future__ import annotations
@@ -35,7 +38,12 @@ from . import alignment
 # --------------------------------------------------------------------------
 # Fixed value: the token rule of the likeness score (word runs with
 # apostrophes, on lower-cased text).  JVM-side it is TOKEN_PATTERN.
-_WORD = re.compile(r"\b[\w']+\b")
+_WORD = re.compile(r"[\w']+")
+
+
+def words_of(text: str) -> list[str]:
+    found = _WORD.findall(text)
+    return [w for w in (x.strip("'") for x in found) if w] if "'" in text else found
 
 
 def likeness_of_tokens(a: list, b: list) -> float:
@@ -48,12 +56,43 @@ def likeness_of_tokens(a: list, b: list) -> float:
 @F.pandas_udf(T.DoubleType())
 def likeness_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     out = [
-        None if (x is None or y is None) else likeness_of_tokens(_WORD.findall(x), _WORD.findall(y))
+        None if (x is None or y is None) else likeness_of_tokens(words_of(x), words_of(y))
         for x, y in zip(a, b)
     ]
     return pd.Series(out, dtype="float64")
 
 
+def gate_udf(threshold: float):
+    """(upper_bound, likeness) of two lower-cased texts for pass/fail at ``threshold``.
+
+    Pairs with a closed form have no bound.  The others have the length bound where it
+    is below the threshold, else the overlap bound, and are aligned where that is not
+    below the threshold either.
+    """
+    schema = T.StructType([T.StructField(n, T.DoubleType()) for n in ("upper_bound", "likeness")])
+
+    @F.pandas_udf(schema)
+    def gate(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        rows = [(None, None) if (x is None or y is None) else _gated(words_of(x), words_of(y), threshold) for x, y in zip(a, b)]
+        return pd.DataFrame(rows, columns=schema.names, dtype="float64")
+
+    return gate
+
+
+def _gated(a: list, b: list, threshold: float) -> tuple[float | None, float | None]:
+    total, (short, long) = len(a) + len(b), sorted((a, b), key=len)
+    if not short:
+        return None, 0.0 if long else 1.0
+    if f" {' '.join(short)} " in f" {' '.join(long)} ":
+        return None, 2.0 * len(short) / total
+    bound = 2.0 * len(short) / total
+    if bound < threshold:
+        return bound, None
+    x, y = alignment.coded(a, b)
+    bound = 2.0 * alignment.shared(x, y) / total
+    return bound, alignment.coded_likeness(x, y) if bound >= threshold else None
+
+
 def ordered_gate_udf(n_candidates: int, threshold: float):
     """One Python pass for an ordered list of candidates against one source.
 
@@ -84,8 +123,8 @@ def ordered_gate_udf(n_candidates: int, threshold: float):
                     if text is None:
                         continue
                     if ta is None:
-                        ta = _WORD.findall(a)
-                    out[i] = likeness_of_tokens(ta, _WORD.findall(text))
+                        ta = words_of(a)
+                    out[i] = likeness_of_tokens(ta, words_of(text))
                     if out[i] >= threshold:
                         break
             rows.append(out)
@@ -161,33 +200,17 @@ def tokens_of_lowered(c: Column | str) -> Column:
     return F.regexp_extract_all(_c(c), F.lit(TOKEN_PATTERN), 0)
 
 
-def add_likeness(
-    df: DataFrame,
-    a_low: str,
-    b_low: str,
-    out: str,
-    mask: Column | None = None,
-    a_tok: str | None = None,
-) -> DataFrame:
+def add_likeness(df: DataFrame, a_low: str, b_low: str, out: str, mask: Column | None = None) -> DataFrame:
     """Add ``out`` = likeness of two lower-cased text columns where ``mask`` holds.
 
-    Closed forms are evaluated JVM-side on token arrays; the Python UDF gets
-    null-masked inputs for every other row, so it aligns only the pairs that
-    need it.  ``a_tok`` reuses an existing token column for the ``a`` side.
+    The Python UDF gets null-masked inputs for every other row and for equal texts,
+    so it cuts into words and aligns only the pairs that need it.
     """
     m = F.lit(True) if mask is None else mask
     ok = m & F.col(a_low).isNotNull() & F.col(b_low).isNotNull()
-    # Token arrays as their own columns: inside the CASE below they are used
-    # in several branches, where Spark would otherwise re-run the regex.
-    ta, tb, closed = f"_ta_{out}", f"_tb_{out}", f"_closed_{out}"
-    df = df.withColumn(ta, F.col(a_tok) if a_tok else tokens_of_lowered(a_low))
-    df = df.withColumn(tb, F.when(ok, tokens_of_lowered(b_low)))
-    df = df.withColumn(closed, F.when(ok, closed_form_likeness(ta, tb)))
-    need = ok & F.col(closed).isNull()
-    return df.withColumn(
-        out,
-        F.when(ok, F.coalesce(F.col(closed), likeness_udf(F.when(need, F.col(a_low)), F.when(need, F.col(b_low))))),
-    ).drop(closed, ta, tb)
+    need = ok & (F.col(a_low) != F.col(b_low))
+    aligned = likeness_udf(F.when(need, F.col(a_low)), F.when(need, F.col(b_low)))
+    return df.withColumn(out, F.when(need, aligned).when(ok, F.lit(1.0)))
 
 
 def spread_by_cost(pairs: DataFrame, a_text: str = "a_text", b_text: str = "b_text") -> DataFrame:
@@ -226,22 +249,16 @@ def gate_pairs(
     """Pass/fail only: pairs whose length bound or overlap bound is below the threshold
     fail without alignment; ``likeness`` is null for those (not logged exactly).
 
-    Both bounds are JVM expressions; only the pairs they leave open reach Python, as
-    the one Python node of the plan.
+    Words, bounds and alignment are the one Python node of the plan; equal texts do
+    not reach it.
     """
     df = pairs.withColumn("_a_low", lowered(a_text)).withColumn("_b_low", lowered(b_text))
-    df = df.withColumn("_ta", tokens_of_lowered("_a_low")).withColumn("_tb", tokens_of_lowered("_b_low"))
-    df = df.withColumn("_closed", closed_form_likeness("_ta", "_tb"))
-    open_ = F.col("_closed").isNull()
-    by_length = length_bound("_ta", "_tb")
-    df = df.withColumn("upper_bound", F.when(open_, F.when(by_length < F.lit(threshold), by_length).otherwise(overlap_bound("_ta", "_tb"))))
-    need = open_ & (F.col("upper_bound") >= F.lit(threshold))
-    df = df.drop("_ta", "_tb").withColumn(
-        "likeness",
-        F.coalesce(F.col("_closed"), likeness_udf(F.when(need, F.col("_a_low")), F.when(need, F.col("_b_low")))),
-    )
+    need = F.col("_a_low") != F.col("_b_low")
+    df = df.withColumn("_gate", gate_udf(threshold)(F.when(need, F.col("_a_low")), F.when(need, F.col("_b_low"))))
+    df = df.withColumn("upper_bound", F.col("_gate.upper_bound"))
+    df = df.withColumn("likeness", F.when(need, F.col("_gate.likeness")).otherwise(F.lit(1.0)))
     df = df.withColumn("passed", F.coalesce(F.col("likeness") >= F.lit(threshold), F.lit(False)))
-    return df.drop("_closed", "_a_low", "_b_low")
+    return df.drop("_gate", "_a_low", "_b_low")
 
 
 # --------------------------------------------------------------------------
@@ -266,7 +283,7 @@ def _spans_fn(context: int):
         for pdf in batches:
             rows = []
             for key, a, b in zip(pdf["pair_id"], pdf["_a_low"], pdf["_b_low"]):
-                a, b = _WORD.findall(a or ""), _WORD.findall(b or "")
+                a, b = words_of(a or ""), words_of(b or "")
                 for tag, a0, a1, b0, b1 in alignment.gaps(a, b):
                     near = lambda words, x, y: words[max(x - context, 0):y + context]
                     rows.append((key, tag, a0, a1, b0, b1, a1 - a0, b1 - b0, near(a, a0, a1), near(b, b0, b1)))

@@ -138,3 +138,19 @@ def test_closed_form_only_no_python_for_contained(spark):
     cf = df.select(S.closed_form_likeness(normalize_tokens("a_text"), normalize_tokens("b_text")).alias("c"))
     vals = [r.c for r in cf.collect()]
     assert vals[0] == pytest.approx(10 / 12) and vals[1] == 1.0 and vals[2] == 0.0
+
+
+def test_pairs_are_cut_into_words_once(spark):
+    """Scores and the gate leave the words to the worker that aligns them; equal texts settle without it."""
+    rows = [(a, b) for a, b, _ in GOLDEN] + [("same words", "Same words"), ("don't 'quote' ''", "don't quote"), ("''", "")]
+    for df in (S.score_pairs(_pairs(spark, rows)), S.gate_pairs(_pairs(spark, rows), threshold=0.0)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "regexp_extract_all" not in plan and "sort_array" not in plan and plan.count("ArrowEvalPython") == 1
+        for r in df.collect():
+            assert r.likeness == pytest.approx(ref_likeness(*rows[int(r.pair_id)]), abs=1e-12)
+    bounds = {int(r.pair_id): r.upper_bound for r in S.gate_pairs(_pairs(spark, rows), threshold=0.0).collect()}
+    contained = lambda x, y: f" {' '.join(x)} " in f" {' '.join(y)} "
+    for k, (a, b) in enumerate(rows):
+        x, y = WORD_RE.findall(a.lower()), WORD_RE.findall(b.lower())
+        closed = not x or not y or contained(x, y) or contained(y, x)
+        assert bounds[k] == (None if closed else 2.0 * sum((Counter(x) & Counter(y)).values()) / (len(x) + len(y)))
