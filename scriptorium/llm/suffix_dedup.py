@@ -18,8 +18,9 @@ Only strings that may repeat are sorted, wherever they stand:
    neighbours share the prefix so far.  After 50 rounds neighbours that share it
    are equal strings, and the least id of each class decides.
 4. Anchors that stand in more than ``HOT`` documents skip the bucket: their
-   contexts are aggregated to the first document on the map side; only the
-   strings of distinct contexts are then listed and aggregated again.
+   contexts are aggregated to the first document on the map side.  The distinct
+   ones that are left go to buckets of their own and are sorted as in step 3; only
+   the strings of a bucket of over ``HOT_BYTES`` are listed and aggregated instead.
 
 A bucket's state is bounded by the text bytes dealt to it, so it stays in
 memory where the published method keeps sequential files.
@@ -52,6 +53,7 @@ BLOCK_BYTES = 3 << 20  # text bytes that a task holds at a time
 ANCHOR_BYTES = 6 << 20  # text bytes for each bucket of anchors
 CONTEXT_BYTES = 3 << 19  # context bytes for each bucket of strings
 HOT = 4096  # documents
+HOT_BYTES = 4 << 20  # distinct hot contexts that one task sorts
 
 _TABLE = np.random.default_rng(25).integers(1, 1 << 64, 256, np.uint64)
 _A = [np.uint64(pow(0x9E3779B97F4A7C15, 1 << k, 1 << 64)) for k in range(5)]
@@ -240,7 +242,7 @@ def _contexts(buckets: int, brief: int):
                             mark = [doc, digest, a, b + LENGTH - 1]
                         continue
                     if is_hot:
-                        hots.append((doc, digest, a, context))
+                        hots.append((doc, digest, a, context, bk))
                     if is_cold:
                         pack = packs.setdefault(bk, [[], [], [], []])
                         for to, value in zip(pack, (doc, digest, a, context), strict=True):
@@ -251,8 +253,8 @@ def _contexts(buckets: int, brief: int):
                 doc, digest, a, b = zip(*marks, strict=True)
                 yield _cut_batch({"kind": [_MARK] * len(doc), "doc_id": doc, "digest": digest, "start": a, "stop": b}, len(doc))
             for x in range(0, len(hots), 8192):
-                doc, digest, a, c = zip(*hots[x : x + 8192], strict=True)
-                yield _cut_batch({"kind": [_HOT] * len(doc), "doc_id": doc, "digest": digest, "start": a, "context": c}, len(doc))
+                doc, digest, a, c, bk = zip(*hots[x : x + 8192], strict=True)
+                yield _cut_batch({"kind": [_HOT] * len(doc), "bucket": bk, "doc_id": doc, "digest": digest, "start": a, "context": c}, len(doc))
             full = list(packs)
             for x in range(0, len(full), 16):
                 some = [packs[b] for b in full[x : x + 16]]
@@ -342,29 +344,47 @@ def _merged(spans):
     return F.aggregate(F.sort_array(spans), none, step, closed)
 
 
-def _shared(hot: DataFrame) -> DataFrame:
+_GONE = "context binary, start long, stop long"
+
+
+def _decide_distinct(table: pa.Table) -> pa.Table:
+    """One bucket of distinct hot contexts: the runs of their strings that start in an earlier document."""
+    context = table["context"].to_pylist()
+    rows = np.arange(len(context), dtype="<i8")
+    pack = {"ids": np.asarray(table["first"]).astype("<i8"), "digests": rows, "starts": np.zeros_like(rows)}  # a row's number goes as its digest
+    columns = {name: pa.array([values.tobytes()], pa.binary()) for name, values in pack.items()}
+    found = _decide(pa.table({**columns, "sizes": pa.array([bytes(map(len, context))], pa.binary()), "context": pa.array([b"".join(context)], pa.binary())}))
+    own = pa.array([context[k] for k in found["digest"].to_pylist()], pa.binary())
+    return pa.table({"context": own, "start": found["start"], "stop": found["stop"]})
+
+
+def _shared(hot: DataFrame, most: int) -> DataFrame:
     """(key, first, spans) of each distinct hot context: its first document, and the runs of its strings that start in an earlier one.
 
-    Contexts are aggregated before their strings are listed, so a context that
-    many documents hold is cut into strings once.
+    Contexts are aggregated before their strings are compared, so a context that
+    many documents hold is sorted once.  Equal strings have one anchor and with it one
+    bucket; a bucket of over ``most`` bytes is not sorted by one task, its strings are
+    aggregated.
     """
-    each = hot.groupBy("context").agg(F.min("doc_id").alias("first"))
+    each = hot.groupBy("context").agg(F.min("doc_id").alias("first"), F.min("bucket").alias("bucket"))
     each = written(each.withColumn("key", F.xxhash64("context")), "suffix-hot")
-    strings = each.withColumn("shift", F.explode(F.expr(f"sequence(0, octet_length(context) - {LENGTH})"))).select(
-        "context", "key", "first", F.col("shift").cast("long").alias("shift"), F.expr(f"substring(context, shift + 1, {LENGTH})").alias("string")
+    sizes = each.groupBy("bucket").agg(F.sum(F.octet_length("context").cast("long")).alias("bytes"))
+    large = F.broadcast(written(sizes.where(F.col("bytes") > most).select("bucket"), "suffix-large"))  # so many bytes each: few
+    sorted_ = each.join(large, "bucket", "left_anti").select("bucket", "context", "first").groupBy("bucket").applyInArrow(_decide_distinct, _GONE)
+    strings = each.join(large, "bucket", "left_semi").withColumn("shift", F.explode(F.expr(f"sequence(0, octet_length(context) - {LENGTH})"))).select(
+        "context", "first", F.col("shift").cast("long").alias("start"), F.expr(f"substring(context, shift + 1, {LENGTH})").alias("string")
     )
-    gone = with_least(strings, ["string"], "first", "least").where("least < first")
-    span = F.struct(F.col("shift").alias("start"), (F.col("shift") + LENGTH).alias("stop"))
-    spans = gone.groupBy("context").agg(F.collect_list(span).alias("spans"))  # a context has at most LONGEST_RUN strings
+    listed = with_least(strings, ["string"], "first", "least").where("least < first").select("context", "start", (F.col("start") + LENGTH).alias("stop"))
+    spans = sorted_.unionByName(listed).groupBy("context").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))  # a context has at most LONGEST_RUN strings
     return each.join(spans, "context", "left").select("context", "key", "first", _merged(F.coalesce("spans", F.array().cast("array<struct<start:long,stop:long>>"))).alias("spans"))
 
 
-def _hot_marks(hot: DataFrame) -> DataFrame:
+def _hot_marks(hot: DataFrame, most: int) -> DataFrame:
     """Spans of hot contexts: a later document's goes whole, the first one's loses what an earlier document has in another context."""
-    shared = written(_shared(hot), "suffix-shared")
+    shared = written(_shared(hot, most), "suffix-shared")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.octet_length("context").cast("long").alias("stop")))
     shared = sent(shared, F.octet_length("context") + 16 * F.size("spans") + 32)
-    met = hot.withColumn("key", F.xxhash64("context")).join(shared, ["key", "context"])
+    met = hot.drop("bucket").withColumn("key", F.xxhash64("context")).join(shared, ["key", "context"])
     lost = met.withColumn("span", F.explode(F.when(F.col("doc_id") > F.col("first"), whole).otherwise(F.col("spans"))))
     return lost.select("doc_id", "digest", (F.col("start") + F.col("span.start")).alias("start"), (F.col("start") + F.col("span.stop")).alias("stop"))
 
@@ -401,7 +421,7 @@ def _copies(docs: DataFrame) -> DataFrame:
     return with_least(each, ["digest", "check", "stop"], "doc_id", "first").where("first < doc_id").select("doc_id", "digest", "stop").distinct()
 
 
-def spans(docs: DataFrame, hot: int = HOT, brief: int = _BRIEF) -> DataFrame:
+def spans(docs: DataFrame, hot: int = HOT, brief: int = _BRIEF, most: int = HOT_BYTES) -> DataFrame:
     """(doc_id, digest, start, stop): removable spans, which may overlap, of the documents (doc_id, text)."""
     buckets = total_bytes(docs) // ANCHOR_BYTES + 8
     copies = written(_copies(docs), "suffix-copies")
@@ -421,15 +441,15 @@ def spans(docs: DataFrame, hot: int = HOT, brief: int = _BRIEF) -> DataFrame:
     marks = packs.groupBy("bucket").applyInArrow(_decide, _MARKS)
     clear = cuts.where(F.col("kind") == _MARK).select("doc_id", "digest", "start", "stop")
     whole = copies.where(F.col("stop") >= LENGTH).select("doc_id", "digest", F.lit(0).cast("long").alias("start"), "stop")
-    common = _hot_marks(cuts.where(F.col("kind") == _HOT).select("doc_id", "digest", "start", "context"))
+    common = _hot_marks(cuts.where(F.col("kind") == _HOT).select("bucket", "doc_id", "digest", "start", "context"), most)
     return marks.unionByName(clear).unionByName(whole).unionByName(common)
 
 
-def deduplicated(table: DataFrame, hot: int = HOT, brief: int = _BRIEF) -> DataFrame:
+def deduplicated(table: DataFrame, hot: int = HOT, brief: int = _BRIEF, most: int = HOT_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     bounded_batches(table.sparkSession)
     docs = texts(table, "doc_id")
-    found = spans(docs, hot, brief).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans")).withColumn("spans", _merged(F.col("spans")))
+    found = spans(docs, hot, brief, most).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans")).withColumn("spans", _merged(F.col("spans")))
     found = written(found, "suffix-spans")
     keyed = docs.withColumn("digest", F.xxhash64("text")).join(sent(found, (16 * F.size("spans") + 32).cast("long")), ["doc_id", "digest"], "left")
     return keyed.select("doc_id", "text", "spans").mapInArrow(_remove, _OUT)

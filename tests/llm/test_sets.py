@@ -284,3 +284,18 @@ def test_least_of_hot_groups(spark):
     df = spark.createDataFrame([(i, i % 3 if i < 20 else i) for i in range(25)], "id long, k long")
     got = {r.id: r.least for r in base.with_least(df, ["k"], "id", "least").collect()}
     assert got == {i: i % 3 for i in range(20)}
+
+
+def test_suffix_dedup_sorts_or_lists_hot_contexts(docs, rows, monkeypatch):
+    """Distinct hot contexts go to sorted buckets and are not listed; buckets above the bound are listed: equal results."""
+    want = _removed(rows)
+    tables = {}
+    keep = lambda df, name, f=suffix_dedup.written: tables.setdefault(name, []).append(out := f(df, name)) or out
+    monkeypatch.setattr(suffix_dedup, "written", keep)
+    monkeypatch.setattr("scriptorium.llm.base.written", keep)
+    for most in (suffix_dedup.HOT_BYTES, 400, 0):
+        tables.clear()
+        assert Counter(map(tuple, suffix_dedup.deduplicated(docs, 2, most=most).collect())) == want
+        assert tables["suffix-hot"][0].count() > 0
+        assert (tables["suffix-large"][0].count() > 0) == (most < suffix_dedup.HOT_BYTES)
+        assert (tables["least"][-1].count() > 0) == (most == 0) or most == 400
