@@ -21,8 +21,7 @@ SEED = 256  # vectors of a layer that are linked by comparing all
 GROUP = 1 << 15  # components of the vectors that are inserted or searched at a time
 STEP = 4  # beam entries followed at once
 FLOOD = 1 << 14  # entries followed at once outside the beam
-
-
+PAIRS = 1 << 11  # cosines taken at once
 
 
 def _group(vectors: np.ndarray) -> int:
@@ -52,19 +51,30 @@ def _diverse(vectors: np.ndarray, near: np.ndarray, cosine: np.ndarray, most: in
     return out
 
 
+def _cosines(queries: np.ndarray, row: np.ndarray, vectors: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Of each pair, in slices that stay in a processor's cache."""
+    out = np.empty(len(row), np.float32)
+    for at in range(0, len(row), PAIRS):
+        x, y = queries.take(row[at : at + PAIRS], 0, mode="clip"), vectors.take(node[at : at + PAIRS], 0, mode="clip")
+        out[at : at + PAIRS] = np.einsum("ij,ij->i", x, y)
+    return out
+
+
 class _Seen:
     """Which vectors a group of searches has met; equal pairs inside one call are met once."""
 
     def __init__(self, rows: int, size: int):
-        self.mark = np.full((rows, size), -1, np.int32)
+        self.size, self.mark = size, np.zeros(rows * size, bool)  # a byte each: the table is what a search reads most
 
     def new(self, row: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        fresh = (node >= 0) & (self.mark[row, node] < 0)
-        row, node = row[fresh], node[fresh]
-        number = np.arange(len(row), dtype=np.int32)
-        self.mark[row, node] = number
-        once = self.mark[row, node] == number
-        return row[once], node[once]
+        there = node >= 0
+        at = row[there] * self.size + node[there]
+        at = np.sort(at[~self.mark[at]])
+        if len(at):
+            at = at[np.concatenate(([True], at[1:] != at[:-1]))]
+        self.mark[at] = True
+        row = at // self.size
+        return row, (at - row * self.size).astype(np.int32)
 
 
 def _beam(vectors: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np.ndarray, width: int, least: float | None = None):
@@ -77,7 +87,7 @@ def _beam(vectors: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np
 
     def meet(row: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         row, node = seen.new(row, node)
-        value = np.einsum("ij,ij->i", queries[row], vectors[node])
+        value = _cosines(queries, row, vectors, node)
         if least is not None:
             held = value >= least
             if held.any():
@@ -86,6 +96,8 @@ def _beam(vectors: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np
 
     def merge(row: np.ndarray, node: np.ndarray, value: np.ndarray) -> None:
         nonlocal nodes, cosine, followed
+        better = value > cosine.min(1)[row]  # the others would leave the beam at once
+        row, node, value = row[better], node[better], value[better]
         if not len(row):
             return
         order = np.lexsort((-value, row))

@@ -122,6 +122,26 @@ def test_graph_follows_groups_beyond_the_beam():
     assert found == int((units @ units.T >= 0.9).sum()) > 600 * 600
 
 
+def test_searches_mark_a_byte_for_each_pair():
+    seen = small_world._Seen(3, 10)
+    assert seen.mark.nbytes == 30
+    row, node = seen.new(np.array([2, 0, 2, 0, 1]), np.array([9, 4, 9, -1, 0], np.int32))
+    assert list(zip(row.tolist(), node.tolist(), strict=True)) == [(0, 4), (1, 0), (2, 9)]
+    row, node = seen.new(np.array([0, 1, 2]), np.array([4, 1, 9], np.int32))
+    assert (row.tolist(), node.tolist()) == ([1], [1])
+    assert not len(seen.new(np.array([0]), np.array([-1], np.int32))[0])
+
+
+def test_wide_searches_equal_all_cosines():
+    random = np.random.default_rng(8)
+    near = random.standard_normal((5, 16)).repeat(120, 0) + 0.2 * random.standard_normal((600, 16))
+    units = vector_dedup._units(random.permutation(near)).astype(np.float32)
+    graph = small_world.SmallWorld.built(units)
+    got = {(r, n) for row, node, _ in graph.reaching(units, 0.9, len(units)) for r, n in zip(row.tolist(), node.tolist(), strict=True)}
+    value = units @ units.T
+    assert {(r, n) for r, n in got if abs(value[r, n] - 0.9) > 1e-5} == {(r, n) for r, n in zip(*map(np.ndarray.tolist, np.nonzero(value >= 0.9)), strict=True) if abs(value[r, n] - 0.9) > 1e-5}
+
+
 def test_rounding_near_the_threshold():
     side = object.__new__(vector_dedup._Side)
     side.units = np.asarray([[1.0, 0.0], [0.9, math.sqrt(0.19)], [0.9 - 1e-12, math.sqrt(1 - (0.9 - 1e-12) ** 2)]])
