@@ -42,10 +42,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import blocks, bounded_batches, texts, total_bytes, with_least, written
+from .base import blocks, bounded_batches, sent, texts, total_bytes, with_least, written
 from .components import components, forest
 
 CELL_BYTES = 4 << 20  # text bytes for each bucket of cells
+CELL_BLOCK = 8 << 20  # text bytes whose cells are made at a time
 PAIR_BUCKETS = 16  # buckets of cells for each bucket of pairs
 PAIRED = 32  # members of a cell whose pairs are all tested
 MOST_BITS = 1 << 17  # of a sketch; there are as many as elements below that
@@ -55,6 +56,7 @@ SIGNATURE = 1 << 13  # bits of the signatures that split a large family
 SIGNED_CHUNK = 4096  # documents of one side of a comparison of signatures
 PIVOTS = 8
 BROADCAST_ROWS = 500_000  # ids that may be sent to every task; more are joined by a shuffle
+GONE_BYTES = 16  # of a dropped id that is sent to every task
 GROWTH = 1.2  # of the size classes
 SAMPLE_DOCS = 8000  # documents that tell which shingles are frequent
 FREQUENT = 8  # of them
@@ -224,7 +226,7 @@ def _batch(columns: dict, size: int) -> pa.RecordBatch:
 def _cells(link: Link, buckets: int, common: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, frequent = Shingles(link.words), np.frombuffer(common, np.uint64)
-        for table in blocks(batches):
+        for table in blocks(batches, limit=CELL_BLOCK):
             docs = table["text"].cast(pa.binary()).to_pylist()
             ids = table["doc_id"].to_pylist()
             sets = shingles.of(docs)
@@ -667,8 +669,8 @@ def _outside(docs: DataFrame, large: DataFrame, link: Link) -> DataFrame:
 def first_of_class(docs: DataFrame, link: Link = Link()) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its class, equal rows once; a null id is its own class."""
     classes = written(classes_of(docs, link), "jaccard-classes")
-    gone = classes.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
+    gone = written(classes.where("component_id <> doc_id").select("doc_id").distinct(), "jaccard-gone")
+    kept = docs.join(sent(gone, F.lit(GONE_BYTES)), "doc_id", "left_anti")  # texts are shuffled only where the ids are too many to send
     if not classes.groupBy("doc_id").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", "text"])  # a shuffle of texts that unique ids don't need
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

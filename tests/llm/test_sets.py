@@ -10,7 +10,7 @@ import public_tokenizers
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from scriptorium.llm import components, decontaminate, ngram_jaccard, packing, suffix_dedup
+from scriptorium.llm import base, components, decontaminate, ngram_jaccard, packing, suffix_dedup
 from scriptorium.llm.base import from_varints, varints
 
 
@@ -83,6 +83,22 @@ def test_first_of_class(spark, docs, rows):
     assert Counter(r.doc_id for r in kept.collect() if r.doc_id is not None) == Counter(dict.fromkeys(want, 1))
 
 
+def test_first_of_class_leaves_texts_in_place(spark, docs, rows, monkeypatch):
+    unique = docs.dropDuplicates(["doc_id"])
+    expected = sorted({d for d, (_, c) in _classes(rows, 4, 85).items() if d is not None and d == c})
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for limit in (base.SENT_BYTES, 0):
+            monkeypatch.setattr(base, "SENT_BYTES", limit)
+            kept = ngram_jaccard.first_of_class(unique, ngram_jaccard.Link(4, 85))
+            plan = kept._jdf.queryExecution().executedPlan().toString()
+            assert ("SortMergeJoin" in plan) == (not limit) and ("BroadcastHashJoin" in plan) == bool(limit)
+            assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_cells_hold_every_link():
     rnd = random.Random(4)
     for percent in (80, 85, 95):
