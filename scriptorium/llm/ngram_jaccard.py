@@ -46,7 +46,7 @@ from .base import blocks, bounded_batches, sent, texts, total_bytes, with_least,
 from .components import components, forest
 
 CELL_BYTES = 4 << 20  # text bytes for each bucket of cells
-CELL_BLOCK = 8 << 20  # text bytes whose cells are made at a time
+CELL_BLOCK = 2 << 20  # text bytes whose cells or signatures are made at a time
 PAIR_BUCKETS = 16  # buckets of cells for each bucket of pairs
 PAIRED = 32  # members of a cell whose pairs are all tested
 MOST_BITS = 1 << 17  # of a sketch; there are as many as elements below that
@@ -61,7 +61,7 @@ GROWTH = 1.2  # of the size classes
 SAMPLE_DOCS = 8000  # documents that tell which shingles are frequent
 FREQUENT = 8  # of them
 MOST_FREQUENT = 200_000  # shingles; more of them would only save comparisons
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 1 << 17
 LEAF, FANOUT = 16, 8
 
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -493,7 +493,7 @@ def _signatures(words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(words)
-        for table in blocks(batches):
+        for table in blocks(batches, limit=CELL_BLOCK):
             sets = shingles.of(table["text"].cast(pa.binary()).to_pylist())
             maps = np.zeros((len(sets), SIGNATURE // 64), np.uint64)
             for bitmap, own in zip(maps, sets, strict=True):

@@ -10,7 +10,7 @@ better.  Lengths are small numbers, so the pool is a count per length and one
 bit mask of the lengths left.
 
 The vocabulary splits at white space first, so a word between blanks has the
-same ids everywhere; they are looked up in a bounded table per task.
+same ids everywhere; they are looked up in a bounded table per worker.
 
 Cases: a null or empty text is its end token alone.  Repeated rows and repeated
 or null ids are packed row by row.  A text longer than a sequence is cut; a
@@ -21,6 +21,7 @@ Building the frame runs Spark jobs and lowers the session's Arrow batch size.
 from __future__ import annotations
 
 import functools
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -33,7 +34,8 @@ from pyspark.sql import functions as F
 from .base import bounded_batches, texts, total_bytes
 
 GROUP_BYTES = 128 << 20  # text bytes of a packing group
-KNOWN_WORDS = 1_000_000  # words that a task remembers
+KNOWN_WORDS = 1 << 18  # words that a worker remembers, and as many that it met before them
+LONGEST = 64  # characters of a word that is remembered
 
 
 @functools.lru_cache(maxsize=2)
@@ -43,18 +45,35 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _packed_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Words(dict):
-    """Ids of each word as bytes, encoded when first asked for."""
+    """Ids of each word as bytes, encoded when first asked for.
+
+    When the table is full it becomes the old one; words that are met again move
+    to the new one, so words that recur stay and the others go.  Long words are
+    encoded anew each time.
+    """
 
     def __init__(self, path: str):
         super().__init__()
+        self.old: dict[str, bytes] = {}
         tokenizer = _tokenizer(path)
-        self._encode = lambda w: np.asarray(tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+        # struct packs a few numbers faster than numpy.
+        self._encode = lambda w: _packed_ids(tokenizer.encode(w, add_special_tokens=False).ids)
 
     def __missing__(self, word: str) -> bytes:
-        ids = self._ids(word)
-        if len(self) < KNOWN_WORDS:
-            self[word] = ids
+        ids = self.old.pop(word, None)
+        if ids is None:
+            ids = self._ids(word)
+            if len(word) > LONGEST:
+                return ids
+        if len(self) >= KNOWN_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
         return ids
 
     def _ids(self, word: str) -> bytes:
@@ -69,7 +88,7 @@ class Words(dict):
         return self._encode(word)
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _words(path: str) -> Words:
     return Words(path)
 

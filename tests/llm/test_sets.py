@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -200,6 +201,45 @@ def test_suffix_dedup_short_names_of_both_paths(spark):
     assert Counter(map(tuple, got.collect())) == _removed(rows)
 
 
+def test_words_held_while_packing_are_bounded(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words = packing.Words(path)
+    monkeypatch.setattr(words, "_encode", lambda w: bytes(4))
+    for k in range(700_000):
+        words[f"w{k}"]
+    assert len(words) + len(words.old) <= 1 << 19
+    words["w" * 10_000]
+    assert "w" * 10_000 not in words and "w" * 10_000 not in words.old
+
+
+def test_words_that_recur_stay_held(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 50)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words, tokenizer = packing.Words(path), Tokenizer.from_file(path)
+    rng = random.Random(5)
+    text = " ".join(f"Late {rng.choice('abc')}{k}x{k}. {'long' * 30}" for k in range(400))
+    assert np.frombuffer(packing.encoded(words, text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    asked = []
+    encode = words._encode
+    monkeypatch.setattr(words, "_encode", lambda w: asked.append(w) or encode(w))
+    packing.encoded(words, "Later " + " Later ".join(f"z{k}" for k in range(400)))
+    assert len(words) <= 50 and asked.count("later") == 1
+
+
+def test_cells_of_many_texts_take_bounded_memory():
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(1 << 20)}" for _ in range(400)) for _ in range(3000)]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": list(range(k, k + 500)), "text": texts[k:k + 500]}) for k in range(0, 3000, 500)]
+    tracemalloc.start()
+    try:
+        n = sum(b.num_rows for b in ngram_jaccard._cells(ngram_jaccard.Link(), 8, b"")(iter(batches)))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n >= 3000
+    assert peak < 110 << 20, peak
+
+
 def test_packing(docs, rows, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
