@@ -226,6 +226,30 @@ def test_words_that_recur_stay_held(monkeypatch):
     assert len(words) <= 50 and asked.count("later") == 1
 
 
+def test_packing_asks_the_library_once_for_a_word_and_its_forms(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words, asked = packing.Words(path), []
+    encode = words._encode
+    monkeypatch.setattr(words, "_encode", lambda w: asked.append(w) or encode(w))
+    text = "Queréeau quatre, quatre. QUATRE%%% queréeau; queréeau### (quatre) QUERÉEAU"
+    got = packing.encoded(words, text)
+    assert np.frombuffer(got, "<u4").tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert asked.count("queréeau") == asked.count("quatre") == 1
+    assert not any(w.lower().startswith("quer") and w != "queréeau" for w in asked)
+
+
+def test_encoded_texts_are_those_of_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, words, rng = Tokenizer.from_file(path), packing.Words(path), random.Random(9)
+    some = ["it's", "'S", "don't.", "<|endoftext|>", "<|ENDOFTEXT|>", "a<|startoftext|>b", "H\u0331e", "h\u0331.", "e\u0301t\u00e9", "\u00c5\u030a", "\u0130stanbul.",
+            "\u03a3\u03a3.", "stra\u00dfe,", "\u00c0\u00d6\u00de\u00ff!", "\u00d7\u00f7", "a\tb", "x\r", "\u00a0y", "12,5", "a1.", "...", "\u2014", "\u4e2d\u6587.", "\ud83d\ude00".encode("utf-16", "surrogatepass").decode("utf-16"), "<=\u0338", "w" * 90, ""]
+    letters = "abcdeABCDE\u00e9\u00c9\u00fc.,;'%#\u0301"
+    texts = ["", " ", "\n\n", *(rng.choice([" ", "\n"]).join(rng.choice(some) if rng.random() < 0.5 else "".join(rng.choices(letters, k=rng.randrange(9))) for _ in range(rng.randrange(60))) for _ in range(300))]
+    ids, bounds = packing.encoded_texts(words, pa.array(texts))
+    for text, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
+        assert ids[a:b].tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_cells_of_many_texts_take_bounded_memory():
     rng = random.Random(6)
     texts = [" ".join(f"w{rng.randrange(1 << 20)}" for _ in range(400)) for _ in range(3000)]
