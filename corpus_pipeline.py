@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 and read back as the next one's docs.  All but the last return the columns of
 documents.  As a stage begins, scratch tables of earlier stages that its docs are
-not read from are dropped: their results were written.
+not read from are dropped: their results were written; the session's batches are
+lowered.
 
 Cases: a null or empty text is a document without words, which the quality rules
 reject.  Rows with equal ids are one document to the near-duplicate stage and rows
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.llm import decontaminate, ngram_jaccard, packing, pii, quality_rules
-from scriptorium.llm.base import SCRATCH, drop, read_table
+from scriptorium.llm.base import SCRATCH, drop, read_table, small_batches
 from scriptorium.session import scratch_path
 
 # Near duplicates: five words, a similarity of 0.8 or more.
@@ -40,6 +41,7 @@ def _stage(function):
         read = {part for file in docs.inputFiles() for part in file.split("/")} if _left else ()
         held = [path for path in _left if path.rpartition("/")[2] in read]
         drop(spark, *(path for path in _left if path not in held))
+        small_batches(spark)
         before = len(SCRATCH)
         out = function(spark, docs, sf_dir)
         _left[:] = held + SCRATCH[before:]

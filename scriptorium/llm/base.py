@@ -17,6 +17,7 @@ from ..session import scratch_path
 # very long texts would not fit an executor.
 TEXT_BATCH_ROWS = 1024
 TEXT_BATCH_BYTES = 32 << 20
+SMALL_BATCH_ROWS = 256  # where several stages share an executor's memory
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,16 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(rows, str(TEXT_BATCH_ROWS))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's batches of table readers and of Arrow to ``SMALL_BATCH_ROWS`` (never raises them).
+
+    A reader's 4,096 whole texts take arrays of tens of MB in every task.
+    """
+    for rows in ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch"):
+        if not 0 < int(spark.conf.get(rows)) <= SMALL_BATCH_ROWS:
+            spark.conf.set(rows, str(SMALL_BATCH_ROWS))
+
+
 def texts(df: DataFrame, *keys: str, column: str = "text") -> DataFrame:
     """The key columns and the whole text as ``text``, null as empty; other columns are not read."""
     return df.select(*keys, F.coalesce(F.col(column).cast("string"), F.lit("")).alias("text"))
