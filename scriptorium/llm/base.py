@@ -58,14 +58,23 @@ def total_bytes(df: DataFrame, column: str = "text") -> int:
 SCRATCH: list[str] = []  # paths of the tables that this process wrote, in order
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+FILE_ROWS = 1 << 17  # rows of a scratch file of a narrow table
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
+    ``rows`` says about how many a narrow table has, so that few rows go to few
+    files.  Else every task that has a row makes a file, and on a local disk starts
+    processes that set its rights.
+
     Cuts lineage: a lost executor later rereads these files instead of
     computing again.  ``SCRATCH`` tells a caller what it may ``drop`` once its own
     result is written.
     """
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    if rows is not None:
+        df = df.coalesce(rows // FILE_ROWS + 1)
     df.write.option("compression", "zstd").parquet(path)
     SCRATCH.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -87,14 +96,14 @@ def sent(df: DataFrame, size: Column, limit: int | None = None) -> DataFrame:
     return F.broadcast(df) if total <= (SENT_BYTES if limit is None else limit) else df
 
 
-def with_least(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+def with_least(df: DataFrame, keys: list[str], value: str, name: str, rows: int | None = None) -> DataFrame:
     """``df`` with the least ``value`` of its group as ``name``, only rows of groups of two or more.
 
     The least is aggregated on the map side and written, so both sides of the join
     are plain shuffles: adaptive execution splits a group that many rows hold.
     """
     least = df.groupBy(*keys).agg(F.min(value).alias(name), F.count("*").alias("__rows")).where("__rows > 1").drop("__rows")
-    return df.join(written(least, "least"), keys)
+    return df.join(written(least, "least", rows), keys)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 16 << 20) -> Iterator[pa.Table]:

@@ -34,28 +34,30 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[moved], ids[up[moved]]
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
+def components(edges: DataFrame, name: str = "components", rows: int | None = None) -> DataFrame:
     """(id, root): every id of ``edges`` (a, b) with the smallest id that it reaches.
 
     Each round leads every id to its smallest neighbour, follows these steps to
     their ends by pointer jumping, and contracts the edges: ends become what they
     lead to, loops and repeated edges go.  What is left at least halves its ids, so
     all rounds together read little more than the first.  Rounds are written to the
-    shared folder, which cuts the lineage.  Nulls link nothing.
+    shared folder, which cuts the lineage.  Nulls link nothing.  ``rows`` says about
+    how many edges there are, where a caller knows.
     """
     low, high = F.least("a", "b"), F.greatest("a", "b")
     live = edges.where("a is not null and b is not null and a <> b").select(high.alias("a"), low.alias("b")).distinct()
-    live = written(live, f"{name}-edges")
+    live = written(live, f"{name}-edges", rows)
     rounds: list[DataFrame] = []
-    while not live.isEmpty():
+    most = left = live.count()
+    while left:
         both = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
         moved = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("up")).where("up < id")
-        moved = written(moved, f"{name}-{len(rounds)}-up")
+        moved = written(moved, f"{name}-{len(rounds)}-up", 2 * left)
         while True:
             step = lambda name: moved.select(F.col("id").alias("up"), F.col("up").alias(name))  # noqa: E731, B023
             farther = moved.join(step("far"), "up", "left").select("id", F.col("far").isNotNull().alias("went"), F.coalesce("far", "up").alias("up"))
             farther = farther.join(step("farther"), "up", "left").select("id", "went", F.coalesce("farther", "up").alias("up"))
-            farther = written(farther, f"{name}-{len(rounds)}-up")
+            farther = written(farther, f"{name}-{len(rounds)}-up", 2 * left)
             moved = farther.select("id", "up")
             if farther.where("went").isEmpty():
                 break
@@ -63,12 +65,13 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         for end in ("a", "b"):
             to = moved.select(F.col("id").alias(end), "up")
             live = live.join(to, end, "left").withColumn(end, F.coalesce("up", end)).drop("up")
-        live = written(live.where("a <> b").select(high.alias("a"), low.alias("b")).distinct(), f"{name}-{len(rounds)}")
+        live = written(live.where("a <> b").select(high.alias("a"), low.alias("b")).distinct(), f"{name}-{len(rounds)}", left)
+        left = live.count()
     if not rounds:
         return live.select(F.col("a").alias("id"), F.col("b").alias("root"))
     found = rounds[-1].select("id", F.col("up").alias("root"))
     for moved in reversed(rounds[:-1]):  # an id moves in one round; where it went to may have moved on
         later = found.select(F.col("id").alias("up"), "root")
         found = found.unionByName(moved.join(later, "up", "left").select("id", F.coalesce("root", "up").alias("root")))
-    found = written(found, f"{name}-roots")
+    found = written(found, f"{name}-roots", 2 * most)
     return found.unionByName(found.select(F.col("root").alias("id"), "root").distinct())

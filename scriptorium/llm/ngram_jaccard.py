@@ -547,7 +547,7 @@ def _grouped(docs: DataFrame, state: DataFrame, rest: DataFrame, link: Link) ->
     high = signed.join(rest.select("doc_id", "family"), ["doc_id", "family"]).withColumns({"chunk": every("chunks"), "part": spot(4, "parts"), "side": F.lit(1)})
     columns = [F.xxhash64("family", "chunk", "part").alias("task"), "doc_id", "n", "lead", "bitmap", "side"]
     edges = low.select(*columns).unionByName(high.select(*columns)).groupBy("task").applyInArrow(_may_link(link), "a long, b long")
-    groups = components(edges, "jaccard-groups").select(F.col("id").alias("doc_id"), F.col("root").alias("family"))
+    groups = components(edges, "jaccard-groups", state.count()).select(F.col("id").alias("doc_id"), F.col("root").alias("family"))
     return groups.join(state.select("doc_id", "n", "root"), "doc_id")
 
 
@@ -568,10 +568,10 @@ def classes_of(docs: DataFrame, link: Link = Link()) -> DataFrame:
     own = rows.where(F.col("kind") == _DOC).select("doc_id", "n", "s1", "s2", "sketch")
 
     # Equal sets are one representative; a document of several sets stands for itself.
-    some = own.where("n > 0 and doc_id is not null")
+    some, n = own.where("n > 0 and doc_id is not null"), own.count()
     several = some.groupBy("doc_id").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).where("x <> y").select("doc_id")
-    copies = with_least(some.drop("sketch"), ["s1", "s2", "n"], "doc_id", "rep").where("rep < doc_id").select("doc_id", "rep").distinct()
-    copies = written(copies.join(several, "doc_id", "left_anti"), "jaccard-copies")
+    copies = with_least(some.drop("sketch"), ["s1", "s2", "n"], "doc_id", "rep", n).where("rep < doc_id").select("doc_id", "rep").distinct()
+    copies = written(copies.join(several, "doc_id", "left_anti"), "jaccard-copies", n)
     cells = rows.where(F.col("kind") == _CELLS).select("bucket", "keys", "ids")
     met = cells.groupBy("bucket").applyInArrow(_meet(buckets // PAIR_BUCKETS + 8), _MET)
     met = written(met.groupBy("dest").applyInArrow(_gathered, "a long, b long, test boolean"), "jaccard-met")
@@ -582,28 +582,30 @@ def classes_of(docs: DataFrame, link: Link = Link()) -> DataFrame:
         .select("a", "b", "m", "n", "x", "y").mapInArrow(_fit(link), "a long, b long")
     )
     near = written(tested.unionByName(met.where("not test").select("a", "b")), "jaccard-near")
+    pairs = near.count()
     for end in ("a", "b"):
         rep = copies.select(F.col("doc_id").alias(end), "rep")
         near = near.join(rep, end, "left").withColumn(end, F.coalesce("rep", end)).drop("rep")
-    family = components(near, "jaccard-family").select(F.col("id").alias("doc_id"), F.col("root").alias("family"))
+    family = components(near, "jaccard-family", pairs).select(F.col("id").alias("doc_id"), F.col("root").alias("family"))
     members = family.join(some.groupBy("doc_id").agg(F.sum("n").alias("n")), "doc_id")
-    links = _links(docs, written(members, "jaccard-members"), link)
+    links = _links(docs, written(members, "jaccard-members", n), link)
 
     edges = links.unionByName(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    roots = components(edges, "jaccard-links").select(F.col("id").alias("doc_id"), "root")
+    roots = components(edges, "jaccard-links", n).select(F.col("id").alias("doc_id"), "root")
     return own.join(roots, "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id")
     )
 
 
-def _sized(members: DataFrame) -> DataFrame:
+def _sized(members: DataFrame, rows: int) -> DataFrame:
     """``members`` with the shingles of their family as ``total``."""
-    return members.join(written(members.groupBy("family").agg(F.sum("n").alias("total")), "jaccard-totals"), "family")
+    return members.join(written(members.groupBy("family").agg(F.sum("n").alias("total")), "jaccard-totals", rows), "family")
 
 
 def _links(docs: DataFrame, members: DataFrame, link: Link) -> DataFrame:
     """Edges of a spanning forest of the links inside the families."""
-    sized = _sized(members.withColumn("root", F.lit(None).cast("long")))
+    n = members.count()
+    sized = _sized(members.withColumn("root", F.lit(None).cast("long")), n)
     out, large = _small(docs, sized.where(F.col("total") <= CHUNK), link), sized.where(F.col("total") > CHUNK)
     if large.isEmpty():
         return out
@@ -611,7 +613,7 @@ def _links(docs: DataFrame, members: DataFrame, link: Link) -> DataFrame:
     out = out.unionByName(found)
     if rest.isEmpty():
         return out
-    groups = _sized(written(_grouped(docs, state, rest, link), "jaccard-fine"))
+    groups = _sized(written(_grouped(docs, state, rest, link), "jaccard-fine", n), n)
     out = out.unionByName(_small(docs, groups.where(F.col("total") <= CHUNK), link))
     large = groups.where(F.col("total") > CHUNK)
     return out if large.isEmpty() else out.unionByName(_outside(docs, large, link))
@@ -648,7 +650,7 @@ def _cut(docs: DataFrame, large: DataFrame, link: Link) -> tuple[DataFrame, Data
     null = F.lit(None).cast("long").alias("root")
     first = first.select("doc_id", F.xxhash64("family", "chunk").alias("task"), F.col("family").alias("unit"), F.lit(0).alias("side"), null)
     found = written(_with_texts(docs, first).groupBy("task").applyInArrow(_compare(link), "a long, b long"), "jaccard-first")
-    roots = components(found, "jaccard-classes").select(F.col("id").alias("doc_id"), "root")
+    roots = components(found, "jaccard-classes", found.count()).select(F.col("id").alias("doc_id"), "root")
     state = written(cut.join(roots, "doc_id", "left").select("doc_id", "family", "n", F.coalesce("root", "doc_id").alias("root")), "jaccard-state")
     return found, state, written(_apart(state), "jaccard-rest")
 
@@ -669,7 +671,7 @@ def _outside(docs: DataFrame, large: DataFrame, link: Link) -> DataFrame:
 def first_of_class(docs: DataFrame, link: Link = Link()) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its class, equal rows once; a null id is its own class."""
     classes = written(classes_of(docs, link), "jaccard-classes")
-    gone = written(classes.where("component_id <> doc_id").select("doc_id").distinct(), "jaccard-gone")
+    gone = written(classes.where("component_id <> doc_id").select("doc_id").distinct(), "jaccard-gone", classes.count())
     kept = docs.join(sent(gone, F.lit(GONE_BYTES)), "doc_id", "left_anti")  # texts are shuffled only where the ids are too many to send
     if not classes.groupBy("doc_id").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", "text"])  # a shuffle of texts that unique ids don't need

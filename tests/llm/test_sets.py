@@ -38,6 +38,22 @@ def test_components(spark):
     assert got == {x: find(x) for x in up}
 
 
+def test_components_of_few_edges_make_few_files(spark):
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        before = len(base.SCRATCH)
+        edges = spark.createDataFrame([(i, i + 1) for i in range(300) if i % 7], "a long, b long")
+        got = {r.id: r.root for r in components.components(edges, rows=300).collect()}
+        assert got == {i: max(7 * ((i - 1) // 7) + 1, 1) for i in range(1, 301) if i in got} and len(got) >= 250
+        for path in base.SCRATCH[before:]:
+            assert len(spark.read.parquet(path).inputFiles()) <= 1, path
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
 def _classes(rows, words, percent):
     sets = defaultdict(set)
     for doc_id, text, *_ in rows:
