@@ -61,6 +61,11 @@ SCRATCH: list[str] = []  # paths of the tables that this process wrote, in order
 FILE_ROWS = 1 << 17  # rows of a scratch file of a narrow table
 
 
+def few_files(df: DataFrame, rows: int | None) -> DataFrame:
+    """``df`` in so few partitions that about ``rows`` narrow rows fill their files; as it is where they are not known."""
+    return df if rows is None else df.coalesce(rows // FILE_ROWS + 1)
+
+
 def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
@@ -73,9 +78,7 @@ def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     result is written.
     """
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    if rows is not None:
-        df = df.coalesce(rows // FILE_ROWS + 1)
-    df.write.option("compression", "zstd").parquet(path)
+    few_files(df, rows).write.option("compression", "zstd").parquet(path)
     SCRATCH.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -103,7 +106,7 @@ def with_least(df: DataFrame, keys: list[str], value: str, name: str, rows: int
     are plain shuffles: adaptive execution splits a group that many rows hold.
     """
     least = df.groupBy(*keys).agg(F.min(value).alias(name), F.count("*").alias("__rows")).where("__rows > 1").drop("__rows")
-    return df.join(written(least, "least", rows), keys)
+    return df.join(written(few_files(least, rows), "least"), keys)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 16 << 20) -> Iterator[pa.Table]:
